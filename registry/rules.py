@@ -1,4 +1,180 @@
+"""Decision tables over listings."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfwise.operators import rules as Q
+from shelfwise.operators.rules import Rule, RuleSet
+
 from .base import Registry
+from .joins import KEYS, LISTING
 
 R = Registry()
 QUERIES, ORACLE = R.queries, R.sql
+
+PRICE = RuleSet(1, [
+    Rule(1, {"platform": "Amazon", "item_id": ("in", ["1", "2"])}, {"price": 9.5}),
+    Rule(2, {"category_1": "PROMO"}, {"price": 12}),
+    Rule(3, {"item_title": ("contains", "gear")}, {"price": None}),
+])
+UNITS = RuleSet(2, [Rule(1, {"platform": "Suning"}, {"units": 100})])
+RATIO = RuleSet(3, [Rule(1, {"brand_name": ("rlike", "#1[0-9]$")}, {"ratio": 1.25})])
+STATUS = RuleSet(4, [Rule(1, {"market": "asia"}, {"status": "1"})])
+BRAND = RuleSet(5, [Rule(1, {"brand_name": "Brand#2"}, {"std_brand_name": "B2", "std_category_2": ""})])
+CATEGORY = RuleSet(6, [Rule(1, {"std_brand_name": "B2"}, {"std_category_2": "C2"})])
+# Conditions of the price rules in SQL.
+P1 = "platform = 'Amazon' AND item_id IN ('1', '2')"
+P2 = "category_1 = 'PROMO'"
+
+
+@R.add("rules_price", f"""
+SELECT {KEYS}, CASE WHEN {P1} THEN 9.5 WHEN {P2} THEN 12 ELSE page_price END AS page_price,
+  CASE WHEN {P1} THEN 9.5 WHEN {P2} THEN 12 ELSE discount_price END AS discount_price,
+  CASE WHEN {P1} THEN '1,1' WHEN {P2} THEN '1,2' ELSE 'feed' END AS discount_price_src FROM listing_month
+""", ("listing_month",))
+def _(v):
+    rows = v.listing_month.withColumn("discount_price_src", F.lit("feed"))
+    out = Q.override_numeric(rows, PRICE, "price", ["page_price", "discount_price"], "discount_price_src")
+    return out.select(*LISTING, "page_price", "discount_price", "discount_price_src")
+
+
+_RATIO = "regexp_matches(brand_name, '#1[0-9]$')"
+
+
+@R.add("rules_count_ratio", f"""
+SELECT {KEYS}, CAST(trunc(CASE WHEN {_RATIO} THEN 1.25 ELSE 1 END *
+    CAST(CASE WHEN platform = 'Suning' THEN 100 ELSE pfsku_unit_sales END AS DOUBLE)) AS BIGINT) AS pfsku_unit_sales,
+  CASE WHEN {_RATIO} THEN '3,1' WHEN platform = 'Suning' THEN '2,1' END AS pfsku_unit_sales_src,
+  CASE WHEN {_RATIO} THEN 1.25 END AS fix_count_ratio FROM listing_month
+""", ("listing_month",))
+def _(v):
+    rows = v.listing_month.withColumn("pfsku_unit_sales_src", F.lit(None).cast("string"))
+    out = Q.override_then_scale(rows, UNITS, "units", RATIO, "ratio", "pfsku_unit_sales", "pfsku_unit_sales_src",
+                                "fix_count_ratio")
+    return out.select(*LISTING, "pfsku_unit_sales", "pfsku_unit_sales_src", "fix_count_ratio")
+
+
+@R.add("rules_status", f"""
+SELECT {KEYS}, 'exclude' AS status, CASE WHEN shop_id = '2' THEN 'dwd_exclude_scope' ELSE '4,1' END AS status_src
+FROM listing_month WHERE shop_id = '2' OR market = 'asia'
+""", ("listing_month",))
+def _(v):
+    rows = v.listing_month.withColumn("exclude_flag", F.when(F.col("shop_id") == "2", 1).otherwise(0))
+    return Q.exclusions(rows, STATUS, "status").select(*LISTING, "status", "status_src")
+
+
+@R.add("rules_chain", f"""
+SELECT {KEYS}, CASE WHEN brand_name = 'Brand#2' THEN 'B2' ELSE brand_name END AS std_brand_name,
+  CASE WHEN brand_name = 'Brand#2' THEN '5,1' END AS std_brand_name_src,
+  CASE WHEN brand_name = 'Brand#2' THEN 'C2' ELSE category_1 END AS std_category_2,
+  CASE WHEN brand_name = 'Brand#2' THEN '6,1' END AS std_category_2_src FROM listing_month
+""", ("listing_month",))
+def _(v):
+    rows = v.listing_month.withColumns({"std_brand_name": F.col("brand_name"), "std_category_2": F.col("category_1")})
+    out = Q.apply_chain(rows, [
+        {"rules": BRAND, "results": {"std_brand_name": "std_brand_name", "std_category_2": "std_category_2"},
+         "src_col": {"std_brand_name": "std_brand_name_src", "std_category_2": "std_category_2_src"}},
+        {"rules": CATEGORY, "results": {"std_category_2": "std_category_2"}, "src_col": "std_category_2_src"}])
+    return out.select(*LISTING, "std_brand_name", "std_brand_name_src", "std_category_2", "std_category_2_src")
+
+
+@R.add("rules_tiered", f"""
+SELECT {KEYS}, CASE WHEN {P1} THEN '9.5' WHEN {P2} THEN '12' WHEN platform = 'Suning' AND shop_id <> '0' THEN shop_id
+    ELSE brand_name END AS label,
+  CASE WHEN {P1} THEN '1,1' WHEN {P2} THEN '1,2' WHEN platform = 'Suning' AND shop_id <> '0' THEN 'shop'
+    ELSE 'own' END AS label_src FROM listing_month
+""", ("listing_month",))
+def _(v):
+    rows = Q.match(v.listing_month.withColumns({"label": F.col("brand_name"), "label_src": F.lit("own")}), PRICE)
+    shop = F.when((F.col("platform") == "Suning") & (F.col("shop_id") != "0"), F.col("shop_id"))
+    tiers = [(F.col("_rule.price"), F.col("_rule.src")), (shop, F.lit("shop"))]
+    return Q.tiered(rows, "label", tiers, "label_src").select(*LISTING, "label", "label_src")
+
+
+@R.add("rules_provenance", f"""
+WITH m AS (SELECT *, CASE WHEN {P1} THEN '1' WHEN {P2} THEN '2' WHEN contains(item_title, 'gear') THEN '3' ELSE '__DEFAULT__' END AS first,
+  nullif(concat_ws(',', CASE WHEN {P1} THEN '1' END, CASE WHEN {P2} THEN '2' END,
+    CASE WHEN contains(item_title, 'gear') THEN '3' END), '') AS every FROM listing_month)
+SELECT {KEYS}, '1,' || first AS src, '1,' || coalesce(every, '__DEFAULT__') AS every_src,
+  '1,' || first || CASE WHEN platform = 'Suning' THEN '；2,1' ELSE '' END AS joined_src FROM m
+""", ("listing_month",))
+def _(v):
+    every = RuleSet(1, PRICE.rules, collect_all=True)
+    rows = Q.match(Q.match(Q.match(v.listing_month, PRICE, "_a"), every, "_b"), UNITS, "_c")
+    suning = F.when(F.col("_c.units").isNotNull(), F.col("_c.src"))
+    return rows.select(*LISTING, F.col("_a.src").alias("src"), F.col("_b.src").alias("every_src"),
+                       Q.joined_sources(F.col("_a.src"), suning).alias("joined_src"))
+
+
+@R.add("rules_lookup", f"""
+WITH rules AS (SELECT brand_name, category_1, CAST(row_number() OVER (ORDER BY brand_name, category_1, shop_id) AS INT) AS priority,
+    CASE WHEN shop_id = '3' THEN '' ELSE brand_name || '/' || shop_id END AS std_brand_name
+  FROM (SELECT DISTINCT brand_name, category_1, shop_id FROM listing_month WHERE platform = 'Tmall')),
+best AS (SELECT brand_name, category_1, first(std_brand_name ORDER BY priority) AS s, min(priority) AS p FROM rules GROUP BY ALL)
+SELECT {KEYS}, coalesce(nullif(s, ''), brand_name) AS std_brand_name,
+  CASE WHEN s <> '' THEN '9,' || p END AS std_brand_name_src FROM listing_month LEFT JOIN best USING (brand_name, category_1)
+""", ("listing_month",))
+def _(v):
+    tmall = v.listing_month.filter("platform = 'Tmall'").select("brand_name", "category_1", "shop_id").distinct()
+    from shelfwise.operators.ordered import renumber
+
+    one = tmall.withColumn("_all", F.lit(1))
+    order = [F.col(c) for c in ("brand_name", "category_1", "shop_id")]
+    rules = renumber(one, ["_all"], order, "priority").select(
+        "brand_name", "category_1", F.col("priority").cast("int").alias("priority"),
+        F.when(F.col("shop_id") == "3", "").otherwise(F.concat_ws("/", "brand_name", "shop_id")).alias("named"))
+    rows = v.listing_month.withColumn("std_brand_name", F.col("brand_name"))
+    out = Q.apply_lookup(rows, rules, ["brand_name", "category_1"], {"named": "std_brand_name"}, 9,
+                         "std_brand_name_src")
+    return out.select(*LISTING, "std_brand_name", "std_brand_name_src")
+
+
+@R.add("value_map", f"""
+SELECT {KEYS}, CASE platform WHEN 'Amazon' THEN 'A' WHEN 'Suning' THEN 'S' END AS short_name FROM listing_month
+""", ("listing_month",))
+def _(v):
+    return v.listing_month.select(*LISTING, Q.value_map("platform", {"Amazon": "A", "Suning": "S"}).alias("short_name"))
+
+
+GATE = """
+gate AS (SELECT category_1 AS std_category_2, upper(brand_name) || '! ' AS std_brand_name, 'TMALL' AS platform,
+    min(month_dt) AS start_time, max(month_dt) AS end_time FROM listing_month WHERE platform = 'Suning'
+  GROUP BY category_1, brand_name HAVING count(*) > 2),
+named AS (SELECT m.*, category_1 AS std_category_2, market AS lifestage, item_title AS std_category_3,
+    'name ' || item_title AS std_spu_name, CASE WHEN shop_id IN ('0', '1') THEN '104736,' || shop_id ELSE '104736,__DEFAULT__' END AS std_spu_name_src,
+    CASE WHEN CAST(item_id AS INT) % 2 = 0 THEN '机器清洗' ELSE 'annotated' END AS sku_src FROM listing_month m),
+gated AS (SELECT n.*, g.start_time IS NOT NULL AND (shop_id IN ('0', '1') OR sku_src <> '机器清洗') AS keep,
+    coalesce(n.brand_name, '') || coalesce(lifestage, '') || coalesce(std_category_3, '') AS built
+  FROM named n LEFT JOIN gate g ON n.std_category_2 = g.std_category_2 AND lower(n.platform) = lower(g.platform)
+    AND lower(n.brand_name) || '! ' = lower(g.std_brand_name) AND n.month_dt BETWEEN g.start_time AND g.end_time)
+"""
+
+
+def gate_inputs(v):
+    """Named listings and the gate table."""
+    rows = v.listing_month.withColumns({
+        "std_category_2": F.col("category_1"), "lifestage": F.col("market"), "std_category_3": F.col("item_title"),
+        "std_brand_name": F.col("brand_name"), "std_spu_name": F.concat(F.lit("name "), "item_title"),
+        "std_spu_name_src": F.concat(F.lit("104736,"), F.when(F.col("shop_id").isin("0", "1"), F.col("shop_id"))
+                                     .otherwise("__DEFAULT__")),
+        "sku_src": F.when(F.col("item_id").cast("int") % 2 == 0, "机器清洗").otherwise("annotated"),
+    })
+    gate = v.listing_month.filter("platform = 'Suning'").groupBy("category_1", "brand_name").agg(
+        F.min("month_dt").alias("start_time"), F.max("month_dt").alias("end_time"),
+        F.count(F.lit(1)).alias("n")).filter("n > 2").select(
+        F.col("category_1").alias("std_category_2"),
+        F.concat(F.upper("brand_name"), F.lit("! ")).alias("std_brand_name"), F.lit("TMALL").alias("platform"),
+        "start_time", "end_time")
+    return rows, gate
+
+
+@R.add("brand_gate", f"""
+WITH {GATE.strip()}
+SELECT {KEYS}, CASE WHEN keep THEN std_spu_name ELSE built END AS std_spu_name,
+  CASE WHEN keep THEN std_spu_name_src ELSE 'brand_limit_rule' END AS std_spu_name_src FROM gated
+""", ("listing_month",))
+def _(v):
+    rows, gate = gate_inputs(v)
+    out = Q.brand_gate(rows, gate, 104736, ("JD", "Tmall", "Douyin"), "机器清洗")
+    return out.select(*LISTING, "std_spu_name", "std_spu_name_src")
