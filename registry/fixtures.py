@@ -187,6 +187,15 @@ SELECT CASE l_suppkey % 10 WHEN 0 THEN 'Tmall' WHEN 1 THEN 'Amazon' WHEN 2 THEN
        CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS pfsku_unit_sales,
        l_extendedprice AS page_price, l_extendedprice * 0.5 AS discount_price
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
+""",
+    # Listings at the grain that the keyed joins use: the shop counts on one platform only.
+    "listing": """
+SELECT platform, market, item_id, pfsku_id, CASE WHEN platform = 'Suning' THEN shop_id ELSE '9' END AS shop_id, month_dt,
+       CAST(sum(pfsku_unit_sales) AS BIGINT) AS pfsku_unit_sales, max(page_price) AS page_price,
+       min(discount_price) AS discount_price, min(brand_name) AS brand_name, min(item_title) AS item_title,
+       min(category_1) AS category_1
+FROM {listing_month}
+GROUP BY platform, market, item_id, pfsku_id, CASE WHEN platform = 'Suning' THEN shop_id ELSE '9' END, month_dt
 """,
     # Mapping of listings: one row per part; every fourth item is a bundle of up to three parts.
     "mapping": """
@@ -204,7 +213,7 @@ FROM (
          CASE WHEN l_suppkey % 3 = 0 THEN lower(r_name) ELSE 'cn' END AS market,
          CAST(l_partkey % 50 AS STRING) AS item_id,
          CAST((l_partkey % 50) * 10 + l_linenumber % 3 AS STRING) AS pfsku_id,
-         CAST(l_suppkey % 4 AS STRING) AS shop_id,
+         CASE WHEN l_suppkey % 3 = 1 THEN CAST(l_suppkey % 4 AS STRING) ELSE '9' END AS shop_id,
          CAST(CAST(date_trunc('quarter', l_shipdate) AS DATE) AS STRING) AS month_dt,
          CAST(CASE WHEN l_partkey % 50 % 4 = 0 THEN CAST(l_quantity AS BIGINT) % 3 + 1 ELSE 1 END AS INT) AS sku_no,
          p_brand, p_name, p_type

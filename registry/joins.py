@@ -94,10 +94,10 @@ def _(v):
 
 @R.add("composite_join", f"""
 SELECT {KEYS}, sku_no, pfsku_unit_sales, page_price FROM mapping LEFT JOIN (SELECT {KEYS}, pfsku_unit_sales, page_price
-  FROM listing_month WHERE pfsku_unit_sales > 30) USING ({KEYS})
-""", ("mapping", "listing_month"))
+  FROM listing WHERE pfsku_unit_sales > 30) USING ({KEYS})
+""", ("mapping", "listing"))
 def _(v):
-    sold = v.listing_month.filter("pfsku_unit_sales > 30").select(*LISTING, "pfsku_unit_sales", "page_price")
+    sold = v.listing.filter("pfsku_unit_sales > 30").select(*LISTING, "pfsku_unit_sales", "page_price")
     return J.enrich(v.mapping.select(*LISTING, "sku_no"), sold, LISTING)
 
 
