@@ -88,7 +88,7 @@ SELECT {KEYS}, CASE WHEN {P1} THEN '9.5' WHEN {P2} THEN '12' WHEN platform = 'Su
 def _(v):
     rows = Q.match(v.listing_month.withColumns({"label": F.col("brand_name"), "label_src": F.lit("own")}), PRICE)
     shop = F.when((F.col("platform") == "Suning") & (F.col("shop_id") != "0"), F.col("shop_id"))
-    tiers = [(F.col("_rule.price"), F.col("_rule.src")), (shop, F.lit("shop"))]
+    tiers = [(F.col("_rule.price"), F.col("_rule.price_src")), Q.offer(shop, F.lit("shop"))]
     return Q.tiered(rows, "label", tiers, "label_src").select(*LISTING, "label", "label_src")
 
 

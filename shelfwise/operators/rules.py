@@ -96,33 +96,66 @@ def _matches(rule: Rule) -> Column:
     return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
 
 
-def match(df: DataFrame, rules: RuleSet, out: str = "_rule") -> DataFrame:
-    """Add the struct ``out``: the result values and ``src`` = ``<set id>,<priority>`` of the matching rule.
+def _known(value: Any, blank: Sequence[str]) -> Any:
+    """The rule value as text, or None where it means "keep"."""
+    return None if value is None or str(value) in blank else str(value)
 
-    Conditions are evaluated once per row, to a rule number; values are then picked by that number.
+
+class Matched:
+    """A rule set evaluated to a rule number; values and sources are looked up by that number.
+
+    Blank results are turned into NULL while the lookup lists are built, so every value is used once, in a
+    ``coalesce``. That keeps the expressions of long chains small when Spark substitutes one into the next.
     """
-    ordered = rules.ordered
-    number = F.lit(len(ordered) + 1)
-    for i, rule in reversed(list(enumerate(ordered, 1))):
-        number = F.when(_matches(rule), F.lit(i)).otherwise(number)
-    numbered = df.withColumn("_match", number)
-
-    def pick(values: Sequence[Any]) -> Column:
-        return F.element_at(F.array(*[F.lit(None if v is None else str(v)) for v in values]), F.col("_match"))
-
-    values = [
-        pick([r.then.get(c) for r in ordered] + [rules.default.get(c)]).alias(c) for c in rules.result_columns
-    ]
-    priority = pick([r.priority for r in ordered] + [DEFAULT])
-    if rules.collect_all:
-        every = F.concat_ws(",", *[F.when(_matches(r), F.lit(str(r.priority))) for r in ordered])
-        priority = F.coalesce(F.nullif(every, F.lit("")), F.lit(DEFAULT))
-    src = F.concat(F.lit(f"{rules.set_id},"), priority).alias("src")
-    return numbered.withColumn(out, F.struct(*values, src)).drop("_match")
 
+    def __init__(self, rules: RuleSet, number: str, blank: Sequence[str]):
+        self.rules, self.number, self.blank = rules, number, blank
+        self.ordered = rules.ordered
 
-def usable(value: Column, blank: Sequence[str] = KEEP) -> Column:
-    return value.isNotNull() & ~value.isin(*blank)
+    def column(self) -> Column:
+        """Number of the first rule whose conditions hold; one more than there are rules for none."""
+        number = F.lit(len(self.ordered) + 1)
+        for i, rule in reversed(list(enumerate(self.ordered, 1))):
+            number = F.when(_matches(rule), F.lit(i)).otherwise(number)
+        return number
+
+    def _pick(self, values: Sequence[str | None], kind: Any = "string") -> Column:
+        listed = F.array(*[F.lit(v).try_cast(kind) for v in values])
+        return F.element_at(listed, F.col(self.number))
+
+    def value(self, result: str, kind: Any = "string") -> Column:
+        """The result, NULL where the rule keeps the row's own value."""
+        texts = [_known(r.then.get(result), self.blank) for r in self.ordered]
+        return self._pick([*texts, _known(self.rules.default.get(result), self.blank)], kind)
+
+    def src(self, *results: str) -> Column:
+        """``<set id>,<priority>`` where one of the results is written (always, without results); else NULL."""
+        def label(priority: Any, values: Mapping[str, Any]) -> str | None:
+            written = not results or any(_known(values.get(c), self.blank) is not None for c in results)
+            return f"{self.rules.set_id},{priority}" if written else None
+
+        first = self._pick([*[label(r.priority, r.then) for r in self.ordered], label(DEFAULT, self.rules.default)])
+        if not self.rules.collect_all:
+            return first
+        every = F.concat_ws(",", *[F.when(_matches(r), F.lit(str(r.priority))) for r in self.ordered])
+        listed = F.concat(F.lit(f"{self.rules.set_id},"), F.coalesce(F.nullif(every, F.lit("")), F.lit(DEFAULT)))
+        return F.when(first.isNotNull(), listed)
+
+
+def match(df: DataFrame, rules: RuleSet, out: str = "_rule", blank: Sequence[str] = KEEP) -> DataFrame:
+    """Add the struct ``out``: per result its value and ``<result>_src``, both NULL where the rule keeps the row's
+    own value, and ``src`` of the matching rule in any case."""
+    found = Matched(rules, f"{out}_number", blank)
+    fields = [found.value(c).alias(c) for c in rules.result_columns]
+    fields += [found.src(c).alias(f"{c}_src") for c in rules.result_columns]
+    return df.withColumn(f"{out}_number", found.column()).withColumn(
+        out, F.struct(*fields, found.src().alias("src"))).drop(f"{out}_number")
+
+
+def offer(value: Column, label: Column, blank: Sequence[str] = KEEP) -> tuple[Column, Column]:
+    """A tier: the value and its label, both NULL when the value is blank."""
+    ok = usable(value, blank)
+    return F.when(ok, value), F.when(ok, label)
 
 
 def apply_rules(
@@ -137,25 +170,26 @@ def apply_rules(
     ``results`` maps result columns to target columns. ``src_col`` names the column that receives the provenance,
     or maps target columns to theirs; it changes only where a value was written.
     """
-    matched = match(df, rules)
-    changes: dict[str, Column] = {}
+    found = Matched(rules, "_rule_number", blank)
+
+    def own(name: str) -> Column:
+        return F.col(name) if name in df.columns else F.lit(None).cast("string")
+
+    changes = {}
     for result, target in results.items():
-        value = F.col(f"_rule.{result}")
-        ok = usable(value, blank)
-        if target in df.columns:
-            changes[target] = F.when(ok, value.try_cast(df.schema[target].dataType)).otherwise(F.col(target))
-        else:
-            changes[target] = F.when(ok, value)
-    sources: dict[str, list[Column]] = {}
+        kind = df.schema[target].dataType if target in df.columns else "string"
+        changes[target] = F.coalesce(found.value(result, kind), own(target))
+    notes: dict[str, list[str]] = {}
     for result, target in results.items():
         note = src_col if isinstance(src_col, str) else (src_col or {}).get(target)
         if note:
-            sources.setdefault(note, []).append(usable(F.col(f"_rule.{result}"), blank))
-    for note, written in sources.items():
-        old = F.col(note) if note in df.columns else F.lit(None).cast("string")
-        any_written = reduce(lambda a, b: a | b, written)
-        changes[note] = F.when(any_written, F.col("_rule.src")).otherwise(old)
-    return matched.withColumns(changes).drop("_rule")
+            notes.setdefault(note, []).append(result)
+    changes.update({note: F.coalesce(found.src(*written), own(note)) for note, written in notes.items()})
+    return df.withColumn("_rule_number", found.column()).withColumns(changes).drop("_rule_number")
+
+
+def usable(value: Column, blank: Sequence[str] = KEEP) -> Column:
+    return value.isNotNull() & ~value.isin(*blank)
 
 
 def apply_chain(df: DataFrame, steps: Sequence[Mapping[str, Any]]) -> DataFrame:
@@ -172,18 +206,14 @@ def joined_sources(*parts: Column, sep: str = "；") -> Column:
 
 def tiered(
     df: DataFrame, col: str, tiers: Sequence[tuple[Column, Column]], src_col: str | None = None,
-    blank: Sequence[str] = KEEP,
 ) -> DataFrame:
-    """First tier with a usable value, together with its source; the row's own value and source if none has."""
-    value, src = F.col(col), F.col(src_col) if src_col else None
-    for new, label in reversed(list(tiers)):
-        ok = usable(new, blank)
-        value = F.when(ok, new).otherwise(value)
-        if src_col:
-            src = F.when(ok, label).otherwise(src)
-    changes = {col: value}
+    """First tier that has a value, together with its source; the row's own value and source if none has.
+
+    A tier is a pair of value and source that are NULL together: fields of :func:`match`, or an :func:`offer`.
+    """
+    changes = {col: F.coalesce(*[value for value, _ in tiers], F.col(col))}
     if src_col:
-        changes[src_col] = src
+        changes[src_col] = F.coalesce(*[src for _, src in tiers], F.col(src_col))
     return df.withColumns(changes)
 
 
@@ -218,11 +248,11 @@ def apply_lookup(
 
 def override_numeric(df: DataFrame, rules: RuleSet, result: str, cols: Sequence[str], src_col: str) -> DataFrame:
     """Write the rule's number to every one of ``cols``; a missing or non-numeric result keeps them."""
-    matched = match(df, rules)
-    value = F.col(f"_rule.{result}").try_cast("double")
+    found = Matched(rules, "_rule_number", KEEP)
+    value = found.value(result, "double")
     changes = {c: F.coalesce(value, F.col(c)) for c in cols}
-    changes[src_col] = F.when(value.isNotNull(), F.col("_rule.src")).otherwise(F.col(src_col))
-    return matched.withColumns(changes).drop("_rule")
+    changes[src_col] = F.when(value.isNotNull(), found.src()).otherwise(F.col(src_col))
+    return df.withColumn("_rule_number", found.column()).withColumns(changes).drop("_rule_number")
 
 
 def override_then_scale(
@@ -233,20 +263,20 @@ def override_then_scale(
 
     The ratio rules see the units that the first step wrote.
     """
-    matched = match(df, value_rules)
-    number = F.col(f"_rule.{value}").try_cast("double").cast("bigint")
-    fixed = matched.withColumns({
+    first = Matched(value_rules, "_rule_number", KEEP)
+    number = first.value(value, "double").cast("bigint")
+    fixed = df.withColumn("_rule_number", first.column()).withColumns({
         col: F.coalesce(number, F.col(col)),
-        src_col: F.when(number.isNotNull(), F.col("_rule.src")).otherwise(F.col(src_col)),
-    }).drop("_rule")
-    scaled = match(fixed, ratio_rules)
-    factor = F.col(f"_rule.{ratio}").try_cast("double")
+        src_col: F.when(number.isNotNull(), first.src()).otherwise(F.col(src_col)),
+    }).drop("_rule_number")
+    second = Matched(ratio_rules, "_rule_number", KEEP)
+    factor = second.value(ratio, "double")
     applies = factor.isNotNull() & F.col(col).isNotNull()
-    return scaled.withColumns({
+    return fixed.withColumn("_rule_number", second.column()).withColumns({
         col: F.when(applies, (factor * F.col(col).cast("double")).cast("bigint")).otherwise(F.col(col)),
-        src_col: F.when(applies, F.col("_rule.src")).otherwise(F.col(src_col)),
+        src_col: F.when(applies, second.src()).otherwise(F.col(src_col)),
         ratio_col: F.coalesce(factor, F.col(ratio_col)) if ratio_col in df.columns else factor,
-    }).drop("_rule")
+    }).drop("_rule_number")
 
 
 def exclusions(df: DataFrame, rules: RuleSet, result: str, flag: str = "exclude_flag") -> DataFrame:

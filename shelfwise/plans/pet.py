@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import keys as K
 from ..functions.text import gram_sku_name, is_blank
 from ..operators.joins import enrich
-from ..operators.rules import RuleSet, apply_rules, brand_gate, match, tiered, usable, value_map
+from ..operators.rules import RuleSet, apply_rules, brand_gate, match, tiered, value_map
 
 # External category names, and the species of a category. Fixed values.
 EXTERNAL_CATEGORIES = {
@@ -47,18 +47,16 @@ def shared_then_own(
     rows = match(df, shared, "_shared")
     for result, target in targets.items():
         note = f"{target}_src"
-        value = F.col(f"_shared.{result}") if result in shared.result_columns else F.lit(None).cast("string")
-        tiers = [(value, F.col("_shared.src"))]
+        tiers = [(F.col(f"_shared.{result}"), F.col(f"_shared.{result}_src"))] \
+            if result in shared.result_columns else []
         if target in own:
             rows = match(rows, own[target], "_own")
-            tiers.append((F.col(f"_own.{result}"), F.col("_own.src")))
-        if target not in rows.columns:
-            rows = rows.withColumn(target, F.lit(None).cast("string"))
-        if note not in rows.columns:
-            rows = rows.withColumn(note, F.lit(None).cast("string"))
-        rows = tiered(rows, target, tiers, note)
-        if target in own:
-            rows = rows.drop("_own")
+            tiers.append((F.col(f"_own.{result}"), F.col(f"_own.{result}_src")))
+        absent = [c for c in (target, note) if c not in rows.columns]
+        rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else rows
+        if tiers:
+            rows = tiered(rows, target, tiers, note)
+        rows = rows.drop("_own")
     return rows.drop("_shared")
 
 
@@ -79,24 +77,21 @@ def standard_names(
         late_result: str,
     ) -> DataFrame:
         note = f"{col}_src"
-        decided = F.coalesce(usable(F.col(f"_primary.{col}")), F.lit(False)) \
-            if col in brand_rules.result_columns else F.lit(False)
-        rows = match(rows, fallback, "_fallback").withColumn("_done", decided)
-        value, src = F.col(f"_primary.{col}") if col in brand_rules.result_columns else F.lit(None).cast("string"), \
-            F.col("_primary.src")
-        has_external = ~is_blank(external)
-        ruled = usable(F.col(f"_fallback.{col}"))
-        rows = rows.withColumns({
-            col: F.when(F.col("_done"), value).when(has_external, written)
-                 .when(ruled, F.col(f"_fallback.{col}")).otherwise(F.col(col)),
-            note: F.when(F.col("_done"), src).when(has_external, external_label(label_a, label_b))
-                  .when(ruled, F.col("_fallback.src")).otherwise(F.col(note)),
+        none = F.lit(None).cast("string")
+        has_primary = col in brand_rules.result_columns
+        primary, primary_src = (F.col(f"_primary.{col}"), F.col(f"_primary.{col}_src")) if has_primary else (none, none)
+        is_external = ~is_blank(external)
+        rows = match(rows, fallback, "_fallback").withColumns({
+            "_done": primary.isNotNull(),
+            col: F.when(primary.isNotNull(), primary).when(is_external, written)
+                 .otherwise(F.coalesce(F.col(f"_fallback.{col}"), F.col(col))),
+            note: F.when(primary.isNotNull(), primary_src).when(is_external, external_label(label_a, label_b))
+                  .otherwise(F.coalesce(F.col(f"_fallback.{col}_src"), F.col(note))),
         }).drop("_fallback")
-        rows = match(rows, late, "_late")
-        overwrite = ~F.col("_done") & F.coalesce(usable(F.col(f"_late.{late_result}")), F.lit(False))
-        return rows.withColumns({
-            col: F.when(overwrite, F.col(f"_late.{late_result}")).otherwise(F.col(col)),
-            note: F.when(overwrite, F.col("_late.src")).otherwise(F.col(note)),
+        late_value, late_src = F.col(f"_late.{late_result}"), F.col(f"_late.{late_result}_src")
+        return match(rows, late, "_late").withColumns({
+            col: F.coalesce(F.when(~F.col("_done"), late_value), F.col(col)),
+            note: F.coalesce(F.when(~F.col("_done"), late_src), F.col(note)),
         }).drop("_late", "_done")
 
     brand = external_value("pn_brandname_new", "rc_brandname")
