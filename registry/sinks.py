@@ -1,4 +1,97 @@
+"""Writers, checked by what can be read back. Files go to a new folder below the checkpoint folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import Observation, functions as F
+
+from shelfwise.sources import sinks as W
+from shelfwise.sources.checkpoints import scratch_path
+
 from .base import Registry
 
 R = Registry()
 QUERIES, ORACLE = R.queries, R.sql
+COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
+_C = ", ".join(COLUMNS)
+
+
+def _orders(v):
+    return v.orders.select(*COLUMNS)
+
+
+def _read(v, path):
+    """The written table with the types of the input."""
+    return v.spark.read.schema(_orders(v).schema).parquet(path).select(*COLUMNS)
+
+
+@R.add("roundtrip_overwrite", f"""
+SELECT {_C.replace('o_totalprice', "CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice")}
+FROM orders WHERE o_orderstatus <> 'F' OR o_custkey > 100
+""")
+def _(v):
+    path = scratch_path(v.spark, "overwrite")
+    W.overwrite_partitions(_orders(v), path, ["o_orderstatus"])
+    changed = _orders(v).filter("o_orderstatus = 'F' AND o_custkey > 100").withColumn(
+        "o_totalprice", F.col("o_totalprice") * 2)
+    W.overwrite_partitions(changed, path, ["o_orderstatus"], files=4, codec="gzip")
+    return _read(v, path)
+
+
+@R.add("roundtrip_one_partition", f"""
+SELECT {_C} FROM orders WHERE NOT (o_orderstatus = 'O' AND o_orderpriority = '1-URGENT')
+UNION ALL SELECT {_C.replace('o_orderstatus', "'O'").replace('o_orderpriority', "'1-URGENT'")} FROM orders WHERE o_orderstatus = 'P'
+""")
+def _(v):
+    path, cols = scratch_path(v.spark, "one"), ["o_orderstatus", "o_orderpriority"]
+    W.overwrite_partitions(_orders(v), path, cols)
+    W.overwrite_one_partition(_orders(v).filter("o_orderstatus = 'P'"), path,
+                              {"o_orderstatus": "O", "o_orderpriority": "1-URGENT"})
+    return _read(v, path)
+
+
+@R.add("roundtrip_append", f"""
+SELECT {_C} FROM orders UNION ALL SELECT {_C} FROM orders WHERE o_orderstatus = 'P'
+""")
+def _(v):
+    path = scratch_path(v.spark, "append")
+    W.append_new(_orders(v), path)
+    W.append_new(_orders(v).filter("o_orderstatus = 'P'"), path, codec="gzip")
+    return _read(v, path)
+
+
+@R.add("roundtrip_compact", f"""
+SELECT {_C}, TRUE AS few_files FROM orders UNION ALL SELECT {_C}, TRUE FROM orders
+""")
+def _(v):
+    path, cols = scratch_path(v.spark, "crowded"), ["o_orderstatus"]
+    for _ in range(2):
+        spread = _orders(v).repartition(4)
+        spread.write.mode("append").partitionBy(*cols).parquet(path)
+    W.compact_partitions(v.spark, path, cols, files=2, threshold=5)
+    counts = W.partition_files(v.spark.read.parquet(path), cols)
+    few = counts.select("o_orderstatus", (F.col("n_files") <= 2).alias("few_files"))
+    return _read(v, path).join(few, "o_orderstatus").select(*COLUMNS, "few_files")
+
+
+@R.add("replace_single", f"""
+SELECT {_C} FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT {_C.replace('o_totalprice', 'o_totalprice + 1')} FROM orders WHERE o_orderstatus = 'P'
+""")
+def _(v):
+    path = scratch_path(v.spark, "single")
+    W.overwrite_partitions(_orders(v), path, ["o_orderstatus"])
+    one = _orders(v).filter("o_orderstatus = 'P'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    W.replace_single_partition(one, path, "o_orderstatus")
+    return _read(v, path)
+
+
+@R.add("guarded_write", f"""
+SELECT {_C.replace('o_orderstatus', "nullif(o_orderstatus, 'P') AS o_orderstatus")}, CAST((SELECT count(*) FROM orders) AS BIGINT) AS rows_in,
+  CAST((SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS BIGINT) AS rows_dropped FROM orders WHERE o_orderstatus <> 'P'
+""")
+def _(v):
+    path, seen = scratch_path(v.spark, "guarded"), Observation()
+    rows = _orders(v).withColumn("o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("P")))
+    W.overwrite_partitions(W.guard_keys(rows, ["o_orderstatus"], seen), path, ["o_orderstatus"])
+    counts = seen.get
+    return _read(v, path).withColumns({k: F.lit(n) for k, n in counts.items()})
