@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.sources.checkpoints import scratch_path
+
 from .fixtures import oracle, view
 
 
@@ -14,11 +16,22 @@ class Views:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._stored: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         return view(self.spark, self.sf_dir, name)
 
 
+    def stored(self, name: str) -> DataFrame:
+        """The view as a written table, derived once per query: for queries that read it several times."""
+        if name not in self._stored:
+            path = scratch_path(self.spark, name)
+            derived = view(self.spark, self.sf_dir, name)
+            derived.write.parquet(path)
+            self._stored[name] = self.spark.read.schema(derived.schema).parquet(path)
+        return self._stored[name]
+
+
 class Registry:
     def __init__(self) -> None:
         self.queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

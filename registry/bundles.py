@@ -68,14 +68,14 @@ _COLUMNS = ("platform, item_id, pfsku_id, month_dt, std_category_2, std_category
 
 
 def _parts(v):
-    parts = v.bundle_part.withColumn("package_num", F.col("package_num").cast("bigint"))
+    parts = v.stored("bundle_part").withColumn("package_num", F.col("package_num").cast("bigint"))
     chosen = B.qualify_bundles(parts, KEYS).select(*KEYS, "categorys")
     return parts.join(chosen, KEYS)
 
 
 @R.add("bundle_qualify", f"WITH {_CHOSEN.strip()} SELECT * FROM chosen", ("bundle_part",))
 def _(v):
-    return B.qualify_bundles(v.bundle_part, KEYS).select("item_id", "pfsku_id", "sku_num", "categorys")
+    return B.qualify_bundles(v.stored("bundle_part"), KEYS).select("item_id", "pfsku_id", "sku_num", "categorys")
 
 
 @R.add("bundle_liquid", f"WITH {_CHOSEN.strip()}, {_LIQUID.strip()} SELECT {_COLUMNS} FROM liquid_merged",
@@ -96,7 +96,7 @@ SELECT item_id, pfsku_id, string_agg(coalesce(CAST(weight AS VARCHAR), '?') || '
   ORDER BY weight NULLS FIRST) AS records FROM w GROUP BY item_id, pfsku_id
 """, ("bundle_part",))
 def _(v):
-    listed = B.weight_packages(v.bundle_part, ["item_id", "pfsku_id"])
+    listed = B.weight_packages(v.stored("bundle_part"), ["item_id", "pfsku_id"])
     text = F.transform("records", lambda r: F.concat(
         F.coalesce(r["weight"].cast("string"), F.lit("?")), F.lit("x"), r["packages"].cast("string")))
     return listed.select("item_id", "pfsku_id", F.array_join(text, ";").alias("records"))
@@ -114,6 +114,6 @@ merged AS (SELECT {_COLUMNS} FROM liquid_merged UNION ALL SELECT {_COLUMNS} FROM
 SELECT * REPLACE (CASE WHEN contains(std_spu_name, '马桶刷') THEN 'BRUSH' ELSE std_brand_name END AS std_brand_name) FROM merged
 """, ("bundle_part",))
 def _(v):
-    parts = v.bundle_part.withColumn("package_num", F.col("package_num").cast("bigint"))
+    parts = v.stored("bundle_part").withColumn("package_num", F.col("package_num").cast("bigint"))
     return merge_bundles(parts, KEYS, steps=[
         {"rules": _MERGED_RULES, "results": {"std_brand_name": "std_brand_name"}}])

@@ -78,7 +78,7 @@ SELECT DISTINCT sku_id, 'US' AS region, '2024-01-01' AS dt, coalesce(m, nullif(e
 FROM best LEFT JOIN merged USING (sku_id)
 """, ("crawl_json",))
 def _(v):
-    rows = v.crawl_json.withColumns({
+    rows = v.stored("crawl_json").withColumns({
         "region": F.lit("US"), "dt": F.lit("2024-01-01"), "product_title": F.lit(None).cast("string")})
     return P.sku_daily(rows, ["purchase", "click"], ["extra_json", "snapshot_time"])
 
@@ -259,8 +259,8 @@ report AS (
 SELECT "check", violations, violations = 0 AS passed FROM report
 """, ("sku_snapshot",))
 def _(v):
-    upstream = v.sku_snapshot.withColumn("month_dt", F.col("dt"))
-    return run_checks(P.price_monthly(v.sku_snapshot), upstream)
+    daily = v.stored("sku_snapshot")
+    return run_checks(P.price_monthly(daily), daily.withColumn("month_dt", F.col("dt")))
 
 
 # --- feeds ----------------------------------------------------------------------------------------------------
@@ -327,7 +327,7 @@ u AS (SELECT *, CAST(nullif({_UNITS}, '') AS BIGINT) AS units FROM by_url)
 SELECT {_MENU} FROM j UNION ALL SELECT {_DETAIL} FROM u UNION ALL SELECT {_SEARCH} FROM j
 """, ("crawl_rows",))
 def _(v):
-    rows = v.crawl_rows
+    rows = v.stored("crawl_rows")
     base = ["batch_id", "crawl_status", "snapshot_time", "dt", "sr"]
     named = {"code": "retailer_product_code", "title": "product_description"}
     menu = rows.select("code", "title", "url", "category", "sub_category", *base).withColumnsRenamed(named)

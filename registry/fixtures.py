@@ -9,11 +9,16 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.sources.scans import spread
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# Tables that are too large for the one task that reads their single file.
+LARGE = ("orders", "lineitem", "events", "documents")
+
 _SNAPSHOT = """
 SELECT CAST(l_partkey % 20 AS STRING) AS sku_id,
        CASE WHEN l_linenumber % 3 = 0 THEN '' WHEN l_linenumber % 5 = 0 THEN NULL
@@ -247,7 +252,8 @@ def _names(sql: str) -> set[str]:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table or view as a DataFrame."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table) if name in LARGE else table
     sql = VIEWS[name]
     return spark.sql(sql, **{n: view(spark, sf_dir, n) for n in _names(sql)})
 

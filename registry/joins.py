@@ -111,8 +111,8 @@ FROM listing_month a LEFT JOIN prices b ON lower(a.platform) = b.platform AND a.
   AND (lower(a.platform) <> 'suning' OR a.shop_id = b.shop_id)
 """, ("listing_month",))
 def _(v):
-    prices = v.listing_month.filter("sku_num > 1").withColumn("platform", F.lower("platform"))
-    return J.listing_join(v.listing_month.select(*LISTING), prices, {"page_price": "other_price"})
+    prices = v.stored("listing_month").filter("sku_num > 1").withColumn("platform", F.lower("platform"))
+    return J.listing_join(v.stored("listing_month").select(*LISTING), prices, {"page_price": "other_price"})
 
 
 @R.add("null_safe_join", """
@@ -143,7 +143,7 @@ SELECT {', '.join('a.' + k for k in LISTING)}, start_time, end_time FROM listing
   ON a.category_1 = g.category_1 AND a.brand_name = g.brand_name AND a.month_dt BETWEEN start_time AND end_time
 """, ("listing_month",))
 def _(v):
-    rows = v.listing_month
+    rows = v.stored("listing_month")
     gate = rows.filter("platform = 'Suning'").groupBy("category_1", "brand_name").agg(
         F.min("month_dt").alias("start_time"), F.max("month_dt").alias("end_time"),
         F.count(F.lit(1)).alias("n")).filter("n > 2").drop("n")
@@ -158,9 +158,9 @@ SELECT {KEYS}, coalesce(grouped, brand_name) AS brand_name, CASE WHEN grouped IS
 FROM listing_month LEFT JOIN fixed USING (brand_name)
 """, ("listing_month",))
 def _(v):
-    groups = v.listing_month.filter("platform = 'Amazon'").groupBy("brand_name").agg(
+    groups = v.stored("listing_month").filter("platform = 'Amazon'").groupBy("brand_name").agg(
         F.concat(F.lit("Group "), F.upper(F.max("shop_id"))).alias("grouped"), F.count(F.lit(1)).alias("n"))
-    return J.override(v.listing_month.select(*LISTING, "brand_name"), groups.filter("n > 10"), ["brand_name"],
+    return J.override(v.stored("listing_month").select(*LISTING, "brand_name"), groups.filter("n > 10"), ["brand_name"],
                       "brand_name", "grouped", "brand_group", "brand_src")
 
 
@@ -176,12 +176,12 @@ SELECT {', '.join('a.' + k for k in LISTING)}, n.std_brand_name AS ai_brand_name
 """, ("listing_month",))
 def _(v):
     amazon = F.col("platform") == "Amazon"
-    notes = v.listing_month.groupBy(
+    notes = v.stored("listing_month").groupBy(
         F.when(amazon, F.col("market")).otherwise(F.lower("platform")).alias("platform"),
         F.when(amazon, F.col("pfsku_id")).otherwise(F.col("item_id")).alias("product_id"),
         F.col("pfsku_id").alias("sku_id"),
     ).agg(F.max("month_dt").alias("month_dt"), F.max("brand_name").alias("std_brand_name"))
-    return J.annotation_join(v.listing_month.select(*LISTING), notes, {"std_brand_name": "ai_brand_name"})
+    return J.annotation_join(v.stored("listing_month").select(*LISTING), notes, {"std_brand_name": "ai_brand_name"})
 
 
 @R.add("scalar_newest", """
@@ -189,8 +189,8 @@ WITH s AS (SELECT max(month_dt) AS newest, CAST(count(DISTINCT market) AS BIGINT
 SELECT platform, market, item_id, pfsku_id, shop_id, newest, markets FROM listing_month, s WHERE month_dt = newest
 """, ("listing_month",))
 def _(v):
-    one = v.listing_month.agg(F.max("month_dt").alias("newest"), F.count_distinct("market").alias("markets"))
-    return J.with_scalar(v.listing_month, one).filter("month_dt = newest").select(
+    one = v.stored("listing_month").agg(F.max("month_dt").alias("newest"), F.count_distinct("market").alias("markets"))
+    return J.with_scalar(v.stored("listing_month"), one).filter("month_dt = newest").select(
         "platform", "market", "item_id", "pfsku_id", "shop_id", "newest", "markets")
 
 
@@ -204,7 +204,7 @@ FROM w a LEFT JOIN w b ON a.product_id = b.product_id
     AND c.next_week_dt = CAST(CAST(CAST(a.next_week_dt AS DATE) - INTERVAL 14 DAY AS DATE) AS VARCHAR)
 """, ("weekly_reviews",))
 def _(v):
-    rows = v.weekly_reviews.select("product_id", "next_week_dt", "comments_number")
+    rows = v.stored("weekly_reviews").select("product_id", "next_week_dt", "comments_number")
     return J.lag_periods(rows, rows, "product_id", "next_week_dt", ["comments_number"], [1, 2])
 
 

@@ -68,7 +68,7 @@ def _attribute(f) -> str:
 
 
 def _feeds(v):
-    rows = v.platform_rows
+    rows = v.stored("platform_rows")
     feeds = {p: rows.filter(F.col("feed") == p).drop("feed") for p in P.PLATFORM_COLUMNS}
     patch = rows.filter(F.col("feed") == "Tmall").withColumn("platform", F.lit("Other")).drop("feed")
     return feeds, patch
@@ -104,7 +104,7 @@ UNION ALL SELECT 'price', item_id, pfsku_id, market, month_dt, NULL, NULL, NULL,
 WHERE market IS NOT NULL
 """, ("platform_rows",))
 def _(v):
-    sales = v.platform_rows.withColumn("market", F.when(F.col("shop_id") % 3 != 0, F.col("market")))
+    sales = v.stored("platform_rows").withColumn("market", F.when(F.col("shop_id") % 3 != 0, F.col("market")))
     parts = P.split_feed(sales)
     keep = ["item_id", "pfsku_id", "market", "month_dt"]
     named = {
@@ -132,12 +132,12 @@ weighed AS (SELECT platform, item_id, pfsku_id, month_dt, CAST(sum(pfsku_unit_sa
 
 def _annotations(v):
     keys = ["platform", "market", "item_id", "pfsku_id", "month_dt", "sku_no"]
-    notes = v.mapping.filter("sku_num = 3").groupBy(*keys).agg(
+    notes = v.stored("mapping").filter("sku_num = 3").groupBy(*keys).agg(
         F.min("std_sku_name").alias("sku_title"), F.max("package").alias("package"), F.max("weight").alias("weight"),
         F.min("std_brand_name").alias("std_brand_name")).withColumns({
             "platform": F.upper("platform"), "is_bundle": F.lit(1), "is_gift": F.col("sku_no") % 2,
             "part_weight": F.when(F.col("sku_no") != 1, F.col("weight"))})
-    weighed = v.listing.filter("category_1 >= 'M'").groupBy("platform", "item_id", "pfsku_id", "month_dt").agg(
+    weighed = v.stored("listing").filter("category_1 >= 'M'").groupBy("platform", "item_id", "pfsku_id", "month_dt").agg(
         F.sum("pfsku_unit_sales").cast("double").alias("weight_all_in_g"),
         (F.max("page_price").cast("int") % 5).alias("package_all"))
     return notes, weighed
@@ -175,12 +175,12 @@ FROM both_parts a LEFT JOIN brands d ON a.pfsku_id = d.sku_id
 def _(v):
     notes, weighed = _annotations(v)
     amazon = F.col("platform") == "Amazon"
-    brands = v.listing.groupBy(
+    brands = v.stored("listing").groupBy(
         F.when(amazon, F.col("market")).otherwise(F.col("platform")).alias("platform"),
         F.when(amazon, F.col("pfsku_id")).otherwise(F.col("item_id")).alias("product_id"),
         F.col("pfsku_id").alias("sku_id")).agg(
         F.max("month_dt").alias("month_dt"), F.upper(F.min("brand_name")).alias("std_brand_name"))
-    attributes = v.listing.withColumn("pfsku_title", F.col("brand_name"))
+    attributes = v.stored("listing").withColumn("pfsku_title", F.col("brand_name"))
     out = P.mapping_origin(attributes, notes, weighed, 40, brands, "notes")
     return out.select(*_ORIGIN_COLUMNS).withColumn("weight", F.round("weight", 6))
 
@@ -216,7 +216,7 @@ def _(v):
         F.min("sku_title").alias("std_spu_name"), F.min("std_brand_name").alias("std_brand_name"),
         F.max("part_weight").alias("weight"), F.max("package").alias("package_num"),
         F.max("is_bundle").alias("is_bundle"), F.max("is_gift").alias("is_gift")).withColumn("weight_unit", F.lit("ml"))
-    own = v.listing.filter(F.col("market").isin(*home)).withColumns({
+    own = v.stored("listing").filter(F.col("market").isin(*home)).withColumns({
         "sku_no": F.lit(1), "sku_title": F.col("item_title"),
         "total_weight": F.when(F.col("shop_id") == "9", F.col("page_price") * 2), "package": F.lit(2),
         "weight": F.col("page_price"), "total_weight_src": F.when(F.col("shop_id") != "1", "upstream"),
@@ -254,11 +254,11 @@ FROM r LEFT JOIN brands USING (brand_name) LEFT JOIN item ON r.platform = item.p
 """, ("mapping",))
 def _(v):
     none = F.lit(None).cast("string")
-    source = v.mapping.withColumns({
+    source = v.stored("mapping").withColumns({
         "unique_id": F.col("pfsku_id").cast("bigint") * 10 + F.col("sku_no"), "media": none, "media_src": none,
         "ai_brand_name": F.col("brand_name"), "std_brand_name_src": none, "std_category_1": none,
         "std_category_2": none, "category_1_cn": none})
-    brands = v.mapping.groupBy("brand_name").agg(F.max("package").alias("p")).filter(
+    brands = v.stored("mapping").groupBy("brand_name").agg(F.max("package").alias("p")).filter(
         "p = 3 AND brand_name > 'Brand#2'").select("brand_name", F.concat(F.lit("MAP "), "brand_name").alias("std_brand_name"))
     out = P.standard_mapping(source, _MEDIA, _STD_BRAND, _STD_CATEGORY, _TRANSLATED, brands, japan="asia")
     return out.select(*LISTING, "sku_no", "media", "media_src", "std_brand_name", "std_brand_name_src", "std_category_1",
@@ -303,20 +303,20 @@ product_status AS (SELECT platform, market, item_id, pfsku_id, shop_id, month_dt
 
 
 def _fixed_price(v):
-    price = v.listing.withColumn("discount_price_src", F.lit("feed"))
-    return P.fixed_price(price, v.mapping, PRICE)
+    price = v.stored("listing").withColumn("discount_price_src", F.lit("feed"))
+    return P.fixed_price(price, v.stored("mapping"), PRICE)
 
 
 def _fixed_count(v):
-    count = v.listing.drop("brand_name").withColumn("pfsku_unit_sales_src", F.lit(None).cast("string"))
-    return P.fixed_count(count, v.mapping, UNITS, RATIO)
+    count = v.stored("listing").drop("brand_name").withColumn("pfsku_unit_sales_src", F.lit(None).cast("string"))
+    return P.fixed_count(count, v.stored("mapping"), UNITS, RATIO)
 
 
 def _status(v):
-    listed = v.listing.groupBy("platform", "item_id", "month_dt").agg(
+    listed = v.stored("listing").groupBy("platform", "item_id", "month_dt").agg(
         F.when(F.sum("pfsku_unit_sales") > 900, 1).otherwise(0).alias("exclude")).withColumn(
         "platform", F.upper("platform"))
-    return P.product_status(v.listing, v.mapping, listed, STATUS)
+    return P.product_status(v.stored("listing"), v.stored("mapping"), listed, STATUS)
 
 
 @R.add("fixed_price", f"""
@@ -377,14 +377,14 @@ FROM staged a LEFT JOIN average USING (market, platform, month_dt, std_sku_name)
     AND CASE WHEN a.platform = 'Amazon' THEN a.pfsku_id ELSE a.item_id END = s.product
 """, ("listing", "mapping"))
 def _(v):
-    fixed = v.mapping.groupBy("platform", "month_dt", "std_sku_name").agg(
+    fixed = v.stored("mapping").groupBy("platform", "month_dt", "std_sku_name").agg(
         F.max("sku_no").cast("double").alias("sku_price"))
-    shops = v.listing.filter("platform = 'Suning'").groupBy("platform", "market", "shop_id", "month_dt").agg(
+    shops = v.stored("listing").filter("platform = 'Suning'").groupBy("platform", "market", "shop_id", "month_dt").agg(
         F.concat(F.lit("shop "), F.max("item_id")).alias("updated_shop_name"))
-    groups = v.listing.filter("brand_name < 'Brand#3'").select(
+    groups = v.stored("listing").filter("brand_name < 'Brand#3'").select(
         F.col("brand_name").alias("std_brand_name_ori"), F.concat(F.lit("G"), "brand_name").alias("std_brand_name")).distinct()
     out = P.sales_wide(
-        v.mapping, _fixed_count(v), _fixed_price(v), _status(v), fixed_prices=fixed, shop_names=shops,
+        v.stored("mapping"), _fixed_count(v), _fixed_price(v), _status(v), fixed_prices=fixed, shop_names=shops,
         brand_groups=groups, min_price=2, max_price=49, min_count=30, max_count=5000)
     return out.select(*LISTING, *_WIDE).withColumn("sku_discount_price_tmp", F.round("sku_discount_price_tmp", 6))
 
@@ -399,10 +399,10 @@ SELECT {KEYS}, CASE WHEN {P1} THEN 9.5 WHEN {P2} THEN 12 ELSE coalesce(price, pa
 FROM (SELECT l.*, price FROM listing l LEFT JOIN clean c ON l.platform = 'Tmall' AND l.item_id = c.item_id AND l.month_dt = c.month_dt)
 """, ("listing",))
 def _(v):
-    feed = v.listing.filter("platform = 'Amazon'").groupBy("item_id", "month_dt").agg(
+    feed = v.stored("listing").filter("platform = 'Amazon'").groupBy("item_id", "month_dt").agg(
         (F.max("page_price") - 5).alias("price"))
     clean = X.clean_feed(feed, "1993-01-01", "1996-10-01", "Tmall")
-    price = v.listing.withColumn("discount_price_src", F.lit("feed"))
+    price = v.stored("listing").withColumn("discount_price_src", F.lit("feed"))
     return X.external_price(price, clean, PRICE, "external").select(
         *LISTING, "page_price", "discount_price", "discount_price_src")
 

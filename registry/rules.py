@@ -116,7 +116,7 @@ SELECT {KEYS}, coalesce(nullif(s, ''), brand_name) AS std_brand_name,
   CASE WHEN s <> '' THEN '9,' || p END AS std_brand_name_src FROM listing_month LEFT JOIN best USING (brand_name, category_1)
 """, ("listing_month",))
 def _(v):
-    tmall = v.listing_month.filter("platform = 'Tmall'").select("brand_name", "category_1", "shop_id").distinct()
+    tmall = v.stored("listing_month").filter("platform = 'Tmall'").select("brand_name", "category_1", "shop_id").distinct()
     from shelfwise.operators.ordered import renumber
 
     one = tmall.withColumn("_all", F.lit(1))
@@ -124,7 +124,7 @@ def _(v):
     rules = renumber(one, ["_all"], order, "priority").select(
         "brand_name", "category_1", F.col("priority").cast("int").alias("priority"),
         F.when(F.col("shop_id") == "3", "").otherwise(F.concat_ws("/", "brand_name", "shop_id")).alias("named"))
-    rows = v.listing_month.withColumn("std_brand_name", F.col("brand_name"))
+    rows = v.stored("listing_month").withColumn("std_brand_name", F.col("brand_name"))
     out = Q.apply_lookup(rows, rules, ["brand_name", "category_1"], {"named": "std_brand_name"}, 9,
                          "std_brand_name_src")
     return out.select(*LISTING, "std_brand_name", "std_brand_name_src")
@@ -153,14 +153,14 @@ gated AS (SELECT n.*, g.start_time IS NOT NULL AND (shop_id IN ('0', '1') OR sku
 
 def gate_inputs(v):
     """Named listings and the gate table."""
-    rows = v.listing_month.withColumns({
+    rows = v.stored("listing_month").withColumns({
         "std_category_2": F.col("category_1"), "lifestage": F.col("market"), "std_category_3": F.col("item_title"),
         "std_brand_name": F.col("brand_name"), "std_spu_name": F.concat(F.lit("name "), "item_title"),
         "std_spu_name_src": F.concat(F.lit("104736,"), F.when(F.col("shop_id").isin("0", "1"), F.col("shop_id"))
                                      .otherwise("__DEFAULT__")),
         "sku_src": F.when(F.col("item_id").cast("int") % 2 == 0, "机器清洗").otherwise("annotated"),
     })
-    gate = v.listing_month.filter("platform = 'Suning'").groupBy("category_1", "brand_name").agg(
+    gate = v.stored("listing_month").filter("platform = 'Suning'").groupBy("category_1", "brand_name").agg(
         F.min("month_dt").alias("start_time"), F.max("month_dt").alias("end_time"),
         F.count(F.lit(1)).alias("n")).filter("n > 2").select(
         F.col("category_1").alias("std_category_2"),

@@ -56,7 +56,7 @@ WITH {_FEATURES.strip()} SELECT sku_id, product_id, category_id, next_week_dt, c
   p1 AS comments_number_prev1, p2 AS comments_number_prev2, p3 AS comments_number_prev3, comments_number_diff, days_diff FROM features
 """, ("weekly_reviews",))
 def _(v):
-    return O.weekly_features(v.weekly_reviews).select(
+    return O.weekly_features(v.stored("weekly_reviews")).select(
         "sku_id", "product_id", "category_id", "next_week_dt", "comments_number", "comments_score",
         *[f"comments_number_prev{n}" for n in (1, 2, 3)], "comments_number_diff", "days_diff")
 
@@ -65,14 +65,14 @@ def _(v):
 WITH {_FEATURES.strip()}, {_FORECAST.strip()} SELECT sku_id, CAST(state AS INT) AS review_state FROM states
 """, ("weekly_reviews",))
 def _(v):
-    return O.weekly_features(v.weekly_reviews).select("sku_id", O.review_state().alias("review_state"))
+    return O.weekly_features(v.stored("weekly_reviews")).select("sku_id", O.review_state().alias("review_state"))
 
 
 @R.add("weekly_forecast", f"""
 WITH {_FEATURES.strip()}, {_FORECAST.strip()} SELECT * FROM predicted
 """, ("weekly_reviews",))
 def _(v):
-    return P.weekly_forecast(v.weekly_reviews, prediction_dt="20240205")
+    return P.weekly_forecast(v.stored("weekly_reviews"), prediction_dt="20240205")
 
 
 @R.add("forecast_summary", f"""
@@ -83,15 +83,13 @@ SELECT CAST(count(*) AS BIGINT) AS n, round(avg(predicted_weekly_sales), 9) AS a
 FROM predicted
 """, ("weekly_reviews",))
 def _(v):
-    return O.forecast_summary(P.weekly_forecast(v.weekly_reviews)).withColumn("avg_sales", F.round("avg_sales", 9))
+    return O.forecast_summary(P.weekly_forecast(v.stored("weekly_reviews"))).withColumn("avg_sales", F.round("avg_sales", 9))
 
 
 @R.add("forecast_calibrated", f"""
 WITH {_FEATURES.strip()}, {_FORECAST.strip()},
 monthly AS (SELECT sku_id, CAST(substr(next_week_dt, 1, 7) || '-01' AS VARCHAR) AS month_dt, CAST(sum(comments_number) AS BIGINT) AS units,
     CAST(max(comments_score) AS BIGINT) AS kind FROM weekly_reviews GROUP BY 1, 2),
-c AS (SELECT sku_id, units * 3 AS units FROM monthly WHERE month_dt = '2023-12-01' OR (month_dt < '2024-01-28' AND kind = 1)),
-b AS (SELECT sku_id, units * CASE kind WHEN 2 THEN 4000 WHEN 3 THEN 1 ELSE 50 END AS units FROM monthly WHERE kind <> 1),
 base AS (SELECT p.*, 31 AS days, strftime(date_trunc('month', CAST(next_week_dt AS DATE) - INTERVAL 1 DAY) - INTERVAL 1 MONTH, '%Y-%m-%d') AS m FROM predicted p),
 j AS (SELECT base.*, pr.units AS c, se.units AS b FROM base
   LEFT JOIN (SELECT sku_id, month_dt, units * 3 AS units FROM monthly WHERE kind = 1) pr ON base.sku_id = pr.sku_id AND pr.month_dt = base.m
@@ -111,10 +109,10 @@ SELECT sku_id, category_id, category_name, comments_number, comments_score, pred
 """, ("weekly_reviews",))
 def _(v):
     month = F.concat(F.substring("next_week_dt", 1, 7), F.lit("-01")).alias("month_dt")
-    monthly = v.weekly_reviews.groupBy("sku_id", month).agg(
+    monthly = v.stored("weekly_reviews").groupBy("sku_id", month).agg(
         F.sum("comments_number").alias("units"), F.max("comments_score").cast("bigint").alias("kind"))
     primary = monthly.filter("kind = 1").withColumn("units", F.col("units") * 3)
     scale = F.when(F.col("kind") == 2, 4000).when(F.col("kind") == 3, 1).otherwise(50)
     secondary = monthly.filter("kind <> 1").withColumn("units", F.col("units") * scale)
-    predicted = P.weekly_forecast(v.weekly_reviews, prediction_dt="20240205")
+    predicted = P.weekly_forecast(v.stored("weekly_reviews"), prediction_dt="20240205")
     return P.calibrated_forecast(predicted, primary, secondary, "monthly_sales_wide", "monthly_sales_origin")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import is_blank
 from .ordered import renumber
-from .prices import set_concat, sum_if
+from .prices import set_concat
 
 # Category names and name parts of the two merged product types. Fixed values.
 LIQUID_CATEGORY, BRUSH_CATEGORY = "电热蚊香液", "一次性马桶刷"
@@ -43,29 +43,6 @@ def _name(pattern: str) -> Column:
     return F.lower("std_spu_name").rlike(pattern)
 
 
-def _merge(
-    parts: DataFrame, keys: Sequence[str], rank: Sequence[Column], measures: Sequence[Column],
-) -> DataFrame:
-    """Representative part per listing and brand (smallest ``rank``) with the group's measures; NULL is a brand."""
-    others = [c for c in parts.columns if c not in keys and c != "std_brand_name"]
-    row = F.struct(*others)
-    group = [*keys, "std_brand_name"]
-    first = F.min_by(row, F.struct(*rank, row)).alias("_row")
-    grouped = parts.groupBy(*group).agg(first, F.min("sku_no").alias("_first_no"), *measures)
-    return grouped.select(*group, *[F.col(f"_row.{c}").alias(c) for c in others],
-                          *[c for c in grouped.columns if c not in group and c != "_row"])
-
-
-def _finish(merged: DataFrame, columns: Sequence[str], keys: Sequence[str], packages: Column, name: Column,
-            slices: int | None) -> DataFrame:
-    out = merged.withColumn("std_spu_name", name).withColumn("package_num", packages)
-    for copy, source in (("quantity", "package_num"), ("unit_weight", "weight")):
-        if copy in columns:
-            out = out.withColumn(copy, F.col(source))
-    order = [F.col("_first_no"), F.col("std_brand_name")]
-    return renumber(out, keys, order, "sku_no", slices).select(*columns)
-
-
 def weight_packages(parts: DataFrame, group: Sequence[str]) -> DataFrame:
     """Packages per weight as one sorted list of (weight, packages) per group.
 
@@ -75,56 +52,74 @@ def weight_packages(parts: DataFrame, group: Sequence[str]) -> DataFrame:
     return summed.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("weight", "packages"))).alias("records"))
 
 
-def merge_liquid(parts: DataFrame, keys: Sequence[str], slices: int | None = None) -> DataFrame:
-    """Merge liquid + device bundles to one row per listing and brand.
+def merge_typed(
+    parts: DataFrame, keys: Sequence[str], type_col: str = "categorys", slices: int | None = None
+) -> DataFrame:
+    """Merge liquid and brush bundles to one row per listing and brand, in one pass.
+
+    ``type_col`` holds the category of the whole listing and is not returned. A NULL brand is a brand of its own.
 
-    Name: the best liquid's name up to its first ``<n>ml``, then ``<weight>ml*<packages>`` per weight in order
-    joined by ``+``, then the number of devices (1 if unknown). Without a liquid the name is NULL. Parts that are
-    neither liquid nor device do not take part.
+    Liquid + device: the best liquid's name up to its first ``<n>ml``, then ``<weight>ml*<packages>`` per weight in
+    order joined by ``+``, then the number of devices (1 if unknown); NULL without a liquid. Parts that are neither
+    liquid nor device do not take part. Brush + handle: ``<name>*<brushes>+<handles or 1>``; NULL without a brush.
+
+    Parts are folded per (listing, brand, weight) first and then per (listing, brand), both before any ordering.
     """
-    liquid = _name(LIQUID) & ~_name(DEVICE)
-    used = parts.filter(_name(f"{LIQUID}|{DEVICE}"))
+    columns = [c for c in parts.columns if c != type_col]
     group = [*keys, "std_brand_name"]
-    base = F.trim(F.regexp_replace("std_spu_name", r"\d+ml.*", ""))
-    merged = _merge(
-        used, keys,
-        [F.when(liquid, 1).otherwise(2), F.when(F.col("weight").isNotNull(), 1).otherwise(2), F.col("sku_no")],
-        [
-            sum_if("package_num", liquid).alias("_liquids"),
-            sum_if(F.coalesce("package_num", F.lit(0)), _name(DEVICE)).alias("_devices"),
-        ],
+    others = [c for c in columns if c not in group]
+    is_liquid = F.col(type_col) == LIQUID_CATEGORY
+    device, handle = F.coalesce(_name(DEVICE), F.lit(False)), F.coalesce(_name(HANDLE), F.lit(False))
+    main = F.when(is_liquid, F.coalesce(_name(LIQUID), F.lit(False)) & ~device).otherwise(~handle)
+    addition = F.when(is_liquid, device).otherwise(handle)
+    used = parts.filter(~is_liquid | _name(f"{LIQUID}|{DEVICE}")).withColumns({"_main": main, "_addition": addition})
+
+    # Smallest first: main products, for liquids those of known weight, then the lowest part number.
+    unknown = F.when(is_liquid, F.col("weight").isNull()).otherwise(F.lit(False))
+    row = F.struct(type_col, "_main", *others)
+    rank = F.struct((~F.col("_main")).alias("addition"), unknown.alias("unknown"), F.col("sku_no"), row.alias("row"))
+    count = F.coalesce("package_num", F.lit(0))
+    by_weight = used.groupBy(*group, F.col("weight").alias("_weight")).agg(
+        F.min(rank).alias("_best"), F.min("sku_no").alias("_first_no"),
+        F.sum(F.when(F.col("_main"), count)).alias("_mains"),
+        F.sum(F.when(F.col("_addition"), count)).alias("_additions"),
     )
-    weights = weight_packages(used.filter(liquid & F.col("weight").isNotNull()), group).select(
-        *[F.col(g).alias(f"_g_{g}") for g in group], "records")
-    on = None
-    for g in group:
-        equal = F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-        on = equal if on is None else on & equal
-    with_weights = merged.join(weights, on, "left")
-    listed = F.array_join(F.transform("records", lambda r: F.concat(
-        F.bround(r["weight"]).cast("bigint").cast("string"), F.lit("ml*"), r["packages"].cast("string"))), "+")
-    devices = F.when(F.col("_devices") == 0, F.lit(1)).otherwise(F.col("_devices")).cast("string")
-    is_liquid = _name(LIQUID) & ~_name(DEVICE)
-    name = F.when(
-        is_liquid & ~is_blank(base),
-        F.concat(base, F.coalesce(F.concat(listed, F.lit("+")), F.lit("")), devices, F.lit(DEVICE)),
+    weighed = F.when(F.col("_weight").isNotNull() & F.col("_mains").isNotNull(), F.struct("_weight", "_mains"))
+    merged = by_weight.groupBy(*group).agg(
+        F.min("_best").alias("_best"), F.min("_first_no").alias("_first_no"),
+        F.coalesce(F.sum("_mains"), F.lit(0)).alias("_main_count"),
+        F.coalesce(F.sum("_additions"), F.lit(0)).alias("_addition_count"),
+        F.sort_array(F.collect_list(weighed)).alias("_weights"),
+    )
+    best = F.col("_best.row")
+    flat = merged.select(*group, *[best[c].alias(c) for c in (type_col, "_main", *others)], "_first_no",
+                         "_main_count", "_addition_count", "_weights")
+
+    added = F.greatest(F.col("_addition_count"), F.lit(1)).cast("string")
+    mains = F.col("_main_count").cast("string")
+    listed = F.array_join(F.transform("_weights", lambda w: F.concat(
+        F.bround(w["_weight"]).cast("bigint").cast("string"), F.lit("ml*"), w["_mains"].cast("string"))), "+")
+    base = F.trim(F.regexp_replace("std_spu_name", r"\d+ml.*", ""))
+    listing = F.when(F.size("_weights") > 0, F.concat(listed, F.lit("+"))).otherwise(F.lit(""))
+    brush = F.trim("std_spu_name")
+    name = (
+        F.when(~F.col("_main"), F.lit(None).cast("string"))
+        .when((F.col(type_col) == LIQUID_CATEGORY) & ~is_blank(base), F.concat(base, listing, added, F.lit(DEVICE)))
+        .when((F.col(type_col) != LIQUID_CATEGORY) & ~is_blank(brush),
+              F.concat(brush, F.lit("*"), mains, F.lit("+"), added))
     )
-    return _finish(with_weights, parts.columns, keys, F.col("_liquids"), name, slices)
+    out = flat.withColumns({
+        "std_spu_name": name, "package_num": F.col("_main_count").cast(parts.schema["package_num"].dataType)})
+    copies = {"quantity": "package_num", "unit_weight": "weight"}
+    out = out.withColumns({c: F.col(source) for c, source in copies.items() if c in columns})
+    return renumber(out, keys, [F.col("_first_no"), F.col("std_brand_name")], "sku_no", slices).select(*columns)
+
+
+def merge_liquid(parts: DataFrame, keys: Sequence[str], slices: int | None = None) -> DataFrame:
+    """:func:`merge_typed` for parts of liquid + device listings only."""
+    return merge_typed(parts.withColumn("_type", F.lit(LIQUID_CATEGORY)), keys, "_type", slices)
 
 
 def merge_brush(parts: DataFrame, keys: Sequence[str], slices: int | None = None) -> DataFrame:
-    """Merge brush + handle bundles: ``<name>*<brushes>+<handles or 1>``; NULL without a brush."""
-    handle = F.coalesce(_name(HANDLE), F.lit(False))
-    merged = _merge(
-        parts, keys, [F.when(handle, 2).otherwise(1), F.col("sku_no")],
-        [
-            sum_if(F.coalesce("package_num", F.lit(0)), ~handle).alias("_brushes"),
-            sum_if(F.coalesce("package_num", F.lit(0)), handle).alias("_handles"),
-        ],
-    )
-    handles = F.when(F.col("_handles") == 0, F.lit(1)).otherwise(F.col("_handles")).cast("string")
-    base = F.trim("std_spu_name")
-    name = F.when(
-        ~handle & ~is_blank(base),
-        F.concat(base, F.lit("*"), F.col("_brushes").cast("string"), F.lit("+"), handles))
-    return _finish(merged, parts.columns, keys, F.col("_brushes"), name, slices)
+    """:func:`merge_typed` for parts of brush + handle listings only."""
+    return merge_typed(parts.withColumn("_type", F.lit(BRUSH_CATEGORY)), keys, "_type", slices)

@@ -6,10 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.bundles import (
-    BRUSH_CATEGORY, LIQUID_CATEGORY, merge_brush, merge_liquid, qualify_bundles,
-)
-from ..operators.joins import drop_in, enrich
+from ..operators.bundles import BRUSH_CATEGORY, LIQUID_CATEGORY, merge_typed, qualify_bundles
+from ..operators.joins import enrich
 from ..operators.rules import apply_chain
 from ..sources.sinks import guard_keys
 
@@ -26,14 +24,9 @@ def merge_bundles(
     """
     keys = list(keys)
     chosen = qualify_bundles(parts, keys, category, group).select(*keys, "categorys")
-    bundles = enrich(parts, chosen, keys, "inner")
-    untouched = drop_in(parts, chosen, keys)
-    liquid = merge_liquid(bundles.filter(F.col("categorys") == LIQUID_CATEGORY).drop("categorys"), keys, slices)
-    brush = merge_brush(bundles.filter(F.col("categorys") == BRUSH_CATEGORY).drop("categorys"), keys, slices)
-    others = bundles.filter(
-        ~F.col("categorys").isin(LIQUID_CATEGORY, BRUSH_CATEGORY) & (F.col("sku_no") == 1)).drop("categorys")
-    columns = parts.columns
-    merged = untouched.select(*columns)
-    for branch in (liquid, brush, others):
-        merged = merged.unionByName(branch.select(*columns))
+    tagged = enrich(parts, chosen, keys)
+    merges = F.col("categorys").isin(LIQUID_CATEGORY, BRUSH_CATEGORY)
+    changed = merge_typed(tagged.filter(merges), keys, "categorys", slices)
+    kept = tagged.filter(F.col("categorys").isNull() | (~merges & (F.col("sku_no") == 1)))
+    merged = kept.select(*parts.columns).unionByName(changed.select(*parts.columns))
     return guard_keys(apply_chain(merged, steps), keys)
