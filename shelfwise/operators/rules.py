@@ -119,6 +119,15 @@ class Matched:
             number = F.when(_matches(rule), F.lit(i)).otherwise(number)
         return number
 
+    def numbered(self, df: DataFrame) -> DataFrame:
+        """``df`` with the rule number.
+
+        The number is exploded out of a one-element array. Spark therefore never copies the conditions into later
+        filters and joins on ruled columns, whose size would otherwise multiply with every chained set; filters on
+        other columns still move below.
+        """
+        return df.withColumn(self.number, F.explode(F.array(self.column())))
+
     def _pick(self, values: Sequence[str | None], kind: Any = "string") -> Column:
         listed = F.array(*[F.lit(v).try_cast(kind) for v in values])
         return F.element_at(listed, F.col(self.number))
@@ -148,7 +157,7 @@ def match(df: DataFrame, rules: RuleSet, out: str = "_rule", blank: Sequence[str
     found = Matched(rules, f"{out}_number", blank)
     fields = [found.value(c).alias(c) for c in rules.result_columns]
     fields += [found.src(c).alias(f"{c}_src") for c in rules.result_columns]
-    return df.withColumn(f"{out}_number", found.column()).withColumn(
+    return found.numbered(df).withColumn(
         out, F.struct(*fields, found.src().alias("src"))).drop(f"{out}_number")
 
 
@@ -185,7 +194,7 @@ def apply_rules(
         if note:
             notes.setdefault(note, []).append(result)
     changes.update({note: F.coalesce(found.src(*written), own(note)) for note, written in notes.items()})
-    return df.withColumn("_rule_number", found.column()).withColumns(changes).drop("_rule_number")
+    return found.numbered(df).withColumns(changes).drop("_rule_number")
 
 
 def usable(value: Column, blank: Sequence[str] = KEEP) -> Column:
@@ -252,7 +261,7 @@ def override_numeric(df: DataFrame, rules: RuleSet, result: str, cols: Sequence[
     value = found.value(result, "double")
     changes = {c: F.coalesce(value, F.col(c)) for c in cols}
     changes[src_col] = F.when(value.isNotNull(), found.src()).otherwise(F.col(src_col))
-    return df.withColumn("_rule_number", found.column()).withColumns(changes).drop("_rule_number")
+    return found.numbered(df).withColumns(changes).drop("_rule_number")
 
 
 def override_then_scale(
@@ -265,14 +274,14 @@ def override_then_scale(
     """
     first = Matched(value_rules, "_rule_number", KEEP)
     number = first.value(value, "double").cast("bigint")
-    fixed = df.withColumn("_rule_number", first.column()).withColumns({
+    fixed = first.numbered(df).withColumns({
         col: F.coalesce(number, F.col(col)),
         src_col: F.when(number.isNotNull(), first.src()).otherwise(F.col(src_col)),
     }).drop("_rule_number")
     second = Matched(ratio_rules, "_rule_number", KEEP)
     factor = second.value(ratio, "double")
     applies = factor.isNotNull() & F.col(col).isNotNull()
-    return fixed.withColumn("_rule_number", second.column()).withColumns({
+    return second.numbered(fixed).withColumns({
         col: F.when(applies, (factor * F.col(col).cast("double")).cast("bigint")).otherwise(F.col(col)),
         src_col: F.when(applies, second.src()).otherwise(F.col(src_col)),
         ratio_col: F.coalesce(factor, F.col(ratio_col)) if ratio_col in df.columns else factor,
