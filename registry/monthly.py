@@ -366,7 +366,7 @@ SELECT {', '.join('a.' + k for k in LISTING)}, sku_no, sku_num, replace(pfsku_ur
   std_brand_name AS std_brand_name_ori, coalesce(grouped, std_brand_name) AS std_brand_name, updated_shop_name, item_unit_sales, pfsku_unit_sales,
   pfsku_unit_sales * discount_price AS pfsku_value_sales, pfsku_unit_sales * page_price AS pfsku_pageprice_value_sales,
   pfsku_unit_sales * total_weight AS sku_volume_sales, pfsku_unit_sales * package AS sku_pack_sales,
-  round(coalesce(CASE WHEN sku_num = 1 THEN own_price ELSE group_price END, sku_price), 6) AS sku_discount_price_tmp,
+  round(coalesce(CASE WHEN sku_num = 1 THEN own_price ELSE group_price END, sku_price), 9) AS sku_discount_price_tmp,
   CASE WHEN sku_num = 1 THEN pfsku_unit_sales * discount_price END AS sku_value_sales,
   CASE WHEN sku_num = 1 THEN 1 ELSE sku_value_ratio END AS sku_value_ratio,
   CASE WHEN sku_num = 1 THEN '单品不拆' ELSE sku_value_ratio_src END AS sku_value_ratio_src, sku_value_ratio AS sku_value_ratio_fixed,
@@ -386,7 +386,7 @@ def _(v):
     out = P.sales_wide(
         v.stored("mapping"), _fixed_count(v), _fixed_price(v), _status(v), fixed_prices=fixed, shop_names=shops,
         brand_groups=groups, min_price=2, max_price=49, min_count=30, max_count=5000)
-    return out.select(*LISTING, *_WIDE).withColumn("sku_discount_price_tmp", F.round("sku_discount_price_tmp", 6))
+    return out.select(*LISTING, *_WIDE).withColumn("sku_discount_price_tmp", F.round("sku_discount_price_tmp", 9))
 
 
 # --- external price, pet mapping ------------------------------------------------------------------------------------

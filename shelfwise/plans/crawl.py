@@ -8,85 +8,90 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions.crawl import parse_sales_text, region_of, sales_type, split_path
-from ..functions.jsons import json_build, json_build_if_any, json_field
+from ..functions.jsons import json_build, json_build_if_any
 from ..functions.text import blank_to_null, cache_key, first_non_blank, flag, image_list, is_blank
 from ..operators.collapse import best_fields, merge_json, shortest_first, source_rank
 from ..operators.filters import require
-from ..operators.joins import drop_in, enrich, keep_in, null_safe_join
+from ..operators.joins import drop_in, enrich, keep_in
 from ..operators.ordered import first_by_hash
 from ..operators.prices import at_min, not_blank, price_stats, valid
 from ..sources.scans import conform, resolve_month_range, union_feeds
 
-# Prefix of the JSON keys that a feed adds to its rows, the value of a flag, and blank JSON. Fixed values.
+# The value of a flag, and blank JSON. Fixed values.
 YES_NO = {"YES": 1, "NO": 0}
 EMPTY_JSON = "{}"
 
 
-def _field(prefix: str, name: str) -> Column:
-    return json_field("sr", f"{prefix}|{name}")
+def _with_fields(df: DataFrame, prefix: str, names: Sequence[str]) -> DataFrame:
+    """Add ``_<name>`` for the JSON keys ``<prefix>|<name>`` of ``sr``; the text is parsed once per row."""
+    return df.select("*", F.json_tuple("sr", *[f"{prefix}|{n}" for n in names]).alias(*[f"_{n}" for n in names]))
 
 
-def _sales(prefix: str, region: Column) -> dict[str, Column]:
-    text = _field(prefix, "sales_count")
-    units = parse_sales_text(text, region)
-    return {"sell_count_str": blank_to_null(text, ()), "vague_sell_count": units, "sell_count_type": sales_type(units)}
+def _with_units(df: DataFrame, region: str) -> DataFrame:
+    return df.withColumn("_units", parse_sales_text("_sales_count", region))
+
+
+def _sales() -> dict[str, Column]:
+    return {"sell_count_str": blank_to_null("_sales_count", ()), "vague_sell_count": F.col("_units"),
+            "sell_count_type": sales_type("_units")}
 
 
 def adapt_menu(df: DataFrame, prefix: str, etl_source: str) -> DataFrame:
     """Menu feed: prices, rating and region come from the JSON; a row without a JSON region is dropped."""
-    region = _field(prefix, "region")
-    return conform(df.filter(~is_blank(region)), S.SKU_FACT, {
+    rows = _with_fields(df, prefix, (
+        "region", "online_price", "list_price", "sales_count", "review_rating", "number_of_reviews",
+        "expected_delivery_time", "delivery_destination")).filter(~is_blank("_region"))
+    return conform(_with_units(rows, "_region"), S.SKU_FACT, {
         "sku_id": F.col("retailer_product_code"), "product_title": F.col("product_description"),
-        "sku_online_price": blank_to_null(_field(prefix, "online_price")),
-        "sku_list_price": blank_to_null(_field(prefix, "list_price")),
-        **_sales(prefix, region),
-        "review_rating": blank_to_null(_field(prefix, "review_rating")),
-        "number_of_reviews": blank_to_null(_field(prefix, "number_of_reviews")),
+        "sku_online_price": blank_to_null("_online_price"), "sku_list_price": blank_to_null("_list_price"),
+        **_sales(),
+        "review_rating": blank_to_null("_review_rating"), "number_of_reviews": blank_to_null("_number_of_reviews"),
         "extra_json": json_build_if_any(
-            expected_delivery_time=_field(prefix, "expected_delivery_time"),
-            delivery_destination=_field(prefix, "delivery_destination")),
-        "region": F.upper(region), "etl_source": F.lit(etl_source),
+            expected_delivery_time="_expected_delivery_time", delivery_destination="_delivery_destination"),
+        "region": F.upper("_region"), "etl_source": F.lit(etl_source),
     })
 
 
 def adapt_menu_detail(df: DataFrame, prefix: str, etl_source: str) -> DataFrame:
     """Detail feed: most fields are columns; the region falls back to the URL host."""
-    region = region_of(_field(prefix, "region"), "url")
-    return conform(df.withColumn("_region", region).filter(~is_blank("_region")), S.SKU_FACT, {
-        "product_id": _field(prefix, "parent_asin"),
+    rows = _with_fields(df, prefix, (
+        "region", "parent_asin", "online_price_currency", "sales_count", "seller", "seller_id"))
+    rows = rows.withColumn("_place", region_of("_region", "url")).filter(~is_blank("_place"))
+    return conform(_with_units(rows, "_place"), S.SKU_FACT, {
+        "product_id": F.col("_parent_asin"),
         "sku_id": F.col("retailer_product_code"), "product_title": F.col("product_description"),
         "sku_online_price": blank_to_null("online_price"),
         "sku_online_price_currency": F.col("online_price_currency"),
         "sku_list_price": blank_to_null("list_price"),
         "sku_list_price_currency": F.coalesce(
-            first_non_blank(_field(prefix, "online_price_currency")), F.col("online_price_currency")),
+            first_non_blank("_online_price_currency"), F.col("online_price_currency")),
         "promo": F.col("promotion"),
-        **_sales(prefix, F.col("_region")),
+        **_sales(),
         "has_sku": flag("has_variants", YES_NO),
-        "seller": _field(prefix, "seller"), "seller_id": _field(prefix, "seller_id"),
-        "review_rating": blank_to_null("review_rating"),
-        "number_of_reviews": blank_to_null("number_of_reviews"),
+        "seller": F.col("_seller"), "seller_id": F.col("_seller_id"),
+        "review_rating": blank_to_null("review_rating"), "number_of_reviews": blank_to_null("number_of_reviews"),
         "first_image": F.col("product_image"), "imags": image_list("secondary_image", "aplus_images"),
-        "inventory": F.col("in_stock"), "region": F.col("_region"), "etl_source": F.lit(etl_source),
+        "inventory": F.col("in_stock"), "region": F.col("_place"), "etl_source": F.lit(etl_source),
     })
 
 
 def adapt_search(df: DataFrame, prefix: str, etl_source: str) -> DataFrame:
     """Search feed: list price and currencies come from the JSON; a row without a JSON region is dropped."""
-    region = _field(prefix, "region")
-    return conform(df.filter(~is_blank(region)), S.SKU_FACT, {
+    rows = _with_fields(df, prefix, (
+        "region", "online_price_currency", "list_price", "list_price_currency", "sales_count",
+    )).filter(~is_blank("_region"))
+    return conform(_with_units(rows, "_region"), S.SKU_FACT, {
         "sku_id": F.col("product_code"), "product_title": F.col("product_name"), "url": F.col("product_url"),
         "sku_online_price": F.col("price"),
-        "sku_online_price_currency": first_non_blank(_field(prefix, "online_price_currency")),
-        "sku_list_price": blank_to_null(_field(prefix, "list_price")),
-        "sku_list_price_currency": first_non_blank(_field(prefix, "list_price_currency")),
-        **_sales(prefix, region),
-        "review_rating": blank_to_null("review_rating"),
-        "number_of_reviews": blank_to_null("number_of_reviews"),
+        "sku_online_price_currency": first_non_blank("_online_price_currency"),
+        "sku_list_price": blank_to_null("_list_price"),
+        "sku_list_price_currency": first_non_blank("_list_price_currency"),
+        **_sales(),
+        "review_rating": blank_to_null("review_rating"), "number_of_reviews": blank_to_null("number_of_reviews"),
         "first_image": F.col("product_image"),
         # The feed has columns of these names that the fact does not take from it.
         "category": F.lit(None), "sub_category": F.lit(None),
-        "region": F.upper(region), "etl_source": F.lit(etl_source),
+        "region": F.upper("_region"), "etl_source": F.lit(etl_source),
     })
 
 
