@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .joins import lag_periods, period_before
+from .joins import period_before
 
 STANDARD_DAYS = 7
 # Reviews from which a product without history counts as an old product that was missed. Fixed value.
@@ -41,30 +41,30 @@ def coefficients(spark: SparkSession, rows: Sequence[tuple] = COEFFICIENTS) -> D
         list(rows), "category_id string, category_name string, base double, comments_weight double")
 
 
-def newest(df: DataFrame, period: str) -> Column:
-    """The largest period as a scalar subquery; on a partition column it prunes the scan at run time."""
-    return df.select(F.max(period)).scalar()
-
-
 def weekly_features(df: DataFrame, week: str | None = None, weeks: int = 3, period: str = "next_week_dt") -> DataFrame:
     """Rows of one week (the newest by default) with review counts of the weeks before.
 
     Adds ``comments_number_prev1..n``, ``comments_number_diff`` (previous week missing: 0) and ``days_diff``
-    (elapsed days to the previous week's snapshot, 2 digits, missing: 0). The weeks are read once.
+    (elapsed days to the previous week's snapshot, 2 digits, missing: 0). Each week is read once, and the weeks
+    before are folded to one row per product. Without ``week`` one small job looks up the newest week.
     """
-    current_week = F.lit(week) if week else newest(df, period)
-    current = df.filter(F.col(period) == current_week)
-    history = df.filter((F.col(period) < current_week)
-                        & (F.col(period) >= period_before(current_week, weeks))) \
-        .select("product_id", period, "comments_number", "snapshot_time")
-    lagged = lag_periods(history, current, "product_id", period, ["comments_number", "snapshot_time"],
-                         range(1, weeks + 1))
+    week = week or df.agg(F.max(period)).first()[0]
+    if week is None:
+        raise ValueError("there is no week to forecast")
+    # Constants, so that the scans of this week and of the weeks before are pruned by literal values.
+    earlier = {n: period_before(F.lit(week), n) for n in range(1, weeks + 1)}
+    current = df.filter(F.col(period) == week)
+    history = df.filter(F.col(period).isin(*earlier.values())).groupBy("product_id").agg(
+        *[F.max(F.when(F.col(period) == at, F.col("comments_number"))).alias(f"comments_number_prev{n}")
+          for n, at in earlier.items()],
+        F.max(F.when(F.col(period) == earlier[1], F.col("snapshot_time"))).alias("_before"),
+    )
     seconds = F.unix_timestamp(F.col("snapshot_time").cast("timestamp")) - F.unix_timestamp(
-        F.coalesce("snapshot_time_prev1", "snapshot_time").cast("timestamp"))
-    return lagged.withColumns({
+        F.coalesce("_before", "snapshot_time").cast("timestamp"))
+    return current.join(history, "product_id", "left").withColumns({
         "comments_number_diff": F.col("comments_number") - F.coalesce("comments_number_prev1", F.lit(0)),
         "days_diff": F.round(seconds.cast("double") / 86400.0, 2),
-    }).drop(*[f"snapshot_time_prev{n}" for n in range(1, weeks + 1)])
+    }).drop("_before")
 
 
 def review_state(missed_from: int = MISSED_FROM) -> Column:
