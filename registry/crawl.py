@@ -264,7 +264,7 @@ def _(v):
 
 
 # --- feeds ----------------------------------------------------------------------------------------------------
-_JSON = """json_extract_string(sr, '$."ulanzi|{}"')"""
+_JSON = """json_extract_string(sr, '$."site|{}"')"""
 _FACT_GIVEN = (
     "product_id", "sku_id", "product_title", "url", "sku_online_price", "sku_online_price_currency", "sku_list_price",
     "sku_list_price_currency", "sell_count_str", "vague_sell_count", "sell_count_type", "brand", "has_sku",
@@ -344,7 +344,7 @@ def _(v):
         F.lit(None).cast("string").alias("product_image"), *base)
     return P.sku_fact({
         "menu": ("menu", menu, "menu"), "detail": ("menu_detail", detail, "detail"),
-        "search": ("search", search, "search")}, "ulanzi")
+        "search": ("search", search, "search")}, "site")
 
 
 @R.add("semi_anti_candidates", """
@@ -406,21 +406,21 @@ def _(v):
 
 
 @R.add("json_fields", """
-SELECT event_id, CASE WHEN json_valid(extra_json) THEN json_extract_string(extra_json, '$."ulanzi|region"') END AS region,
+SELECT event_id, CASE WHEN json_valid(extra_json) THEN json_extract_string(extra_json, '$."site|region"') END AS region,
   CASE WHEN json_valid(extra_json) THEN json_extract_string(extra_json, '$.k') END AS k FROM crawl_json
 """, ("crawl_json",))
 def _(v):
-    return v.crawl_json.select("event_id", json_field("extra_json", "ulanzi|region").alias("region"),
+    return v.crawl_json.select("event_id", json_field("extra_json", "site|region").alias("region"),
                                json_field("extra_json", "k").alias("k"))
 
 
 @R.add("json_build", """
 SELECT event_id, '{"source":"' || etl_source || '","region":"' || coalesce(r, '') || '"}' AS info,
   CASE WHEN r <> '' THEN '{"region":"' || r || '"}' END AS known
-FROM (SELECT *, CASE WHEN json_valid(extra_json) THEN json_extract_string(extra_json, '$."ulanzi|region"') END AS r
+FROM (SELECT *, CASE WHEN json_valid(extra_json) THEN json_extract_string(extra_json, '$."site|region"') END AS r
       FROM crawl_json)
 """, ("crawl_json",))
 def _(v):
-    region = json_field("extra_json", "ulanzi|region")
+    region = json_field("extra_json", "site|region")
     return v.crawl_json.select("event_id", json_build(source="etl_source", region=region).alias("info"),
                                json_build_if_any(region=region).alias("known"))

@@ -104,7 +104,7 @@ FROM {events}
     "crawl_json": """
 SELECT event_id, CAST(user_id % 40 AS STRING) AS sku_id, event_type AS etl_source,
        CASE event_id % 6 WHEN 0 THEN '' WHEN 1 THEN '{{}}' WHEN 2 THEN 'not json'
-            WHEN 3 THEN '{{"ulanzi|region":"' || event_type || '","k":' || CAST(event_id % 9 AS STRING) || '}}'
+            WHEN 3 THEN '{{"site|region":"' || event_type || '","k":' || CAST(event_id % 9 AS STRING) || '}}'
             WHEN 4 THEN props
             ELSE '{{"d":"' || event_type || '","k":' || CAST(user_id % 9 AS STRING) || '}}' END AS extra_json,
        CAST(date_trunc('second', ts) AS STRING) AS snapshot_time
@@ -153,15 +153,15 @@ SELECT l_orderkey, l_linenumber, CAST(l_partkey AS STRING) AS code, p_name AS ti
        CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber % 2 = 0
             THEN 'a' || CAST(l_linenumber AS STRING) || ' | b' ELSE 'c' END AS images_2,
        CASE WHEN l_linenumber % 5 = 0 THEN '0' ELSE CAST(l_linenumber AS STRING) END AS reviews,
-       '{{"ulanzi|region":"' || CASE l_orderkey % 3 WHEN 0 THEN 'jp' WHEN 1 THEN 'US' ELSE '' END
-           || '","ulanzi|online_price":"' || CASE WHEN l_discount = 0 THEN '0' ELSE CAST(p_size AS STRING) END
-           || '","ulanzi|list_price":"' || CAST(p_size * 2 AS STRING)
-           || '","ulanzi|online_price_currency":"' || CASE WHEN l_returnflag = 'N' THEN '' ELSE 'USD' END
-           || '","ulanzi|sales_count":"' || CASE l_orderkey % 3 WHEN 0 THEN '過去1か月で' ELSE '' END
+       '{{"site|region":"' || CASE l_orderkey % 3 WHEN 0 THEN 'jp' WHEN 1 THEN 'US' ELSE '' END
+           || '","site|online_price":"' || CASE WHEN l_discount = 0 THEN '0' ELSE CAST(p_size AS STRING) END
+           || '","site|list_price":"' || CAST(p_size * 2 AS STRING)
+           || '","site|online_price_currency":"' || CASE WHEN l_returnflag = 'N' THEN '' ELSE 'USD' END
+           || '","site|sales_count":"' || CASE l_orderkey % 3 WHEN 0 THEN '過去1か月で' ELSE '' END
            || CAST(l_linenumber * 100 AS STRING)
            || CASE l_orderkey % 3 WHEN 0 THEN '点以上購入' ELSE '+ bought' END
-           || '","ulanzi|seller":"S' || CAST(l_suppkey AS STRING)
-           || '","ulanzi|expected_delivery_time":"' || CASE WHEN l_linenumber % 2 = 0 THEN 'soon' ELSE '' END
+           || '","site|seller":"S' || CAST(l_suppkey AS STRING)
+           || '","site|expected_delivery_time":"' || CASE WHEN l_linenumber % 2 = 0 THEN 'soon' ELSE '' END
            || '"}}' AS sr
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """,
