@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import rules as Q
 from shelfwise.operators.rules import Rule, RuleSet
+from shelfwise.plans.chained import chained_mapping
 
 from .base import Registry
 from .joins import KEYS, LISTING
@@ -178,3 +179,46 @@ def _(v):
     rows, gate = gate_inputs(v)
     out = Q.brand_gate(rows, gate, 104736, ("JD", "Tmall", "Douyin"), "机器清洗")
     return out.select(*LISTING, "std_spu_name", "std_spu_name_src")
+
+
+_WEIGHT = RuleSet(104963, [Rule(1, {"market": "asia"}, {"package": "4", "size": "2.5"}),
+                           Rule(2, {"platform": "Tmall"}, {"weight": "12.5", "package": ""})])
+_SEGMENT = RuleSet(104956, [Rule(1, {"std_sku_name": ("contains", "12ml")}, {"fix_std_sub_segment": "twelve"})])
+_SEGMENT_CATEGORY = RuleSet(104961, [Rule(1, {"std_sub_segment": "twelve"}, {"std_category_name": "liquid", "std_segment": ""})])
+_FIRST = RuleSet(104962, [Rule(1, {"std_category_name": "liquid", "shop_id": "1"}, {"fix_std_brand_name": "FIRST"})])
+_SECOND = RuleSet(104840, [Rule(1, {"shop_id": ("in", ["1", "2"])}, {"std_brand_name": "SECOND"})])
+_MAKER = RuleSet(104952, [Rule(1, {"std_brand_name": "FIRST"}, {"manufacturer": "Maker"})])
+
+
+@R.add("chained_mapping", f"""
+WITH w AS (SELECT *, CASE WHEN market = 'asia' THEN 4 ELSE CAST(sku_num AS INT) END AS package,
+    CASE WHEN market <> 'asia' AND platform = 'Tmall' THEN 12.5 ELSE page_price END AS weight,
+    CASE WHEN market = 'asia' THEN 2.5 ELSE 0 END AS size,
+    CASE WHEN market = 'asia' THEN '104963,1' WHEN platform = 'Tmall' THEN '104963,2' END AS src FROM listing_month),
+n AS (SELECT *, CASE WHEN lower(item_title) <> 'others' THEN item_title || CAST(CAST(round_even(weight, 0) AS BIGINT) AS VARCHAR) || 'ml' END AS std_sku_name FROM w),
+c AS (SELECT *, contains(std_sku_name, '12ml') AS twelve FROM n),
+b AS (SELECT *, CASE WHEN twelve AND shop_id = '1' THEN 'FIRST' WHEN shop_id IN ('1', '2') THEN 'SECOND' ELSE brand_name END AS brand,
+    CASE WHEN twelve AND shop_id = '1' THEN '104962,1' WHEN shop_id IN ('1', '2') THEN '104840,1' END AS brand_src FROM c)
+SELECT {KEYS}, package, weight, CASE WHEN src IS NOT NULL THEN weight * package END AS total_weight, src AS total_weight_src, src AS package_weight_src,
+  size, CASE WHEN market = 'asia' THEN src END AS size_src, std_sku_name, std_sku_name AS sku_title, CASE WHEN twelve THEN 'twelve' END AS std_sub_segment,
+  CASE WHEN twelve THEN 'liquid' ELSE category_1 END AS std_category_name, CASE WHEN twelve THEN '104961,1' END AS std_category_name_src,
+  brand AS std_brand_name, brand_src AS std_brand_name_src, CASE WHEN brand = 'FIRST' THEN 'Maker' END AS manufacturer,
+  CASE WHEN size <> 0 THEN size * package END AS total_size FROM b
+""", ("listing_month",))
+def _(v):
+    none = F.lit(None).cast("string")
+    rows = v.listing_month.withColumns({
+        "package": F.col("sku_num").cast("int"), "weight": F.col("page_price"), "size": F.lit(0.0),
+        "total_weight": F.lit(None).cast("double"), "package_weight_src": none, "total_weight_src": none, "size_src": none,
+        "std_spu_name": F.col("item_title"), "pfsku_title": none, "std_sub_segment": none,
+        "std_category_name": F.col("category_1"), "std_category_name_src": none, "std_brand_name": F.col("brand_name"),
+        "std_brand_name_src": none, "manufacturer": none})
+    out = chained_mapping(
+        rows, _WEIGHT,
+        [{"rules": _SEGMENT, "results": {"fix_std_sub_segment": "std_sub_segment"}},
+         {"rules": _SEGMENT_CATEGORY, "results": {"std_category_name": "std_category_name"}, "src_col": "std_category_name_src"}],
+        _FIRST, _SECOND, [{"rules": _MAKER, "results": {"manufacturer": "manufacturer"}}])
+    return out.select(
+        *LISTING, "package", "weight", "total_weight", "total_weight_src", "package_weight_src", "size", "size_src", "std_sku_name",
+        "sku_title", "std_sub_segment", "std_category_name", "std_category_name_src", "std_brand_name", "std_brand_name_src",
+        "manufacturer", "total_size")
