@@ -265,11 +265,6 @@ def _(v):
 
 # --- feeds ----------------------------------------------------------------------------------------------------
 _JSON = """json_extract_string(sr, '$."site|{}"')"""
-_FACT_GIVEN = (
-    "product_id", "sku_id", "product_title", "url", "sku_online_price", "sku_online_price_currency", "sku_list_price",
-    "sku_list_price_currency", "sell_count_str", "vague_sell_count", "sell_count_type", "brand", "has_sku",
-    "category", "sub_category", "seller", "seller_id", "number_of_reviews", "imags", "batch_id", "crawl_status",
-    "extra_json", "snapshot_time", "region", "dt", "etl_source")
 
 
 def _fact(**given: str) -> str:

@@ -11,7 +11,7 @@ from shelfwise.plans import external as X, monthly as P, pet as D
 from .base import Registry
 from .crawl import DUCK_TYPES
 from .joins import KEYS, LISTING
-from .rules import GATE, P1, P2, PRICE, RATIO, STATUS, UNITS, gate_inputs
+from .rules import GATE, P1, P2, PRICE, RATIO, STATUS, UNITS
 
 R = Registry()
 QUERIES, ORACLE = R.queries, R.sql

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions import keys as K, measures as M
@@ -288,6 +288,7 @@ def product_status(
     return exclusions(flagged, rules, result).drop("_p", "exclude_flag")
 
 
+# URL part of assembled listings that is rewritten to the plain one. Fixed value.
 ASSEMBLED = "/dp/MC_Assembly_1#"
 
 

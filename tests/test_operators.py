@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import bundles as B, collapse as C, forecast as O, history as H, joins as J, ordered as R
-from shelfwise.operators import prices as P, quality as Q
+from shelfwise.operators import quality as Q
 from shelfwise.plans import crawl
 from shelfwise.sources.scans import conform, resolve_month_range, scope_filter, union_feeds
 
