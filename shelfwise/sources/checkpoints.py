@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder: ``spark.checkpoint.dir``, or a scratch folder on a local master only."""
+    """The shared folder for intermediate data: ``spark.checkpoint.dir``, else a folder in the session's warehouse.
+
+    Both are places that every executor reaches; a machine-local temporary folder is never used.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="checkpoints-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -27,5 +27,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused folder below the checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused folder below the checkpoint folder; it is deleted when the Spark application ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: computed once, whatever reads it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

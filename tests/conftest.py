@@ -12,8 +12,8 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return session(os.environ.get("TEST_CPUS", "8"), "8g")
+def spark(tmp_path_factory):
+    return session(os.environ.get("TEST_CPUS", "8"), "8g", str(tmp_path_factory.mktemp("checkpoints")))
 
 
 @pytest.fixture(scope="session")

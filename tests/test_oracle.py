@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {n: q for m in entry.MODULES for n, q in m.QUERIES.items()}
+SQL = {n: q for m in entry.MODULES for n, q in m.ORACLE.items()}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
