@@ -36,3 +36,8 @@ def is_in_fold(doc_id: str, folds: int, fold: int) -> Column:
     """True where crc32 of the id as text leaves the remainder ``fold``; a null id counts as empty text."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % folds == fold
+
+
+def bound_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Keep Arrow batches below ``size`` bytes, so that very long texts do not pile up in one batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table
+from . import quality
+from .common import is_in_fold, table
 from .mixing import mix_plan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +59,17 @@ SELECT b.doc_id, b.size, p.source_size, p.target, CAST(p.epochs * b.size + great
 FROM base b JOIN plan p ON b.source IS NOT DISTINCT FROM p.source
 JOIN running r ON r.source IS NOT DISTINCT FROM b.source AND r.key = b.key
 """
+
+
+def quality_model(spark, sf_dir, docs=None):
+    """The classifier, learnt from labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents") if docs is None else docs
+    return quality.train(docs, table(spark, sf_dir, "labels"), ~is_in_fold("doc_id", 5, 0))
+
+
+@query
+def op4_quality_gam(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = docs.select("doc_id", is_in_fold("doc_id", 5, 0).alias("held_out"),
+                         quality.score(quality_model(spark, sf_dir), "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
