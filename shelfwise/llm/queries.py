@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import quality
 from .common import is_in_fold, table
 from .mixing import mix_plan
+from .near_dup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +74,8 @@ def op4_quality_gam(spark, sf_dir):
     scored = docs.select("doc_id", is_in_fold("doc_id", 5, 0).alias("held_out"),
                          quality.score(quality_model(spark, sf_dir), "text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op7_minhash_near_dup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
