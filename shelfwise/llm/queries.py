@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import decontamination, quality
 from .common import is_in_fold, table
 from .mixing import mix_plan
 from .near_dup import near_duplicates
@@ -79,3 +79,8 @@ def op4_quality_gam(spark, sf_dir):
 @query
 def op7_minhash_near_dup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query
+def op9_decontaminate(spark, sf_dir):
+    return decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
