@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontamination, quality
 from .common import is_in_fold, table
 from .mixing import mix_plan
 from .near_dup import near_duplicates
+from .token_store import store_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -84,3 +86,8 @@ def op7_minhash_near_dup(spark, sf_dir):
 @query
 def op9_decontaminate(spark, sf_dir):
     return decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_token_store(spark, sf_dir):
+    return store_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
