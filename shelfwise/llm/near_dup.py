@@ -244,3 +244,16 @@ def near_duplicates(
     return named.join(groups, "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the document with the smallest id stays.
+
+    Columns are unchanged. Of rows that repeat an id one stays; rows without an id stay.
+    """
+    groups = near_duplicates(docs, doc_id, text, **options)
+    counted = stored(groups.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(
+        F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).filter("NOT kept OR rows > 1"), "not-kept")
+    same = F.col(doc_id).cast("long") == F.col("_id")
+    once = docs.join(counted, same, "left_anti")
+    return once.unionByName(docs.join(counted.filter("kept"), same, "left_semi").dropDuplicates([doc_id]))
