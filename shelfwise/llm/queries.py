@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, quality
+from . import decontamination, quality, suffix_tree
 from .common import is_in_fold, table
 from .mixing import mix_plan
 from .near_dup import near_duplicates
@@ -91,3 +91,10 @@ def op9_decontaminate(spark, sf_dir):
 @query
 def op8_token_store(spark, sf_dir):
     return store_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op2_suffix_tree_scores(spark, sf_dir):
+    held_out = is_in_fold("doc_id", 7, 2)
+    return suffix_tree.score(table(spark, sf_dir, "documents"), ~held_out).select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
