@@ -32,7 +32,7 @@ class NewFile:
         self.fs, root = open_fs(folder)
         self.fs.create_dir(root, recursive=True)
         self.final, self.temporary = f"{root}/{name}", f"{root}/.{name}.{uuid.uuid4().hex}"
-        self.out, self.digest, self.size = self.fs.open_output_stream(self.temporary), hashlib.sha256(), 0
+        self.out, self.digest, self.size = self.fs.open_output_stream(self.temporary, compression=None), hashlib.sha256(), 0
 
     def write(self, data: bytes) -> None:
         self.out.write(data)
@@ -50,7 +50,7 @@ class NewFile:
 
 def read_file(folder: str, name: str) -> bytes:
     where, root = open_fs(folder)
-    with where.open_input_stream(f"{root}/{name}") as f:
+    with where.open_input_stream(f"{root}/{name}", compression=None) as f:
         return f.read()
 
 

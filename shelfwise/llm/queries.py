@@ -12,6 +12,7 @@ from .common import is_in_fold, table
 from .mixing import mix_plan
 from .near_dup import near_duplicates
 from .token_store import store_tokens
+from .warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,3 +99,20 @@ def op2_suffix_tree_scores(spark, sf_dir):
     held_out = is_in_fold("doc_id", 7, 2)
     return suffix_tree.score(table(spark, sf_dir, "documents"), ~held_out).select(
         "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op3_warc_archives(spark, sf_dir):
+    return round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op3_warc_archives"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
