@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontamination, quality, suffix_tree
 from .common import is_in_fold, table
+from .fingerprints import fingerprints
 from .mixing import mix_plan
 from .near_dup import near_duplicates
 from .token_store import store_tokens
@@ -116,3 +117,8 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'r
        CASE WHEN first < page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+
+@query
+def op6_paragraph_sketches(spark, sf_dir):
+    return fingerprints(table(spark, sf_dir, "documents"))
