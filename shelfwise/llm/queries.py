@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, quality, suffix_tree
+from . import decontamination, license_scan, quality, suffix_tree
 from .common import is_in_fold, table
 from .fingerprints import fingerprints
 from .mixing import mix_plan
@@ -122,3 +122,8 @@ FROM p LEFT JOIN f USING (payload_digest)
 @query
 def op6_paragraph_sketches(spark, sf_dir):
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("blocks")
