@@ -12,6 +12,7 @@ from .common import is_in_fold, table
 from .fingerprints import fingerprints
 from .mixing import mix_plan
 from .near_dup import near_duplicates
+from .token_counts import ranked_scores, token_counts
 from .token_store import store_tokens
 from .warc import round_trip
 
@@ -127,3 +128,8 @@ def op6_paragraph_sketches(spark, sf_dir):
 @query
 def op10_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+@query
+def op5_trie_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), ranked_scores(public_tokenizers.path("piece_bpe_32k.model")))
