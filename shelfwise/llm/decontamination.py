@@ -16,7 +16,8 @@ are found under each, and texts that share an id each for itself; null item ids
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -60,8 +61,8 @@ def run_hashes(h: np.ndarray, length: int) -> np.ndarray:
 def tiling(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
     """Greedy string tiles ``(place in item, place in doc, length)`` of two sequences of word hashes.
 
-    The search length starts at the longest possible one and halves when no unmarked run of it is shared; a match
-    is lengthened to its full extent before the longest ones are marked.
+    The search length starts at the longest possible one and halves when all shared unmarked runs of it are dealt
+    with. A match is lengthened to its full extent; the longest comes first, ties by place.
     """
     free_item, free_doc = np.ones(len(item), bool), np.ones(len(doc), bool)
     tiles: list[tuple[int, int, int]] = []
@@ -88,14 +89,21 @@ def tiling(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int,
                        and item[place + n] == doc[at + n]):
                     n += 1
                 if n >= length:
-                    matches.append((n, place, at))
-        for n, place, at in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            if free_item[place:place + n].all() and free_doc[at:at + n].all():
-                free_item[place:place + n] = free_doc[at:at + n] = False
-                tiles.append((place, at, n))
-        # Occluded remains of a match may still be of this length: search again before going shorter.
-        if not matches:
-            length = max(min_match, length // 2) if length > min_match else 0
+                    matches.append((-n, place, at))
+        heapify(matches)
+        while matches:
+            n, place, at = heappop(matches)
+            free = free_item[place:place - n] & free_doc[at:at - n]
+            if free.all():
+                free_item[place:place - n] = free_doc[at:at - n] = False
+                tiles.append((place, at, -n))
+                continue
+            # Partly covered by now: what is left waits for its turn.
+            edges = np.flatnonzero(np.diff(np.concatenate([[False], free, [False]]).astype(np.int8)))
+            for a, b in edges.reshape(-1, 2).tolist():
+                if b - a >= length:
+                    heappush(matches, (a - b, place + a, at + a))
+        length = max(min_match, length // 2) if length > min_match else 0
     return tiles
 
 
