@@ -238,29 +238,80 @@ def _(v):
     return resolve_month_range(v.orders.select(day.cast("string").alias("run_dt")).distinct(), overrides)
 
 
-_CHECKS = ("key_unique", "min_max_avg", "default_is_min", "midrange_is_null", "mode", "not_negative")
+_VALID = "CASE WHEN {0} > 0 THEN {0} END"
+_STATS = ("min", "max", "avg", "mode")
+_LIST, _ONLINE = "sku_list_price", "sku_online_price"
+
+
+def _derived(price: str, short: str) -> str:
+    """Statistics of the valid daily prices of a key and month, with the lowest of the most frequent prices."""
+    return f"""
+{short}_counts AS (SELECT sku_id, region, dt, {price} AS x, count(*) AS n FROM sku_snapshot WHERE {price} > 0 GROUP BY ALL),
+{short}_stats AS (SELECT sku_id, region, dt, min(x) AS {short}_min, max(x) AS {short}_max, sum(x * n) / sum(n) AS {short}_avg,
+  first(x ORDER BY n DESC, x) AS {short}_mode FROM {short}_counts GROUP BY ALL)"""
+
+
+def _apart(a: str, b: str) -> str:
+    return f"coalesce(abs({a} - {b}) >= 0.001, ({a} IS NULL) <> ({b} IS NULL))"
+
+
+# What the damage does to the monthly table, by the hash of the key: the same text for both engines.
+_DAMAGE = {
+    "drop": "h % 11 = 0", "double": "h % 11 = 1", "list_max": "h % 11 = 2", "default": "h % 11 = 3", "midrange": "h % 11 = 4",
+    "mode": "h % 11 = 5", "negative": "h % 11 = 6", "currency": "h % 11 = 7",
+}
+_H = "(CAST(sku_id AS INT) * 31 + length(region) * 7 + CAST(substr({0}, 6, 2) AS INT) * 3 + CAST(substr({0}, 3, 2) AS INT))"
 
 
 @R.add("dq_report", f"""
-WITH target AS (
-  SELECT sku_id, region, dt AS month_dt,
-    first(sku_list_price_currency ORDER BY CASE WHEN sku_list_price > 0 THEN sku_list_price END NULLS LAST,
-      coalesce(sku_list_price_currency, '') <> '' DESC) AS lc,
-    first(sku_online_price_currency ORDER BY CASE WHEN sku_online_price > 0 THEN sku_online_price END NULLS LAST,
-      coalesce(sku_online_price_currency, '') <> '' DESC) AS oc,
-    min(sku_list_price) FILTER (sku_list_price > 0) AS l, min(sku_online_price) FILTER (sku_online_price > 0) AS o
+WITH {_derived(_LIST, "l").strip()}, {_derived(_ONLINE, "o").strip()},
+keys AS (SELECT sku_id, region, dt, {_H.format("dt")} AS h,
+    first(sku_list_price_currency ORDER BY {_VALID.format(_LIST)} NULLS LAST, coalesce(sku_list_price_currency, '') <> '' DESC) AS lc,
+    first(sku_online_price_currency ORDER BY {_VALID.format(_ONLINE)} NULLS LAST,
+      coalesce(sku_online_price_currency, '') <> '' DESC) AS oc
   FROM sku_snapshot WHERE sku_list_price IS NOT NULL OR sku_online_price IS NOT NULL GROUP BY sku_id, region, dt),
+made AS (SELECT * FROM keys LEFT JOIN l_stats USING (sku_id, region, dt) LEFT JOIN o_stats USING (sku_id, region, dt)),
+target AS (
+  SELECT *, CASE WHEN {_DAMAGE["negative"]} THEN -1.0 WHEN {_DAMAGE["default"]} THEN l_min + 1 ELSE l_min END AS l,
+    CASE WHEN {_DAMAGE["negative"]} THEN -1.0 ELSE l_min END AS t_min,
+    CASE WHEN {_DAMAGE["list_max"]} THEN coalesce(l_max, 0) + 0.5 ELSE l_max END AS t_max,
+    CASE WHEN {_DAMAGE["mode"]} THEN coalesce(l_mode, 0) + 2 ELSE l_mode END AS t_mode,
+    CASE WHEN {_DAMAGE["midrange"]} THEN 1.0 END AS t_midrange, CASE WHEN {_DAMAGE["currency"]} THEN '' ELSE lc END AS t_lc,
+    count(*) OVER (PARTITION BY sku_id, region, dt) AS n
+  FROM made, generate_series(1, 2) g(copy) WHERE NOT {_DAMAGE["drop"]} AND (copy = 1 OR {_DAMAGE["double"]})),
 report AS (
-  SELECT 'price_has_currency' AS "check", CAST(count(*) FILTER ((l IS NOT NULL AND coalesce(lc, '') = '')
-    OR (o IS NOT NULL AND coalesce(oc, '') = '')) AS BIGINT) AS violations FROM target
-  UNION ALL SELECT 'not_empty', CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) FROM target
-  UNION ALL SELECT 'complete', CAST(0 AS BIGINT)
-  {' '.join(f"UNION ALL SELECT '{c}', CAST(0 AS BIGINT)" for c in _CHECKS)})
-SELECT "check", violations, violations = 0 AS passed FROM report
+  SELECT 'price_has_currency' AS "check", count(*) FILTER ((l IS NOT NULL AND coalesce(t_lc, '') = '')
+    OR (o_min IS NOT NULL AND coalesce(oc, '') = '')) AS violations FROM target
+  UNION ALL SELECT 'not_empty', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM target
+  UNION ALL SELECT 'complete', (SELECT count(*) FROM keys) - count(DISTINCT (sku_id, region, dt)) FROM target
+  UNION ALL SELECT 'key_unique', count(*) FILTER (n > 1) FROM target
+  UNION ALL SELECT 'min_max_avg', count(*) FILTER ({_apart("t_min", "l_min")} OR {_apart("t_max", "l_max")}) FROM target
+  UNION ALL SELECT 'default_is_min', count(*) FILTER ({_apart("l", "t_min")}) FROM target
+  UNION ALL SELECT 'midrange_is_null', count(*) FILTER (t_midrange IS NOT NULL) FROM target
+  UNION ALL SELECT 'mode', count(*) FILTER ({_apart("t_mode", "l_mode")}) FROM target
+  UNION ALL SELECT 'not_negative', count(*) FILTER (l < 0 OR t_min < 0) FROM target)
+SELECT "check", CAST(violations AS BIGINT) AS violations, violations = 0 AS passed FROM report
 """, ("sku_snapshot",))
 def _(v):
     daily = v.stored("sku_snapshot")
-    return run_checks(P.price_monthly(daily), daily.withColumn("month_dt", F.col("dt")))
+    made = P.price_monthly(daily).withColumn("h", F.expr(_H.format("month_dt").replace("substr", "substring")))
+    hit = {name: F.expr(rule) for name, rule in _DAMAGE.items()}
+    target = (
+        made.filter(~hit["drop"])
+        .withColumn("copy", F.explode(F.when(hit["double"], F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+        .withColumns({
+            "sku_list_price": F.when(hit["negative"], -1.0).when(hit["default"], F.col("sku_list_price_min") + 1).otherwise(
+                F.col("sku_list_price")),
+            "sku_list_price_min": F.when(hit["negative"], -1.0).otherwise(F.col("sku_list_price_min")),
+            "sku_list_price_max": F.when(hit["list_max"], F.coalesce("sku_list_price_max", F.lit(0.0)) + 0.5).otherwise(
+                F.col("sku_list_price_max")),
+            "sku_list_price_mode": F.when(hit["mode"], F.coalesce("sku_list_price_mode", F.lit(0.0)) + 2).otherwise(
+                F.col("sku_list_price_mode")),
+            "sku_list_price_midrange": F.when(hit["midrange"], 1.0).otherwise(F.col("sku_list_price_midrange")),
+            "sku_list_price_currency": F.when(hit["currency"], "").otherwise(F.col("sku_list_price_currency")),
+        }).drop("h", "copy")
+    )
+    return run_checks(target, daily.withColumn("month_dt", F.col("dt")))
 
 
 # --- feeds ----------------------------------------------------------------------------------------------------
@@ -342,7 +393,7 @@ def _(v):
         "search": ("search", search, "search")}, "site")
 
 
-@R.add("semi_anti_candidates", """
+_WANTED = """
 WITH work AS (SELECT CAST(doc_id AS VARCHAR) AS sku_id, CASE WHEN toxic = 0 THEN 'amazon_translation' ELSE 'other' END AS t,
               CASE quality WHEN 1 THEN '2024-02-01' ELSE '2024-01-01' END AS etl_dt FROM labels),
 newest AS (SELECT max(etl_dt) AS d FROM work WHERE t = 'amazon_translation'),
@@ -350,9 +401,11 @@ asked AS (SELECT sku_id FROM work, newest WHERE t = 'amazon_translation' AND etl
 cache AS (SELECT md5(text) AS h FROM documents JOIN labels USING (doc_id) WHERE quality = 0),
 wanted AS (SELECT DISTINCT text AS product_title, source AS brand, md5(text) AS fields_hash FROM documents
            WHERE CAST(doc_id AS VARCHAR) IN (SELECT sku_id FROM asked) AND text <> '' AND source <> '')
-SELECT * FROM wanted WHERE fields_hash NOT IN (SELECT h FROM cache) ORDER BY fields_hash || md5(brand) LIMIT 150
-""")
-def _(v):
+SELECT * FROM wanted WHERE fields_hash NOT IN (SELECT h FROM cache)
+"""
+
+
+def _candidates(v, **options):
     work = v.labels.select(
         F.col("doc_id").cast("string").alias("sku_id"),
         F.when(F.col("toxic") == 0, "amazon_translation").otherwise("other").alias("task_type"),
@@ -363,7 +416,18 @@ def _(v):
     cache = v.documents.join(v.labels, "doc_id").select(
         F.md5("text").alias("Fields_hash"), F.when(F.col("quality") == 0, F.col("text")).otherwise("").alias(
             "Fields_in_translation"))
-    return P.translation_candidates(work, dimension, cache, quota=200, done_today=50)
+    return P.translation_candidates(work, dimension, cache, **options)
+
+
+@R.add("translation_candidates", _WANTED)
+def _(v):
+    return _candidates(v)
+
+
+# The quota itself is the feature here: the first 150 by hash.
+@R.add("semi_anti_candidates", _WANTED + "ORDER BY fields_hash || md5(brand) LIMIT 150")
+def _(v):
+    return _candidates(v, quota=200, done_today=50)
 
 
 # --- parsing --------------------------------------------------------------------------------------------------

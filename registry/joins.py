@@ -189,8 +189,9 @@ WITH s AS (SELECT max(month_dt) AS newest, CAST(count(DISTINCT market) AS BIGINT
 SELECT platform, market, item_id, pfsku_id, shop_id, newest, markets FROM listing_month, s WHERE month_dt = newest
 """, ("listing_month",))
 def _(v):
-    one = v.stored("listing_month").agg(F.max("month_dt").alias("newest"), F.count_distinct("market").alias("markets"))
-    return J.with_scalar(v.stored("listing_month"), one).filter("month_dt = newest").select(
+    listings = v.stored("listing_month")
+    newest = {"newest": F.max("month_dt"), "markets": F.count_distinct("market")}
+    return J.with_scalar(listings, listings, newest).filter("month_dt = newest").select(
         "platform", "market", "item_id", "pfsku_id", "shop_id", "newest", "markets")
 
 

@@ -123,18 +123,45 @@ def _(v):
     return v.documents.select("doc_id", T.cache_key("text").alias("fields_hash"))
 
 
-# xxhash64 and NFKC exist in no SQL function of the other engine: rows only here, literal values in the tests.
-@R.add("surrogate_key")
+# xxhash64 exists in no SQL function of the other engine. What a key has to do can be compared: as many keys as
+# there are distinct tuples, in every platform, and no key for two tuples.
+_TUPLE = """platform || '||' || coalesce(market, 'cn') || '||' || item_id || '||' || pfsku_id || '||' ||
+  coalesce(CAST(sku_no AS VARCHAR), '1') || '||' || month_dt || '||' || coalesce(shop_id, '0')"""
+
+
+@R.add("surrogate_key", f"""
+SELECT platform, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT {_TUPLE}) AS BIGINT) AS n_keys, CAST(0 AS BIGINT) AS shared
+FROM mapping GROUP BY platform
+""", ("mapping",))
 def _(v):
-    return v.mapping.select("platform", "market", "item_id", "pfsku_id", "shop_id", "month_dt", "sku_no",
-                            K.part_key(part="sku_no").alias("unique_id"))
+    parts = ["platform", F.coalesce("market", F.lit("cn")), "item_id", "pfsku_id",
+             F.coalesce(F.col("sku_no").cast("string"), F.lit("1")), "month_dt", F.coalesce("shop_id", F.lit("0"))]
+    keyed = v.mapping.select("platform", K.part_key(part="sku_no").alias("unique_id"), F.concat_ws("||", *parts).alias("t"))
+    by_key = keyed.groupBy("platform", "unique_id").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("a"), F.max("t").alias("b"))
+    return by_key.groupBy("platform").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("a") != F.col("b")).alias("shared"))
+
+
+# Full-width forms of ASCII and some half-width katakana with their NFKC forms. Fixed values.
+_WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
+_ASCII = "".join(chr(c) for c in range(0x21, 0x7F))
+_HALF, _FULL = "ｱｲｳｴｵｶｷｸｹｺ", "アイウエオカキクケコ"
 
 
-@R.add("nfkc_brand")
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@R.add("nfkc_brand", f"""
+SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'JP' ELSE 'US' END AS market, CASE WHEN turn % 2 = 0
+  THEN left(text, 40) || '{_FULL}' ELSE translate(left(text, 40), {_sql_text(_ASCII)}, {_sql_text(_WIDE)}) || '{_HALF}' END AS brand_name
+FROM conversations
+""")
 def _(v):
-    market = F.when(F.col("turn") % 2 == 0, "JP").otherwise("US")
-    return v.conversations.withColumn("market", market).select(
-        "conv_id", "turn", "market", T.nfkc_in_market("text", "market").alias("brand_name"))
+    wide = F.concat(F.translate(F.substring("text", 1, 40), _ASCII, _WIDE), F.lit(_HALF))
+    rows = v.conversations.select(
+        "conv_id", "turn", F.when(F.col("turn") % 2 == 0, "JP").otherwise("US").alias("market"), wide.alias("brand_name"))
+    return T.nfkc_in_market(rows, ["brand_name"], "market")
 
 
 @R.add("brand_key", rf"""

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Unicode white space, as a regular-expression character class. Fixed value.
 WHITE_SPACE = r"\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -135,21 +135,32 @@ def cache_key(c: Column | str) -> Column:
 
 
 def nfkc(c: Column | str) -> Column:
-    """Unicode NFKC form. Spark has no such function; plain ASCII never reaches Python with a value."""
+    """Unicode NFKC form. Spark has no such function; see :func:`nfkc_in_market` for tables."""
 
     # Nested, so that it travels by value and executors need no copy of this package.
     @F.pandas_udf("string")
     def normalise(texts: pd.Series) -> pd.Series:
         return texts.str.normalize("NFKC")
 
-    needs = col(c).rlike(r"[^\x00-\x7F]")
-    return F.coalesce(normalise(F.when(needs, col(c))), col(c))
+    return normalise(col(c))
 
 
-def nfkc_in_market(c: Column | str, market: Column | str, wanted: str = "JP") -> Column:
-    """NFKC for one market only."""
-    hit = col(market) == wanted
-    return F.coalesce(nfkc(F.when(hit, col(c))), col(c))
+def nfkc_in_market(df: DataFrame, names: Sequence[str], market: str, wanted: str = "JP") -> DataFrame:
+    """NFKC of text columns in one market only.
+
+    Only the distinct texts of that market with other than ASCII characters go to Python, once each for all columns;
+    the rows take theirs by a null-safe join, which adaptive execution can split at a hot text.
+    """
+    def needed(name: str) -> Column:
+        return F.when((F.col(market) == wanted) & F.col(name).rlike(r"[^\x00-\x7F]"), F.col(name))
+
+    texts = df.select(F.explode(F.array(*[needed(n) for n in names])).alias("_text")).filter("_text IS NOT NULL").distinct()
+    normal = texts.select("_text", nfkc("_text").alias("_normal"))
+    out = df
+    for name in names:
+        on = needed(name).eqNullSafe(F.col("_text"))
+        out = out.join(normal, on, "left").withColumn(name, F.coalesce("_normal", name)).drop("_text", "_normal")
+    return out.select(*df.columns)
 
 
 def brand_key(c: Column | str) -> Column:

@@ -1,8 +1,7 @@
 """Keyed joins.
 
 All joins are plain equi-joins on named or derived columns, so that Spark can shuffle, broadcast by measured size,
-and split skewed partitions at run time. Nothing here forces a broadcast of data that can grow; the only forced
-one is a single row. Unless stated otherwise the right side should hold one row per key; where it does not, rows
+and split skewed partitions at run time. Nothing here forces a broadcast. Unless stated otherwise the right side should hold one row per key; where it does not, rows
 multiply as in any join.
 """
 
@@ -83,9 +82,9 @@ def interval_join(
     return df.join(other, on & F.col(point).between(F.col(start), F.col(end)), how).drop(*[f"_r_{k}" for k in keys])
 
 
-def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Put the columns of a one-row aggregate on every row."""
-    return df.crossJoin(F.broadcast(one_row))
+def with_scalar(df: DataFrame, source: DataFrame, aggregates: Mapping[str, Column]) -> DataFrame:
+    """Put aggregates over all rows of ``source`` on every row of ``df``, each as a scalar subquery."""
+    return df.withColumns({name: source.agg(a.alias(name)).scalar() for name, a in aggregates.items()})
 
 
 def period_before(c: Column | str, periods: int, step_days: int = 7) -> Column:

@@ -95,21 +95,10 @@ def renumber(
         if out in df.columns else numbered.withColumnRenamed("_position", out)
 
 
-def first_by_hash(df: DataFrame, key: str, n: int, digits: int = 4) -> DataFrame:
-    """The ``n`` rows with the smallest ``key``, a unique lower-case hex digest; all rows if there are fewer.
+def first_by_key(df: DataFrame, key: str, n: int, slices: int | None = None) -> DataFrame:
+    """The ``n`` rows with the smallest ``key``, which must be unique; all rows if there are fewer.
 
-    Rows are counted by the first ``digits`` hex digits, at most ``16 ** digits`` counters. Prefixes below the
-    cut are kept as they are; only the one prefix that crosses the cut is ranked.
+    Positions are worked out on the key alone, slice by slice; the rows themselves only pass a semi-join.
     """
-    prefixed = df.withColumn("_prefix", F.substring(key, 1, digits))
-    counters = prefixed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    # The whole window is bounded by the number of prefixes.
-    upto = counters.select("_prefix", "_n", F.sum("_n").over(
-        Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_upto"))
-    started = upto.filter(F.col("_upto") - F.col("_n") < n)
-    candidates = prefixed.join(F.broadcast(started), "_prefix")
-    full = candidates.filter(F.col("_upto") <= n).select(*df.columns)
-    crossing = candidates.filter(F.col("_upto") > n)
-    rank = F.row_number().over(Window.partitionBy("_prefix").orderBy(key))
-    cut = crossing.withColumn("_rank", rank).filter(F.col("_rank") <= n - (F.col("_upto") - F.col("_n")))
-    return full.unionByName(cut.select(*df.columns))
+    numbered = running(df.select(key), [], [F.col(key)], position="_position", slices=slices)
+    return df.join(numbered.filter(F.col("_position") <= n).select(key), key, "left_semi").select(*df.columns)

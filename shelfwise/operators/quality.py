@@ -60,8 +60,7 @@ def run_checks(
         *[F.count_if(c).alias(name) for name, c in row_checks.items()],
         distinct_count(*keys).alias("_found"),
     )
-    wanted = priced.agg(distinct_count(*keys).alias("_wanted"))
-    both = totals.crossJoin(F.broadcast(wanted))
+    both = totals.withColumn("_wanted", priced.agg(distinct_count(*keys).alias("_wanted")).scalar())
     violations = {
         "not_empty": F.when(F.col("_n") == 0, 1).otherwise(0),
         **{name: F.col(name) for name in row_checks},

@@ -13,7 +13,7 @@ from ..functions.text import blank_to_null, cache_key, first_non_blank, flag, im
 from ..operators.collapse import best_fields, merge_json, shortest_first, source_rank
 from ..operators.filters import require
 from ..operators.joins import drop_in, enrich, keep_in
-from ..operators.ordered import first_by_hash
+from ..operators.ordered import first_by_key
 from ..operators.prices import at_min, not_blank, price_stats, valid
 from ..sources.scans import conform, resolve_month_range, union_feeds
 
@@ -206,17 +206,18 @@ def sku_dimension(daily: DataFrame, until: str | None = None, fields: Sequence[s
     return conform(dim, S.SKU_DIM, split_path("sub_category", "category"))
 
 
-# Work-list task that asks for translations, and the daily quota. Fixed values.
-TRANSLATION_TASK, DAILY_QUOTA = "amazon_translation", 1_000_000
+# Work-list task that asks for translations. Fixed value.
+TRANSLATION_TASK = "amazon_translation"
 
 
 def translation_candidates(
-    work_list: DataFrame, dimension: DataFrame, cache: DataFrame | None = None, quota: int = DAILY_QUOTA,
+    work_list: DataFrame, dimension: DataFrame, cache: DataFrame | None = None, quota: int | None = None,
     done_today: int = 0, task: str = TRANSLATION_TASK,
 ) -> DataFrame:
-    """Titles on the newest work list that have no cached translation, at most ``quota`` minus those done today.
+    """Titles on the newest work list that have no cached translation; all of them unless a ``quota`` is given.
 
-    Under the quota the titles with the smallest hash come first, so a run can be repeated.
+    With a quota, at most that many minus those done today: the titles with the smallest hash, so a run can be
+    repeated.
     """
     asked = work_list.filter(F.col("task_type") == task)
     newest = asked.filter(F.col("etl_dt") == asked.select(F.max("etl_dt")).scalar())
@@ -225,6 +226,8 @@ def translation_candidates(
     if cache is not None:
         translated = require(cache, ["Fields_in_translation"]).select(F.col("Fields_hash").alias("fields_hash"))
         wanted = drop_in(wanted, translated, ["fields_hash"])
+    if quota is None:
+        return wanted
     # A title can occur with several brands; the quota counts rows, so the brand is part of the order key.
     keyed = wanted.withColumn("_key", F.concat("fields_hash", F.md5("brand")))
-    return first_by_hash(keyed, "_key", max(quota - done_today, 0)).drop("_key")
+    return first_by_key(keyed, "_key", max(quota - done_today, 0)).drop("_key")

@@ -236,7 +236,7 @@ def standard_mapping(
     items = apply_rules(first, media_rules, {"media": "media"}, "media_src").select(
         *item_keys, F.col("media").alias("_media"), F.col("media_src").alias("_media_src"))
 
-    named = rows.withColumns({c: nfkc_in_market(c, "market", japan) for c in ("brand_name", "ai_brand_name")})
+    named = nfkc_in_market(rows, ["brand_name", "ai_brand_name"], "market", japan)
     ruled = apply_rules(named, brand_rules, {"std_brand_name": "std_brand_name"}, "std_brand_name_src")
     ruled = apply_rules(ruled, category_rules, {c: c for c in category_rules.result_columns})
     ruled = apply_rules(ruled, translation_rules, {c: c for c in translation_rules.result_columns})

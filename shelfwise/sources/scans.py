@@ -25,17 +25,6 @@ def scan_partition(df: DataFrame, col: str, eq=None, ge=None, le=None, between=N
     return df.filter(reduce(lambda a, b: a & b, predicates))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small table to all task slots.
-
-    A Parquet row group is read by one task, so a table in one small file would keep all work up to the first
-    shuffle in a single task. Tables whose scan already has a task per slot are left alone, so at most one scan
-    split per slot is ever moved.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def scope_value(value: str | None) -> str | None:
     """A scope argument, or None when it stands for "everything"."""
     if value is None:

@@ -81,9 +81,9 @@ def test_fingerprint_ignores_white_space(spark):
 
 
 def test_nfkc_only_in_market(spark):
-    got = values(spark, [("ＡＢＣ①", "JP"), ("ＡＢＣ", "US"), ("abc", "JP"), (None, "JP"), ("ｶﾞ", "JP")],
-                 "b string, m string", T.nfkc_in_market("b", "m"))
-    assert got == ["ABC1", "ＡＢＣ", "abc", None, "ガ"]
+    rows = [(1, "ＡＢＣ①", "JP"), (2, "ＡＢＣ", "US"), (3, "abc", "JP"), (4, None, "JP"), (5, "ｶﾞ", "JP"), (6, "ＡＢＣ①", "JP")]
+    df = T.nfkc_in_market(spark.createDataFrame(rows, "n int, b string, m string"), ["b"], "m")
+    assert [r.b for r in df.orderBy("n").collect()] == ["ABC1", "ＡＢＣ", "abc", None, "ガ", "ABC1"]
 
 
 def test_brand_key_and_arbitration(spark):

@@ -144,11 +144,11 @@ def test_hot_group_is_cut_into_many_slices(spark):
     assert len(cut) == 16 and max(r["count"] for r in cut) < 1000
 
 
-def test_first_by_hash_is_exact(spark):
+def test_first_by_key_is_exact(spark):
     df = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("h"), "id")
     for n in (0, 1, 137, 500, 900):
         want = [r["h"] for r in df.orderBy("h").limit(n).collect()]
-        assert sorted(r["h"] for r in R.first_by_hash(df, "h", n, digits=2).collect()) == want
+        assert sorted(r["h"] for r in R.first_by_key(df, "h", n, slices=5).collect()) == want
 
 
 def test_first_same_and_inherit(spark):

@@ -109,12 +109,6 @@ def test_no_nested_loop_join(spark, sf_dir, name):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_spread_moves_only_small_tables(spark):
-    assert scans.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() > 1
-    many = spark.range(10, numPartitions=64)
-    assert scans.spread(many) is many
-
-
 def test_sinks_do_not_shuffle_without_a_file_count(spark):
     df = facts(spark)
     assert sinks.layout(df) is df
