@@ -16,6 +16,12 @@ QUERIES, ORACLE = R.queries, R.sql
 LISTING = ("platform", "market", "item_id", "pfsku_id", "shop_id", "month_dt")
 KEYS = ", ".join(LISTING)
 
+
+def missing_unless(df, condition: str, key: str):
+    """Whole tables with keys that other tables lack: the key of rows that do not meet the condition is changed."""
+    return df.withColumn(key, F.when(F.expr(condition), F.col(key)).otherwise(F.concat(F.lit("no "), key)))
+
+
 # Platforms, markets and months that occur as partitions of the listing table.
 
 
@@ -93,17 +99,17 @@ def _(v):
 
 
 @R.add("composite_join", f"""
-SELECT {KEYS}, sku_no, pfsku_unit_sales, page_price FROM mapping LEFT JOIN (SELECT {KEYS}, pfsku_unit_sales, page_price
-  FROM listing WHERE pfsku_unit_sales > 30) USING ({KEYS})
+SELECT {KEYS}, sku_no, pfsku_unit_sales, page_price FROM mapping LEFT JOIN (SELECT * REPLACE (CASE WHEN pfsku_unit_sales > 30
+  THEN item_id ELSE 'no ' || item_id END AS item_id) FROM (SELECT {KEYS}, pfsku_unit_sales, page_price FROM listing)) USING ({KEYS})
 """, ("mapping", "listing"))
 def _(v):
-    sold = v.listing.filter("pfsku_unit_sales > 30").select(*LISTING, "pfsku_unit_sales", "page_price")
+    sold = missing_unless(v.listing, "pfsku_unit_sales > 30", "item_id").select(*LISTING, "pfsku_unit_sales", "page_price")
     return J.enrich(v.mapping.select(*LISTING, "sku_no"), sold, LISTING)
 
 
 @R.add("conditional_key_join", """
-WITH prices AS (SELECT lower(platform) AS platform, market, item_id, pfsku_id, shop_id, month_dt, page_price
-                FROM listing_month WHERE sku_num > 1)
+WITH prices AS (SELECT lower(platform) AS platform, market, CASE WHEN sku_num > 1 THEN item_id ELSE 'no ' || item_id END AS item_id,
+                pfsku_id, shop_id, month_dt, page_price FROM listing_month)
 SELECT a.platform, a.market, a.item_id, a.pfsku_id, a.shop_id, a.month_dt, b.page_price AS other_price
 FROM listing_month a LEFT JOIN prices b ON lower(a.platform) = b.platform AND a.month_dt = b.month_dt
   AND a.item_id = b.item_id AND a.pfsku_id = b.pfsku_id
@@ -111,15 +117,15 @@ FROM listing_month a LEFT JOIN prices b ON lower(a.platform) = b.platform AND a.
   AND (lower(a.platform) <> 'suning' OR a.shop_id = b.shop_id)
 """, ("listing_month",))
 def _(v):
-    prices = v.stored("listing_month").filter("sku_num > 1").withColumn("platform", F.lower("platform"))
+    prices = missing_unless(v.stored("listing_month"), "sku_num > 1", "item_id").withColumn("platform", F.lower("platform"))
     return J.listing_join(v.stored("listing_month").select(*LISTING), prices, {"page_price": "other_price"})
 
 
 @R.add("null_safe_join", """
 WITH a AS (SELECT item_id, month_dt, nullif(market, 'cn') AS market, sum(pfsku_unit_sales) AS units
            FROM listing_month GROUP BY ALL),
-b AS (SELECT item_id, month_dt, nullif(market, 'cn') AS market, CAST(count(*) AS BIGINT) AS n FROM listing_month
-      WHERE platform <> 'Tmall' GROUP BY ALL)
+b AS (SELECT CASE WHEN platform <> 'Tmall' THEN item_id ELSE 'no ' || item_id END AS item_id, month_dt,
+      nullif(market, 'cn') AS market, CAST(count(*) AS BIGINT) AS n FROM listing_month GROUP BY ALL)
 SELECT a.item_id, a.month_dt, a.market, CAST(units AS BIGINT) AS units, n FROM a LEFT JOIN b ON a.item_id = b.item_id
   AND a.month_dt = b.month_dt AND a.market IS NOT DISTINCT FROM b.market
 """, ("listing_month",))
@@ -127,13 +133,13 @@ def _(v):
     keys = ["item_id", "month_dt", "market"]
     rows = v.listing_month.withColumn("market", F.nullif(F.col("market"), F.lit("cn")))
     a = rows.groupBy(*keys).agg(F.sum("pfsku_unit_sales").alias("units"))
-    b = rows.filter("platform <> 'Tmall'").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    b = missing_unless(rows, "platform <> 'Tmall'", "item_id").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return J.null_safe_join(a, b, keys, nullable=["market"])
 
 
 _GATE = """
-gate AS (SELECT category_1, brand_name, min(month_dt) AS start_time, max(month_dt) AS end_time FROM listing_month
-         WHERE platform = 'Suning' GROUP BY category_1, brand_name HAVING count(*) > 2)
+gate AS (SELECT category_1, CASE WHEN platform = 'Suning' THEN brand_name ELSE 'no ' || brand_name END AS brand_name,
+         min(month_dt) AS start_time, max(month_dt) AS end_time FROM listing_month GROUP BY 1, 2)
 """
 
 
@@ -144,23 +150,22 @@ SELECT {', '.join('a.' + k for k in LISTING)}, start_time, end_time FROM listing
 """, ("listing_month",))
 def _(v):
     rows = v.stored("listing_month")
-    gate = rows.filter("platform = 'Suning'").groupBy("category_1", "brand_name").agg(
-        F.min("month_dt").alias("start_time"), F.max("month_dt").alias("end_time"),
-        F.count(F.lit(1)).alias("n")).filter("n > 2").drop("n")
+    gate = missing_unless(rows, "platform = 'Suning'", "brand_name").groupBy("category_1", "brand_name").agg(
+        F.min("month_dt").alias("start_time"), F.max("month_dt").alias("end_time"))
     return J.interval_join(rows.select(*LISTING, "category_1", "brand_name"), gate, ["category_1", "brand_name"],
                            "month_dt", "start_time", "end_time").select(*LISTING, "start_time", "end_time")
 
 
 @R.add("override_lookup", f"""
-WITH fixed AS (SELECT brand_name, 'Group ' || upper(max(shop_id)) AS grouped FROM listing_month WHERE platform = 'Amazon'
-               GROUP BY brand_name HAVING count(*) > 10)
+WITH fixed AS (SELECT CASE WHEN sku_num > 1 THEN brand_name ELSE 'no ' || brand_name END AS brand_name,
+               'Group ' || upper(max(shop_id)) AS grouped FROM listing_month GROUP BY 1)
 SELECT {KEYS}, coalesce(grouped, brand_name) AS brand_name, CASE WHEN grouped IS NOT NULL THEN 'brand_group' END AS brand_src
 FROM listing_month LEFT JOIN fixed USING (brand_name)
 """, ("listing_month",))
 def _(v):
-    groups = v.stored("listing_month").filter("platform = 'Amazon'").groupBy("brand_name").agg(
-        F.concat(F.lit("Group "), F.upper(F.max("shop_id"))).alias("grouped"), F.count(F.lit(1)).alias("n"))
-    return J.override(v.stored("listing_month").select(*LISTING, "brand_name"), groups.filter("n > 10"), ["brand_name"],
+    groups = missing_unless(v.stored("listing_month"), "sku_num > 1", "brand_name").groupBy("brand_name").agg(
+        F.concat(F.lit("Group "), F.upper(F.max("shop_id"))).alias("grouped"))
+    return J.override(v.stored("listing_month").select(*LISTING, "brand_name"), groups, ["brand_name"],
                       "brand_name", "grouped", "brand_group", "brand_src")
 
 

@@ -10,7 +10,7 @@ from shelfwise.plans import external as X, monthly as P, pet as D
 
 from .base import Registry
 from .crawl import DUCK_TYPES
-from .joins import KEYS, LISTING
+from .joins import KEYS, LISTING, missing_unless
 from .rules import GATE, P1, P2, PRICE, RATIO, STATUS, UNITS
 
 R = Registry()
@@ -125,8 +125,8 @@ notes AS (SELECT upper(platform) AS platform, market, item_id, pfsku_id, month_d
     1 AS is_bundle, CAST(sku_no % 2 AS INT) AS is_gift, max(package) AS package, max(weight) AS weight, min(std_brand_name) AS std_brand_name,
     CASE WHEN sku_no = 1 THEN NULL ELSE max(weight) END AS part_weight
   FROM mapping WHERE sku_num = 3 GROUP BY platform, market, item_id, pfsku_id, month_dt, sku_no),
-weighed AS (SELECT platform, item_id, pfsku_id, month_dt, CAST(sum(pfsku_unit_sales) AS DOUBLE) AS weight_all_in_g,
-    CAST(max(page_price) AS INT) % 5 AS package_all FROM listing WHERE category_1 >= 'M' GROUP BY ALL)
+weighed AS (SELECT platform, CASE WHEN category_1 >= 'M' THEN item_id ELSE 'no ' || item_id END AS item_id, pfsku_id, month_dt,
+    CAST(sum(pfsku_unit_sales) AS DOUBLE) AS weight_all_in_g, CAST(max(page_price) AS INT) % 5 AS package_all FROM listing GROUP BY 1, 2, 3, 4)
 """
 
 
@@ -137,7 +137,7 @@ def _annotations(v):
         F.min("std_brand_name").alias("std_brand_name")).withColumns({
             "platform": F.upper("platform"), "is_bundle": F.lit(1), "is_gift": F.col("sku_no") % 2,
             "part_weight": F.when(F.col("sku_no") != 1, F.col("weight"))})
-    weighed = v.stored("listing").filter("category_1 >= 'M'").groupBy("platform", "item_id", "pfsku_id", "month_dt").agg(
+    weighed = missing_unless(v.stored("listing"), "category_1 >= 'M'", "item_id").groupBy("platform", "item_id", "pfsku_id", "month_dt").agg(
         F.sum("pfsku_unit_sales").cast("double").alias("weight_all_in_g"),
         (F.max("page_price").cast("int") % 5).alias("package_all"))
     return notes, weighed
@@ -191,9 +191,9 @@ _WEIGHTED = [*LISTING, "sku_no", "sku_num", "sku_title", "package", "weight", "t
 @R.add("mapping_origin_weighted", f"""
 WITH {_ANNOTATED.strip()},
 own AS (SELECT * REPLACE ('cn' AS market), CAST(1 AS INT) AS own_no, CASE WHEN shop_id = '9' THEN page_price * 2 END AS own_total, 2 AS own_package,
-    page_price AS own_weight, CASE WHEN shop_id <> '1' THEN 'upstream' END AS own_src FROM listing WHERE market IN ('cn', 'asia')),
+    page_price AS own_weight, CASE WHEN shop_id <> '1' THEN 'upstream' END AS own_src FROM listing),
 n AS (SELECT lower(platform) AS p, item_id, pfsku_id, month_dt, sku_no, min(sku_title) AS spu, max(part_weight) AS w, max(package) AS c, min(std_brand_name) AS b
-  FROM notes WHERE market IN ('cn', 'asia') GROUP BY ALL),
+  FROM notes GROUP BY ALL),
 split AS (SELECT a.*, n.sku_no, spu, w, c, b, count(n.sku_no) OVER (PARTITION BY {', '.join('a.' + k for k in LISTING if k != 'market')}) AS parts
   FROM own a JOIN n ON lower(a.platform) = n.p AND a.item_id = n.item_id AND a.pfsku_id = n.pfsku_id AND a.month_dt = n.month_dt),
 whole AS (SELECT a.*, weight_all_in_g AS g, package_all AS q, coalesce(weight_all_in_g, own_total) AS best, coalesce(package_all, own_package, 1) AS k
@@ -211,12 +211,11 @@ SELECT {KEYS}, own_no, CAST(count(own_no) OVER (PARTITION BY {', '.join(k for k
 """, ("mapping", "listing"))
 def _(v):
     notes, weighed = _annotations(v)
-    home = ("cn", "asia")
-    parts = notes.filter(F.col("market").isin(*home)).groupBy("platform", "item_id", "pfsku_id", "month_dt", "sku_no").agg(
+    parts = notes.groupBy("platform", "item_id", "pfsku_id", "month_dt", "sku_no").agg(
         F.min("sku_title").alias("std_spu_name"), F.min("std_brand_name").alias("std_brand_name"),
         F.max("part_weight").alias("weight"), F.max("package").alias("package_num"),
         F.max("is_bundle").alias("is_bundle"), F.max("is_gift").alias("is_gift")).withColumn("weight_unit", F.lit("ml"))
-    own = v.stored("listing").filter(F.col("market").isin(*home)).withColumns({
+    own = v.stored("listing").withColumns({
         "sku_no": F.lit(1), "sku_title": F.col("item_title"),
         "total_weight": F.when(F.col("shop_id") == "9", F.col("page_price") * 2), "package": F.lit(2),
         "weight": F.col("page_price"), "total_weight_src": F.when(F.col("shop_id") != "1", "upstream"),
@@ -445,12 +444,13 @@ f AS (SELECT *, CASE WHEN prime_cat IS NULL AND mid_cat = '狗零食' AND market
     CASE WHEN prime_cat IS NULL AND mid_cat = '狗零食' AND market = 'asia' THEN '104747,1' ELSE mid_cat_src END AS cat_src,
     CASE WHEN regexp_matches(item_title, '^[a-f]') THEN 'kitten' END AS lifestage FROM e),
 w AS (SELECT *, CASE WHEN platform = 'Suning' THEN 3 ELSE 2 END AS package, CASE WHEN platform <> 'Suning' AND market = 'europe' THEN 250.5 ELSE page_price END AS weight FROM f),
-pet_gate AS (SELECT DISTINCT cat AS c2, brand AS b FROM f WHERE brand IS NOT NULL AND cat IS NOT NULL AND platform = 'Tmall' AND month_dt < '1995-01-01'),
+pet_gate AS (SELECT DISTINCT cat AS c2, brand AS b FROM f WHERE brand IS NOT NULL AND cat IS NOT NULL AND platform = 'Tmall'),
 g AS (SELECT w.*, p.b IS NOT NULL AND ((spu_src = '104736,1' AND platform = 'Tmall') OR sku_src <> '机器清洗') AS keep
   FROM w LEFT JOIN pet_gate p ON w.cat = p.c2 AND w.brand = p.b AND w.platform = 'Tmall' AND month_dt BETWEEN '1994-01-01' AND '1996-01-01'),
 n AS (SELECT *, CASE WHEN keep THEN spu ELSE coalesce(brand, '') || coalesce(lifestage, '') || coalesce(std_category_3, '') END AS name0,
     CASE WHEN keep THEN spu_src ELSE 'brand_limit_rule' END AS src0 FROM g),
-o AS (SELECT *, CASE WHEN name0 = 'Gear' THEN 'Gear Box' ELSE name0 END AS name1, CASE WHEN name0 = 'Gear' THEN 'spu_mapping' ELSE src0 END AS src1 FROM n)
+names AS (SELECT DISTINCT 'name ' || p_name AS old, 'line ' || upper(p_name) AS new FROM part),
+o AS (SELECT n.*, coalesce(new, name0) AS name1, CASE WHEN new IS NOT NULL THEN 'spu_mapping' ELSE src0 END AS src1 FROM n LEFT JOIN names ON name0 = old)
 SELECT platform, market, item_id, pfsku_id, shop_id, month_dt, brand AS std_brand_name, brand_src AS std_brand_name_src, cat AS std_category_2, cat_src AS std_category_2_src,
   CASE WHEN cat LIKE '猫%' THEN '猫食品' WHEN cat LIKE '狗%' THEN '狗食品' END AS std_category_1, lifestage,
   CASE WHEN lifestage IS NOT NULL THEN '104737,1' END AS lifestage_src,
@@ -476,12 +476,11 @@ def _(v):
     named = D.standard_names(
         D.apply_rules(rows, _SHOP, {"fix_shop_id": "shop_id", "fix_shop_name": "shop_name"}), _PRIMARY, _FALL_BRAND,
         _LATE_BRAND, _FALL_CAT, _LATE_CAT, "pn_monthly_sales_discount", "rc_monthly_sales_discount")
-    gate = named.filter("std_brand_name IS NOT NULL AND std_category_2 IS NOT NULL AND platform = 'Tmall' "
-                        "AND month_dt < '1995-01-01'").select(
+    gate = named.filter("std_brand_name IS NOT NULL AND std_category_2 IS NOT NULL AND platform = 'Tmall'").select(
         "std_category_2", "std_brand_name", "platform", F.lit("1994-01-01").alias("start_time"),
         F.lit("1996-01-01").alias("end_time")).distinct()
-    names = v.listing_month.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("Gear").alias("std_spu_name"), F.lit("Gear Box").alias("std_spu_name_map"))
+    names = v.part.select(F.concat(F.lit("name "), "p_name").alias("std_spu_name"),
+                          F.concat(F.lit("line "), F.upper("p_name")).alias("std_spu_name_map")).distinct()
     out = D.pet_mapping(
         rows, _SHOP, _NAME, _PRIMARY, _FALL_BRAND, _LATE_BRAND, _FALL_CAT, _LATE_CAT, _SHARED, _OWN,
         {"fix_lifestage": "lifestage", "fix_breed": "breed"}, _PACK, _CHANNEL, gate, names)

@@ -9,7 +9,7 @@ from shelfwise.operators.rules import Rule, RuleSet
 from shelfwise.plans.chained import chained_mapping
 
 from .base import Registry
-from .joins import KEYS, LISTING
+from .joins import KEYS, LISTING, missing_unless
 
 R = Registry()
 QUERIES, ORACLE = R.queries, R.sql
@@ -139,9 +139,8 @@ def _(v):
 
 
 GATE = """
-gate AS (SELECT category_1 AS std_category_2, upper(brand_name) || '! ' AS std_brand_name, 'TMALL' AS platform,
-    min(month_dt) AS start_time, max(month_dt) AS end_time FROM listing_month WHERE platform = 'Suning'
-  GROUP BY category_1, brand_name HAVING count(*) > 2),
+gate AS (SELECT category_1 AS std_category_2, upper(CASE WHEN platform = 'Suning' THEN brand_name ELSE 'no ' || brand_name END) || '! '
+    AS std_brand_name, 'TMALL' AS platform, min(month_dt) AS start_time, max(month_dt) AS end_time FROM listing_month GROUP BY 1, 2),
 named AS (SELECT m.*, category_1 AS std_category_2, market AS lifestage, item_title AS std_category_3,
     'name ' || item_title AS std_spu_name, CASE WHEN shop_id IN ('0', '1') THEN '104736,' || shop_id ELSE '104736,__DEFAULT__' END AS std_spu_name_src,
     CASE WHEN CAST(item_id AS INT) % 2 = 0 THEN '机器清洗' ELSE 'annotated' END AS sku_src FROM listing_month m),
@@ -161,9 +160,8 @@ def gate_inputs(v):
                                      .otherwise("__DEFAULT__")),
         "sku_src": F.when(F.col("item_id").cast("int") % 2 == 0, "机器清洗").otherwise("annotated"),
     })
-    gate = v.stored("listing_month").filter("platform = 'Suning'").groupBy("category_1", "brand_name").agg(
-        F.min("month_dt").alias("start_time"), F.max("month_dt").alias("end_time"),
-        F.count(F.lit(1)).alias("n")).filter("n > 2").select(
+    gate = missing_unless(v.stored("listing_month"), "platform = 'Suning'", "brand_name").groupBy("category_1", "brand_name").agg(
+        F.min("month_dt").alias("start_time"), F.max("month_dt").alias("end_time")).select(
         F.col("category_1").alias("std_category_2"),
         F.concat(F.upper("brand_name"), F.lit("! ")).alias("std_brand_name"), F.lit("TMALL").alias("platform"),
         "start_time", "end_time")
@@ -222,3 +220,48 @@ def _(v):
         *LISTING, "package", "weight", "total_weight", "total_weight_src", "package_weight_src", "size", "size_src", "std_sku_name",
         "sku_title", "std_sub_segment", "std_category_name", "std_category_name_src", "std_brand_name", "std_brand_name_src",
         "manufacturer", "total_size")
+
+
+# A rule per part: equality, lists, contained words, patterns and ranges, with equal priorities.
+_RULES = """
+SELECT p_partkey % 3 AS set_id, CAST(floor(p_partkey / 4) AS INT) AS priority,
+  CASE p_partkey % 5
+    WHEN 0 THEN '{"brand_name": "' || p_brand || '", "item_id": "' || CAST(p_partkey % 50 AS STRING) || '"}'
+    WHEN 1 THEN '{"brand_name": ["in", ["' || p_brand || '", "' || p_type || '"]], "platform": "Tmall"}'
+    WHEN 2 THEN '{"item_title": ["contains", "' || substring(p_name, 3, 5) || '"], "shop_id": "' || CAST(p_size % 4 AS STRING) || '"}'
+    WHEN 3 THEN '{"item_title": ["rlike", "^' || substring(p_name, 1, 3) || '"], "market": ["not_in", ["asia", "cn"]]}'
+    ELSE '{"page_price": ["between", ' || CAST(p_size AS STRING) || ', ' || CAST(p_size + 1 AS STRING) || '], "sku_num": 2}' END AS conditions,
+  '{"std": "R' || CAST(p_partkey AS STRING) || '"}' AS results,
+  p_partkey, p_brand, p_type, p_name, p_size
+FROM part
+"""
+
+
+@R.add("rules_many", f"""
+WITH r AS ({_RULES.replace("STRING", "VARCHAR")}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY set_id ORDER BY priority, conditions, results) AS rn FROM r),
+hits AS (SELECT {', '.join('l.' + k for k in LISTING)}, r.set_id, min(rn) AS rn FROM listing_month l JOIN ranked r ON CASE p_partkey % 5
+    WHEN 0 THEN brand_name = p_brand AND item_id = CAST(p_partkey % 50 AS VARCHAR)
+    WHEN 1 THEN brand_name IN (p_brand, p_type) AND platform = 'Tmall'
+    WHEN 2 THEN contains(item_title, substring(p_name, 3, 5)) AND shop_id = CAST(p_size % 4 AS VARCHAR)
+    WHEN 3 THEN starts_with(item_title, substring(p_name, 1, 3)) AND market NOT IN ('asia', 'cn')
+    ELSE page_price BETWEEN p_size AND p_size + 1 AND sku_num = 2 END GROUP BY ALL),
+found AS (SELECT h.*, 'R' || CAST(p_partkey AS VARCHAR) AS std, CAST(h.set_id AS VARCHAR) || ',' || CAST(priority AS VARCHAR) AS src
+  FROM hits h JOIN ranked r ON h.set_id = r.set_id AND h.rn = r.rn)
+SELECT {KEYS}, {', '.join(f"max(std) FILTER (set_id = {s}) AS std_{s}, max(src) FILTER (set_id = {s}) AS src_{s}" for s in range(3))}
+FROM (SELECT {KEYS}, NULL AS set_id, NULL AS std, NULL AS src FROM listing_month
+      UNION ALL SELECT {KEYS}, set_id, std, src FROM found) GROUP BY {KEYS}
+""", ("listing_month",))
+def _(v):
+    sets = Q.load_rule_sets(_rules_of(v.part))
+    rows = v.stored("listing_month")
+    for s in sorted(sets):
+        rows = Q.apply_rules(rows, sets[s], {"std": f"std_{s}"}, f"src_{s}")
+    return rows.select(*LISTING, *[f"{c}_{s}" for s in range(3) for c in ("std", "src")])
+
+
+def _rules_of(part):
+    """The same rules from the table of parts."""
+    columns = _RULES.split("SELECT", 1)[1].rsplit("FROM part", 1)[0]
+    part.createOrReplaceTempView("parts_for_rules")
+    return part.sparkSession.sql(f"SELECT {columns} FROM parts_for_rules")

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .joins import period_before
+from .joins import enrich_by, period_before
 
 STANDARD_DAYS = 7
 # Reviews from which a product without history counts as an old product that was missed. Fixed value.
@@ -130,15 +130,19 @@ def calibrate(
     ``primary(sku_id, month_dt, units)`` wins as it is, scaled to a week (at least 1 if it sold). Else
     ``secondary`` bounds the forecast: below ``low`` of its weekly value the forecast rises to that value, but at
     most ``up``-fold; above ``high`` times it falls to that bound or to ``down`` of itself, whichever is smaller.
-    Both tables are summed per SKU and month first, so rows never multiply.
+    Both tables are summed per SKU and month first, so rows never multiply. They are read for the months that the
+    forecast asks for, as literal values: one small job looks up its weeks, of which a run has one.
     """
+    rows = predicted.withColumn("_month", previous_month_of("next_week_dt"))
+    months = [r["_month"] for r in rows.select("_month").distinct().collect() if r["_month"]]
+
     def monthly(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.col("sku_id").cast("string").alias("sku_id"), F.col("month_dt").alias("_month")).agg(
+        return df.filter(F.col("month_dt").isin(*months)).groupBy(
+            F.col("sku_id").cast("string").alias("sku_id"), F.col("month_dt").alias("_month")).agg(
             F.sum("units").alias(name))
 
-    rows = predicted.withColumn("_month", previous_month_of("next_week_dt"))
-    joined = rows.join(monthly(primary, "_primary"), ["sku_id", "_month"], "left").join(
-        monthly(secondary, "_secondary"), ["sku_id", "_month"], "left")
+    keys = ["sku_id", "_month"]
+    joined = enrich_by(enrich_by(rows, monthly(primary, "_primary"), keys), monthly(secondary, "_secondary"), keys)
     days = F.day(F.last_day(F.to_date("_month")))
     p, s, own = F.col("_primary"), F.col("_secondary"), F.col("predicted_weekly_sales")
 

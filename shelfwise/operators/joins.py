@@ -23,6 +23,17 @@ def enrich(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "lef
     return df.join(right, list(keys), how)
 
 
+def enrich_by(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join with an aggregate by the same keys; NULL keys meet nothing.
+
+    A join on the aggregate's own keys would reuse its partitioning, and adaptive execution does not split a hot key
+    then. Compared null-safely, both sides are shuffled for the join alone and can be split.
+    """
+    other = totals.dropna(subset=list(keys)).withColumnsRenamed({k: f"_e_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys]
+    return df.join(other, on, "left").drop(*[f"_e_{k}" for k in keys])
+
+
 def keep_in(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs on the right."""
     return df.join(right.select(*keys), list(keys), "left_semi")

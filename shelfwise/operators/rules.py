@@ -1,9 +1,9 @@
-"""Decision tables ("rule sets") as column expressions.
+"""Decision tables ("rule sets") as column expressions and joins.
 
 A rule set is an ordered list of rules; the first rule whose conditions all hold gives the values of the result
-columns. Rule sets are configuration of checked size: they become one ``CASE`` over the row, so applying them needs
-no shuffle and no Python per row. Sets that only test equality and may be large stay tables and are joined, see
-:func:`apply_lookup`.
+columns. Rules are configuration: they become one flat ``CASE`` over the row, and many equality rules on the same columns
+one joined table, which Spark broadcasts by its known size. No Python per row. A table of keys that grows with the
+data is joined as a table, see :func:`apply_lookup`.
 """
 
 from __future__ import annotations
@@ -11,16 +11,23 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
+from decimal import Decimal
 from functools import reduce
+from itertools import product
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.text import brand_key
-from .joins import interval_join
+from .joins import enrich_by, interval_join
 
 # Texts of a rule result that keep the value the row already has. Fixed values.
 KEEP = ("", "NULL")
+# Rules on the same columns from which their values are joined as a table instead of tested one by one.
+JOINED_FROM = 30
+# Branches of a CASE for which Spark may generate code.
+COMPILED_UP_TO = 100
 # Priority that is noted when no rule matched, and the source of a name built by the gate. Fixed values.
 DEFAULT, GATED = "__DEFAULT__", "brand_limit_rule"
 # Source of a row that the exclusion list names, and the status that it gets. Fixed values.
@@ -54,46 +61,72 @@ class RuleSet:
         return list(dict.fromkeys(c for r in self.rules for c in r.then))
 
 
-def condition(col: str, test: Any) -> Column:
-    """One test of a rule; a NULL value only passes ``is_null``, ``not_in`` and ``not_contains`` never pass it."""
-    c = F.col(col)
+def literal(value: Any) -> str:
+    """A rule value as SQL text."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, int):
+        return f"{value}L" if abs(value) >= 2**31 else str(value)
+    if isinstance(value, float):
+        return f"CAST('{value!r}' AS DOUBLE)"
+    if isinstance(value, Decimal):
+        return f"{value:f}BD"
+    if isinstance(value, datetime):
+        return f"TIMESTAMP'{value.isoformat(' ')}'"
+    if isinstance(value, date):
+        return f"DATE'{value.isoformat()}'"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def condition_sql(col: str, test: Any) -> str:
+    """One test of a rule as SQL text; a NULL value only passes ``is_null``, ``not_in`` and ``not_contains`` never
+    pass it."""
+    c = f"`{col}`"
     if not isinstance(test, (tuple, list)):
-        return c == test
+        return f"{c} = {literal(test)}"
     kind, *args = test
+
+    def listed(values: Sequence[Any]) -> str:
+        return f"{c} IN ({', '.join(map(literal, values))})" if values else f"({c} IS NULL AND NULL)"
+
     makers = {
-        "eq": lambda v: c == v,
-        "in": lambda values: c.isin(*values),
-        "not_in": lambda values: ~c.isin(*values),
-        "contains": lambda text: F.contains(c, F.lit(text)),
-        "not_contains": lambda text: ~F.contains(c, F.lit(text)),
-        "rlike": lambda pattern: c.rlike(pattern),
-        "between": lambda lo, hi: c.between(lo, hi),
-        "is_null": lambda: c.isNull(),
-        "not_null": lambda: c.isNotNull(),
+        "eq": lambda v: f"{c} = {literal(v)}",
+        "in": listed,
+        "not_in": lambda values: f"NOT {listed(values)}" if values else f"{c} IS NOT NULL",
+        "contains": lambda text: f"contains({c}, {literal(text)})",
+        "not_contains": lambda text: f"NOT contains({c}, {literal(text)})",
+        "rlike": lambda pattern: f"{c} RLIKE {literal(pattern)}",
+        "between": lambda lo, hi: f"{c} BETWEEN {literal(lo)} AND {literal(hi)}",
+        "is_null": lambda: f"{c} IS NULL",
+        "not_null": lambda: f"{c} IS NOT NULL",
     }
     if kind not in makers:
         raise ValueError(f"unknown rule test {kind!r}")
     return makers[kind](*args)
 
 
-def load_rule_sets(rules: DataFrame, max_rules: int = 5000) -> dict[int, RuleSet]:
+def condition(col: str, test: Any) -> Column:
+    return F.expr(condition_sql(col, test))
+
+
+def load_rule_sets(rules: DataFrame) -> dict[int, RuleSet]:
     """Rule sets from a table ``(set_id, priority, conditions, results)`` with JSON conditions and results.
 
-    The number of rules is checked before any of them is fetched.
+    Rules are configuration and are fetched as a whole; a table of keys that grows with the data is joined with
+    :func:`apply_lookup` instead.
     """
-    rows = rules.select("set_id", "priority", "conditions", "results").limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        raise ValueError(f"more than {max_rules} rules; join large equality rule tables with apply_lookup")
     sets: dict[int, list[Rule]] = {}
-    for r in rows:
+    # Equal priorities are taken in the order of the rules' texts.
+    for r in sorted(rules.select("set_id", "priority", "conditions", "results").collect()):
         sets.setdefault(r["set_id"], []).append(
             Rule(r["priority"], json.loads(r["conditions"]), json.loads(r["results"])))
     return {k: RuleSet(k, v) for k, v in sets.items()}
 
 
-def _matches(rule: Rule) -> Column:
-    tests = [condition(c, t) for c, t in rule.when.items()]
-    return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
+def _matches(rule: Rule) -> str:
+    return " AND ".join(f"({condition_sql(c, t)})" for c, t in rule.when.items()) or "true"
 
 
 def _known(value: Any, blank: Sequence[str]) -> Any:
@@ -101,23 +134,59 @@ def _known(value: Any, blank: Sequence[str]) -> Any:
     return None if value is None or str(value) in blank else str(value)
 
 
+def _equalities(rule: Rule, df: DataFrame) -> dict[str, list[Any]] | None:
+    """The values of each column that a rule asks for, if it only tests equality with values of the column's type."""
+    found = {}
+    for c, test in rule.when.items():
+        kind, value = test if isinstance(test, (tuple, list)) and len(test) == 2 else ("eq", test)
+        if kind not in ("eq", "in") or isinstance(test, (tuple, list)) and len(test) != 2:
+            return None
+        values = list(value) if kind == "in" else [value]
+        field = df.schema[c].dataType
+        fits = (str,) if isinstance(field, T.StringType) else (int,) if isinstance(field, T.IntegralType) else ()
+        if not all(type(v) in fits for v in values):
+            return None
+        found[c] = values
+    return found or None
+
+
 class Matched:
     """A rule set evaluated to a rule number; values and sources are looked up by that number.
 
-    Blank results are turned into NULL while the lookup lists are built, so every value is used once, in a
-    ``coalesce``. That keeps the expressions of long chains small when Spark substitutes one into the next.
+    Many rules that test equality of the same columns become a table of these columns' values that is joined; all
+    others are one flat CASE. Blank results are turned into NULL while the lookup lists are built, so every value is
+    used once, in a ``coalesce``. That keeps the expressions of long chains small when Spark substitutes one into
+    the next. Conditions and lists are handed to Spark as SQL text, which takes it one call however many there are.
     """
 
     def __init__(self, rules: RuleSet, number: str, blank: Sequence[str]):
         self.rules, self.number, self.blank = rules, number, blank
         self.ordered = rules.ordered
 
-    def column(self) -> Column:
-        """Number of the first rule whose conditions hold; one more than there are rules for none."""
-        number = F.lit(len(self.ordered) + 1)
-        for i, rule in reversed(list(enumerate(self.ordered, 1))):
-            number = F.when(_matches(rule), F.lit(i)).otherwise(number)
-        return number
+    def column(self, among: Sequence[int] | None = None) -> Column:
+        """Number of the first rule (of ``among``) whose conditions hold; one more than there are rules for none."""
+        none = len(self.ordered) + 1
+        among = range(1, none) if among is None else among
+        cases = " ".join(f"WHEN {_matches(self.ordered[i - 1])} THEN {i}" for i in among)
+        return F.expr(f"CASE {cases} ELSE {none} END") if cases else F.lit(none)
+
+    def _tables(self, df: DataFrame) -> tuple[list[tuple[list[str], dict[tuple, int]]], list[int]]:
+        """Tables ``columns, {values: smallest number}`` of rules to be joined, and the numbers of the others."""
+        groups: dict[tuple[str, ...], list[tuple[int, dict[str, list[Any]]]]] = {}
+        for i, rule in enumerate(self.ordered, 1):
+            wanted = _equalities(rule, df)
+            if wanted:
+                groups.setdefault(tuple(sorted(wanted)), []).append((i, wanted))
+        tables, joined = [], set()
+        for columns, members in groups.items():
+            if len(members) >= JOINED_FROM:
+                table: dict[tuple, int] = {}
+                for i, wanted in members:
+                    for values in product(*[wanted[c] for c in columns]):
+                        table.setdefault(values, i)
+                    joined.add(i)
+                tables.append((list(columns), table))
+        return tables, [i for i in range(1, len(self.ordered) + 1) if i not in joined]
 
     def numbered(self, df: DataFrame) -> DataFrame:
         """``df`` with the rule number.
@@ -126,11 +195,27 @@ class Matched:
         filters and joins on ruled columns, whose size would otherwise multiply with every chained set; filters on
         other columns still move below.
         """
-        return df.withColumn(self.number, F.explode(F.array(self.column())))
+        tables, others = self._tables(df)
+        numbers, out = [self.column(others)], df
+        for t, (columns, table) in enumerate(tables):
+            kinds = [df.schema[c].dataType.simpleString() for c in columns]
+            schema = ", ".join(f"_r{t}_{n} {kind}" for n, kind in enumerate(kinds))
+            keys = df.sparkSession.createDataFrame(
+                [(*values, i) for values, i in table.items()], f"{schema}, _r{t} int")
+            on = [F.col(c).eqNullSafe(F.col(f"_r{t}_{n}")) for n, c in enumerate(columns)]
+            out = out.join(keys, on, "left").drop(*[f"_r{t}_{n}" for n in range(len(columns))])
+            numbers.append(F.coalesce(F.col(f"_r{t}"), F.lit(len(self.ordered) + 1)))
+        number = F.least(*numbers) if tables else numbers[0]
+        if len(others) > COMPILED_UP_TO:
+            # Inside a lambda, which Spark evaluates without generated code: so many branches exceed a Java method.
+            numbers = F.transform(F.array(F.lit(0)), lambda _: number)
+        else:
+            numbers = F.array(number)
+        return out.withColumn(self.number, F.explode(numbers)).drop(*[f"_r{t}" for t in range(len(tables))])
 
     def _pick(self, values: Sequence[str | None], kind: Any = "string") -> Column:
-        listed = F.array(*[F.lit(v).try_cast(kind) for v in values])
-        return F.element_at(listed, F.col(self.number))
+        texts = ", ".join("CAST(NULL AS STRING)" if v is None else literal(str(v)) for v in values)
+        return F.element_at(F.expr(f"array({texts})"), F.col(self.number)).try_cast(kind)
 
     def value(self, result: str, kind: Any = "string") -> Column:
         """The result, NULL where the rule keeps the row's own value."""
@@ -146,7 +231,8 @@ class Matched:
         first = self._pick([*[label(r.priority, r.then) for r in self.ordered], label(DEFAULT, self.rules.default)])
         if not self.rules.collect_all:
             return first
-        every = F.concat_ws(",", *[F.when(_matches(r), F.lit(str(r.priority))) for r in self.ordered])
+        every = F.expr("concat_ws(',', " + ", ".join(
+            f"CASE WHEN {_matches(r)} THEN {literal(str(r.priority))} END" for r in self.ordered) + ")")
         listed = F.concat(F.lit(f"{self.rules.set_id},"), F.coalesce(F.nullif(every, F.lit("")), F.lit(DEFAULT)))
         return F.when(first.isNotNull(), listed)
 
@@ -238,7 +324,7 @@ def apply_lookup(
     columns = list(results)
     best = rules.groupBy(*on).agg(
         F.min_by(F.struct("priority", *columns), F.struct("priority", *columns)).alias("_rule"))
-    joined = df.join(best, list(on), "left")
+    joined = enrich_by(df, best, on)
     changes: dict[str, Column] = {}
     written = []
     for result, target in results.items():

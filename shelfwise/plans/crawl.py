@@ -12,7 +12,7 @@ from ..functions.jsons import json_build, json_build_if_any
 from ..functions.text import blank_to_null, cache_key, first_non_blank, flag, image_list, is_blank
 from ..operators.collapse import best_fields, merge_json, shortest_first, source_rank
 from ..operators.filters import require
-from ..operators.joins import drop_in, enrich, keep_in
+from ..operators.joins import drop_in, enrich_by, keep_in
 from ..operators.ordered import first_by_key
 from ..operators.prices import at_min, not_blank, price_stats, valid
 from ..sources.scans import conform, resolve_month_range, union_feeds
@@ -133,7 +133,7 @@ def sku_daily(fact: DataFrame, priority: Sequence[str], fields: Sequence[str] =
     if "extra_json" in fields:
         with_json = rows.filter(~is_blank("extra_json", (EMPTY_JSON,)))
         merged = merge_json(with_json, keys, "extra_json", rank).withColumnRenamed("extra_json", "_merged")
-        best = enrich(best, merged, keys).withColumn("extra_json", F.coalesce(
+        best = enrich_by(best, merged, keys).withColumn("extra_json", F.coalesce(
             F.col("_merged"), F.when(F.col("extra_json") != EMPTY_JSON, F.col("extra_json")))).drop("_merged")
     return best.withColumn("etl_source", F.lit(None).cast("string"))
 

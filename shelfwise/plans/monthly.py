@@ -12,7 +12,7 @@ from ..functions.text import clean_text, nfkc_in_market, part_title, rewrite_url
 from ..operators.collapse import keep_first
 from ..operators.filters import in_open_range
 from ..operators.history import attach, count_over
-from ..operators.joins import annotation_join, drop_in, enrich, listing_join, null_safe_join, override
+from ..operators.joins import annotation_join, drop_in, enrich, enrich_by, listing_join, null_safe_join, override
 from ..operators.prices import group_avg
 from ..operators.rules import (
     EXCLUDE, RuleSet, apply_rules, exclusions, override_numeric, override_then_scale,
@@ -321,7 +321,7 @@ def sales_wide(
     sku = ["market", "platform", "month_dt", "std_sku_name"]
     usable = (F.col("sku_num") == 1) & F.col("std_sku_name").isNotNull() & (F.col("sku_discount_price_tmp") != 0)
     average = group_avg(rows, sku, "sku_discount_price_tmp", usable, "_group_price")
-    rows = enrich(rows, average, sku)
+    rows = enrich_by(rows, average, sku)
     if fixed_prices is None:
         rows = rows.withColumn("_fixed_price", F.lit(None).cast("double"))
     else:

@@ -1,5 +1,8 @@
 """Decision tables."""
 
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,14 +60,50 @@ def test_long_chain_stays_small(spark):
     assert df.filter(F.col("v").startswith("2")).count() == 1
 
 
-def test_rule_table_is_size_checked(spark):
+def test_rule_table(spark):
     table = spark.createDataFrame([(1, 2, '{"k": "a"}', '{"v": "late"}'), (1, 1, '{"k": ["in", ["a", "b"]]}', '{"v": "early"}')],
                                   "set_id int, priority int, conditions string, results string")
     sets = R.load_rule_sets(table)
     df = spark.createDataFrame([("a", "x")], "k string, v string")
     assert out(R.apply_rules(df, sets[1], {"v": "v"}, "src"), "v", "src") == [("early", "1,1")]
-    with pytest.raises(ValueError):
-        R.load_rule_sets(table, max_rules=1)
+
+
+def many_rules(n):
+    """Rules of every kind; each value is asked for by several rules, so the priority decides."""
+    kinds = [
+        lambda i: {"k": f"k{i % 40}"}, lambda i: {"k": ("in", [f"k{i % 55}", f"q{i}"]), "n": i % 7},
+        lambda i: {"k": ("contains", f"{i % 90}'\\\\")}, lambda i: {"k": ("rlike", f"^k{i % 80}$"), "n": ("not_in", [1, 2])},
+        lambda i: {"n": ("between", i % 11, i % 11 + 1), "k": ("not_contains", "3")}, lambda i: {"n": i % 13, "k": f"k{i % 60}"},
+    ]
+    return [R.Rule((i * 7919) % n, kinds[i % len(kinds)](i), {"v": f"v{i}"}) for i in range(n)]
+
+
+def first_match(rules, k, n):
+    """The rule that plain Python would take; NULL passes nothing here."""
+    def holds(c, test):
+        value = {"k": k, "n": n}[c]
+        kind, *args = test if isinstance(test, tuple) else ("eq", test)
+        if value is None:
+            return False
+        return {"eq": lambda v: value == v, "in": lambda v: value in v, "not_in": lambda v: value not in v,
+                "contains": lambda v: v in value, "not_contains": lambda v: v not in value,
+                "rlike": lambda v: re.search(v, value) is not None, "between": lambda a, b: a <= value <= b}[kind](*args)
+
+    return next((r for r in sorted(rules, key=lambda r: r.priority) if all(holds(c, t) for c, t in r.when.items())), None)
+
+
+@pytest.mark.parametrize("n", [25, 600, 5000])
+def test_many_rules(spark, n):
+    rules = many_rules(n)
+    rows = [(k, m, "own") for k in [*[f"k{i}" for i in range(70)], "x9'\\\\", None] for m in (*range(14), None)]
+    started = time.time()
+    df = R.apply_rules(spark.createDataFrame(rows, "k string, n int, v string"), R.RuleSet(1, rules), {"v": "v"}, "src")
+    df._jdf.queryExecution().executedPlan()
+    assert time.time() - started < 20
+    got = {(r.k, r.n): (r.v, r.src) for r in df.collect()}
+    for k, m, own in rows:
+        rule = first_match(rules, k, m)
+        assert got[k, m] == ((rule.then["v"], f"1,{rule.priority}") if rule else (own, None)), (k, m)
 
 
 def test_lookup_rules_keep_the_row_count(spark):
