@@ -7,11 +7,12 @@ bands differ: the share missed is below ``2 * (1 - J ** rows) ** tables``, 5e-5
 Every link is confirmed on the full shingle sets.
 
 Steps: (1) one row per distinct shingle set; copies only carry its number. (2) Half bands that nobody shares are
-dropped before the product is formed. (3) The tables (i, i) link each member to the smallest of its bucket, which
-joins most groups at a linear price. (4) In all tables, only buckets that still hold several components go on; each
-member outside a bucket's main component is compared with the members of other components. While that would be more
-than ``PAIRS_PER_ROW`` pairs per document, one such member per bucket and round is compared instead. So no link of a
-bucket is lost, and no group is ever expanded into all its pairs.
+dropped. (3) The tables (i, i) link each member to the smallest of its bucket, which joins most groups at a linear
+price. (4) All tables: those with the same left half band are visited together. Only buckets that still hold several
+groups go on, and there only the members outside the bucket's main group look for partners: documents of another group
+that share a right half band too. A pair comes up at its first common left half band alone, and only if the sizes of
+the two sets and their odd sketches (parities of hashed bits, whose difference never exceeds that of the sets) allow
+the similarity. So no link of a table is lost, and a group that step 3 has joined is never expanded into its pairs.
 
 Defined cases: documents without words have no shingles and are linked with nothing; a document with fewer words than
 a shingle has its whole sequence as the only one; rows without an id are linked with nothing and kept; rows that
@@ -31,8 +32,8 @@ from ..sources.checkpoints import stored
 from .common import bound_batches, utf8
 from .components import components
 
-# Comparisons per candidate document that are made in one go.
-PAIRS_PER_ROW = 40
+# Words of 64 bits that an odd sketch has at most.
+SKETCH_WORDS = 1024
 # Words whose hash a worker remembers before it starts anew.
 REMEMBERED = 400_000
 CHUNK = 4096
@@ -93,29 +94,41 @@ class TensoredBands:
         return key
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingles' hashed bits, in words; at least two bits a shingle up to the bound."""
+    words = 1
+    while words < SKETCH_WORDS and words * 64 < 2 * len(shingles):
+        words *= 2
+    bits = (shingles >> np.uint64(40)) & np.uint64(64 * words - 1)
+    return np.packbits(np.bincount(bits.astype(np.int64), minlength=64 * words).astype(np.uint8) & 1).view(np.int64)
+
+
 def signatures(
     docs: DataFrame, doc_id: str, text: str, words: int, tables: int, rows: int, seed: int,
 ) -> DataFrame:
-    """``doc_id``, set size ``n``, a 128-bit digest ``(d1, d2)`` of the set, and its half-band ``keys``."""
+    """``doc_id``, set size ``n``, a 128-bit digest ``(d1, d2)`` of the set, its half-band ``keys``, and its
+    ``odd`` sketch."""
+    longs = pa.list_(pa.int64())
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-                        ("keys", pa.list_(pa.int64()))])
+                        ("keys", longs), ("odd", longs)])
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bands = WordHashes(), TensoredBands(tables, rows, seed)
         for batch in batches:
-            sizes, first, second, keys = [], [], [], []
+            sizes, first, second, keys, odd = [], [], [], [], []
             for body in utf8(batch.column(1)):
                 s = shingle_set(body, words, hashes)
                 sizes.append(len(s))
                 first.append(int(s.sum(dtype=np.uint64).astype(np.int64)))
                 second.append(int(_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
                 keys.append(bands.keys(s).astype(np.int64) if len(s) else None)
+                odd.append(odd_sketch(s))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                 pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], schema=schema)
+                 pa.array(second, pa.int64()), pa.array(keys, longs), pa.array(odd, longs)], schema=schema)
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(
-        compute, "doc_id long, n long, d1 long, d2 long, keys array<long>")
+        compute, "doc_id long, n long, d1 long, d2 long, keys array<long>, odd array<long>")
 
 
 def shingle_sets(docs: DataFrame, doc_id: str, text: str, words: int, ids: DataFrame) -> DataFrame:
@@ -152,62 +165,61 @@ class Confirm:
             .filter(both * 100 >= (na + nb - both) * self.percent).select("a", "b").distinct(), "links")
 
 
-def _ordered(x: str, y: str) -> list[Column]:
-    return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
+def _compatible(x: str, y: str, tables: int, percent: int) -> Column:
+    """Whether two rows of different groups can be linked and meet first in this left half band."""
+    def of(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
+
+    def part(side: str, begin: int) -> Column:
+        return F.slice(of(side, "keys"), begin + 1, tables)
 
+    total = of(x, "n") + of(y, "n")
+    apart = F.aggregate(F.zip_with(of(x, "odd"), of(y, "odd"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0),
+                        lambda s, v: s + v)
+    first = F.array_position(F.zip_with(part(x, 0), part(y, 0), lambda a, b: a == b), True)
+    return (
+        (of(x, "group") != of(y, "group"))
+        & (F.least(of(x, "n"), of(y, "n")) * 100 >= F.greatest(of(x, "n"), of(y, "n")) * percent)
+        & F.arrays_overlap(part(x, tables), part(y, tables))
+        & ((F.size(of(x, "odd")) != F.size(of(y, "odd"))) | (apart * (100 + percent) <= total * (100 - percent)))
+        & (first == of(x, "pos") + 1)
+    )
 
-def _links(cand: DataFrame, tables: int, confirm: Confirm) -> DataFrame:
-    """Confirmed links ``(a, b)`` among ``cand (rep, lefts, rights)`` that join every two linked documents."""
-    def same(left: Column) -> Column:
-        return F.filter("rights", lambda r: r["pos"] == left["pos"] + tables)
 
-    diagonal = F.transform(F.filter("lefts", lambda x: F.size(same(x)) > 0),
-                           lambda x: F.xxhash64(x["h"], F.element_at(same(x), 1)["h"]))
+def _links(cand: DataFrame, tables: int, percent: int, confirm: Confirm) -> DataFrame:
+    """Confirmed links ``(a, b)`` among ``cand (rep, n, odd, keys, halves)`` that join every two linked documents.
+
+    ``halves`` are the half bands ``(pos, h)`` that others share.
+    """
+    def opposite(left: Column) -> Column:
+        return F.filter("halves", lambda r: r["pos"] == left["pos"] + tables)
+
+    lefts = F.filter("halves", lambda x: x["pos"] < tables)
+    diagonal = F.transform(F.filter(lefts, lambda x: F.size(opposite(x)) > 0),
+                           lambda x: F.xxhash64(x["h"], F.get(opposite(x), 0)["h"]))
     first = cand.select("rep", F.explode(diagonal).alias("key"))
     shared = first.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
-    tested = stored(
-        first.join(shared, "key").filter("rep > low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
-        .distinct(), "first-pairs")
-    links = confirm(tested)
-
-    def labelled(rows: DataFrame) -> DataFrame:
-        groups = stored(components(links), "groups")
-        return rows.drop("group").join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-            "group", F.coalesce("component", "rep")).drop("component")
-
-    product = F.flatten(F.transform("lefts", lambda x: F.transform("rights", lambda y: F.xxhash64(x["h"], y["h"]))))
-    grouped = stored(labelled(cand), "grouped")
-    members = grouped.select("rep", "group", F.explode(product).alias("key"))
-    mixed = stored(members.groupBy("key").agg(F.min("group").alias("g0"), F.max("group").alias("g1"))
-                   .filter("g0 < g1").select("key"), "mixed-buckets")
-    rest = stored(members.join(mixed, "key").distinct(), "mixed-members")
-    documents = cand.count()
-
-    while True:
-        counted = rest.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
-        mains = stored(
-            counted.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("largest"),
-                                       F.max_by("group", F.struct("n", "group")).alias("main"))
-            .filter("largest < n"), "mains")
-        todo = mains.agg(F.sum(F.col("n") * (F.col("n") - F.col("largest"))).cast("double")).first()[0]
-        if not todo:
-            return links
-        outside = rest.join(mains.select("key", "main"), "key").filter("group != main")
-        if todo > PAIRS_PER_ROW * documents:
-            pivots = outside.groupBy("key").agg(F.min("rep").alias("pivot"))
-            outside = outside.join(pivots, "key").filter("rep = pivot").drop("pivot")
-        outside = stored(outside.select("key", F.col("rep").alias("x"), F.col("group").alias("gx")), "outside")
-        pairs = (
-            rest.join(outside, "key").filter("group != gx").select(*_ordered("rep", "x")).distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        pairs = stored(pairs, "more-pairs")
-        links = links.unionByName(confirm(pairs))
-        if todo <= PAIRS_PER_ROW * documents:
-            return links
-        tested = tested.unionByName(pairs)
-        done = outside.select("key", F.col("x").alias("rep"))
-        rest = stored(labelled(rest.join(done, ["key", "rep"], "left_anti")), "mixed-members")
+    links = confirm(first.join(shared, "key").filter("rep > low").select(
+        F.col("rep").alias("a"), F.col("low").alias("b")).distinct())
+
+    groups = stored(components(links), "groups").withColumnRenamed("node", "rep")
+    grouped = stored(cand.join(groups, "rep", "left").withColumn("group", F.coalesce("component", "rep")).select(
+        "rep", "n", "odd", "keys", "group", lefts.alias("lefts")), "grouped")
+    narrow = grouped.select("rep", "group", F.explode("lefts.h").alias("h"))
+    mains = stored(
+        narrow.groupBy("h", "group").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(
+            F.max_by("group", F.struct("n", "group")).alias("main"), F.count(F.lit(1)).alias("groups"))
+        .filter("groups > 1").select("h", "main"), "mixed-buckets")
+    members = stored(
+        grouped.select("rep", "n", "odd", "keys", "group", F.explode("lefts").alias("left"))
+        .select("*", F.col("left.pos").alias("pos"), F.col("left.h").alias("h")).drop("left").join(mains, "h"),
+        "mixed-members")
+    pairs = (
+        members.filter("group != main").alias("x").join(
+            members.alias("y"), (F.col("x.h") == F.col("y.h")) & _compatible("x", "y", tables, percent))
+        .select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
+    )
+    return links.unionByName(confirm(pairs))
 
 
 def near_duplicates(
@@ -225,22 +237,20 @@ def near_duplicates(
         sig.filter("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2")
         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
         .select("d1", "d2", "rep"), "copies")
-    named = sig.drop("keys").join(copies, ["d1", "d2"], "left").withColumn(
+    named = sig.drop("keys", "odd").join(copies, ["d1", "d2"], "left").withColumn(
         "rep", F.when(F.col("n") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
     heads = sig.filter("n > 0 AND doc_id IS NOT NULL").join(copies, ["d1", "d2"], "left").filter(
-        F.coalesce("rep", "doc_id") == F.col("doc_id")).select(F.col("doc_id").alias("rep"), "keys")
+        F.coalesce("rep", "doc_id") == F.col("doc_id")).select(F.col("doc_id").alias("rep"), "n", "odd", "keys")
     halves = heads.select("rep", F.posexplode("keys").alias("pos", "h"))
     shared = stored(halves.groupBy("h").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
                     .filter("low < high").select("h"), "shared-halves")
-    half = F.struct("pos", "h")
-    cand = stored(
-        halves.join(shared, "h").groupBy("rep").agg(
-            F.collect_set(F.when(F.col("pos") < tables, half)).alias("lefts"),
-            F.collect_set(F.when(F.col("pos") >= tables, half)).alias("rights"))
-        .filter((F.size("lefts") > 0) & (F.size("rights") > 0)), "candidates")
-    links = _links(cand, tables, Confirm(docs, doc_id, text, words, percent))
+    both_sides = F.exists("halves", lambda x: x["pos"] < tables) & F.exists("halves", lambda x: x["pos"] >= tables)
+    shared_by = halves.join(shared, "h").groupBy("rep").agg(
+        F.collect_set(F.struct("pos", "h")).alias("halves")).filter(both_sides)
+    cand = stored(heads.join(shared_by, "rep"), "candidates")
+    links = _links(cand, tables, percent, Confirm(docs, doc_id, text, words, percent))
     groups = stored(components(links), "components").withColumnRenamed("node", "rep")
-    component = F.coalesce("component", "rep", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return named.join(groups, "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
