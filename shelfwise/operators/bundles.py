@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import is_blank
-from .ordered import renumber
 from .prices import set_concat
 
 # Category names and name parts of the two merged product types. Fixed values.
@@ -53,7 +52,7 @@ def weight_packages(parts: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def merge_typed(
-    parts: DataFrame, keys: Sequence[str], type_col: str = "categorys", slices: int | None = None
+    parts: DataFrame, keys: Sequence[str], type_col: str = "categorys"
 ) -> DataFrame:
     """Merge liquid and brush bundles to one row per listing and brand, in one pass.
 
@@ -112,14 +111,16 @@ def merge_typed(
         "std_spu_name": name, "package_num": F.col("_main_count").cast(parts.schema["package_num"].dataType)})
     copies = {"quantity": "package_num", "unit_weight": "weight"}
     out = out.withColumns({c: F.col(source) for c, source in copies.items() if c in columns})
-    return renumber(out, keys, [F.col("_first_no"), F.col("std_brand_name")], "sku_no", slices).select(*columns)
+    # One row per listing and brand is left, so a window holds the brands of one listing.
+    numbers = Window.partitionBy(*keys).orderBy(F.col("_first_no"), F.col("std_brand_name"))
+    return out.withColumn("sku_no", F.row_number().over(numbers)).select(*columns)
 
 
-def merge_liquid(parts: DataFrame, keys: Sequence[str], slices: int | None = None) -> DataFrame:
+def merge_liquid(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """:func:`merge_typed` for parts of liquid + device listings only."""
-    return merge_typed(parts.withColumn("_type", F.lit(LIQUID_CATEGORY)), keys, "_type", slices)
+    return merge_typed(parts.withColumn("_type", F.lit(LIQUID_CATEGORY)), keys, "_type")
 
 
-def merge_brush(parts: DataFrame, keys: Sequence[str], slices: int | None = None) -> DataFrame:
+def merge_brush(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """:func:`merge_typed` for parts of brush + handle listings only."""
-    return merge_typed(parts.withColumn("_type", F.lit(BRUSH_CATEGORY)), keys, "_type", slices)
+    return merge_typed(parts.withColumn("_type", F.lit(BRUSH_CATEGORY)), keys, "_type")

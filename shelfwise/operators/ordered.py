@@ -74,15 +74,16 @@ def running_share(
 ) -> DataFrame:
     """Cumulative share of ``value`` within the group, largest values first, ties by ``tie``.
 
-    ``decimal`` sums in ``decimal(38,16)``, so the result does not depend on the order of additions, and is NULL
-    when the total is NULL or 0; the ratio then has 6 digits.
+    Sums are ``decimal(38,16)``, so the result does not depend on the order of additions or the number of slices; it is
+    NULL when the total is NULL or 0. With ``decimal`` the ratio is decimal too and has 6 digits.
     """
     order = [F.col(value).desc(), *[F.col(t).asc() for t in tie]]
-    amount = F.col(value).cast("decimal(38,16)") if decimal else F.col(value)
+    amount = F.col(value).try_cast("decimal(38,16)")
     summed = running(df, keys, order, {"_run": amount}, {"_all": amount}, slices=slices)
-    ratio = F.try_divide("_run", "_all")
     if decimal:
-        ratio = ratio.cast("decimal(38,6)")
+        ratio = F.try_divide("_run", "_all").cast("decimal(38,6)")
+    else:
+        ratio = F.try_divide(F.col("_run").cast("double"), F.col("_all").cast("double"))
     return summed.withColumn(out, ratio.cast("double")).drop("_run", "_all")
 
 

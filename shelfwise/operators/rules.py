@@ -30,8 +30,8 @@ JOINED_FROM = 30
 COMPILED_UP_TO = 100
 # Priority that is noted when no rule matched, and the source of a name built by the gate. Fixed values.
 DEFAULT, GATED = "__DEFAULT__", "brand_limit_rule"
-# Source of a row that the exclusion list names, and the status that it gets. Fixed values.
-EXCLUDE_LISTED, EXCLUDE = "dwd_exclude_scope", "exclude"
+# Status of excluded rows. Fixed value.
+EXCLUDE = "exclude"
 
 
 @dataclass(frozen=True)
@@ -374,7 +374,7 @@ def override_then_scale(
     }).drop("_rule_number")
 
 
-def exclusions(df: DataFrame, rules: RuleSet, result: str, flag: str = "exclude_flag") -> DataFrame:
+def exclusions(df: DataFrame, rules: RuleSet, result: str, listed_label: str, flag: str = "exclude_flag") -> DataFrame:
     """Only the excluded rows, with ``status`` and ``status_src``: the list first, then the rule value ``'1'``."""
     matched = match(df, rules)
     listed = F.coalesce(F.col(flag) == 1, F.lit(False))
@@ -382,7 +382,7 @@ def exclusions(df: DataFrame, rules: RuleSet, result: str, flag: str = "exclude_
     return (
         matched.filter(listed | ruled)
         .withColumn("status", F.lit(EXCLUDE))
-        .withColumn("status_src", F.when(listed, EXCLUDE_LISTED).otherwise(F.col("_rule.src")))
+        .withColumn("status_src", F.when(listed, listed_label).otherwise(F.col("_rule.src")))
         .drop("_rule")
     )
 

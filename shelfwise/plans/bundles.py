@@ -16,7 +16,7 @@ KEYS = ("platform", "item_id", "pfsku_id", "month_dt")
 
 def merge_bundles(
     parts: DataFrame, keys: Sequence[str] = KEYS, category: str = "std_category_3", group: str | None = "std_category_2",
-    steps: Sequence[dict] = (), slices: int | None = None,
+    steps: Sequence[dict] = (),
 ) -> DataFrame:
     """Merge qualified liquid and brush bundles; keep part 1 of other qualified listings and all other parts.
 
@@ -26,7 +26,7 @@ def merge_bundles(
     chosen = qualify_bundles(parts, keys, category, group).select(*keys, "categorys")
     tagged = enrich(parts, chosen, keys)
     merges = F.col("categorys").isin(LIQUID_CATEGORY, BRUSH_CATEGORY)
-    changed = merge_typed(tagged.filter(merges), keys, "categorys", slices)
+    changed = merge_typed(tagged.filter(merges), keys, "categorys")
     kept = tagged.filter(F.col("categorys").isNull() | (~merges & (F.col("sku_no") == 1)))
     merged = kept.select(*parts.columns).unionByName(changed.select(*parts.columns))
     return guard_keys(apply_chain(merged, steps), keys)

@@ -135,7 +135,7 @@ def sku_daily(fact: DataFrame, priority: Sequence[str], fields: Sequence[str] =
         merged = merge_json(with_json, keys, "extra_json", rank).withColumnRenamed("extra_json", "_merged")
         best = enrich_by(best, merged, keys).withColumn("extra_json", F.coalesce(
             F.col("_merged"), F.when(F.col("extra_json") != EMPTY_JSON, F.col("extra_json")))).drop("_merged")
-    return best.withColumn("etl_source", F.lit(None).cast("string"))
+    return conform(best.withColumn("etl_source", F.lit(None).cast("string")), S.SKU_DAILY)
 
 
 def price_daily(fact: DataFrame) -> DataFrame:

@@ -154,23 +154,23 @@ def mapping_origin(
     parts = annotated.withColumns({"_p": F.lower("platform"), "_m": K.effective_market("platform", "market")}) \
         .select(*keys, *[F.col(c).alias(f"_a_{c}") for c in
                          ("sku_no", "sku_title", "is_bundle", "is_gift", "package", "weight")])
-    split = base.join(parts, keys, "inner").withColumns({
-        "sku_no": F.col("_a_sku_no"), "sku_title": F.col("_a_sku_title"), "is_bundle": F.col("_a_is_bundle"),
-        "is_gift": F.col("_a_is_gift"), "package": F.col("_a_package"), "weight": F.col("_a_weight"),
-        "total_weight": F.col("_a_package") * F.col("_a_weight"),
-        "total_weight_src": F.lit(annotation_label), "sku_src": F.lit(annotation_label),
-    }).drop(*[c for c in parts.columns if c.startswith("_a_")])
-
     measured = weights.select(
         F.lower("platform").alias("_p"), "item_id", "pfsku_id", "month_dt", "weight_all_in_g", "package_all")
-    whole = drop_in(base, parts, keys).join(measured, ["_p", "item_id", "pfsku_id", "month_dt"], "left")
-    whole = whole.withColumns({
-        "sku_no": F.lit(1), "sku_title": sku_title("item_title", "pfsku_title"),
-        "is_bundle": F.lit(0), "is_gift": F.lit(0), "sku_src": F.lit(M.WEIGHT_DERIVED),
-        **M.unit_weight("weight_all_in_g", "package_all", threshold),
-    }).drop("weight_all_in_g", "package_all")
-
-    both = count_over(split, LISTING, "sku_num", "sku_no").unionByName(count_over(whole, LISTING, "sku_num"))
+    # One join tells annotated listings from the others; a listing's rows are all of one kind.
+    joined = base.join(parts.withColumn("_hit", F.lit(True)), keys, "left").join(
+        measured, ["_p", "item_id", "pfsku_id", "month_dt"], "left")
+    hit = F.col("_hit").isNotNull()
+    whole = {
+        "sku_no": F.lit(1), "sku_title": sku_title("item_title", "pfsku_title"), "is_bundle": F.lit(0), "is_gift": F.lit(0),
+        "sku_src": F.lit(M.WEIGHT_DERIVED), **M.unit_weight("weight_all_in_g", "package_all", threshold),
+    }
+    split = {c: F.col(f"_a_{c}") for c in ("sku_no", "sku_title", "is_bundle", "is_gift", "package", "weight")}
+    split |= {"total_weight": F.col("_a_package") * F.col("_a_weight"), "total_weight_src": F.lit(annotation_label),
+              "sku_src": F.lit(annotation_label)}
+    listed = joined.withColumns({c: F.when(hit, split[c]).otherwise(whole[c]) for c in whole}).drop(
+        *[c for c in parts.columns if c.startswith("_a_")], "_hit", "weight_all_in_g", "package_all")
+
+    both = count_over(listed, LISTING, "sku_num", "sku_no")
     keyed = both.withColumn("unique_id", K.part_key(part="sku_no")).drop("_p", "_m")
     if brands is None:
         return keyed.withColumn("ai_brand_name", F.col("brand_name"))
@@ -226,7 +226,8 @@ def standard_mapping(
 
     The media rule looks at one row per item and month (the one with the smallest key) and its result goes to all
     rows of the item. Brand, category and translation rules look at each row; brands of the Japanese market are
-    NFKC-normalised first. ``brand_map(brand_name, std_brand_name)`` wins over every rule.
+    NFKC-normalised first. ``brand_map(brand_name, std_brand_name)`` wins over every rule. The text ``NULL`` is a value
+    here, other than in annotation results.
     """
     item_keys = ["platform", "market", "item_id", "_shop", "month_dt"]
     rows = source.withColumn("_shop", K.effective_shop("platform", "shop_id"))
@@ -237,9 +238,9 @@ def standard_mapping(
         *item_keys, F.col("media").alias("_media"), F.col("media_src").alias("_media_src"))
 
     named = nfkc_in_market(rows, ["brand_name", "ai_brand_name"], "market", japan)
-    ruled = apply_rules(named, brand_rules, {"std_brand_name": "std_brand_name"}, "std_brand_name_src")
-    ruled = apply_rules(ruled, category_rules, {c: c for c in category_rules.result_columns})
-    ruled = apply_rules(ruled, translation_rules, {c: c for c in translation_rules.result_columns})
+    ruled = apply_rules(named, brand_rules, {"std_brand_name": "std_brand_name"}, "std_brand_name_src", EMPTY)
+    ruled = apply_rules(ruled, category_rules, {c: c for c in category_rules.result_columns}, blank=EMPTY)
+    ruled = apply_rules(ruled, translation_rules, {c: c for c in translation_rules.result_columns}, blank=EMPTY)
     if brand_map is not None:
         mapped = brand_map.select("brand_name", F.col("std_brand_name").alias("_mapped_brand")).distinct()
         ruled = override(ruled, mapped, ["brand_name"], "std_brand_name", "_mapped_brand",
@@ -253,6 +254,10 @@ def standard_mapping(
     }).drop("_media", "_media_src", "_shop")
 
 
+# Rule results that keep the value of a row in the standard mapping. Fixed value.
+EMPTY = ("",)
+
+
 def first_part(mapping: DataFrame) -> DataFrame:
     return mapping.filter(F.col("sku_no") == 1)
 
@@ -260,7 +265,8 @@ def first_part(mapping: DataFrame) -> DataFrame:
 def fixed_price(price: DataFrame, mapping: DataFrame, rules: RuleSet, result: str = "price") -> DataFrame:
     """Monthly prices with the shop of the mapping; a rule price replaces both prices."""
     inputs = listing_join(price, first_part(mapping), {"shop_id": "shop_id"})
-    return override_numeric(inputs, rules, result, ["page_price", "discount_price"], "discount_price_src")
+    return conform(override_numeric(inputs, rules, result, ["page_price", "discount_price"], "discount_price_src"),
+                   S.MONTHLY_PRICE)
 
 
 def fixed_count(
@@ -273,11 +279,11 @@ def fixed_count(
                                 "pfsku_unit_sales_src", "fix_count_ratio")
     keyed = fixed.withColumn("_shop", K.effective_shop("platform", "shop_id"))
     total = F.sum("pfsku_unit_sales").alias("item_unit_sales")
-    return attach(keyed, ["month_dt", "platform", "market", "item_id", "_shop"], [total]).drop("_shop")
+    return conform(attach(keyed, ["month_dt", "platform", "market", "item_id", "_shop"], [total]), S.MONTHLY_COUNT)
 
 
 def product_status(
-    listings: DataFrame, mapping: DataFrame, listed: DataFrame, rules: RuleSet, result: str = "status",
+    listings: DataFrame, mapping: DataFrame, listed: DataFrame, rules: RuleSet, listed_label: str, result: str = "status",
     mapping_cols: Sequence[str] = ("shop_id",),
 ) -> DataFrame:
     """Excluded listings. ``listed(platform, item_id, month_dt, exclude)`` names excluded items; rules add more."""
@@ -285,7 +291,7 @@ def product_status(
     names = listed.filter(F.col("exclude") == 1).select(
         F.lower("platform").alias("_p"), "item_id", "month_dt", F.lit(1).alias("exclude_flag")).distinct()
     flagged = enrich(inputs.withColumn("_p", F.lower("platform")), names, ["_p", "item_id", "month_dt"])
-    return exclusions(flagged, rules, result).drop("_p", "exclude_flag")
+    return conform(exclusions(flagged, rules, result, listed_label), S.PRODUCT_STATUS)
 
 
 # URL part of assembled listings that is rewritten to the plain one. Fixed value.
@@ -341,7 +347,8 @@ def sales_wide(
                                  "pfsku_value_sales", "sku_value_ratio", "sku_value_ratio_src"),
         "etl_updated_at": K.audit_ts(),
     }).drop("_group_price", "_fixed_price")
-    return listing_month(rows, history if history is not None else mapping)
+    return conform(listing_month(rows, history if history is not None else mapping), S.WIDE_SALES, {
+        "pfsku_discount_price": F.col("discount_price"), "pfsku_page_price": F.col("page_price")})
 
 
 def listing_month(rows: DataFrame, history: DataFrame) -> DataFrame:

@@ -20,9 +20,7 @@ SPECIES = {
     "猫干粮": "猫食品", "猫湿粮": "猫食品", "猫零食": "猫食品",
     "狗干粮": "狗食品", "狗湿粮": "狗食品", "狗零食": "狗食品",
 }
-# Naming rule set, platforms on which it is trusted, the label of machine-cleaned rows, and external feeds by
-# platform. Fixed values.
-NAMING_SET, TRUSTED, MACHINE = 104736, ("JD", "Tmall", "Douyin"), "机器清洗"
+# External feeds by platform. Fixed values.
 FEED_A, FEED_B = ("Tmall", "Taobao"), ("JD",)
 
 
@@ -121,8 +119,8 @@ def package_and_weight(df: DataFrame, rules: RuleSet) -> DataFrame:
 
 
 def gated_names(
-    df: DataFrame, gate: DataFrame, name_map: DataFrame | None = None, map_label: str = "spu_mapping",
-    naming_set: int = NAMING_SET, trusted: Sequence[str] = TRUSTED, machine: str = MACHINE,
+    df: DataFrame, gate: DataFrame, naming_set: int, trusted: Sequence[str], machine: str,
+    name_map: DataFrame | None = None, map_label: str = "spu_mapping",
 ) -> DataFrame:
     """Brand gate, then the second name map (``std_spu_name -> std_spu_name_map``), then the SKU name in grams."""
     rows = brand_gate(df, gate, naming_set, trusted, machine)
@@ -141,10 +139,14 @@ def pet_mapping(
     df: DataFrame, shop_rules: RuleSet, name_rules: RuleSet, brand_rules: RuleSet, fallback_brand: RuleSet,
     late_brand: RuleSet, fallback_category: RuleSet, late_category: RuleSet, attribute_rules: RuleSet,
     own_attribute_rules: Mapping[str, RuleSet], attribute_targets: Mapping[str, str], weight_rules: RuleSet,
-    channel_rules: RuleSet, gate: DataFrame, name_map: DataFrame | None = None,
-    label_a: str = "pn_monthly_sales_discount", label_b: str = "rc_monthly_sales_discount",
+    channel_rules: RuleSet, gate: DataFrame, label_a: str, label_b: str, naming_set: int, trusted: Sequence[str],
+    machine: str, name_map: DataFrame | None = None,
 ) -> DataFrame:
-    """The whole chain: shop, name, brand and category tiers, attributes, weights, channel, gate and name map."""
+    """The whole chain: shop, name, brand and category tiers, attributes, weights, channel, gate and name map.
+
+    ``label_a`` and ``label_b`` name the external feeds. Rules of ``naming_set`` are trusted on the ``trusted``
+    platforms; ``machine`` is the label of machine-cleaned rows.
+    """
     rows = apply_rules(df, shop_rules, {"fix_shop_id": "shop_id", "fix_shop_name": "shop_name"})
     rows = apply_rules(rows, name_rules, {"fix_spu_name": "std_spu_name"}, "std_spu_name_src")
     rows = standard_names(rows, brand_rules, fallback_brand, late_brand, fallback_category, late_category,
@@ -152,4 +154,4 @@ def pet_mapping(
     rows = shared_then_own(rows, attribute_rules, own_attribute_rules, attribute_targets)
     rows = package_and_weight(rows, weight_rules)
     rows = apply_rules(rows, channel_rules, {c: c for c in channel_rules.result_columns}, {"channel": "ka_name_src"})
-    return gated_names(rows, gate, name_map)
+    return gated_names(rows, gate, naming_set, trusted, machine, name_map)

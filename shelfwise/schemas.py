@@ -102,6 +102,30 @@ PRODUCT_STATUS = schema("""
     platform string, month_dt string, market string
 """)
 
+# Wide monthly sales.
+WIDE_SALES = schema(
+    "unique_id bigint, category_id bigint, category_name string, "
+    + ", ".join(f"category_{i} string" for i in _LEVELS) + ", "
+    + ", ".join(f"category_{i}_id string" for i in _LEVELS) + ", "
+    + ", ".join(f"category_{i}_cn string" for i in _LEVELS)
+    + """, shop_id string, shop_name string, unique_shop_name string, updated_shop_name string, shop_type string,
+    shop_url string, brand_id string, brand_name string, ai_brand_name string, item_id string, item_url string,
+    item_title string, item_image string, is_multi_pfsku string, pfsku_id string, pfsku_url string,
+    pfsku_title string, pfsku_title_cn string, pfsku_image string, sub_category string, sub_category_cn string,
+    is_bundle int, is_gift int, sku_src string, sku_title string, sku_no int, sku_num int, media string,
+    std_category_name string, std_sub_category_name string, std_brand_name_ori string, std_brand_name string,
+    manufacturer string, variant string, std_spu_name string, std_sku_name string, attributes string, package int,
+    weight double, total_weight double, item_unit_sales bigint, pfsku_unit_sales bigint,
+    pfsku_discount_price double, pfsku_page_price double, pfsku_value_sales double,
+    pfsku_discountprice_value_sales double, pfsku_pageprice_value_sales double, sku_unit_sales bigint,
+    sku_discount_price_tmp double, sku_discount_price double, sku_value_sales double, sku_value_ratio double,
+    sku_value_ratio_src string, sku_value_ratio_fixed double, sku_page_price double,
+    sku_pageprice_value_sales double, sku_discountprice_value_sales double, sku_volume_sales double,
+    sku_pack_sales double, fix_count_ratio double, etl_updated_at string, product_listing_time string, """
+    + ", ".join(f"std_category_{i} string" for i in _LEVELS)
+    + ", platform string, month_dt string, market string"
+)
+
 WEEKLY_FORECAST = schema("""
     sku_id string, category_id string, category_name string, comments_number bigint,
     comments_score double, predicted_weekly_sales bigint, comments_number_diff bigint,

@@ -82,29 +82,30 @@ def replace_single_partition(
     return found[0]
 
 
-def partition_files(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Number of files that hold each partition."""
-    name = F.col("_metadata.file_path")
-    return df.select(*cols, name.alias("_file")).distinct().groupBy(*cols).agg(F.count("_file").alias("n_files"))
+def partition_files(spark, path: str, cols: Sequence[str]) -> DataFrame:
+    """Number and bytes of the Parquet files of each partition, from their listing; no file is opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return listed.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
 
 
 def compact_partitions(
-    spark, path: str, cols: Sequence[str], files: int = 2, threshold: int = 5, codec: str = "gzip"
+    spark, path: str, cols: Sequence[str], file_bytes: int = 512 << 20, threshold: int = 5, codec: str = "gzip"
 ) -> int:
-    """Rewrite every partition of ``path`` that has more than ``threshold`` files into about ``files`` files.
+    """Rewrite every partition of ``path`` that has more than ``threshold`` files into files of about ``file_bytes``.
 
     Rows are first written to the shared checkpoint folder and only then replace the old partitions, so a lost
     executor never leaves a half-read partition. Returns the number of partitions rewritten.
     """
     table = spark.read.parquet(path)
-    crowded = partition_files(table, cols).filter(F.col("n_files") > threshold).select(*cols)
+    crowded = partition_files(spark, path, cols).filter(F.col("n_files") > threshold).select(
+        *cols, F.greatest(F.ceil(F.col("bytes") / file_bytes), F.lit(1)).alias("_files"))
     copy = scratch_path(spark, "compact")
     # Spreading by a row hash keeps a very large partition on several tasks.
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in table.columns]), F.lit(files))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in table.columns]), F.col("_files"))
     (
-        table.join(crowded, list(cols), "left_semi")
+        table.join(crowded, list(cols))
         .withColumn("_slice", spread)
-        .repartition(*[F.col(c) for c in cols], F.col("_slice")).drop("_slice")
+        .repartition(*[F.col(c) for c in cols], F.col("_slice")).drop("_slice", "_files")
         .write.partitionBy(*cols).option("compression", codec).parquet(copy)
     )
     done = spark.read.schema(table.schema).parquet(copy)

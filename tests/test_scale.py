@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from shelfwise.operators import collapse, history, prices, rules as R
+from shelfwise.operators import collapse, forecast, history, joins, prices, rules as R
 from shelfwise.operators.rules import Rule, RuleSet
 from shelfwise.plans import crawl
 from shelfwise.sources import scans, sinks
@@ -92,6 +92,52 @@ def test_group_totals_split_a_hot_key(spark):
         assert "skewed" in plan(counted)
 
 
+SKEWED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.mark.parametrize("hot", ["hot", None])
+def test_joins_with_aggregates_split_a_hot_key(spark, hot):
+    """A third of all rows share one key, or have none."""
+    with settings(spark, **SKEWED):
+        rows = facts(spark, 60000).withColumn("payload", F.sha2("snapshot_time", 512)).withColumn(
+            "sku_id", F.when(F.col("sku_id") == "hot", F.lit(hot)).otherwise(F.col("sku_id"))).repartition(8)
+        totals = rows.groupBy("sku_id").agg(F.sum("sku_online_price").alias("total"))
+        out = joins.enrich_by(rows, totals, ["sku_id"])
+        counted = out.agg(F.count("total"), F.count(F.lit(1)), F.max("payload"))
+        found, n, _ = counted.collect()[0]
+        assert (found, n) == (60000 if hot else 40000, 60000)
+        assert "skewed" in plan(counted)
+
+
+def test_lookup_rules_split_a_hot_key(spark):
+    with settings(spark, **SKEWED):
+        rows = facts(spark, 60000).withColumn("payload", F.sha2("snapshot_time", 512)).repartition(8)
+        table = rows.select("sku_id", F.lit(1).alias("priority"), F.lit("x").alias("title"))
+        out = R.apply_lookup(rows, table, ["sku_id"], {"title": "product_title"}, 7, "src")
+        counted = out.agg(F.count(F.lit(1)), F.max("payload"), F.max("src"))
+        assert counted.collect()[0][0] == 60000
+        assert "skewed" in plan(counted)
+
+
+def test_calibration_reads_the_months_it_needs(spark, tmp_path):
+    path = str(tmp_path / "monthly")
+    spark.createDataFrame([(str(i), f"2024-0{m}-01", i) for i in range(4) for m in (1, 2, 3)],
+                          "sku_id string, month_dt string, units long").write.partitionBy("month_dt").parquet(path)
+    predicted = spark.createDataFrame(
+        [(str(i), "2024-03-11", 10 * i, 1, 1.0) for i in range(4)],
+        "sku_id string, next_week_dt string, predicted_weekly_sales long, comments_number_diff long, days_diff double")
+    monthly = spark.read.parquet(path)
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(forecast.calibrate(predicted, monthly, monthly, "a", "b"))
+    pushed = re.findall(r"PartitionFilters: \[(.*?)\], ", text)
+    assert pushed and all("2024-02-01" in p for p in pushed)
+
+
 def test_month_scan_is_pruned(spark, tmp_path):
     path = str(tmp_path / "daily")
     days = spark.createDataFrame([(f"2024-0{m}-{d:02d}",) for m in (1, 2, 3) for d in (1, 15)], "dt string")

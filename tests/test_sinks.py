@@ -35,11 +35,11 @@ def test_compaction_leaves_small_partitions_alone(spark, df, tmp_path):
     for _ in range(3):
         df.filter("p = '1'").repartition(3).write.mode("append").partitionBy("p").parquet(path)
     df.filter("p = '0'").coalesce(1).write.mode("append").partitionBy("p").parquet(path)
-    assert W.compact_partitions(spark, path, ["p"], files=2, threshold=5) == 1
+    assert W.compact_partitions(spark, path, ["p"], threshold=5) == 1
     table = spark.read.parquet(path)
-    assert {r["p"]: r["n_files"] for r in W.partition_files(table, ["p"]).collect()}[0] == 1
+    assert {r["p"]: r["n_files"] for r in W.partition_files(spark, path, ["p"]).collect()}[0] == 1
     assert table.filter("p = 1").count() == 30
-    assert {r["p"]: r["n_files"] for r in W.partition_files(table, ["p"]).collect()}[1] <= 2
+    assert {r["p"]: r["n_files"] for r in W.partition_files(spark, path, ["p"]).collect()}[1] <= 2
     assert W.compact_partitions(spark, path, ["p"]) == 0
 
 
@@ -47,7 +47,7 @@ def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     path = str(tmp_path / "t")
     hot = spark.range(1000).select("id", F.lit("a").alias("p"))
     W.overwrite_partitions(hot, path, ["p"], files=4)
-    assert W.partition_files(spark.read.parquet(path), ["p"]).first()["n_files"] > 1
+    assert W.partition_files(spark, path, ["p"]).first()["n_files"] > 1
 
 
 def test_guard_counts(spark, df, tmp_path):
