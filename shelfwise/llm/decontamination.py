@@ -42,6 +42,11 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(LOWERED).split()
 
 
+def folded(text: bytes) -> bytes:
+    """Lower case in every script, so that passages are found whatever their case."""
+    return text if text.isascii() else text.decode("utf-8", "replace").lower().encode()
+
+
 def run_hashes(h: np.ndarray, length: int) -> np.ndarray:
     """Karp-Rabin hashes of all runs of ``length`` word hashes, modulo 2**64.
 
@@ -126,7 +131,7 @@ class Block:
         hashes = WordHashes()
         self.min_match = min_match
         self.ids = [item_id for item_id, _ in items]
-        self.items = [hashes.of(words_of(text)) for _, text in items]
+        self.items = [hashes.of(words_of(folded(text))) for _, text in items]
         self.short: dict[int, list[int]] = defaultdict(list)
         seeds, owners = [], []
         for key, h in enumerate(self.items):
@@ -210,7 +215,7 @@ def coverage(
             for texts in batches:
                 out = []
                 for body in utf8(texts):
-                    found = block.covered(hashes.of(words_of(body)))
+                    found = block.covered(hashes.of(words_of(folded(body))))
                     out.append([
                         {"item_id": block.ids[k], "item_words": len(block.items[k]), "covered": n,
                          "share": n / len(block.items[k])}

@@ -30,7 +30,9 @@ from .files import NewFile, range_limits, read_file, shard_of
 MAGIC = b"IDEF"
 HEADER, SECTION = "<4sHHQQQq", "<QQBQQ"
 SAMPLE = 256
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
+# White space other than blanks and line feeds. Fixed values.
+OTHER_BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in ' \n']
 NULL_KEY = -(2**63)
 
 
@@ -94,12 +96,25 @@ class EliasFano:
         return (high << np.uint64(self.low_bits)) + self._lows(0, self.n)
 
 
+class Numbers(dict):
+    """Numbers of words in the order in which they come up first."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
     """Ids of whole texts as little-endian bytes of ``width`` bytes an id.
 
-    The pre-tokenizer never joins what stands before a single blank, or around a single line feed, with what follows;
-    so the ids of each such piece are worked out once and remembered up to a bound. Texts with any other white space,
-    or several in a row, go to the tokenizer as a whole.
+    The pre-tokenizer never joins what stands before a single blank, or around a single line feed, with what follows.
+    So the ids of each such piece are worked out once and kept in one array, up to a bound; a text is put together
+    from them. Texts with any other white space, or several in a row, go to the tokenizer as a whole.
     """
 
     def __init__(self, path: str, width: int):
@@ -109,38 +124,73 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = f"<u{width}"
-        self.known: dict[str, bytes] = {}
-        self.feed = self._direct(["\n"])[0]
-
-    def _direct(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes()
+        blank = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        self.blank = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.blank[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(blank)]] = True
+        self.feed = len(self._direct(["\n"])[0])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers = Numbers()
+        self.ids, self.starts, self.sizes = np.empty(0, self.kind), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _direct(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     @staticmethod
     def pieces(text: str) -> list[str] | None:
-        """The independent pieces, blanks in front, line feeds by themselves; None if the text is not that plain."""
-        lines = [line.split(" ") for line in text.split("\n")]
-        count = sum(map(len, lines))
-        if not all(map(all, lines)) or count != len(text.split()):
+        """The words; the first one of a line has its line feed in front, also the first one of the text.
+
+        None if the white space of the text is not that plain.
+        """
+        if (text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+                or any(c in text for c in OTHER_BLANKS)):
             return None
-        out = []
-        for words in lines:
-            out.append(words[0])
-            out.extend([" " + w for w in words[1:]])
-            out.append("\n")
-        return out[:-1]
+        return ("\n" + text.replace("\n", " \n")).split(" ")
+
+    def _learn(self) -> None:
+        """Work out the ids of new words. Those with a blank in front are encoded many at a time: only a word's first
+        token starts with its blank."""
+        words, self.numbers.new = self.numbers.new, []
+        starts, sizes = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        parts, at = [self.ids], len(self.ids)
+        first = [n for n, w in enumerate(words) if w[0] == "\n"]
+        for n, ids in zip(first, self._direct([words[n] for n in first])):
+            starts[n], sizes[n] = at, len(ids)
+            parts.append(ids)
+            at += len(ids)
+        spaced = [n for n, w in enumerate(words) if w[0] != "\n"]
+        for begin in range(0, len(spaced), 1024):
+            some = spaced[begin:begin + 1024]
+            ids = self._direct([" " + " ".join([words[n] for n in some])])[0]
+            inside = np.flatnonzero(self.blank[ids])
+            if len(inside) != len(some):
+                raise ValueError("the tokenizer joins words across blanks")
+            starts[some], sizes[some] = at + inside, np.diff(np.append(inside, len(ids)))
+            parts.append(ids)
+            at += len(ids)
+        self.ids = np.concatenate(parts)
+        self.starts, self.sizes = np.append(self.starts, starts), np.append(self.sizes, sizes)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts, of which a few hundred are held at a time."""
+        return [ids for at in range(0, len(texts), 256) for ids in self._some(texts[at:at + 256])]
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        if len(self.numbers) > REMEMBERED:
+            self._forget()
         cut = [self.pieces(t) if t else [] for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        missing = [p for p in set(chain.from_iterable(c for c in cut if c)) if p not in known]
-        for at in range(0, len(missing), 4096):
-            some = missing[at:at + 4096]
-            known.update(zip(some, self._direct(some)))
-        return [b"".join(map(known.__getitem__, c)) if c is not None else self._direct([t])[0]
-                for c, t in zip(cut, texts)]
+        counts = np.array([len(c or ()) for c in cut])
+        words = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(c for c in cut if c)), np.int64, counts.sum())
+        if self.numbers.new:
+            self._learn()
+        sizes = self.sizes[words]
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.repeat(self.starts[words] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [self._direct([t])[0].tobytes() if c is None else ids[min(a + self.feed, b):b].tobytes()
+                for t, c, a, b in zip(texts, cut, upto, upto[1:])]
 
 
 MANIFEST = "shard long, part long, name string, docs long, ids long, bytes long, sha256 string"
