@@ -141,27 +141,25 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str, words: int, ids: DataF
             sets = [shingle_set(body, words, hashes).astype(np.int64) for body in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema=schema)
 
+    # The join takes the same way at every size of the ids: a hash table of a part of them, past which texts stream.
     wanted = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(
-        ids, "id", "left_semi")
+        ids.hint("shuffle_hash"), "id", "left_semi")
     return wanted.mapInArrow(compute, "id long, shingles array<long>")
 
 
 class Confirm:
-    """Confirms candidate pairs ``(a, b)`` on full shingle sets."""
+    """Confirms candidate pairs ``(a, b)`` on full shingle sets ``(id, shingles)``."""
 
-    def __init__(self, docs: DataFrame, doc_id: str, text: str, words: int, percent: int):
-        self.docs, self.names, self.words, self.percent = docs, (doc_id, text), words, percent
+    def __init__(self, sets: DataFrame, percent: int):
+        self.sets, self.percent = sets, percent
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "candidate-pairs")
-        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        sets = stored(shingle_sets(self.docs, *self.names, self.words, ids), "candidate-sets")
-        one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-        two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+        one = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+        two = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         both, na, nb = F.size(F.array_intersect("sa", "sb")), F.size("sa"), F.size("sb")
         fits = (F.least(na, nb) * 100 >= F.greatest(na, nb) * self.percent)
         return stored(
-            pairs.join(one, "a").join(two, "b").filter(fits)
+            stored(pairs, "candidate-pairs").join(one, "a").join(two, "b").filter(fits)
             .filter(both * 100 >= (na + nb - both) * self.percent).select("a", "b").distinct(), "links")
 
 
@@ -248,7 +246,8 @@ def near_duplicates(
     shared_by = halves.join(shared, "h").groupBy("rep").agg(
         F.collect_set(F.struct("pos", "h")).alias("halves")).filter(both_sides)
     cand = stored(heads.join(shared_by, "rep"), "candidates")
-    links = _links(cand, tables, percent, Confirm(docs, doc_id, text, words, percent))
+    sets = stored(shingle_sets(docs, doc_id, text, words, cand.select(F.col("rep").alias("id"))), "candidate-sets")
+    links = _links(cand, tables, percent, Confirm(sets, percent))
     groups = stored(components(links), "components").withColumnRenamed("node", "rep")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return named.join(groups, "rep", "left").select(
@@ -265,5 +264,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     counted = stored(groups.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(
         F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).filter("NOT kept OR rows > 1"), "not-kept")
     same = F.col(doc_id).cast("long") == F.col("_id")
-    once = docs.join(counted, same, "left_anti")
+    once = docs.join(counted.hint("shuffle_hash"), same, "left_anti")
     return once.unionByName(docs.join(counted.filter("kept"), same, "left_semi").dropDuplicates([doc_id]))
