@@ -174,7 +174,7 @@ def grow(tree: Tree, level: Level, states: np.ndarray, depth: int) -> Level:
     total = states[state].astype(float)
     suffix = _suffix_probability(tree, state, word, depth)
     ratio = level.counts / total
-    gain = np.bincount(state, level.counts * np.log(ratio / suffix), len(states))
+    gain = np.bincount(state, level.counts * np.log(ratio / suffix), len(states)).astype(float)
     mass, lower = np.bincount(state, ratio, len(states)), np.bincount(state, suffix, len(states))
     rest = np.maximum(1 - mass, 0.0)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -229,9 +229,10 @@ def train(
     total = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words"),
         F.count_if(F.col("n") == 1).alias("singles"), F.count_if(F.col("n") == 2).alias("doubles")).first()
-    known, n = _arrays(counts.filter(F.col("n") >= known_share * total["tokens"]))
+    least = max(2.0, node_share * total["tokens"])  # of a word, state or transition of the tree
+    known, n = _arrays(counts.filter(F.col("n") >= min(known_share * total["tokens"], least)))
     tree = Tree(total["tokens"], total["words"], total["singles"], total["doubles"], known, n)
-    often = n >= max(2.0, node_share * tree.tokens)
+    often = n >= least
     tree.letter = np.where(often, np.cumsum(often) - 1, -1)
     tree.alphabet = max(1, int(often.sum()))
     states = n[often]
@@ -253,7 +254,7 @@ def train(
             ok = (state >= 0) & (letters >= 0)
             return state[ok] * model.alphabet + letters[ok]
 
-        codes, found = _arrays(_count(texts, transitions).filter(F.col("n") >= max(2.0, node_share * tree.tokens)))
+        codes, found = _arrays(_count(texts, transitions).filter(F.col("n") >= least))
         level = grow(tree, Level(codes.astype(np.int64), found), states, d)
         tree.levels.append(level)
         states = found
