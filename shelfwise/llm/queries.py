@@ -133,3 +133,26 @@ def op10_license_scan(spark, sf_dir):
 @query
 def op5_trie_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), ranked_scores(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+ORACLE["op7_minhash_near_dup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws
+    ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh FROM w
+), u AS (
+  SELECT doc_id, unnest(sh) AS g FROM s
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN s p ON p.doc_id = x JOIN s q ON q.doc_id = y WHERE 100 * n >= 80 * (len(p.sh) + len(q.sh) - n)
+), both_ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.y FROM reach r JOIN both_ways l ON r.b = l.x
+)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(b) AS component_id, s.doc_id = min(b) AS kept
+FROM s JOIN reach ON a = s.doc_id GROUP BY s.doc_id, sh
+"""
