@@ -72,12 +72,23 @@ def page_record(
     ], block)
 
 
+def members_of(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The decompressed gzip members of a file, one at a time."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        member, parts = zlib.decompressobj(zlib.MAX_WBITS | 16), []
+        while not member.eof:
+            piece = view[at:at + step]
+            if not len(piece):
+                raise ValueError("the file ends within a record")
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+        yield b"".join(parts)
+
+
 def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of an archive file; digests are verified."""
-    while data:
-        member = zlib.decompressobj(zlib.MAX_WBITS | 16)
-        body = member.decompress(data) + member.flush()
-        data = member.unused_data
+    for body in members_of(data):
         head, _, rest = body.partition(b"\r\n\r\n")
         first, *lines = head.split(b"\r\n")
         if first != VERSION:
