@@ -1,10 +1,10 @@
 """Token counts under a unigram vocabulary, with a trie that shares the work of common prefixes.
 
 The best segmentation of a pre-token is found by forward scores: the best score of a prefix is the largest, over the
-pieces that end it, of the piece's score plus the best score of what is left. That depends on the prefix only, so
-each node of a trie over the distinct pre-tokens keeps its score and its number of tokens, worked out once when the
-node is made, and a pre-token's count is that of its last node. Every worker fills its own trie from the texts it reads
-and empties it at ``MAX_NODES`` nodes: no shuffle, and a bounded memory for any vocabulary and any text.
+pieces that end it, of the piece's score plus the best score of what is left. That depends on the prefix only, so in
+a trie over the distinct pre-tokens each node's score is worked out once, and a pre-token's count is that of its last
+node, which is kept. Every worker walks the trie of the pre-tokens that it meets first, depth first, with the current
+path in memory, and remembers ``REMEMBERED`` counts at most: no shuffle, and a bounded memory for any vocabulary and text.
 
 A pre-token is a word with the mark of a blank in front. A code point that no piece covers counts as its UTF-8 bytes.
 Of segmentations with equal scores the one with fewer tokens counts.
@@ -16,7 +16,8 @@ an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,8 +25,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import bound_batches, utf8
 
 MARK = "▁"
-# Nodes of a trie, and counts of pre-tokens, that a worker keeps.
-MAX_NODES, REMEMBERED = 400_000, 400_000
+# Counts of pre-tokens that a worker keeps.
+REMEMBERED = 1_000_000
 # What a byte scores below the least likely piece.
 BYTE_PENALTY = 10.0
 
@@ -44,59 +45,72 @@ def ranked_scores(model_file: str) -> dict[str, float]:
     return {piece: -math.log(rank) - total for rank, piece in enumerate(pieces, 1)}
 
 
-class Node:
-    __slots__ = ("children", "score", "tokens")
-
-    def __init__(self, score: float, tokens: int):
-        self.children: dict[str, Node] = {}
-        self.score, self.tokens = score, tokens
+def suffix_index(scores: Mapping[str, float]) -> dict:
+    """The pieces by their characters from the last to the first; the empty key holds a piece's score."""
+    index: dict = {}
+    for piece, score in scores.items():
+        node = index
+        for c in reversed(piece):
+            node = node.setdefault(c, {})
+        node[""] = score
+    return index
 
 
 class TrieCounts(dict):
-    """Number of tokens of pre-tokens given as UTF-8 words; fills itself through the trie."""
+    """Number of tokens of pre-tokens given as UTF-8 words."""
 
-    def __init__(self, scores: Mapping[str, float], max_nodes: int = MAX_NODES):
+    def __init__(self, scores: Mapping[str, float], remembered: int = REMEMBERED):
         super().__init__()
-        self.scores, self.longest = scores, max(map(len, scores), default=1)
+        self.index, self.remembered = suffix_index(scores), remembered
         self.byte = min(scores.values(), default=0.0) - BYTE_PENALTY
-        self.max_nodes, self.nodes, self.root = max_nodes, 0, Node(0.0, 0)
-
-    def _node(self, path: list[Node], word: str) -> Node:
-        """The node of a prefix, from the nodes of all its own prefixes."""
-        end, scores = len(word), self.scores
-        score, tokens = -math.inf, 0
-        for size in range(1, min(self.longest, end) + 1):
-            piece = scores.get(word[end - size:])
-            if piece is None:
-                if size > 1:
-                    continue
-                n = len(word[-1].encode("utf-8", "replace"))
-                piece, more = n * self.byte, n
-            else:
-                more = 1
-            before = path[end - size]
-            found = before.score + piece
-            if found > score or (found == score and before.tokens + more < tokens):
-                score, tokens = found, before.tokens + more
-        self.nodes += 1
-        return Node(score, tokens)
-
-    def count(self, pre_token: str) -> int:
-        if self.nodes > self.max_nodes:
-            self.root, self.nodes = Node(0.0, 0), 0
-        path = [self.root]
-        for i, c in enumerate(pre_token, 1):
-            node = path[-1].children.get(c)
+        self.prefixes = 0  # whose scores were worked out
+
+    def learn(self, words: Iterable[bytes]) -> None:
+        """Walk the trie of new words depth first.
+
+        In order of their text the words that share a prefix follow each other, so the path to the current word is
+        all that is held: the best score and the number of tokens of each of its prefixes.
+        """
+        last, score, tokens = "", [0.0], [0]
+        for word in sorted(words):
+            text = MARK + word.decode("utf-8", "replace")
+            shared, most = 0, min(len(last), len(text))
+            while shared < most and last[shared] == text[shared]:
+                shared += 1
+            del score[shared + 1:], tokens[shared + 1:]
+            for end in range(shared, len(text)):
+                self._extend(text, end, score, tokens)
+            last = text
+            self[word] = tokens[-1]
+
+    def _extend(self, text: str, end: int, score: list[float], tokens: list[int]) -> None:
+        """Append the best score and tokens of the prefix that ends with the character at ``end``."""
+        best, fewest, begin, node = -math.inf, 0, end, self.index
+        while begin >= 0:
+            node = node.get(text[begin])
             if node is None:
-                node = path[-1].children[c] = self._node(path, pre_token[:i])
-            path.append(node)
-        return path[-1].tokens
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
+                break
+            piece = node.get("")
+            if piece is not None:
+                found = score[begin] + piece
+                if found > best or found == best and tokens[begin] + 1 < fewest:
+                    best, fewest = found, tokens[begin] + 1
+            begin -= 1
+        if "" not in self.index.get(text[end], ()):
+            n = len(text[end].encode("utf-8", "replace"))
+            found = score[end] + n * self.byte
+            if found > best or found == best and tokens[end] + n < fewest:
+                best, fewest = found, tokens[end] + n
+        self.prefixes += 1
+        score.append(best)
+        tokens.append(fewest)
+
+    def of(self, texts: list[list[bytes]]) -> list[int]:
+        """The number of tokens of texts that are cut into words."""
+        if len(self) > self.remembered:
             self.clear()
-        tokens = self[word] = self.count(MARK + word.decode("utf-8", "replace"))
-        return tokens
+        self.learn(set(chain.from_iterable(texts)).difference(self))
+        return [sum(map(self.__getitem__, words)) for words in texts]
 
 
 def counts_of(scores: Mapping[str, float], text: Column | str) -> Column:
@@ -107,8 +121,11 @@ def counts_of(scores: Mapping[str, float], text: Column | str) -> Column:
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         trie = TrieCounts(scores)
         for texts in batches:
-            split = [body.split() for body in utf8(texts)]
-            yield pa.array([{"n_words": len(w), "n_tokens": sum(map(trie.__getitem__, w))} for w in split], kind)
+            rows = []
+            for at in range(0, len(texts), 1024):
+                split = [body.split() for body in utf8(texts.slice(at, 1024))]
+                rows += [{"n_words": len(w), "n_tokens": n} for w, n in zip(split, trie.of(split))]
+            yield pa.array(rows, kind)
 
     return count(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 

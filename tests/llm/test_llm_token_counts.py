@@ -23,21 +23,24 @@ def plain_count(word, scores, byte):
     return -best[-1][1]
 
 
-@pytest.mark.parametrize("max_nodes", [5, 100_000])
-def test_random_words(max_nodes):
+@pytest.mark.parametrize("remembered", [5, 100_000])
+def test_random_words(remembered):
     draw = random.Random(4)
     scores = {"".join(draw.choices("abc", k=draw.randrange(1, 5))): -draw.randrange(1, 9) / 2 for _ in range(25)}
     scores["▁"] = -1.0
-    trie = T.TrieCounts(scores, max_nodes)
-    for _ in range(400):
-        word = "".join(draw.choices("abcdé", k=draw.randrange(1, 12)))
-        assert trie[word.encode()] == plain_count("▁" + word, scores, trie.byte)
+    trie = T.TrieCounts(scores, remembered)
+    for _ in range(60):
+        texts = [["".join(draw.choices("abcdé", k=draw.randrange(1, 12))) for _ in range(8)] for _ in range(3)]
+        want = [sum(plain_count("▁" + word, scores, trie.byte) for word in words) for words in texts]
+        assert trie.of([[word.encode() for word in words] for words in texts]) == want
 
 
 def test_common_prefixes_are_worked_out_once():
     trie = T.TrieCounts({"▁": -1.0, "a": -1.0, "ab": -1.5})
-    trie[b"aaaa"], trie[b"aaab"], trie[b"aaaa"]
-    assert trie.nodes == 6  # the mark, four letters, and one more
+    trie.of([[b"aaab", b"aaaa"], [b"aaaa"]])
+    assert trie.prefixes == 6  # the mark, four letters, and one more
+    trie.of([[b"aaaa"]])
+    assert trie.prefixes == 6
 
 
 def test_documents_and_edge_cases(spark, sf_dir):
