@@ -16,10 +16,14 @@ _PREPARED: dict[tuple[str, str], str] = {}
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> None:
-    """Write all views of one scale, so that queries of this session read them instead of deriving them."""
+    """Write all views of one scale, so that queries of this session read them instead of deriving them.
+
+    Each is written in several files, as a table of some size would be; the test tables have one row group each.
+    """
+    files = spark.sparkContext.defaultParallelism
     for name in VIEWS:
         path = scratch_path(spark, f"view-{name}")
-        view(spark, sf_dir, name).write.parquet(path)
+        view(spark, sf_dir, name).repartition(files).write.parquet(path)
         _PREPARED[sf_dir, name] = path
 
 
