@@ -148,7 +148,10 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str, words: int, ids: DataF
 
 
 class Confirm:
-    """Confirms candidate pairs ``(a, b)`` on full shingle sets ``(id, shingles)``."""
+    """Confirms candidate pairs ``(a, b)`` on full shingle sets ``(id, shingles)``.
+
+    Nothing follows the joins that needs their partitioning, so that the rows of a group's smallest member can be split.
+    """
 
     def __init__(self, sets: DataFrame, percent: int):
         self.sets, self.percent = sets, percent
@@ -160,7 +163,7 @@ class Confirm:
         fits = (F.least(na, nb) * 100 >= F.greatest(na, nb) * self.percent)
         return stored(
             stored(pairs, "candidate-pairs").join(one, "a").join(two, "b").filter(fits)
-            .filter(both * 100 >= (na + nb - both) * self.percent).select("a", "b").distinct(), "links")
+            .filter(both * 100 >= (na + nb - both) * self.percent).select("a", "b"), "links")
 
 
 def _compatible(x: str, y: str, tables: int, percent: int) -> Column:
