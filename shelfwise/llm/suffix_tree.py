@@ -1,14 +1,17 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-The tree's states are contexts of up to ``depth`` words. A context is kept when it is frequent enough
-(``node_share`` of all training tokens) and the distribution of what follows it diverges from that of its longest
-kept suffix by more than its description costs. Next-word distributions are smoothed by discounting every count and
-giving what is freed to the suffix's distribution; the root discounts in favour of unseen words. A token is scored in
-the state of the longest kept suffix before it.
-
-Counts cover all training documents and are added up in Spark; workers send partial sums. What the workers get back is
-bounded by the shares, not by the corpus: at most ``1 / known_share`` words and ``1 / node_share`` transitions a
-depth can reach these shares of all tokens. Counts of rarer words are joined. Words are told apart by 64-bit hashes.
+The tree's states are contexts of up to ``depth`` words. A transition (a context and the word after it) is counted
+when it occurs ``MIN_COUNT`` times, at every size of the corpus. A context is kept when the distribution of what follows
+it diverges from that of its longest kept suffix by more than its description costs. Next-word distributions are
+smoothed by discounting every count and giving what is freed to the suffix's distribution; the root discounts in favour
+of unseen words. A token is scored in the state of the longest kept suffix before it.
+
+The tree is a Spark table of word sequences (grams) and grows with the corpus. It is built a level at a time by joins
+with the level below: a gram's suffix has the lower probability, its prefix the total. A text's log-probability is a sum
+over its words and grams, one number for each: what a gram gains as a transition over its suffix, and what it leaves to
+its suffix as a context. So texts look their grams up by one join. What the workers get is bounded: the words and grams
+with a share of ``known_share`` of all tokens, which would be hot keys of that join, and bitmaps of fixed size that
+only save looking up what is certainly absent. Words and grams are told apart by 64-bit hashes.
 
 Defined cases: null and empty texts have the end token only; rows without an id are scored like any other and take
 part in training as their empty id text decides; without training tokens every token is unseen; an empty table
@@ -18,7 +21,8 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +30,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.checkpoints import stored
 from .common import bound_batches, small_batches, utf8
-from .near_dup import WordHashes
+from .near_dup import WordHashes, _mix
 
-# Shares of all training tokens that bound what is sent to the workers: a word with a known count, a state or transition.
-KNOWN_SHARE, NODE_SHARE = 1e-6, 1e-5
-DEPTH = 2
+# Share of all training tokens from which a word or gram is sent to the workers instead of joined.
+KNOWN_SHARE = 1e-6
+# Occurrences that a word, state or transition of the tree needs; a share of all tokens can be asked for on top.
+MIN_COUNT, NODE_SHARE = 2, 0.0
+DEPTH = 3
 DISCOUNT = 0.5
 END = np.uint64(0)
-# Tokens that a worker counts before it sends their sums.
-COUNTED_AT_ONCE = 4_000_000
+# Tokens that a worker counts before it sends their sums, and rows that it sends at a time.
+COUNTED_AT_ONCE, SENT_AT_ONCE = 4_000_000, 250_000
+# Bits of a bitmap, as a power of two, and the bits of one of Spark's bitmap rows.
+BITMAP, BITMAP_ROW = 28, 32_768
+ODD, SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
 def token_hashes(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -48,6 +57,21 @@ def token_hashes(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np
     return np.concatenate(parts) if parts else np.empty(0, np.uint64), np.array(starts, np.int64)
 
 
+def grams(h: np.ndarray, starts: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Per level: the codes of the grams that end at each token, of their prefixes and suffixes, and which ones exist.
+
+    A text is preceded by an end token, and grams do not reach further back.
+    """
+    offset = np.arange(len(h)) - np.repeat(starts, np.diff(np.append(starts, len(h))))
+    below = h
+    for k in range(depth):
+        prefix = np.empty_like(below)
+        prefix[:1], prefix[1:] = END, below[:-1]
+        codes = _mix(prefix * ODD + h + SALT)
+        yield codes, prefix, below, offset >= k
+        below = codes
+
+
 def find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Places of ``values`` in a sorted table, -1 where absent."""
     if not len(table):
@@ -57,212 +81,166 @@ def find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[at] == values, at, -1)
 
 
-@dataclass
-class Level:
-    """Transitions of contexts of one length: sorted codes ``state * alphabet + word`` and their counts.
+def bitmap_of(codes: DataFrame) -> np.ndarray:
+    """A bitmap with two bits for every code; its size does not depend on their number."""
+    mask = (1 << BITMAP) - 1
+    rows = (
+        codes.select(F.explode(F.array(F.shiftrightunsigned("code", 64 - BITMAP), F.col("code").bitwiseAND(F.lit(mask))))
+                     .alias("bit"))
+        .groupBy(F.floor(F.col("bit") / BITMAP_ROW).alias("part"))
+        .agg(F.bitmap_construct_agg(F.col("bit") % BITMAP_ROW).alias("bits")).toArrow())
+    out = np.zeros(1 << BITMAP - 3, np.uint8)
+    for part, bits in zip(rows.column("part").to_pylist(), rows.column("bits").to_pylist()):
+        at = part * BITMAP_ROW // 8
+        out[at:at + len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def may_hold(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """False where a code is certainly not among those of the bitmap."""
+    def set_at(bit: np.ndarray) -> np.ndarray:
+        return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    return set_at(codes >> np.uint64(64 - BITMAP)) & set_at(codes & np.uint64((1 << BITMAP) - 1))
+
+
+def _sums(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """The distinct codes of a chunk with the columns that go with them and their number."""
+    columns = [np.concatenate(c) for c in zip(*held)]
+    _, first, n = np.unique(columns[0], return_index=True, return_counts=True)
+    names = ["code", "prefix", "suffix"][:len(columns)] + ["n"]
+    for at in range(0, len(first), SENT_AT_ONCE):
+        some = slice(at, at + SENT_AT_ONCE)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c[first[some]].view(np.int64)) for c in columns] + [pa.array(n[some])], names=names)
 
-    Filled in by :func:`grow`: the discounted share of each transition (0 for states that are not kept) and what a
-    state leaves to its suffix (1 where it is not kept).
-    """
 
-    codes: np.ndarray
-    counts: np.ndarray
-    shares: np.ndarray = field(default_factory=lambda: np.empty(0))
-    rest: np.ndarray = field(default_factory=lambda: np.empty(0))
-    kept: int = 0
+def _count(texts: DataFrame, columns_of, others: tuple[str, ...] = ()) -> DataFrame:
+    """Sums of the codes that ``columns_of(hashes of tokens, starts)`` gives, with other columns, over all texts."""
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held, size = WordHashes(), [], 0
+        for b in small_batches(batches):
+            held.append(columns_of(*token_hashes(utf8(b.column(0)), hashes)))
+            size += len(held[-1][0])
+            if size >= COUNTED_AT_ONCE:
+                yield from _sums(held)
+                held, size = [], 0
+        if size:
+            yield from _sums(held)
+
+    kind = ", ".join(f"{c} long" for c in ("code", *others, "n"))
+    return texts.mapInArrow(compute, kind).groupBy("code").agg(
+        *[F.any_value(c).alias(c) for c in others], F.sum("n").alias("n"))
+
+
+def _count_grams(texts: DataFrame, level: int, bitmap: np.ndarray | None) -> DataFrame:
+    """``code, prefix, suffix, n`` of grams. Those whose prefix or suffix is too rare are too rare themselves."""
+    sent = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def columns(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        codes, prefix, suffix, ok = list(grams(h, starts, level))[-1]
+        if sent.value is not None:
+            often = may_hold(sent.value, suffix)
+            ok = ok & often
+            ok[1:] &= often[:-1]
+        return codes[ok], prefix[ok], suffix[ok]
+
+    return _count(texts, columns, ("prefix", "suffix"))
+
+
+def _arrays(rows: DataFrame) -> list[np.ndarray]:
+    """A bounded table as arrays, sorted by the unsigned code in its first column."""
+    data = rows.toArrow()
+    codes = data.column(0).to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(codes)
+    return [codes[order], *[data.column(i).to_numpy()[order] for i in range(1, data.num_columns)]]
 
 
 @dataclass
-class Tree:
-    """The model. ``known`` holds sorted word hashes, ``counts`` theirs; ``letter`` numbers the words of states."""
+class Model:
+    """``words``: ``code, n, value`` of all words; ``grams``: the same of the grams that change a score.
+
+    A gram's value is the natural logarithm by which each of its occurrences changes a text's probability. A word's value
+    is what it leaves to the root as a context.
+    """
 
     tokens: int
-    words: int
+    distinct: int
     singles: int
     doubles: int
-    known: np.ndarray
-    counts: np.ndarray
-    letter: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    alphabet: int = 0
-    levels: list[Level] = field(default_factory=list)
+    words: DataFrame
+    grams: DataFrame
 
     @property
     def root_discount(self) -> float:
         return (self.singles + 0.5) / (self.singles + 2 * self.doubles + 1.0)
 
-    def root(self, counts: np.ndarray) -> np.ndarray:
-        """Probability of words by their count; all unseen words together for 0."""
-        n = max(1, self.tokens)
-        unseen = self.root_discount * self.words / n if self.words else 1.0
-        return np.where(counts > 0, (counts - self.root_discount) / n, unseen)
-
-    def letters(self, places: np.ndarray) -> np.ndarray:
-        return np.where(places >= 0, self.letter[places] if len(self.letter) else -1, -1)
-
-    def steps(self, letters: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Per level: the state before each token (-1 for none) and the place of the transition it makes.
-
-        A text is preceded by an end token. States of level d are the transitions of level d - 1 made one token ago.
-        """
-        before = np.empty_like(letters)
-        before[1:] = letters[:-1]
-        before[starts] = self.letters(find(self.known, np.array([END])))[0] if len(starts) else 0
-        state = before
-        for level in self.levels:
-            ok = (state >= 0) & (letters >= 0)
-            place = np.full(len(letters), -1, np.int64)
-            place[ok] = find(level.codes, state[ok] * self.alphabet + letters[ok])
-            yield state, place
-            state = np.empty_like(place)
-            state[1:] = place[:-1]
-            state[starts] = -1
-
-    def probabilities(self, places: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Of every token; for words that are not in ``known``, the factor of their probability at the root."""
-        p = np.where(places >= 0, self.root(self.counts[places]) if len(self.counts) else 1.0, 1.0)
-        for level, (state, place) in zip(self.levels, self.steps(self.letters(places), starts)):
-            inside = state >= 0
-            p[inside] *= level.rest[state[inside]]
-            made = place >= 0
-            p[made] += level.shares[place[made]]
-        return p
-
-
-def _partial_sums(codes: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """``(code, n)`` of runs of tokens: sums of bounded chunks."""
-    def sums(held: list[np.ndarray]) -> pa.RecordBatch:
-        values, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(n)], names=["code", "n"])
-
-    held, size = [], 0
-    for c in codes:
-        held.append(c)
-        size += len(c)
-        if size >= COUNTED_AT_ONCE:
-            yield sums(held)
-            held, size = [], 0
-    if size:
-        yield sums(held)
-
-
-def _count(texts: DataFrame, codes_of) -> DataFrame:
-    """Sums of the codes that ``codes_of(hashes of tokens, starts)`` gives, over all texts."""
-    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        yield from _partial_sums(
-            codes_of(*token_hashes(utf8(b.column(0)), hashes)) for b in small_batches(batches))
-
-    return texts.mapInArrow(compute, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded table ``(code, n)`` as arrays, sorted by the unsigned code."""
-    data = rows.toArrow()
-    codes = data.column("code").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(codes)
-    return codes[order], data.column("n").to_numpy().astype(np.int64)[order]
+    @property
+    def unseen(self) -> float:
+        """Probability of all unseen words together."""
+        return self.root_discount * self.distinct / max(1, self.tokens) if self.distinct else 1.0
 
 
-def grow(tree: Tree, level: Level, states: np.ndarray, depth: int) -> Level:
-    """Decide which states of a level are kept and smooth their transitions.
+def _level(counted: DataFrame, lower: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decide which contexts of a level are kept and smooth their transitions.
 
-    ``states`` has the count of every state. A state's distribution is compared with the one its suffix gives: the
-    gain in log-likelihood over the state's occurrences, for the counted transitions and for all the rest, has to
-    exceed the price of its parameters.
+    ``lower`` has the level below: ``code, n, logp``. A context's distribution is compared with the one its suffix gives:
+    the gain in log-likelihood over its occurrences, for the counted transitions and for all the rest, has to exceed the
+    price of its parameters. Returns the level with the ``value`` of each transition, and the kept contexts.
     """
-    state, word = level.codes // tree.alphabet, level.codes % tree.alphabet
-    total = states[state].astype(float)
-    suffix = _suffix_probability(tree, state, word, depth)
-    ratio = level.counts / total
-    gain = np.bincount(state, level.counts * np.log(ratio / suffix), len(states)).astype(float)
-    mass, lower = np.bincount(state, ratio, len(states)), np.bincount(state, suffix, len(states))
-    rest = np.maximum(1 - mass, 0.0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain += np.where(rest > 0, states * rest * np.log(rest / np.maximum(1 - lower, 1e-12)), 0.0)
-    entries = np.bincount(state, minlength=len(states))
-    kept = (entries > 0) & (gain > 0.5 * (entries + 1) * np.log(np.maximum(states, 2)))
-    level.shares = np.where(kept[state], (level.counts - DISCOUNT) / total, 0.0)
-    level.rest = 1.0 - np.bincount(state, level.shares, len(states))
-    level.kept = int(kept.sum())
-    return level
-
-
-def _suffix_probability(tree: Tree, state: np.ndarray, word: np.ndarray, depth: int) -> np.ndarray:
-    """Probability of ``word`` after the longest kept suffix of each state of a level (1: the root)."""
-    of_letter = np.flatnonzero(tree.letter >= 0)
-    p = tree.root(tree.counts[of_letter])[word]
-    for d in range(1, depth):
-        # The last d words of the state, as a state of level d.
-        tail = _tail(tree, state, depth, d)
-        level = tree.levels[d - 1]
-        inside = tail >= 0
-        place = np.full(len(state), -1, np.int64)
-        place[inside] = find(level.codes, tail[inside] * tree.alphabet + word[inside])
-        p = np.where(inside, p * np.where(inside, level.rest[tail], 1.0), p)
-        p = p + np.where(place >= 0, level.shares[place], 0.0)
-    return p
-
-
-def _tail(tree: Tree, state: np.ndarray, depth: int, d: int) -> np.ndarray:
-    """The state of level ``d`` that ends like states of level ``depth``, -1 where it was never counted."""
-    words = []
-    for back in range(depth - 1, 0, -1):
-        codes = tree.levels[back - 1].codes[state]
-        words.append(codes % tree.alphabet)
-        state = codes // tree.alphabet
-    words.append(state)
-    words = words[::-1][-d:]  # the last d words, first one first
-    tail = words[0]
-    for i, word in enumerate(words[1:]):
-        ok = tail >= 0
-        place = np.full(len(tail), -1, np.int64)
-        place[ok] = find(tree.levels[i].codes, tail[ok] * tree.alphabet + word[ok])
-        tail = place
-    return tail
-
-
-def train(
-    texts: DataFrame, depth: int = DEPTH, known_share: float = KNOWN_SHARE, node_share: float = NODE_SHARE,
-) -> tuple[Tree, DataFrame]:
-    """Learn from a one-column table of texts; returns the tree and the counts ``(code, n)`` of all tokens."""
-    counts = stored(_count(texts, lambda h, starts: h), "token-counts")
+    grams_ = stored(counted.join(lower.select(F.col("code").alias("suffix"), F.col("logp").alias("lower")), "suffix")
+                    .select("code", "prefix", "n", "lower"), "grams")
+    n, total = F.col("n"), F.col("total")
+    rest = F.greatest(1 - F.col("mass"), F.lit(0.0))
+    spent = F.when(rest > 0, total * rest * F.log(rest / F.greatest(1 - F.col("below"), F.lit(1e-12)))).otherwise(0.0)
+    states = (
+        grams_.groupBy("prefix").agg(
+            F.sum("n").alias("followed"), F.count(F.lit(1)).alias("entries"),
+            F.sum(n * (F.log(n) - F.col("lower"))).alias("gain"), F.sum(F.exp("lower")).alias("below"))
+        .join(lower.select(F.col("code").alias("prefix"), F.col("n").alias("total")), "prefix")
+        .withColumn("mass", F.col("followed") / total)
+        .filter(F.col("gain") - F.col("followed") * F.log(total) + spent
+                > 0.5 * (F.col("entries") + 1) * F.log(F.greatest(total, F.lit(2))))
+        .select("prefix", "total", (1 - (F.col("followed") - DISCOUNT * F.col("entries")) / total).alias("rest")))
+    states = stored(states, "contexts")
+    logp = F.coalesce(F.log((n - DISCOUNT) / total + F.col("rest") * F.exp("lower")), F.col("lower"))
+    level = grams_.join(states, "prefix", "left").select(
+        "code", "n", logp.alias("logp"),
+        F.coalesce(logp - F.col("lower") - F.log("rest"), F.lit(0.0)).alias("value"))
+    return stored(level, "level"), states.select(
+        F.col("prefix").alias("code"), total.alias("n"), F.log("rest").alias("value"))
+
+
+def train(texts: DataFrame, depth: int = DEPTH, node_share: float = NODE_SHARE) -> Model:
+    """Learn from a one-column table of texts."""
+    counts = stored(_count(texts, lambda h, starts: (h,)), "token-counts")
     total = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words"),
         F.count_if(F.col("n") == 1).alias("singles"), F.count_if(F.col("n") == 2).alias("doubles")).first()
-    least = max(2.0, node_share * total["tokens"])  # of a word, state or transition of the tree
-    known, n = _arrays(counts.filter(F.col("n") >= min(known_share * total["tokens"], least)))
-    tree = Tree(total["tokens"], total["words"], total["singles"], total["doubles"], known, n)
-    often = n >= least
-    tree.letter = np.where(often, np.cumsum(often) - 1, -1)
-    tree.alphabet = max(1, int(often.sum()))
-    states = n[often]
-    context = texts.sparkSession.sparkContext
+    values = counts.select("code", "n", F.lit(0.0).alias("value")).limit(0)
+    model = Model(total["tokens"], total["words"], total["singles"], total["doubles"],
+                  counts.withColumn("value", F.lit(0.0)), values)
+    least = max(MIN_COUNT, node_share * model.tokens)  # of a word, state or transition of the tree
+    lower = counts.filter(F.col("n") >= least).withColumn(
+        "logp", F.log((F.col("n") - model.root_discount) / max(1, model.tokens)))
+    bitmap = None
     for d in range(1, depth + 1):
-        sent = context.broadcast(tree)
-
-        def transitions(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-            """Codes of the transitions out of all states of this depth, kept or not."""
-            model = sent.value
-            letters = model.letters(find(model.known, h))
-            state = letters.copy()
-            state[1:] = letters[:-1]
-            state[starts] = model.letters(find(model.known, np.array([END])))[0]
-            for state_before, place in model.steps(letters, starts):
-                state = np.empty_like(place)
-                state[1:] = place[:-1]
-                state[starts] = -1
-            ok = (state >= 0) & (letters >= 0)
-            return state[ok] * model.alphabet + letters[ok]
-
-        codes, found = _arrays(_count(texts, transitions).filter(F.col("n") >= least))
-        level = grow(tree, Level(codes.astype(np.int64), found), states, d)
-        tree.levels.append(level)
-        states = found
-    return tree, counts
+        level, contexts = _level(_count_grams(texts, d, bitmap).filter(F.col("n") >= least), lower)
+        if d == 1:
+            model.words = counts.join(contexts.select("code", "value"), "code", "left").select(
+                "code", "n", F.coalesce("value", F.lit(0.0)).alias("value"))
+        else:
+            values = values.unionByName(contexts)
+        values = values.unionByName(level.filter(F.col("value") != 0).select("code", "n", "value"))
+        bitmap = bitmap_of(level.select("code")) if d < depth else None
+        lower = level.drop("value")
+    model.grams = stored(values.groupBy("code").agg(F.max("n").alias("n"), F.sum("value").alias("value")), "values")
+    return model
 
 
 def score(
-    docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", **options,
+    docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH,
+    known_share: float = KNOWN_SHARE, node_share: float = NODE_SHARE,
 ) -> DataFrame:
     """Per row: ``doc_id, training, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -271,46 +249,65 @@ def score(
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                        training.alias("training"))
-    tree, counts = train(rows.filter("training").select("text"), **options)
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
-    below = float(tree.tokens + tree.words + 1)
+    model = train(rows.filter("training").select("text"), depth, node_share)
+    tokens, below = max(1, model.tokens), float(model.tokens + model.distinct + 1)
+    discount, unseen = model.root_discount, log(model.unseen)
+    often = F.col("n") >= known_share * model.tokens
+    sent = docs.sparkSession.sparkContext.broadcast((
+        _arrays(model.words.filter(often).select("code", "n", "value")),
+        _arrays(model.grams.filter(often).select("code", "value")),
+        bitmap_of(model.grams.filter(~often).select("code"))))
     kind = pa.schema([("doc_id", pa.int64()), ("training", pa.bool_()), ("n_tokens", pa.int64()),
                       ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
                       ("rare", pa.list_(pa.int64()))])
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, hashes = sent.value, WordHashes()
+        (words, counts, left), (common, values), bitmap = sent.value
+        base_of = np.append(np.log10((counts + 1) / below), -np.log10(below))  # the last one for place -1
+        log_of = np.append(np.log((counts - discount) / tokens) + left, unseen)
+        value_of, hashes = np.append(values, 0.0), WordHashes()
         for batch in small_batches(batches):
             h, starts = token_hashes(utf8(batch.column(1)), hashes)
-            places = find(model.known, h)
+            places = find(words, h)
             seen = places >= 0
-            base = np.zeros(len(h))
-            base[seen] = np.log10((model.counts[places[seen]] + 1) / below)
-            logs = np.log10(model.probabilities(places, starts))
-            rare_before = np.concatenate([[0], np.cumsum(~seen)])
-            offsets = np.append(rare_before[starts], rare_before[-1]).astype(np.int32)
+            logs = log_of[places]
+            at, codes = [np.flatnonzero(~seen)], [h[~seen]]
+            for code, _, _, ok in grams(h, starts, depth):
+                here = np.flatnonzero(ok)
+                code = code[here]
+                place = find(common, code)
+                logs[here] += value_of[place]
+                rare = (place < 0) & may_hold(bitmap, code)
+                at.append(here[rare])
+                codes.append(code[rare])
+            at = np.concatenate(at)
+            order = np.argsort(at, kind="stable")
+            offsets = np.searchsorted(at[order], np.append(starts, len(h))).astype(np.int32)
             ends = np.append(starts[1:], len(h))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), pa.array(ends - starts),
-                pa.array(np.add.reduceat(seen.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
-                pa.array(np.add.reduceat(logs, starts)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[~seen].astype(np.int64)))], schema=kind)
+                pa.array(np.add.reduceat(seen.astype(np.int64), starts)),
+                pa.array(np.add.reduceat(base_of[places], starts)), pa.array(np.add.reduceat(logs, starts)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(codes)[order].view(np.int64)))],
+                schema=kind)
 
     scored = stored(
         rows.select("doc_id", "text", "training").mapInArrow(
             compute, "doc_id long, training boolean, n_tokens long, n_known long, base double, model double, "
             "rare array<long>").withColumn("row", F.monotonically_increasing_id()), "scored")
-    # Words below the known share are joined with the counts of all words.
-    n = F.coalesce("n", F.lit(0))
-    discount, tokens = tree.root_discount, float(max(1, tree.tokens))
-    unseen = discount * tree.words / tokens if tree.words else 1.0
+    # Words and grams below the known share are joined: what they add to the score of an unseen word, or to that without them.
+    n = F.col("n")
+    table = model.words.filter(~often).select(
+        "code", F.lit(1).alias("word"), F.log10(n + 1).alias("base_more"),
+        (F.log((n - discount) / tokens) + F.col("value") - unseen).alias("more")).unionByName(
+        model.grams.filter(~often).select(
+            "code", F.lit(0).alias("word"), F.lit(0.0).alias("base_more"), F.col("value").alias("more")))
     rare = (
-        scored.select("row", F.explode("rare").alias("code")).join(counts, "code", "left").groupBy("row").agg(
-            F.count("n").alias("more"), F.sum(F.log10((n + 1) / F.lit(below))).alias("base_more"),
-            F.sum(F.log10(F.when(n > 0, (n - discount) / tokens).otherwise(unseen))).alias("model_more"))
+        scored.select("row", F.explode("rare").alias("code")).join(table, "code").groupBy("row").agg(
+            F.sum("word").alias("words"), F.sum("base_more").alias("base_more"), F.sum("more").alias("more"))
     )
     return scored.drop("rare").join(rare, "row", "left").select(
-        "doc_id", "training", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(tree.tokens).cast("long").alias("train_tokens"),
+        "doc_id", "training", "n_tokens", (F.col("n_known") + F.coalesce("words", F.lit(0))).alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("base_more", F.lit(0.0))).alias("base_score"),
-        (F.col("model") + F.coalesce("model_more", F.lit(0.0))).alias("score"))
+        ((F.col("model") + F.coalesce("more", F.lit(0.0))) / log(10)).alias("score"))

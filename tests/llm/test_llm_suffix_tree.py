@@ -136,3 +136,14 @@ def test_edge_cases(spark):
     nothing = S.score(docs, F.lit(False)).collect()
     assert {(r.base_score, r.score, r.n_known, r.train_tokens) for r in nothing} == {(0.0, 0.0, 0, 0)}
     assert S.score(docs.limit(0), F.lit(True)).collect() == []
+
+
+def test_rare_transitions_stay_in_the_tree_at_any_size(spark):
+    # What "p q r" is followed by shows only in three words of context, seen twice in a corpus of 300,000 tokens.
+    rare = ["p q r s", "p q r s", "z q r t", "z q r t"]
+    texts = [*rare, *["q r u", "w p q v"] * 20, *[" ".join(f"f{(i * 37 + j) % 500}" for j in range(300)) for i in range(1000)]]
+    docs = spark.createDataFrame(list(enumerate([*texts, "p q r s"])), "doc_id long, text string").repartition(3)
+    plain = Plain(texts, 3, 0.0)
+    assert (b"p", b"q", b"r") in plain.kept and plain.c[b"s"] < 1e-5 * plain.n
+    held_out = {r.doc_id: r.score for r in S.score(docs, F.col("doc_id") < len(texts)).collect()}
+    assert held_out[len(texts)] == pytest.approx(plain.score("p q r s"), abs=1e-6)
