@@ -1,11 +1,12 @@
 """License scans by an exact set-similarity join of text blocks with license templates.
 
-A block (a sentence, a line, or a paragraph) matches a template when it holds at least ``threshold`` of the template's
+A block (a sentence, also one that runs over line feeds, a line, or a paragraph) matches a template when it holds at least ``threshold`` of the template's
 distinct words. The words of the templates are counted in all documents and ordered by rising frequency. With
 ``need = ceil(threshold * size)`` shared words asked for, a matching block must hold one of the template's first
 ``size - need + 1`` words (prefix filter), must have ``need`` template words at all (length filter), and at every
 shared prefix word what is left on both sides must suffice (positional filter). Pairs that pass are verified on the
-full sets, so every matching block is found. Blocks with over ``DILUTION`` times the template's words are no notice.
+full sets, so every matching block is found, however many other words it holds. Of the templates that a block matches,
+those count of which it holds no word besides those of a better match.
 
 Templates and phrases are a parameter of bounded size and travel with the task; texts stay where they are.
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from math import ceil
+from math import ceil, inf
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,7 +29,9 @@ from .decontamination import words_of
 
 # Words of all templates at most; what is sent to the workers is bounded by it.
 MAX_TEMPLATE_WORDS = 100_000
-THRESHOLD, DILUTION = 0.8, 4
+THRESHOLD = 0.8
+# Words of a block at most, as a multiple of the template's: no bound.
+DILUTION = inf
 
 # Phrases whose places are reported, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -55,11 +58,12 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
-CUTS = (re.compile(rb"(?<=[.!?])[ \t\r\f\v]+|\n"), re.compile(rb"\n"), re.compile(rb"\n[ \t\r\f\v]*\n"))
+CUTS = (re.compile(rb"(?<=[.!?])[ \t\r\f\v]+|\n"), re.compile(rb"(?<=[.!?])[ \t\r\f\v\n]+|\n[ \t\r\f\v]*\n"),
+        re.compile(rb"\n"), re.compile(rb"\n[ \t\r\f\v]*\n"))
 
 
 def blocks_of(text: bytes) -> Iterator[tuple[int, list[bytes]]]:
-    """Sentences, lines and paragraphs: the number of the first word, and the words. The same run comes once."""
+    """Sentences, within lines and across them, lines and paragraphs: the number of the first word, and the words. The same run comes once."""
     seen = set()
     for cut in CUTS:
         at = 0
@@ -96,7 +100,7 @@ class Templates:
         for j, word in enumerate(ordered):
             for t, i in self.prefixes.get(word, ()):
                 size, need, so_far = len(self.words[t]), self.need[t], shared.get(t, 0)
-                if so_far < 0 or len(ordered) < need or len(block) > DILUTION * size:
+                if so_far < 0 or len(ordered) < need:
                     continue
                 left = min(size - i, len(ordered) - j)
                 shared[t] = so_far + 1 if so_far + left >= need else -1
@@ -108,6 +112,14 @@ class Templates:
                     found.append((t, overlap / len(self.words[t])))
         return found
 
+    def best(self, words: list[bytes], found: list[tuple[int, float]]) -> set[int]:
+        """Of the templates that a block holds, those that no other one explains: one of which the block holds the same
+        words and more, or the same words at a larger share."""
+        block = set(words)
+        held = {t: (self.words[t] & block, share) for t, share in found}
+        return {t for t, (mine, share) in held.items() if not any(
+            mine < other or mine == other and share < more for other, more in held.values())}
+
 
 def places_of(words: list[bytes], phrases: Sequence[bytes]) -> list[tuple[int, int]]:
     """Every place where the words of a phrase stand consecutively: number of the first word, and of the phrase."""
@@ -148,7 +160,7 @@ def found_in(
 ) -> Column:
     """A struct per text: ``n_words``, ``places`` of phrases, and matching ``blocks`` with their spans of words.
 
-    Of the templates that a block matches, those with the largest share, then the most words, are its ``best``.
+    Of the templates that a block matches, those whose words in it are not among those of another one are its ``best``.
     """
     bound_batches(docs.sparkSession)
     index = Templates(templates, word_frequencies(docs, text, templates), threshold)
@@ -168,9 +180,9 @@ def found_in(
             blocks = []
             for at, block in blocks_of(body) if not index.first.isdisjoint(words) else ():
                 pairs = index.matches(block)
-                top = max(((share, len(index.words[t])) for t, share in pairs), default=None)
+                best = index.best(block, pairs)
                 blocks += [{"label": index.labels[t], "share": share, "first_word": at, "n_words": len(block),
-                            "best": (share, len(index.words[t])) == top} for t, share in pairs]
+                            "best": t in best} for t, share in pairs]
             out.append({"n_words": len(words), "blocks": blocks, "places": [
                 {"word": at, "label": labels[p]} for at, p in places_of(words, names)]})
         return pa.array(out, kind)
@@ -181,7 +193,7 @@ def found_in(
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Per row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` and the ``blocks``.
 
-    ``labels`` are those of phrases and of the best template of every matching block.
+    ``labels`` are those of phrases and of the best templates of every matching block.
 
     The score is 1 where a phrase stands, else the largest share of a template's words that a block holds, else 0.
     """

@@ -93,3 +93,13 @@ def test_too_many_template_words_are_refused(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     with pytest.raises(ValueError):
         L.word_frequencies(docs, "text", [("x", " ".join(f"w{i}" for i in range(L.MAX_TEMPLATE_WORDS + 1)))])
+
+
+def test_notices_among_many_other_words_are_found(spark):
+    filler = " ".join(f"w{i}" for i in range(32))
+    texts = [
+        f"{filler} Licensed under CC BY 4.0", f"{filler} x y\nreleased under\nthe mit license {filler}",
+        f"One {filler}\nLicensed under CC\nBY-NC 4.0 and code released under\nthe MIT License {filler}", filler]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: (r.labels, r.score) for r in L.scan(docs, phrases={}).collect()}
+    assert rows == {0: ("cc-by", 1.0), 1: ("mit", 1.0), 2: ("cc-by-nc,mit", 1.0), 3: ("", 0.0)}
