@@ -115,14 +115,22 @@ class Encoder:
     The pre-tokenizer never joins what stands before a single blank, or around a single line feed, with what follows.
     So the ids of each such piece are worked out once and kept in one array, up to a bound; a text is put together
     from them. Texts with any other white space, or several in a row, go to the tokenizer as a whole.
+
+    With ``added`` the string of an added token stands for its id, as the library has it by default, and texts with such a
+    string go to the tokenizer as a whole; without, strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, width: int):
+    def __init__(self, path: str, width: int, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
+        tokens = [t for t in self.tokenizer.get_added_tokens_decoder().values() if added or not t.special]
+        # Strings that pieces may make up when they are put together, or that a text holds only once normalized.
+        self.whole = any(any(c.isspace() for c in t.content) or t.normalized and self.tokenizer.normalizer is not None
+                         for t in tokens)
+        self.added = [t.content for t in tokens]
         self.kind = f"<u{width}"
         blank = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
         self.blank = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -138,13 +146,12 @@ class Encoder:
         return [np.array(e.ids, self.kind)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def pieces(text: str) -> list[str] | None:
+    def pieces(self, text: str) -> list[str] | None:
         """The words; the first one of a line has its line feed in front, also the first one of the text.
 
-        None if the white space of the text is not that plain.
+        None if the white space of the text is not that plain, or an added token stands in it.
         """
-        if (text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+        if (self.whole or any(t in text for t in self.added) or text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
                 or any(c in text for c in OTHER_BLANKS)):
             return None
         return ("\n" + text.replace("\n", " \n")).split(" ")
@@ -263,7 +270,7 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer, width)
+            encoder = encoder or Encoder(tokenizer, width, added=True)
             shard = batch.column(2)[0].as_py() if batch.num_rows else shard
             encoded = encoder.encode([b.decode("utf-8", "replace") for b in utf8(batch.column(1))])
             for k, ids in zip(batch.column(0).to_pylist(), encoded):

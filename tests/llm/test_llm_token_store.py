@@ -100,3 +100,15 @@ def test_shards_by_binary_search(spark):
     limits = sorted(random.Random(2).sample(range(1000), 37))
     rows = spark.range(1000).select("id", files.shard_of(F.col("id"), limits).alias("s")).collect()
     assert all(r.s == sum(x < r.id for x in limits) for r in rows)
+
+
+def test_strings_of_added_tokens_are_encoded_as_by_the_library(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a b", "x<|endoftext|>y\nz", "<|endoftext", "|> <|endoftext |>", "", None]
+    library = Tokenizer.from_file(PATH)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[0]
+    found = T.Encoder(PATH, 2, added=True).encode([t or "" for t in texts])
+    assert [np.frombuffer(b, "<u2").tolist() for b in found] == want
+    rows = list(enumerate(texts))
+    stored = T.store_tokens(spark.createDataFrame(rows, "doc_id long, text string"), PATH)
+    assert got(stored) == plain(rows)
