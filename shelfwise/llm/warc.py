@@ -1,7 +1,7 @@
 """Deterministic sharded WARC archives.
 
-Records are ordered by page id and payload digest and dealt to shards at exact sums of payload bytes, so the shards
-do not depend on how the input is partitioned. A shard's task writes gzip members, one a record, and rolls to a new
+Records are ordered by page id and payload digest and dealt to shards at exact sums of payload bytes, with an allowance
+for the headers of each, so the shards do not depend on how the input is partitioned. A shard's task writes gzip members, one a record, and rolls to a new
 file when the compressed size is reached. Headers, record ids and digests are made anew from the content; the date
 is a parameter. Files get their names when complete (see :mod:`files`); the manifest is committed as a table.
 
@@ -35,6 +35,8 @@ from .files import MAX_SHARDS, NewFile, read_file
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+# What a record counts in a shard besides its payload.
+HEADER_BYTES = 600
 MANIFEST = "shard long, part long, name string, records long, bytes long, sha256 string"
 
 
@@ -108,13 +110,13 @@ def order_key(page_id: Column, digest: Column) -> Column:
 
 def write_archives(
     pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html",
-    least_bytes: int = 100, file_bytes: int = 32 << 20, shard_bytes: int = 16 << 20,
+    least_bytes: int = 100, file_bytes: int = 4 << 20, shard_bytes: int = 64 << 20,
     date: str = "2024-01-01T00:00:00Z",
 ) -> DataFrame:
     """Write archives below ``folder``; returns their manifest, which is written last.
 
-    ``file_bytes`` is the compressed size at which a file ends, ``shard_bytes`` the payload of a shard (more, where
-    there would be over ``MAX_SHARDS`` shards).
+    ``file_bytes`` is the compressed size at which a file ends, ``shard_bytes`` the payload and headers of a shard
+    (more, where there would be over ``MAX_SHARDS`` shards): several times as much, so that files end by their size.
     """
     bound_batches(pages.sparkSession)
     payload = text_of(html).cast("binary")
@@ -135,13 +137,14 @@ def write_archives(
         F.col("page_id").isNull() & F.col("first").isNotNull() | (F.col("page_id") > F.col("first"))).select(
         "key", F.lit(0).alias("kind"), "first").distinct()
 
-    # The limits of the shards: keys at equal sums of payload bytes.
-    total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s")).first()["s"]
+    # The limits of the shards: keys at equal sums of bytes.
+    counted = F.col("size") + HEADER_BYTES
+    total = narrow.agg(F.coalesce(F.sum(counted), F.lit(0)).alias("s")).first()["s"]
     step = max(shard_bytes, total // MAX_SHARDS + 1)
     limits: list[str] = []
     if total > step:
-        sums = running(narrow.select("key", "size"), [], [F.col("key")], {"upto": F.col("size")})
-        shard = F.floor((F.col("upto") - F.col("size")) / step)
+        sums = running(narrow.select("key", "size"), [], [F.col("key")], {"upto": counted})
+        shard = F.floor((F.col("upto") - counted) / step)
         limits = sorted(r["key"] for r in sums.groupBy(shard.alias("shard")).agg(F.max("key").alias("key")).collect())
         limits = limits[:-1]
 

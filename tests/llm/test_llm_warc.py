@@ -87,3 +87,16 @@ def test_damage_is_noticed(spark):
     broken = gzip.compress(gzip.decompress(data).replace(b"body", b"bode"))
     with pytest.raises(ValueError):
         list(W.records_of(broken))
+
+
+def test_files_end_by_their_compressed_size_with_the_own_parameters(spark):
+    # 24 MiB that compress to a half, and many pages without a payload.
+    pages = spark.range(24 * 16).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"),
+        F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(1024)), lambda i: F.sha2(
+            F.concat(F.col("id").cast("string"), F.lit("/"), i.cast("string")), 256))).alias("html"))
+    files = W.write_archives(pages, scratch_path(spark, "rolled")).orderBy("shard", "part").collect()
+    assert len({r.shard for r in files}) == 1 and len(files) > 2
+    assert all(r.bytes >= 4 << 20 for r in files[:-1])
+    empty = spark.range(200).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("html"))
+    assert W.write_archives(empty, scratch_path(spark, "empty"), shard_bytes=20_000).select("shard").distinct().count() > 3
