@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, license_scan, quality, suffix_tree
+from . import conversation_repair, decontamination, license_scan, quality, suffix_tree
 from .common import is_in_fold, table
 from .fingerprints import fingerprints
 from .mixing import mix_plan
@@ -156,3 +156,9 @@ WITH RECURSIVE w AS (
 SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(b) AS component_id, s.doc_id = min(b) AS kept
 FROM s JOIN reach ON a = s.doc_id GROUP BY s.doc_id, sh
 """
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(rows), rows)
