@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import conversation_repair, decontamination, license_scan, quality, suffix_tree
+from . import collocations, conversation_repair, decontamination, license_scan, quality, suffix_tree
 from .common import is_in_fold, table
 from .fingerprints import fingerprints
 from .mixing import mix_plan
@@ -162,3 +162,42 @@ FROM s JOIN reach ON a = s.doc_id GROUP BY s.doc_id, sh
 def op13_conversation_repair(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
     return conversation_repair.repair(conversation_repair.damaged(rows), rows)
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), doc_id="doc_id")
+
+
+ORACLE["op12_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), totals AS (
+  SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang
+), grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM (
+    SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k))
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.f AS a, cut, array_to_string(string_split(c.phrase, ' ')[1:cut], ' ') AS head,
+         array_to_string(string_split(c.phrase, ' ')[cut + 1:c.k], ' ') AS tail
+  FROM f c, (SELECT unnest([1, 2, 3]) AS cut) WHERE c.k > cut
+), scored AS (
+  SELECT x.lang, x.phrase, x.a, h.f AS l, t.f AS r, CAST(2000000::HUGEINT * x.a // (h.f + t.f) AS BIGINT) AS score, cut
+  FROM cuts x JOIN f h ON h.lang = x.lang AND h.phrase = x.head JOIN f t ON t.lang = x.lang AND t.phrase = x.tail
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), parts AS (
+  SELECT lang, f AS longer, array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') AS phrase FROM (
+    SELECT *, unnest(range(1, k - m + 2)) AS i FROM f, (SELECT unnest([2, 3]) AS m) WHERE k > m)
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN (SELECT lang, phrase, max(longer) AS longer FROM parts GROUP BY ALL) q USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
