@@ -34,6 +34,8 @@ SHARDS, SUPPORT, LONGEST, CONTAINED, REPORTED = 4, 30, 4, 80, 2000
 BREAK = b"\xff"  # stands for the end of a piece; no UTF-8 text holds this byte
 ODD, SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9)
+# Phrases that a worker remembers to have spelt out.
+SPELT = 400_000
 # Parts of a language that are ranked by themselves first, so that no task sorts all phrases of a language.
 PARTS = 64
 
@@ -170,29 +172,27 @@ def frequent_phrases(
     schema = pa.schema([("code", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32())])
 
     def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, langs, spelt = Words(), {}, np.empty(0, np.uint64)
-        for batch in small_batches(batches, 2048):
+        words, langs, spelt = Words(), {}, set()
+        for batch in small_batches(batches):
             chunk = Chunk(batch, words, langs)
-            names = batch.column(1).to_pylist()
+            names, out = batch.column(1).to_pylist(), []
             found = [(chunk.empty, np.arange(len(names)), 0)]
             for k, codes, ok, _ in chunk.levels():
                 here = np.flatnonzero(ok)
                 here = here[may_hold(wanted.value, codes[here])]
                 found.append((codes[here], here, k))
-            out = []
-            fresh = []
             for codes, places, k in found:
-                codes, first = np.unique(codes, return_index=True)
-                new = ~np.isin(codes, spelt)
-                fresh.append(codes[new])
-                for code, place in zip(codes[new].view(np.int64).tolist(), places[first[new]].tolist()):
+                codes, first = np.unique(codes.view(np.int64), return_index=True)
+                for code, place in zip(codes.tolist(), places[first].tolist()):
+                    if code in spelt:
+                        continue
+                    spelt.add(code)
                     doc = int(chunk.doc[place]) if k else place
                     end = place - int(chunk.start[doc]) + 1
                     phrase = b" ".join(chunk.texts[doc][end - k:end]) if k else b""
                     out.append((code, names[doc], phrase.decode(), k))
-            spelt = np.concatenate([spelt, *fresh])
-            if len(spelt) > 2_000_000:
-                spelt = np.empty(0, np.uint64)
+            if len(spelt) > SPELT:
+                spelt.clear()
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 

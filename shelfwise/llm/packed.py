@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Codes that a worker counts at a time, codes meant for one bucket, and rows of a result batch.
-CHUNK, BUCKET, SENT_AT_ONCE = 4_000_000, 4_000_000, 250_000
+CHUNK, BUCKET, SENT_AT_ONCE = 2_000_000, 2_000_000, 250_000
 BYTES_A_WORD = 6
 # Bits of a bitmap, as a power of two, and the bits of one of Spark's bitmap rows.
 BITMAP, BITMAP_ROW = 28, 32_768
