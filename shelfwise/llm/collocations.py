@@ -6,7 +6,8 @@ any shard are all candidates, and no phrase is lost. A phrase can be frequent in
 parts are, which bitmaps of fixed size tell the next length. Then all candidates are counted in all documents, exactly.
 A shard is a mark on a document, not a task: each is counted by as many tasks as the session has, with codes that
 are summed before they are sent (:mod:`packed`). Words and phrases are told apart by 64-bit hashes (at 10^9 phrases of a
-language the odds of one collision are 3 %); only frequent phrases are spelt out.
+language the odds of one collision are 3 %). Only frequent phrases are spelt out, and each only by documents of one block
+(a part of all documents by a hash), which the count names.
 
 Scores need the counts of a phrase's parts, which are frequent themselves, so the rest are joins of the frequent phrases.
 Of the longer phrases that hold a phrase those with one word more suffice: what lies between two phrases is as frequent as
@@ -34,8 +35,8 @@ SHARDS, SUPPORT, LONGEST, CONTAINED, REPORTED = 4, 30, 4, 80, 2000
 BREAK = b"\xff"  # stands for the end of a piece; no UTF-8 text holds this byte
 ODD, SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9)
-# Phrases that a worker remembers to have spelt out.
-SPELT = 400_000
+# Blocks of documents, by a hash: a phrase is spelt out by one of those in which it occurs.
+BLOCKS = 256
 # Parts of a language that are ranked by themselves first, so that no task sorts all phrases of a language.
 PARTS = 64
 
@@ -57,7 +58,7 @@ class Chunk:
     """The words of several texts, and the codes of all their phrases."""
 
     def __init__(self, batch: pa.RecordBatch, words: Words, langs: dict[str, int]):
-        """``batch`` has text, language and shard."""
+        """``batch`` has text, language, shard and block."""
         self.texts = [words_of(t) for t in utf8(batch.column(0))]
         lengths = np.array([len(t) for t in self.texts], np.int64)
         parts = [words.of(t) for t in self.texts]
@@ -68,6 +69,8 @@ class Chunk:
         seeds = np.array([langs[name] for name in names], np.uint64)
         self.seed = np.repeat(seeds, lengths)
         self.shard = np.repeat(batch.column(2).to_numpy().astype(np.int64), lengths)
+        self.blocks = batch.column(3).to_numpy().astype(np.int64)
+        self.block = np.repeat(self.blocks, lengths)
         self.doc = np.repeat(np.arange(len(lengths)), lengths)
         self.start = np.cumsum(lengths) - lengths
         # All words of a language are counted under the code of the empty phrase.
@@ -107,16 +110,15 @@ def _reader(use: Callable[[Chunk], Iterable[tuple[int, np.ndarray, np.ndarray |
     return make
 
 
-def _local(codes: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """Codes as bits of a shard's part of a bitmap."""
-    return codes ^ (shard.astype(np.uint64) + np.uint64(1)) * ODD
+def _local(codes: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Codes as bits of a shard's, or a block's, share of a bitmap."""
+    return codes ^ (part.astype(np.uint64) + np.uint64(1)) * ODD
 
 
-def _local_column(code: str, shard: str) -> Column:
-    odd = int(ODD.astype(np.int64))
-    by_shard = F.element_at(F.array(*[F.lit(((s + 1) * odd + 2**63) % 2**64 - 2**63).cast("long") for s in range(256)]),
-                            F.col(shard) + 1)
-    return F.col(code).bitwiseXOR(by_shard)
+def _local_column(code: str, part: str) -> Column:
+    odd = int(ODD)
+    by_part = F.array(*[F.lit(((p + 1) * odd + 2**63) % 2**64 - 2**63).cast("long") for p in range(BLOCKS)])
+    return F.col(code).bitwiseXOR(F.get(by_part, F.col(part)))
 
 
 def frequent_phrases(
@@ -126,13 +128,14 @@ def frequent_phrases(
 
     The empty phrase (``k`` = 0) stands for all words of a language, whatever their number.
     """
-    if not 1 <= shards <= 256:
-        raise ValueError("shards must be from 1 to 256")
+    if not 1 <= shards <= BLOCKS:
+        raise ValueError(f"shards must be from 1 to {BLOCKS}")
     bound_batches(docs.sparkSession)
     spark = docs.sparkSession
-    seed = [F.col(doc_id)] if doc_id else []
+    hashed = F.xxhash64(*([F.col(doc_id)] if doc_id else []), F.col(text).cast("string"))
     rows = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-                       F.pmod(F.xxhash64(*seed, F.col(text).cast("string")), F.lit(shards)).cast("int").alias("shard"))
+                       F.pmod(hashed, F.lit(shards)).cast("int").alias("shard"),
+                       F.shiftrightunsigned(hashed, 56).cast("int").alias("block"))
     buckets = bucket_count(rows, "text", shards)
     share = -(-support // shards)
 
@@ -161,38 +164,35 @@ def frequent_phrases(
     candidates = spark.sparkContext.broadcast(bitmap_of(pairs.unionByName(triples).unionByName(fours)))
 
     def candidate_codes(chunk: Chunk):
-        yield 0, chunk.empty, chunk.inked
+        yield 0, chunk.empty, chunk.inked, chunk.blocks
         for _, codes, ok, _ in chunk.levels():
-            codes = codes[ok]
-            yield 1, codes[may_hold(candidates.value, codes)], None
+            here = np.flatnonzero(ok)
+            here = here[may_hold(candidates.value, codes[here])]
+            yield 1, codes[here], None, chunk.block[here]
 
-    counted = count(rows, _reader(candidate_codes), buckets)
+    counted = count(rows, _reader(candidate_codes), buckets, marked=True)
     frequent = stored(counted.filter((F.col("grp") == 0) | (F.col("n") >= support)).drop("grp"), "frequent")
-    wanted = spark.sparkContext.broadcast(bitmap_of(frequent))
+    wanted = spark.sparkContext.broadcast(bitmap_of(frequent, _local_column("code", "mark")))
     schema = pa.schema([("code", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32())])
 
     def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, langs, spelt = Words(), {}, set()
+        words, langs = Words(), {}
         for batch in small_batches(batches):
             chunk = Chunk(batch, words, langs)
             names, out = batch.column(1).to_pylist(), []
-            found = [(chunk.empty, np.arange(len(names)), 0)]
+            named = np.flatnonzero(may_hold(wanted.value, _local(chunk.empty, chunk.blocks)))
+            found = [(chunk.empty[named], named, 0)]
             for k, codes, ok, _ in chunk.levels():
                 here = np.flatnonzero(ok)
-                here = here[may_hold(wanted.value, codes[here])]
+                here = here[may_hold(wanted.value, _local(codes[here], chunk.block[here]))]
                 found.append((codes[here], here, k))
             for codes, places, k in found:
                 codes, first = np.unique(codes.view(np.int64), return_index=True)
                 for code, place in zip(codes.tolist(), places[first].tolist()):
-                    if code in spelt:
-                        continue
-                    spelt.add(code)
                     doc = int(chunk.doc[place]) if k else place
                     end = place - int(chunk.start[doc]) + 1
                     phrase = b" ".join(chunk.texts[doc][end - k:end]) if k else b""
                     out.append((code, names[doc], phrase.decode(), k))
-            if len(spelt) > SPELT:
-                spelt.clear()
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 

@@ -20,7 +20,8 @@ BYTES_A_WORD = 6
 # Bits of a bitmap, as a power of two, and the bits of one of Spark's bitmap rows.
 BITMAP, BITMAP_ROW = 28, 32_768
 
-Codes = tuple[int, np.ndarray, np.ndarray | None]
+# A group, its codes, their numbers (none: 1 each), and a small mark for each, of which one of those given is kept.
+Codes = tuple[int, np.ndarray, np.ndarray | None] | tuple[int, np.ndarray, np.ndarray | None, np.ndarray]
 
 
 def pack(codes: np.ndarray) -> bytes:
@@ -52,15 +53,20 @@ def unpack_numbers(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
-def summed(codes: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes in order and the sums of their numbers (1 each if there are none)."""
-    if n is None:
-        codes, n = np.unique(codes, return_counts=True)
-        return codes, n
+def summed(
+    codes: np.ndarray, n: np.ndarray | None, marks: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Distinct codes in order, the sums of their numbers (1 each if there are none), and a mark of each."""
+    if n is None and marks is None:
+        return *np.unique(codes, return_counts=True), None
     order = np.argsort(codes, kind="stable")
     codes = codes[order]
     first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.empty(0, np.int64)
-    return codes[first], np.add.reduceat(n[order], first) if len(first) else n[order]
+    if n is None:
+        total = np.diff(np.append(first, len(codes)))
+    else:
+        total = np.add.reduceat(n[order], first) if len(first) else n
+    return codes[first], total, None if marks is None else marks[order[first]]
 
 
 def bucket_count(texts: DataFrame, text: str, least: int) -> int:
@@ -76,68 +82,74 @@ def bucket_bounds(buckets: int) -> np.ndarray:
 
 def count(
     rows: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[Codes]]], buckets: int, least: int = 1,
-    upper: int | None = None,
+    marked: bool = False,
 ) -> DataFrame:
-    """``grp, code, n``: exact sums of codes per group, those of ``least`` at least and ``upper`` at most.
+    """``grp, code, n``: exact sums of codes per group, those of ``least`` at least; with ``mark`` if they are marked.
 
-    ``make`` is called once per task and gives a function from a record batch to ``(group, codes, numbers)``.
+    ``make`` is called once per task and gives a function from a record batch to :data:`Codes`.
     """
-    schema = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("codes", pa.binary()), ("numbers", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("codes", pa.binary()), ("numbers", pa.binary()),
+                        ("marks", pa.binary())])
 
-    def send(held: dict[int, list[tuple[np.ndarray, np.ndarray | None]]]) -> Iterator[pa.RecordBatch]:
+    def send(held: dict[int, list[Codes]]) -> Iterator[pa.RecordBatch]:
         bounds = bucket_bounds(buckets)
         for group, parts in held.items():
-            codes = np.concatenate([c for c, _ in parts])
-            numbers = None if all(n is None for _, n in parts) else np.concatenate(
-                [np.ones(len(c), np.int64) if n is None else n for c, n in parts])
-            codes, numbers = summed(codes, numbers)
+            codes = np.concatenate([p[1] for p in parts])
+            numbers = None if all(p[2] is None for p in parts) else np.concatenate(
+                [np.ones(len(p[1]), np.int64) if p[2] is None else p[2] for p in parts])
+            marks = np.concatenate([p[3] for p in parts]) if marked else None
+            parts.clear()
+            codes, numbers, marks = summed(codes, numbers, marks)
             cuts = np.concatenate([[0], np.searchsorted(codes, bounds), [len(codes)]])
             full = np.flatnonzero(np.diff(cuts))
             for at in range(0, len(full), 64):
                 some = full[at:at + 64]
+                ranges = [slice(cuts[b], cuts[b + 1]) for b in some]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(some, pa.int32()), pa.array([group] * len(some), pa.int32()),
-                    pa.array([pack(codes[cuts[b]:cuts[b + 1]]) for b in some], pa.binary()),
-                    pa.array([pack_numbers(numbers[cuts[b]:cuts[b + 1]]) for b in some], pa.binary())], schema=schema)
+                    pa.array([pack(codes[r]) for r in ranges], pa.binary()),
+                    pa.array([pack_numbers(numbers[r]) for r in ranges], pa.binary()),
+                    pa.array([pack_numbers(marks[r]) if marked else None for r in ranges], pa.binary())], schema=schema)
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes_of, held, size = make(), {}, 0
         for batch in batches:
-            for group, codes, numbers in codes_of(batch):
-                if len(codes):
-                    held.setdefault(group, []).append((codes, numbers))
-                    size += len(codes)
-            if size >= CHUNK:
-                yield from send(held)
-                held, size = {}, 0
+            for codes in codes_of(batch):
+                if len(codes[1]):
+                    held.setdefault(codes[0], []).append(codes)
+                    size += len(codes[1])
+                if size >= CHUNK:
+                    yield from send(held)
+                    held, size = {}, 0
         yield from send(held)
 
-    result = pa.schema([("grp", pa.int32()), ("code", pa.int64()), ("n", pa.int64())])
+    result = pa.schema([("grp", pa.int32()), ("code", pa.int64()), ("n", pa.int64()), *[("mark", pa.int64())] * marked])
 
-    def whole(key: tuple[int, int], parts: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-        codes, n = summed(np.concatenate([unpack(c) for c, _ in parts]), np.concatenate([unpack_numbers(m) for _, m in parts]))
-        wanted = n >= least if upper is None else (n >= least) & (n <= upper)
-        codes, n = codes[wanted].view(np.int64), n[wanted]
-        for at in range(0, len(codes), SENT_AT_ONCE):
-            some = codes[at:at + SENT_AT_ONCE]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), key[1], np.int32)), pa.array(some), pa.array(n[at:at + SENT_AT_ONCE])],
-                schema=result)
+    def whole(key: tuple[int, int], parts: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        codes, n, marks = summed(
+            np.concatenate([unpack(p[0]) for p in parts]), np.concatenate([unpack_numbers(p[1]) for p in parts]),
+            np.concatenate([unpack_numbers(p[2]) for p in parts]) if marked else None)
+        wanted = n >= least
+        columns = [codes[wanted].view(np.int64), n[wanted], *([marks[wanted]] if marked else [])]
+        for at in range(0, len(columns[0]), SENT_AT_ONCE):
+            some = [pa.array(c[at:at + SENT_AT_ONCE]) for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some[0]), key[1], np.int32)), *some], schema=result)
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts = None, []
         for batch in batches:
-            for bucket, group, codes, numbers in zip(*[c.to_pylist() for c in batch.columns]):
+            for bucket, group, *packed in zip(*[c.to_pylist() for c in batch.columns]):
                 if parts and (bucket, group) != key:
                     yield from whole(key, parts)
                     parts = []
                 key = (bucket, group)
-                parts.append((codes, numbers))
+                parts.append(packed)
         if parts:
             yield from whole(key, parts)
 
-    sent = rows.mapInArrow(partial, "bucket int, grp int, codes binary, numbers binary")
-    return sent.repartition("bucket").sortWithinPartitions("bucket", "grp").mapInArrow(merge, "grp int, code long, n long")
+    sent = rows.mapInArrow(partial, "bucket int, grp int, codes binary, numbers binary, marks binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket", "grp").mapInArrow(
+        merge, "grp int, code long, n long" + ", mark long" * marked)
 
 
 def bitmap_of(codes: DataFrame, code: str | Column = "code") -> np.ndarray:

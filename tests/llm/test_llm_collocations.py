@@ -73,6 +73,13 @@ def test_packed_counts(spark, monkeypatch):
         got = {(r.grp, r.code % 2**64): r.n for r in packed.count(table, make, 13, least).collect()}
         assert got == {k: n for k, n in expected.items() if n >= least}
 
+    def make_marked():
+        codes_of = make()
+        return lambda batch: ((g, c, n, (c >> np.uint64(56)).astype(np.int64) + g) for g, c, n in codes_of(batch))
+
+    got = {(r.grp, r.code % 2**64): (r.n, r.mark) for r in packed.count(table, make_marked, 13, marked=True).collect()}
+    assert got == {(g, c): (n, (c >> 56) + g) for (g, c), n in expected.items()}
+
 
 def texts(seed, n):
     draw = random.Random(seed)
