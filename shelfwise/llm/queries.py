@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import collocations, conversation_repair, decontamination, license_scan, quality, suffix_tree
+from . import collocations, conversation_repair, decontamination, license_scan, ngram_join, quality, suffix_tree
 from .common import is_in_fold, table
 from .fingerprints import fingerprints
 from .mixing import mix_plan
@@ -201,3 +201,14 @@ WITH p AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
 """
+
+
+@query
+def op11_ngram_join(spark, sf_dir):
+    return ngram_join.ngram_groups(table(spark, sf_dir, "documents"), words=5, percent=80)
+
+
+# The same groups in SQL, with shingles of five words.
+ORACLE["op11_ngram_join"] = ORACLE["op7_minhash_near_dup"].replace("len(ws) < 2 THEN ws", "len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]").replace(
+    "range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]", "range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')").replace(
+    ", s.doc_id = min(b) AS kept", "")
