@@ -36,7 +36,9 @@ from ..sources.checkpoints import stored
 from .common import bound_batches, utf8
 from .components import components
 from .near_dup import WordHashes, _mix, shingle_set
-from .packed import CHUNK, bitmap_of, bucket_bounds, bucket_count, may_hold, pack, pack_numbers, unpack, unpack_numbers
+from .packed import (
+    CHUNK, bitmap_of, bucket_bounds, bucket_count, may_hold, pack, pack_numbers, summed, unpack, unpack_numbers,
+)
 
 # Documents up to which a token is rare, and up to which it is indexed in pairs; above, in triples.
 RARE, PAIRED = 32, 1024
@@ -181,22 +183,32 @@ class Join:
             if size:
                 yield from send(codes, owners)
 
-        def shared(parts: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        def shared(parts: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
             codes = np.concatenate([unpack(c) for c, _ in parts])
             owners = np.concatenate([np.frombuffer(o, np.uint32) for _, o in parts])
             order = np.argsort(codes, kind="stable")
             codes, owners = codes[order], owners[order]
             same = codes[1:] == codes[:-1]
             owner, n = np.unique(owners[np.append(same, False) | np.append(False, same)], return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(owner.astype(np.int64)), pa.array(n)], ["owner", "n"])
+            for b, some in _cut(owner.astype(np.uint64) << np.uint64(32), buckets):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([b], pa.int32()), pa.array([owner[some].tobytes()], pa.binary()),
+                    pa.array([pack_numbers(n[some])], pa.binary())], ["part", "owners", "numbers"])
 
         def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from map(shared, _by_key(batches))
+            for parts in _by_key(batches):
+                yield from shared(parts)
+
+        def total(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for parts in _by_key(batches):
+                owner, n, _ = summed(np.concatenate([np.frombuffer(o, np.uint32) for o, _ in parts]),
+                                     np.concatenate([unpack_numbers(m) for _, m in parts]))
+                yield pa.RecordBatch.from_arrays([pa.array(owner.astype(np.int64)), pa.array(n)], ["owner", "found"])
 
         found = (
             self.texts.mapInArrow(partial, "bucket int, codes binary, owners binary")
-            .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "owner long, n long")
-            .groupBy("owner").agg(F.sum("n").alias("found")))
+            .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "part int, owners binary, numbers binary")
+            .repartition("part").sortWithinPartitions("part").mapInArrow(total, "owner long, found long"))
         # Documents whose ids share 32 bits count together, which lets a document pass at worst.
 
         def owners_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +221,7 @@ class Join:
             found, "owner", "left").filter(F.coalesce("found", F.lit(0)) >= F.col("least")).select("id")
 
     def shared_tokens(self, ids: DataFrame) -> DataFrame:
-        """``id, n, codes, freqs``, in several rows a document: its tokens that others have, and in how many they are."""
+        """The tokens of documents that others have, and in how many they are: packed by ranges of hashed ids (``part``)."""
         read, buckets = self._tokens(_id_bitmap(ids)), self.buckets
         schema = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("codes", "places", "ids", "sizes")]])
 
@@ -220,9 +232,7 @@ class Join:
             sizes = np.array([len(s) for _, s in held], np.int64)
             order = np.argsort(codes)
             codes, owners = codes[order], owners[order]
-            cuts = np.concatenate([[0], np.searchsorted(codes, bucket_bounds(buckets)), [len(codes)]])
-            for b in np.flatnonzero(np.diff(cuts)):
-                some = slice(cuts[b], cuts[b + 1])
+            for b, some in _cut(codes, buckets):
                 used, places = np.unique(owners[some], return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32())] + [pa.array([x], pa.binary()) for x in (
                     pack(codes[some]), pack_numbers(places), names[used].tobytes(), sizes[used].tobytes())], schema=schema)
@@ -238,7 +248,7 @@ class Join:
             if held:
                 yield from send(held)
 
-        def grouped(parts: list[tuple[bytes, ...]]) -> pa.RecordBatch:
+        def grouped(parts: list[tuple[bytes, ...]]) -> Iterator[pa.RecordBatch]:
             codes = np.concatenate([unpack(p[0]) for p in parts])
             places = [unpack_numbers(p[1]) for p in parts]
             ids = np.concatenate([np.frombuffer(p[2], np.int64)[at] for p, at in zip(parts, places)])
@@ -250,47 +260,49 @@ class Join:
             starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
             freqs = np.repeat(*[np.diff(np.append(starts, len(codes)))] * 2)
             wanted = np.flatnonzero(freqs > 1)
-            wanted = wanted[np.argsort(ids[wanted], kind="stable")]
-            codes, ids, sizes, freqs = codes[wanted], ids[wanted], sizes[wanted], freqs[wanted]
-            starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.empty(0, np.int64)
-            offsets = pa.array(np.append(starts, len(ids)).astype(np.int32))
-            return pa.RecordBatch.from_arrays([
-                pa.array(ids[starts]), pa.array(sizes[starts]), pa.ListArray.from_arrays(offsets, pa.array(codes.view(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(freqs.astype(np.int32)))], ["id", "n", "codes", "freqs"])
+            owner = _id_codes(ids[wanted])
+            order = np.argsort(owner, kind="stable")
+            wanted, owner = wanted[order], owner[order]
+            for b, some in _cut(owner, buckets):
+                some = wanted[some]
+                used, places = np.unique(ids[some], return_inverse=True)
+                named = np.empty(len(used), np.int64)
+                named[places] = sizes[some]
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32())] + [pa.array([x], pa.binary()) for x in (
+                    codes[some].tobytes(), pack_numbers(freqs[some]), pack_numbers(places), used.tobytes(), named.tobytes())],
+                    ["part", "codes", "freqs", "places", "ids", "sizes"])
 
         def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from map(grouped, _by_key(batches))
+            for parts in _by_key(batches):
+                yield from grouped(parts)
 
         return self.texts.mapInArrow(partial, "bucket int, codes binary, places binary, ids binary, sizes binary").repartition(
-            "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "id long, n long, codes array<long>, freqs array<int>")
+            "bucket").sortWithinPartitions("bucket").mapInArrow(
+            merge, "part int, codes binary, freqs binary, places binary, ids binary, sizes binary")
 
     def indexed(self, ids: DataFrame) -> DataFrame:
         """``id, n, tokens, keys`` of the documents that can have a partner."""
         percent, longs = self.percent, pa.list_(pa.int64())
         schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("tokens", longs), ("keys", longs)])
 
-        def done(i: int, n: int, codes: list[np.ndarray], freqs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            codes = np.concatenate(codes).view(np.uint64)
-            keys = combinations_of(n, codes, np.concatenate(freqs).astype(np.int64), percent)
-            if len(keys):
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([n]), pa.array([codes.view(np.int64)], longs),
-                                                  pa.array([keys.view(np.int64)], longs)], schema=schema)
-
         def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, codes, freqs = None, [], []
-            for batch in batches:
-                lists = [batch.column(c) for c in (2, 3)]
-                for row, doc in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                    if codes and doc != last:
-                        yield from done(*last, codes, freqs)
-                        codes, freqs = [], []
-                    last = doc
-                    codes.append(lists[0][row].values.to_numpy())
-                    freqs.append(lists[1][row].values.to_numpy())
-            if codes:
-                yield from done(*last, codes, freqs)
-
-        return self.shared_tokens(ids).repartition("id").sortWithinPartitions("id").mapInArrow(
+            for parts in _by_key(batches):
+                places = [unpack_numbers(p[2]) for p in parts]
+                codes = np.concatenate([np.frombuffer(p[0], np.uint64) for p in parts])
+                freqs = np.concatenate([unpack_numbers(p[1]) for p in parts])
+                ids = np.concatenate([np.frombuffer(p[3], np.int64)[at] for p, at in zip(parts, places)])
+                sizes = np.concatenate([np.frombuffer(p[4], np.int64)[at] for p, at in zip(parts, places)])
+                order = np.argsort(ids, kind="stable")
+                starts = np.flatnonzero(np.diff(ids[order], prepend=ids[order][:1] - 1))
+                for some in np.split(order, starts[1:]):
+                    i, n = int(ids[some[0]]), int(sizes[some[0]])
+                    keys = combinations_of(n, codes[some], freqs[some], percent)
+                    if len(keys):
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([i]), pa.array([n]), pa.array([codes[some].view(np.int64)], longs),
+                            pa.array([keys.view(np.int64)], longs)], schema=schema)
+
+        return self.shared_tokens(ids).repartition("part").sortWithinPartitions("part").mapInArrow(
             compute, "id long, n long, tokens array<long>, keys array<long>")
 
     def confirm(self, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -326,6 +338,13 @@ class Join:
         return first.unionByName(self.confirm(sets, pairs))
 
 
+def _cut(codes: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
+    """The ranges of sorted codes that fall into each of ``parts`` equal parts of the hash range."""
+    cuts = np.concatenate([[0], np.searchsorted(codes, bucket_bounds(parts)), [len(codes)]])
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        yield b, slice(cuts[b], cuts[b + 1])
+
+
 def _by_key(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[bytes, ...]]]:
     """The rows of each value of the first column; rows are sorted by it."""
     key, parts = None, []
