@@ -60,17 +60,22 @@ def _(v):
 
 
 @R.add("roundtrip_compact", f"""
-SELECT {_C}, TRUE AS few_files FROM orders UNION ALL SELECT {_C}, TRUE FROM orders
+SELECT {_C}, TRUE AS as_planned, 0 AS again FROM orders UNION ALL SELECT {_C}, TRUE, 0 FROM orders
 """)
 def _(v):
-    path, cols = scratch_path(v.spark, "crowded"), ["o_orderstatus"]
+    """Files per partition are as planned beforehand, and a second run finds nothing to do."""
+    path, cols, size = scratch_path(v.spark, "crowded"), ["o_orderstatus"], 100_000
     for _ in range(2):
-        spread = _orders(v).repartition(4)
+        spread = _orders(v).repartition(6)
         spread.write.mode("append").partitionBy(*cols).parquet(path)
-    W.compact_partitions(v.spark, path, cols, threshold=5)
-    counts = W.partition_files(v.spark, path, cols)
-    few = counts.select("o_orderstatus", (F.col("n_files") <= 2).alias("few_files"))
-    return _read(v, path).join(few, "o_orderstatus").select(*COLUMNS, "few_files")
+    before = W.file_listing(v.spark, path, cols).groupBy("o_orderstatus").agg(
+        F.ceil(F.sum("bytes") / size).cast("long").alias("wanted"))
+    wanted = v.spark.createDataFrame(before.collect(), before.schema)  # one row per partition of the table
+    W.compact_partitions(v.spark, path, cols, file_bytes=size, threshold=5)
+    again = W.compact_partitions(v.spark, path, cols, file_bytes=size, threshold=5)
+    planned = W.partition_files(v.spark, path, cols).join(wanted, "o_orderstatus").select(
+        "o_orderstatus", (F.col("n_files") == F.col("wanted")).alias("as_planned"))
+    return _read(v, path).join(planned, "o_orderstatus").select(*COLUMNS, "as_planned", F.lit(again).alias("again"))
 
 
 @R.add("file_layout", """

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from .checkpoints import scratch_path
+from .checkpoints import stored
 
 
 def layout(df: DataFrame, files: int | None = None, cols: Sequence[str] = ()) -> DataFrame:
@@ -88,32 +89,107 @@ def partition_files(spark, path: str, cols: Sequence[str]) -> DataFrame:
     return listed.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
 
 
+def file_listing(spark, path: str, cols: Sequence[str]) -> DataFrame:
+    """Partition columns, ``file`` and ``bytes`` of every Parquet file of ``path``, from the listing."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return listed.select(*cols, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+
+
+def compaction_plan(
+    spark, path: str, cols: Sequence[str], file_bytes: int = 512 << 20, threshold: int = 5
+) -> DataFrame:
+    """The files to be put together: partition columns, ``file``, ``bytes``, and ``wanted``, the files to make of them.
+
+    Files of an earlier compaction to this size stay when they are at least half full. A partition has a plan if it has
+    more than ``threshold`` other files and fewer would do: ``wanted`` is their bytes by ``file_bytes``, rounded up.
+    """
+    name = F.substring_index("file", "/", -1)
+    made = name.startswith(f"{COMPACTED}{file_bytes}-")
+    loose = file_listing(spark, path, cols).withColumn("made", made).filter(
+        ~F.col("made") | (F.col("bytes") * 2 < file_bytes))
+    totals = loose.groupBy(*cols).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("made")).alias("new"),
+        F.ceil(F.sum("bytes") / file_bytes).alias("wanted")).filter(
+        (F.col("new") > threshold) & (F.col("n") > F.col("wanted"))).select(
+        *[F.col(c).alias(f"_{c}") for c in cols], F.greatest("wanted", F.lit(1)).alias("wanted"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols])
+    return loose.join(totals, same).select(*cols, "file", "bytes", "wanted")
+
+
+# Beginnings of the names of compacted files and of files that wait for their turn, and the end of the name of the folder,
+# beside the table and so in its file system, for plans and new rows.
+COMPACTED, WAITING, PLANS, MOVES = "compact-", "_waiting-", ".compaction", "moves-"
+
+
+def _moves(spark, path: str, run: str) -> None:
+    """Carry out a plan of compaction that is written as a whole: new files in, old files out. May be repeated."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    plan = spark.read.schema("kind string, source string, target string").json(f"{path}{PLANS}/{run}")
+    # Names only, one at a time; their number is that of the files that are replaced.
+    for move in plan.filter("kind = 'new'").select("source", "target").toLocalIterator():
+        if fs.exists(hadoop(move.source)):
+            fs.rename(hadoop(move.source), hadoop(move.target))
+    for old in plan.filter("kind = 'old'").select("source").toLocalIterator():
+        fs.delete(hadoop(old.source), False)
+    for new in plan.filter("kind = 'new'").select("target").toLocalIterator():
+        folder, name = new.target.rsplit("/", 1)
+        if fs.exists(hadoop(new.target)):
+            fs.rename(hadoop(new.target), hadoop(f"{folder}/{name.removeprefix(WAITING)}"))
+    fs.delete(hadoop(f"{path}{PLANS}/{run}"), True)
+
+
+def finish_compaction(spark, path: str) -> int:
+    """Carry out plans that an interrupted compaction left whole; returns their number. Unfinished ones are dropped."""
+    hadoop, path = spark._jvm.org.apache.hadoop.fs.Path, path.rstrip("/")
+    folder = hadoop(f"{path}{PLANS}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    runs = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    whole = [r for r in runs if r.getName().startswith(MOVES) and fs.exists(hadoop(r, "_SUCCESS"))]
+    for r in whole:
+        _moves(spark, path, r.getName())
+    if fs.exists(folder):
+        fs.delete(folder, True)
+    return len(whole)
+
+
 def compact_partitions(
     spark, path: str, cols: Sequence[str], file_bytes: int = 512 << 20, threshold: int = 5, codec: str = "gzip"
 ) -> int:
-    """Rewrite every partition of ``path`` that has more than ``threshold`` files into files of about ``file_bytes``.
+    """Put the files of crowded partitions of ``path`` together, see :func:`compaction_plan`; returns the partitions done.
 
-    Rows are first written to the shared checkpoint folder and only then replace the old partitions, so a lost
-    executor never leaves a half-read partition. Returns the number of partitions rewritten.
+    Rows are read, shuffled and written once, into a folder beside ``path``. A plan of all moves is written there, too; then new files enter under names that readers pass over, old files go, and the new ones are named.
+    Nothing is lost at any interruption: before the plan is whole the table is untouched, afterwards the next
+    compaction (or :func:`finish_compaction`) carries it out. Not meant for tables that are read meanwhile.
     """
+    finish_compaction(spark, path)
+    root, run = path.rstrip("/"), uuid.uuid4().hex
+    plan = stored(compaction_plan(spark, path, cols, file_bytes, threshold), "compaction-plan")
+    done = plan.select(*cols).distinct().count()
+    if not done:
+        return 0
     table = spark.read.parquet(path)
-    crowded = partition_files(spark, path, cols).filter(F.col("n_files") > threshold).select(
-        *cols, F.greatest(F.ceil(F.col("bytes") / file_bytes), F.lit(1)).alias("_files"))
-    copy = scratch_path(spark, "compact")
-    # Spreading by a row hash keeps a very large partition on several tasks.
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in table.columns]), F.col("_files"))
+    names = plan.select(F.col("file").alias("_file"), F.col("wanted").alias("_wanted"))
+    # A row's place decides its new file, so that each gets a like share, however many read splits an old one has.
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    chosen = table.select("*", F.col("_metadata.file_path").alias("_from"), place.alias("_place")).join(
+        names, F.col("_from") == F.col("_file"))
+    staged = f"{root}{PLANS}/rows-{run}"
     (
-        table.join(crowded, list(cols))
-        .withColumn("_slice", spread)
-        .repartition(*[F.col(c) for c in cols], F.col("_slice")).drop("_slice", "_files")
-        .write.partitionBy(*cols).option("compression", codec).parquet(copy)
+        chosen.withColumn("_part", F.pmod("_place", F.col("_wanted")).cast("int")).drop("_from", "_file", "_place", "_wanted")
+        .repartition(*[F.col(c) for c in cols], F.col("_part"))
+        .write.partitionBy(*cols, "_part").option("compression", codec).parquet(staged)
     )
-    done = spark.read.schema(table.schema).parquet(copy)
-    rewritten = affected_partitions(done, cols).count()
-    if rewritten:
-        # The copy already has the wanted files; move it over without another row shuffle.
-        (
-            done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .option("compression", codec).partitionBy(*cols).parquet(path)
-        )
-    return rewritten
+    number = F.regexp_extract("source", r"/_part=([^/]*)/", 1)
+    new = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(staged).select(
+        F.lit("new").alias("kind"), F.col("_metadata.file_path").alias("source"))
+    new = new.withColumn("target", F.concat(
+        F.lit(f"{root}/"), F.expr(f"substring(source, instr(source, '{run}') + {len(run) + 1})")))
+    new = new.withColumn("target", F.concat(
+        F.regexp_replace("target", r"/_part=[^/]*/[^/]*$", ""),
+        F.concat(F.lit(f"/{WAITING}{COMPACTED}{file_bytes}-{run}-"), number, F.lit(".parquet"))))
+    old = plan.select(F.lit("old").alias("kind"), F.col("file").alias("source"), F.lit(None).cast("string").alias("target"))
+    new.unionByName(old).coalesce(1).write.json(f"{root}{PLANS}/{MOVES}{run}")
+    _moves(spark, root, f"{MOVES}{run}")
+    finish_compaction(spark, path)
+    return done

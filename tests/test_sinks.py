@@ -43,6 +43,47 @@ def test_compaction_leaves_small_partitions_alone(spark, df, tmp_path):
     assert W.compact_partitions(spark, path, ["p"]) == 0
 
 
+def test_compaction_follows_the_plan_with_files_over_several_read_splits(spark, tmp_path):
+    path, size = str(tmp_path / "t"), 150_000
+    rows = spark.range(40_000).select("id", F.md5(F.col("id").cast("string")).alias("text"), F.when(
+        F.col("id") % 10 > 0, F.col("id") % 2).alias("p"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes",)}
+    rows.repartition(12).write.option("parquet.block.size", "32768").partitionBy("p").parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")
+    try:
+        before = {r.p: (r.n_files, -(-r.bytes // size)) for r in W.partition_files(spark, path, ["p"]).collect()}
+        assert W.compact_partitions(spark, path, ["p"], size, threshold=3) == 3
+        after = {r.p: r.n_files for r in W.partition_files(spark, path, ["p"]).collect()}
+        assert after == {p: wanted for p, (_, wanted) in before.items()} and all(n < before[p][0] for p, n in after.items())
+        names = sorted(r.file for r in W.file_listing(spark, path, ["p"]).collect())
+        assert W.compact_partitions(spark, path, ["p"], size, threshold=3) == 0
+        assert names == sorted(r.file for r in W.file_listing(spark, path, ["p"]).collect())
+        assert sorted(map(tuple, spark.read.parquet(path).select("id", "text", "p").collect())) == sorted(map(tuple, rows.collect()))
+        assert not (tmp_path / "t.compaction").exists()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_interrupted_compaction_is_carried_out_later(spark, df, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    df.repartition(8).write.partitionBy("p").parquet(path)
+    rows = sorted(map(tuple, spark.read.parquet(path).select("id", "p").collect()))
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(W, "_moves", lost)
+        with pytest.raises(RuntimeError):
+            W.compact_partitions(spark, path, ["p"], threshold=2)
+    assert sorted(map(tuple, spark.read.parquet(path).select("id", "p").collect())) == rows
+    assert W.finish_compaction(spark, path) == 1
+    assert {r.n_files for r in W.partition_files(spark, path, ["p"]).collect()} == {1}
+    assert sorted(map(tuple, spark.read.parquet(path).select("id", "p").collect())) == rows
+    assert W.finish_compaction(spark, path) == 0
+
+
 def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     path = str(tmp_path / "t")
     hot = spark.range(1000).select("id", F.lit("a").alias("p"))
