@@ -222,6 +222,42 @@ def _(v):
         "manufacturer", "total_size")
 
 
+# Five rules per document on pieces of its text: contained texts, some of them for one language only, and patterns.
+_PIECES = """
+SELECT CAST(doc_id * 5 + i AS INT) AS priority, CAST((doc_id + i) % 3 AS INT) AS set_id, lang AS wanted,
+  CASE i WHEN 4 THEN 'rlike' ELSE 'contains' END AS kind, i IN (1, 3) AS one_lang,
+  CASE i WHEN 4 THEN {letters} ELSE substring(text, 20 * i + 1, 7 + i) END AS piece
+FROM documents {numbers} WHERE length(text) >= 20 * i + 12
+"""
+_PIECES_DUCK = _PIECES.format(letters="regexp_replace(substring(text, 81, 9), '[^A-Za-z]', '[^x]', 'g')",
+                              numbers=", (SELECT unnest([0, 1, 2, 3, 4]) AS i)")
+
+
+@R.add("rules_text_index", f"""
+WITH r AS ({_PIECES_DUCK.strip()}),
+hits AS (SELECT d.doc_id, r.set_id, r.priority FROM documents d JOIN r ON (NOT one_lang OR d.lang = r.wanted)
+  AND CASE kind WHEN 'rlike' THEN regexp_matches(d.text, piece) ELSE contains(d.text, piece) END)
+SELECT d.doc_id, '0,' || coalesce(CAST(min(priority) FILTER (set_id = 0) AS VARCHAR), '__DEFAULT__') AS src_0,
+  'R' || CAST(min(priority) FILTER (set_id = 1) AS VARCHAR) AS std_1,
+  '2,' || coalesce(string_agg(CAST(priority AS VARCHAR), ',' ORDER BY priority) FILTER (set_id = 2), '__DEFAULT__') AS every_2
+FROM documents d LEFT JOIN hits h ON h.doc_id = d.doc_id GROUP BY d.doc_id
+""")
+def _(v):
+    """Thousands of text rules in three sets over all documents: first matches and all matches."""
+    v.documents.createOrReplaceTempView("documents_for_rules")
+    pieces = v.spark.sql(_PIECES.format(
+        letters="regexp_replace(substring(text, 81, 9), '[^A-Za-z]', '[^x]')",
+        numbers="LATERAL VIEW explode(array(0, 1, 2, 3, 4)) AS i").replace("FROM documents", "FROM documents_for_rules"))
+    rules = {s: [] for s in range(3)}
+    for r in pieces.toLocalIterator():  # rules are configuration
+        when = {"text": (r.kind, r.piece)} | ({"lang": r.wanted} if r.one_lang else {})
+        rules[r.set_id].append(Rule(r.priority, when, {"std": f"R{r.priority}"}))
+    rows = v.documents.select("doc_id", "text", "lang")
+    for s in range(3):
+        rows = Q.match(rows, RuleSet(s, rules[s], collect_all=s == 2), f"_{s}")
+    return rows.select("doc_id", F.col("_0.src").alias("src_0"), F.col("_1.std").alias("std_1"), F.col("_2.src").alias("every_2"))
+
+
 # A rule per part: equality, lists, contained words, patterns and ranges, with equal priorities.
 _RULES = """
 SELECT p_partkey % 3 AS set_id, CAST(floor(p_partkey / 4) AS INT) AS priority,

@@ -21,11 +21,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.text import brand_key
 from .joins import enrich_by, interval_join
+from .rule_index import as_test, with_matching_rules
 
 # Texts of a rule result that keep the value the row already has. Fixed values.
 KEEP = ("", "NULL")
 # Rules on the same columns from which their values are joined as a table instead of tested one by one.
 JOINED_FROM = 30
+# Rules with a test for a part of a text, from which rules are found through an index of such parts.
+INDEXED_FROM = 500
 # Branches of a CASE for which Spark may generate code.
 COMPILED_UP_TO = 100
 # Priority that is noted when no rule matched, and the source of a name built by the gate. Fixed values.
@@ -161,7 +164,9 @@ class Matched:
 
     def __init__(self, rules: RuleSet, number: str, blank: Sequence[str]):
         self.rules, self.number, self.blank = rules, number, blank
-        self.ordered = rules.ordered
+        self.ordered, self.every = rules.ordered, f"{number}_every"
+        self.indexed = sum(
+            any(as_test(t)[0] in ("contains", "rlike") for t in r.when.values()) for r in self.ordered) >= INDEXED_FROM
 
     def column(self, among: Sequence[int] | None = None) -> Column:
         """Number of the first rule (of ``among``) whose conditions hold; one more than there are rules for none."""
@@ -195,6 +200,10 @@ class Matched:
         filters and joins on ruled columns, whose size would otherwise multiply with every chained set; filters on
         other columns still move below.
         """
+        if self.indexed:
+            out = with_matching_rules(df, self.ordered, _matches, "_first", self.every)
+            return out.withColumn(self.number, F.explode(F.array(
+                F.coalesce("_first", F.lit(len(self.ordered) + 1))))).drop("_first")
         tables, others = self._tables(df)
         numbers, out = [self.column(others)], df
         for t, (columns, table) in enumerate(tables):
@@ -231,8 +240,12 @@ class Matched:
         first = self._pick([*[label(r.priority, r.then) for r in self.ordered], label(DEFAULT, self.rules.default)])
         if not self.rules.collect_all:
             return first
-        every = F.expr("concat_ws(',', " + ", ".join(
-            f"CASE WHEN {_matches(r)} THEN {literal(str(r.priority))} END" for r in self.ordered) + ")")
+        if self.indexed:
+            priorities = F.expr(f"array({', '.join(literal(str(r.priority)) for r in self.ordered)})")
+            every = F.concat_ws(",", F.transform(self.every, lambda i: F.element_at(priorities, i)))
+        else:
+            every = F.expr("concat_ws(',', " + ", ".join(
+                f"CASE WHEN {_matches(r)} THEN {literal(str(r.priority))} END" for r in self.ordered) + ")")
         listed = F.concat(F.lit(f"{self.rules.set_id},"), F.coalesce(F.nullif(every, F.lit("")), F.lit(DEFAULT)))
         return F.when(first.isNotNull(), listed)
 
@@ -244,7 +257,7 @@ def match(df: DataFrame, rules: RuleSet, out: str = "_rule", blank: Sequence[str
     fields = [found.value(c).alias(c) for c in rules.result_columns]
     fields += [found.src(c).alias(f"{c}_src") for c in rules.result_columns]
     return found.numbered(df).withColumn(
-        out, F.struct(*fields, found.src().alias("src"))).drop(f"{out}_number")
+        out, F.struct(*fields, found.src().alias("src"))).drop(found.number, found.every)
 
 
 def offer(value: Column, label: Column, blank: Sequence[str] = KEEP) -> tuple[Column, Column]:
@@ -280,7 +293,7 @@ def apply_rules(
         if note:
             notes.setdefault(note, []).append(result)
     changes.update({note: F.coalesce(found.src(*written), own(note)) for note, written in notes.items()})
-    return found.numbered(df).withColumns(changes).drop("_rule_number")
+    return found.numbered(df).withColumns(changes).drop(found.number, found.every)
 
 
 def usable(value: Column, blank: Sequence[str] = KEEP) -> Column:
@@ -347,7 +360,7 @@ def override_numeric(df: DataFrame, rules: RuleSet, result: str, cols: Sequence[
     value = found.value(result, "double")
     changes = {c: F.coalesce(value, F.col(c)) for c in cols}
     changes[src_col] = F.when(value.isNotNull(), found.src()).otherwise(F.col(src_col))
-    return found.numbered(df).withColumns(changes).drop("_rule_number")
+    return found.numbered(df).withColumns(changes).drop(found.number, found.every)
 
 
 def override_then_scale(
@@ -363,7 +376,7 @@ def override_then_scale(
     fixed = first.numbered(df).withColumns({
         col: F.coalesce(number, F.col(col)),
         src_col: F.when(number.isNotNull(), first.src()).otherwise(F.col(src_col)),
-    }).drop("_rule_number")
+    }).drop("_rule_number", "_rule_number_every")
     second = Matched(ratio_rules, "_rule_number", KEEP)
     factor = second.value(ratio, "double")
     applies = factor.isNotNull() & F.col(col).isNotNull()
@@ -371,7 +384,7 @@ def override_then_scale(
         col: F.when(applies, (factor * F.col(col).cast("double")).cast("bigint")).otherwise(F.col(col)),
         src_col: F.when(applies, second.src()).otherwise(F.col(src_col)),
         ratio_col: F.coalesce(factor, F.col(ratio_col)) if ratio_col in df.columns else factor,
-    }).drop("_rule_number")
+    }).drop("_rule_number", "_rule_number_every")
 
 
 def exclusions(df: DataFrame, rules: RuleSet, result: str, listed_label: str, flag: str = "exclude_flag") -> DataFrame:
