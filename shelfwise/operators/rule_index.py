@@ -112,7 +112,7 @@ def rule_hits(values: DataFrame, rules: Sequence[Any], matches) -> DataFrame:
             letters = F.split(F.coalesce(F.col(texts[at]), F.lit("")), "")
             found = letters
             for moved in range(1, GRAM):
-                found = F.zip_with(found, F.slice(letters, moved + 1, 2**31 - 1), lambda a, b: F.concat(a, b))
+                found = F.zip_with(found, F.slice(letters, F.lit(moved + 1), F.size(letters)), lambda a, b: F.concat(a, b))
             return F.transform(F.array_distinct(F.array_compact(found)),
                                lambda g: F.struct(F.lit(at).alias("_at"), g.alias("_gram")))
 
