@@ -10,7 +10,7 @@ from .. import schemas as S
 from ..functions.crawl import parse_sales_text, region_of, sales_type, split_path
 from ..functions.jsons import json_build, json_build_if_any
 from ..functions.text import blank_to_null, cache_key, first_non_blank, flag, image_list, is_blank
-from ..operators.collapse import best_fields, merge_json, shortest_first, source_rank
+from ..operators.collapse import best_fields, best_state, fields_of, merge_json, merge_states, shortest_first, source_rank
 from ..operators.filters import require
 from ..operators.joins import drop_in, enrich_by, keep_in
 from ..operators.ordered import first_by_key
@@ -206,6 +206,51 @@ def sku_dimension(daily: DataFrame, until: str | None = None, fields: Sequence[s
     return conform(dim, S.SKU_DIM, split_path("sub_category", "category"))
 
 
+DIM_KEYS, SEEN_FIRST, SEEN_LAST = ["sku_id", "region"], "first_snapshot_dt", "last_snapshot_time"
+
+
+def dimension_state(daily: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """The mergeable state of :func:`sku_dimension` over some days, one row per SKU and region."""
+    fields = fields or [f for f in DIM_FIELDS if f in daily.columns]
+    return best_state(
+        require(daily, ["region", "sku_id"]), DIM_KEYS, fields, [F.col("snapshot_time")],
+        paired={"sub_category": "category"}, blanks={"extra_json": (EMPTY_JSON,)},
+        least={SEEN_FIRST: F.col("dt")}, most={SEEN_LAST: F.col("snapshot_time")})
+
+
+def add_day(state_path: str, day: DataFrame, fields: Sequence[str] | None = None) -> None:
+    """Merge new days into the stored state: one pass over these days and the state, whatever the history.
+
+    A day may be added again, and days in any order. The state is written as a new version beside the old one, which stays
+    until the new one is whole; readers take the newest whole version.
+    """
+    spark, path = day.sparkSession, day.sparkSession._jvm.org.apache.hadoop.fs.Path
+    versions = _versions(spark, state_path)
+    new = dimension_state(day, fields)
+    if versions:
+        new = merge_states(spark.read.parquet(f"{state_path}/v={versions[-1]}"), new, DIM_KEYS, [SEEN_FIRST])
+    new.write.mode("overwrite").parquet(f"{state_path}/v={versions[-1] + 1 if versions else 0}")
+    fs = path(state_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in versions:
+        fs.delete(path(f"{state_path}/v={old}"), True)
+
+
+def _versions(spark, state_path: str) -> list[int]:
+    """The whole versions of a stored state; there are two at most."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(state_path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(path(f"{state_path}/{n}/_SUCCESS")))
+
+
+def dimension_from_state(spark, state_path: str, fields: Sequence[str] | None = None) -> DataFrame:
+    """The dimension of all days that were added to the stored state."""
+    state = spark.read.parquet(f"{state_path}/v={_versions(spark, state_path)[-1]}")
+    fields = fields or [f for f in DIM_FIELDS if f in state.columns]
+    return conform(fields_of(state, fields), S.SKU_DIM, split_path("sub_category", "category"))
+
+
 # Work-list task that asks for translations. Fixed value.
 TRANSLATION_TASK = "amazon_translation"
 

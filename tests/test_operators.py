@@ -304,3 +304,63 @@ def test_quota_is_per_run_date(spark):
     cache = spark.createDataFrame([("t1", "uno"), ("t2", "")], "Fields string, Fields_in_translation string").withColumn(
         "Fields_hash", F.md5("Fields"))
     assert rows(crawl.translation_candidates(work, dim, cache).select("product_title")) == [("t2",)]
+
+
+@pytest.mark.parametrize("kind, make", [
+    ("int", lambda i: i), ("double", lambda i: i / 7), ("string", lambda i: f"2024-{i:04d}-long"), ("date", None), ("timestamp", None)])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_interval_join_agrees_with_all_pairs(spark, kind, make, how):
+    import random
+    from datetime import date, datetime, timedelta
+    make = make or (lambda i: date(2024, 1, 1) + timedelta(i) if kind == "date" else datetime(2024, 1, 1) + timedelta(hours=i))
+    draw = random.Random(kind + how)
+    left = [(draw.choice(["a", "b", None]), None if i == 7 else make(draw.randrange(-50 if kind in ("int", "double") else 0, 90)), i)
+            for i in range(120)]
+    left += left[:3]
+    right = []
+    for i in range(60):
+        at, length = draw.randrange(90), draw.choice([0, 0, 1, 2, 5, 80, -3])
+        end = at + length
+        right.append((draw.choice(["a", "b", None]), make(at), None if i == 9 else make(max(0, end)), i))
+    a = spark.createDataFrame(left, f"k string, p {kind}, row int")
+    b = spark.createDataFrame(right, f"k string, s {kind}, e {kind}, id int")
+    got = sorted(map(str, ((r.k, r.p, r.row, r.s, r.e, r.id) for r in J.interval_join(a, b, ["k"], "p", "s", "e", how).collect())))
+    want = []
+    for k, p, row in left:
+        found = [(k, p, row, s, e, i) for q, s, e, i in right
+                 if k is not None and k == q and p is not None and e is not None and s <= p <= e]
+        want += found or ([(k, p, row, None, None, None)] if how == "left" else [])
+    assert got == sorted(map(str, want))
+
+
+def test_interval_join_of_a_hot_key_compares_few_pairs(spark):
+    """20,000 points and intervals of one key, half of them a point long, some very long: pairs compared are near those found."""
+    n = 20_000
+    points = spark.range(n).select(F.lit("hot").alias("k"), F.col("id").alias("p"))
+    length = F.when(F.col("id") % 2 == 0, 0).when(F.col("id") % 1000 == 1, 5000).otherwise(3)
+    spans = spark.range(n).select(F.lit("hot").alias("k"), F.col("id").alias("s"), (F.col("id") + length).alias("e"))
+    joined = J.interval_join(points, spans, ["k"], "p", "s", "e", "inner")
+    found = joined.count()
+    at = [J.axis_position(F.col(c), spans.schema[c].dataType) for c in "se"]
+    width = F.when(at[0] == at[1], 0).otherwise(F.length(F.bin(at[1] - at[0])))
+    tested = spans.select(F.sum(F.pow(F.lit(2.0), width) * 2)).first()[0]  # rows of two bins at most
+    assert found == spans.filter("s < 20000").select(F.sum(F.least("e", F.lit(n - 1)) - F.col("s") + 1)).first()[0]
+    assert tested < 5 * found < n * n / 100
+
+
+def test_dimension_state_does_not_depend_on_days_order(spark, tmp_path):
+    import random
+    draw = random.Random(5)
+    rows = [(f"s{draw.randrange(6)}", draw.choice(["US", "CN", ""]), f"2024-01-0{draw.randrange(1, 8)}", str(i % 40),
+             draw.choice([None, "", "t1", "t2"]), draw.choice(["", "c1", "c2", None]), draw.choice(["x>y", "", None]),
+             draw.choice(["{}", "", '{"a":1}'])) for i in range(300)]
+    daily = spark.createDataFrame(rows, "sku_id string, region string, dt string, snapshot_time string, product_title string, "
+                                        "category string, sub_category string, extra_json string")
+    whole = sorted(map(str, crawl.sku_dimension(daily).collect()))
+    days = sorted({r[2] for r in rows})
+    for order in (days, days[::-1], [*days[3:], *days[:3], days[0]]):
+        path = str(tmp_path / str(len(order) + (order[0] == days[0])) / order[0])
+        for day in order:
+            crawl.add_day(path, daily.filter(F.col("dt") == day))
+        assert sorted(map(str, crawl.dimension_from_state(spark, path).collect())) == whole
+        assert len(crawl._versions(spark, path)) == 1
