@@ -13,7 +13,7 @@ in a fixed share of the hash range, all but ``spare`` have to occur in another d
 from one shuffle of packed tokens that brings every document its shared tokens with their frequencies; a document with
 more than ``spare`` tokens of its own has no partner. (4) The combinations are indexed; each member of a list is
 compared with the smallest, which joins most groups at a linear price; lists that still hold several groups are looked
-through for pairs across groups. Every link is confirmed on the full sets: shared tokens are all that can intersect.
+through for pairs across groups, whose odd sketches (parities of hashed bits) allow the similarity. Every link is confirmed on the full sets: shared tokens are all that can intersect.
 
 A list of a rare token holds at most ``RARE`` documents. What workers are sent are bitmaps of fixed size, which only spare
 them documents that certainly have no part. Shingles are told apart by 64-bit hashes.
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..sources.checkpoints import stored
 from .common import bound_batches, utf8
 from .components import components
-from .near_dup import WordHashes, _mix, shingle_set
+from .near_dup import WordHashes, _mix, odd_sketch, shingle_set
 from .packed import (
     CHUNK, bitmap_of, bucket_bounds, bucket_count, may_hold, pack, pack_numbers, summed, unpack, unpack_numbers,
 )
@@ -281,9 +281,9 @@ class Join:
             merge, "part int, codes binary, freqs binary, places binary, ids binary, sizes binary")
 
     def indexed(self, ids: DataFrame) -> DataFrame:
-        """``id, n, tokens, keys`` of the documents that can have a partner."""
+        """``id, n, tokens, keys, odd`` of the documents that can have a partner; ``odd`` is the tokens' odd sketch."""
         percent, longs = self.percent, pa.list_(pa.int64())
-        schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("tokens", longs), ("keys", longs)])
+        schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("tokens", longs), ("keys", longs), ("odd", longs)])
 
         def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for parts in _by_key(batches):
@@ -300,10 +300,10 @@ class Join:
                     if len(keys):
                         yield pa.RecordBatch.from_arrays([
                             pa.array([i]), pa.array([n]), pa.array([codes[some].view(np.int64)], longs),
-                            pa.array([keys.view(np.int64)], longs)], schema=schema)
+                            pa.array([keys.view(np.int64)], longs), pa.array([odd_sketch(codes[some])], longs)], schema=schema)
 
         return self.shared_tokens(ids).repartition("part").sortWithinPartitions("part").mapInArrow(
-            compute, "id long, n long, tokens array<long>, keys array<long>")
+            compute, "id long, n long, tokens array<long>, keys array<long>, odd array<long>")
 
     def confirm(self, sets: DataFrame, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` whose sets are similar enough."""
@@ -331,9 +331,14 @@ class Join:
             members.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("rows")).groupBy("key").agg(
                 F.max_by("grp", F.struct("rows", "grp")).alias("main"), F.count(F.lit(1)).alias("grps"))
             .filter("grps > 1").select("key", "main"), "mixed-lists")
-        mixed = stored(members.join(mains, "key"), "mixed-members")
+        sketches = sets.select("id", "odd", (F.col("n") - F.size("tokens")).alias("alone"))
+        mixed = stored(members.join(mains, "key").join(sketches, "id"), "mixed-members")
         x, y = mixed.filter("grp != main").alias("x"), mixed.alias("y")
-        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") != F.col("y.grp")) & fits("x.n", "y.n")).select(
+        # Odd sketches and tokens of one's own never exceed the difference of two sets, so that no link is lost here.
+        odd = F.aggregate(F.zip_with("x.odd", "y.odd", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
+        apart = F.col("x.alone") + F.col("y.alone") + F.when(F.size("x.odd") == F.size("y.odd"), odd).otherwise(0)
+        close = apart * (100 + self.percent) <= (F.col("x.n") + F.col("y.n")) * (100 - self.percent)
+        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") != F.col("y.grp")) & fits("x.n", "y.n") & close).select(
             F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
         return first.unionByName(self.confirm(sets, pairs))
 
