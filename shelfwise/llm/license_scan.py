@@ -5,8 +5,12 @@ distinct words. The words of the templates are counted in all documents and orde
 ``need = ceil(threshold * size)`` shared words asked for, a matching block must hold one of the template's first
 ``size - need + 1`` words (prefix filter), must have ``need`` template words at all (length filter), and at every
 shared prefix word what is left on both sides must suffice (positional filter). Pairs that pass are verified on the
-full sets, so every matching block is found, however many other words it holds. Of the templates that a block matches,
-those count of which it holds no word besides those of a better match.
+full sets, so every matching block is found, however many other words it holds.
+
+Labels come from the notices that a block is made of: the template with the most words in it (then with the largest share)
+is taken, with the shortest stretches that hold these words; what is left of the block is matched again, until nothing
+matches. A template that could match without any word that no other label's templates have needs all its own words
+there, or all its words where it has none of its own, to give a label.
 
 Templates and phrases are a parameter of bounded size and travel with the task; texts stay where they are.
 
@@ -19,7 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from math import ceil, inf
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,8 +34,6 @@ from .decontamination import words_of
 # Words of all templates at most; what is sent to the workers is bounded by it.
 MAX_TEMPLATE_WORDS = 100_000
 THRESHOLD = 0.8
-# Words of a block at most, as a multiple of the template's: no bound.
-DILUTION = inf
 
 # Phrases whose places are reported, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -84,6 +86,7 @@ class Templates:
         vocabulary = sorted(set().union(*self.words) if self.words else (), key=lambda w: (frequency.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(vocabulary)}
         self.need = [max(1, ceil(threshold * len(w) - 1e-9)) for w in self.words]
+        self.must = [self._must(t) for t in range(len(self.words))]
         self.prefixes: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, words in enumerate(self.words):
             for i, word in enumerate(sorted(words, key=self.rank.__getitem__)[:len(words) - self.need[t] + 1]):
@@ -112,13 +115,42 @@ class Templates:
                     found.append((t, overlap / len(self.words[t])))
         return found
 
-    def best(self, words: list[bytes], found: list[tuple[int, float]]) -> set[int]:
-        """Of the templates that a block holds, those that no other one explains: one of which the block holds the same
-        words and more, or the same words at a larger share."""
-        block = set(words)
-        held = {t: (self.words[t] & block, share) for t, share in found}
-        return {t for t, (mine, share) in held.items() if not any(
-            mine < other or mine == other and share < more for other, more in held.values())}
+    def _must(self, t: int) -> frozenset[bytes]:
+        """Words without which a match gives no label."""
+        words = self.words[t]
+        own = words.difference(*[w for w, label in zip(self.words, self.labels) if label != self.labels[t]])
+        return (own or words) if len(words) - len(own) >= self.need[t] else frozenset()
+
+    def notices(self, words: list[bytes], found: list[tuple[int, float]]) -> set[int]:
+        """The templates that a block is made of, given those it matches; equally good ones for the same words all count."""
+        kept: set[int] = set()
+        while True:
+            block = set(words)
+            held = {t: (self.words[t] & block, share) for t, share in found if self.must[t] <= block}
+            if not held:
+                return kept
+            best = max(held, key=lambda t: (len(held[t][0]), held[t][1], -t))
+            kept.update(t for t, match in held.items() if match == held[best])
+            words = without(words, held[best][0], self.words[best])
+            found = self.matches(words)
+
+
+def without(words: list[bytes], held: frozenset[bytes], template: frozenset[bytes]) -> list[bytes]:
+    """The words less those of ``template`` in stretches that hold all of ``held``: shortest first, none overlapping."""
+    last: dict[bytes, int] = {}
+    stretches = []
+    for at, word in enumerate(words):
+        if word in held:
+            last[word] = at
+            if len(last) == len(held):
+                low = min(last.values())
+                if not stretches or stretches[-1][1] != low:  # no stretch holds another one
+                    stretches.append((at - low, low))
+    taken = bytearray(len(words))
+    for length, low in sorted(stretches):
+        if not taken[low] and not taken[low + length]:
+            taken[low:low + length + 1] = b"\1" * (length + 1)
+    return [w for w, gone in zip(words, taken) if not gone or w not in template]
 
 
 def places_of(words: list[bytes], phrases: Sequence[bytes]) -> list[tuple[int, int]]:
@@ -160,7 +192,7 @@ def found_in(
 ) -> Column:
     """A struct per text: ``n_words``, ``places`` of phrases, and matching ``blocks`` with their spans of words.
 
-    Of the templates that a block matches, those whose words in it are not among those of another one are its ``best``.
+    Of the templates that a block matches, the ``notices`` are those that give labels.
     """
     bound_batches(docs.sparkSession)
     index = Templates(templates, word_frequencies(docs, text, templates), threshold)
@@ -169,10 +201,10 @@ def found_in(
         ("n_words", pa.int64()),
         ("places", pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))),
         ("blocks", pa.list_(pa.struct([("label", pa.string()), ("share", pa.float64()), ("first_word", pa.int64()),
-                                       ("n_words", pa.int64()), ("best", pa.bool_())])))])
+                                       ("n_words", pa.int64()), ("notice", pa.bool_())])))])
 
     @F.arrow_udf("struct<n_words: long, places: array<struct<word: long, label: string>>, blocks: "
-                 "array<struct<label: string, share: double, first_word: long, n_words: long, best: boolean>>>")
+                 "array<struct<label: string, share: double, first_word: long, n_words: long, notice: boolean>>>")
     def find(texts: pa.Array) -> pa.Array:
         out = []
         for body in utf8(texts):
@@ -180,9 +212,9 @@ def found_in(
             blocks = []
             for at, block in blocks_of(body) if not index.first.isdisjoint(words) else ():
                 pairs = index.matches(block)
-                best = index.best(block, pairs)
+                notices = index.notices(block, pairs)
                 blocks += [{"label": index.labels[t], "share": share, "first_word": at, "n_words": len(block),
-                            "best": t in best} for t, share in pairs]
+                            "notice": t in notices} for t, share in pairs]
             out.append({"n_words": len(words), "blocks": blocks, "places": [
                 {"word": at, "label": labels[p]} for at, p in places_of(words, names)]})
         return pa.array(out, kind)
@@ -193,18 +225,19 @@ def found_in(
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Per row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` and the ``blocks``.
 
-    ``labels`` are those of phrases and of the best templates of every matching block.
+    ``labels`` are those of phrases and of the notices of every matching block.
 
-    The score is 1 where a phrase stands, else the largest share of a template's words that a block holds, else 0.
+    The score is 1 where a phrase stands, else the largest share of its template's words that a notice has, else 0.
     """
     def joined(labels: Column) -> Column:
         return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), found_in(docs, text, **options).alias("found")).select(
         "doc_id", "found.*")
-    base, method = F.transform("places", lambda p: p["label"]), F.transform(F.filter("blocks", lambda b: b["best"]), lambda b: b["label"])
+    notices = F.filter("blocks", lambda b: b["notice"])
+    base, method = (F.transform(x, lambda p: p["label"]) for x in ("places", notices))
     starts = F.transform("places", lambda p: p["word"])
-    best = F.coalesce(F.array_max(F.transform("blocks", lambda b: b["share"])), F.lit(0.0))
+    best = F.coalesce(F.array_max(F.transform(notices, lambda b: b["share"])), F.lit(0.0))
     return rows.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"), joined(base).alias("base_labels"),
