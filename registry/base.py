@@ -11,6 +11,9 @@ from shelfwise.sources.checkpoints import scratch_path
 from .fixtures import VIEWS, oracle, view
 
 
+# An average of fixed-point numbers in SQL: text in between, as the cast of a decimal to a double may be off by the last bit.
+EXACT_AVG = "CAST(CAST(sum(CAST({0} AS DECIMAL(38, 16))) AS VARCHAR) AS DOUBLE) / count({0})"
+
 # Views that were written beforehand, by scale folder and name; see prepare().
 _PREPARED: dict[tuple[str, str], str] = {}
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from shelfwise.operators import bundles as B
 from shelfwise.operators.rules import Rule, RuleSet
 from shelfwise.plans.bundles import merge_bundles
+from shelfwise.sources.checkpoints import stored
 
 from .base import Registry
 
@@ -84,6 +85,21 @@ def _(v):
     return B.merge_liquid(_parts(v).filter(F.col("categorys") == B.LIQUID_CATEGORY).drop("categorys"), KEYS)
 
 
+@R.add("bundle_dropped_parts", f"""
+WITH {_CHOSEN.strip()}, {_LIQUID.strip()}
+SELECT (SELECT count(*) FROM liquid_merged) AS merged, count(*) AS parts,
+  count(*) FILTER (NOT coalesce(regexp_matches(std_spu_name, '液|器'), FALSE)) AS parts_dropped
+FROM parts WHERE categorys = '电热蚊香液'
+""", ("bundle_part",))
+def _(v):
+    """Parts of liquid listings that are neither liquid nor device are counted by the job that merges them."""
+    seen = Observation()
+    liquid = _parts(v).filter(F.col("categorys") == B.LIQUID_CATEGORY).drop("categorys")
+    merged = stored(B.merge_liquid(liquid, KEYS, seen), "merged")
+    counts = seen.get
+    return merged.agg(F.count(F.lit(1)).alias("merged")).withColumns({k: F.lit(n).cast("bigint") for k, n in counts.items()})
+
+
 @R.add("bundle_brush", f"WITH {_CHOSEN.strip()}, {_BRUSH.strip()} SELECT {_COLUMNS} FROM brush_merged",
        ("bundle_part",))
 def _(v):

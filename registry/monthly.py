@@ -9,7 +9,7 @@ from shelfwise.operators.rules import Rule, RuleSet
 from shelfwise.plans import external as X, monthly as P, pet as D
 from shelfwise.sources.checkpoints import stored
 
-from .base import Registry
+from .base import EXACT_AVG, Registry
 from .crawl import DUCK_TYPES, typed_nulls
 from .joins import KEYS, LISTING, missing_unless
 from .rules import GATE, P1, P2, PRICE, RATIO, STATUS, UNITS
@@ -122,10 +122,10 @@ def _(v):
 
 # --- mapping origin ---------------------------------------------------------------------------------------------
 _ANNOTATED = """
-notes AS (SELECT upper(platform) AS platform, market, item_id, pfsku_id, month_dt, sku_no, min(std_sku_name) AS sku_title,
+notes AS (SELECT upper(platform) AS platform, market, CASE WHEN sku_num = 3 THEN item_id ELSE 'no ' || item_id END AS item_id, pfsku_id, month_dt, sku_no, min(std_sku_name) AS sku_title,
     1 AS is_bundle, CAST(sku_no % 2 AS INT) AS is_gift, max(package) AS package, max(weight) AS weight, min(std_brand_name) AS std_brand_name,
     CASE WHEN sku_no = 1 THEN NULL ELSE max(weight) END AS part_weight
-  FROM mapping WHERE sku_num = 3 GROUP BY platform, market, item_id, pfsku_id, month_dt, sku_no),
+  FROM mapping GROUP BY 1, 2, 3, 4, 5, 6),
 weighed AS (SELECT platform, CASE WHEN category_1 >= 'M' THEN item_id ELSE 'no ' || item_id END AS item_id, pfsku_id, month_dt,
     CAST(sum(pfsku_unit_sales) AS DOUBLE) AS weight_all_in_g, CAST(max(page_price) AS INT) % 5 AS package_all FROM listing GROUP BY 1, 2, 3, 4)
 """
@@ -133,7 +133,7 @@ weighed AS (SELECT platform, CASE WHEN category_1 >= 'M' THEN item_id ELSE 'no '
 
 def _annotations(v):
     keys = ["platform", "market", "item_id", "pfsku_id", "month_dt", "sku_no"]
-    notes = v.stored("mapping").filter("sku_num = 3").groupBy(*keys).agg(
+    notes = missing_unless(v.stored("mapping"), "sku_num = 3", "item_id").groupBy(*keys).agg(
         F.min("std_sku_name").alias("sku_title"), F.max("package").alias("package"), F.max("weight").alias("weight"),
         F.min("std_brand_name").alias("std_brand_name")).withColumns({
             "platform": F.upper("platform"), "is_bundle": F.lit(1), "is_gift": F.col("sku_no") % 2,
@@ -255,7 +255,8 @@ first_row AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform,
 item AS (SELECT platform, market, item_id, shop, month_dt,
     CASE WHEN contains(brand_name, '1') AND platform IN ('Suning', 'Amazon') THEN 'EC' WHEN regexp_matches(item_title, '^[a-m]') THEN 'OTHER' END AS media,
     CASE WHEN contains(brand_name, '1') AND platform IN ('Suning', 'Amazon') THEN '104996,1' WHEN regexp_matches(item_title, '^[a-m]') THEN '104996,2' END AS media_src FROM first_row),
-brands AS (SELECT brand_name, 'MAP ' || brand_name AS mapped FROM mapping GROUP BY brand_name HAVING max(package) = 3 AND brand_name > 'Brand#2'),
+brands AS (SELECT CASE WHEN max(package) = 3 AND brand_name > 'Brand#2' THEN brand_name ELSE 'no ' || brand_name END AS brand_name,
+    'MAP ' || m.brand_name AS mapped FROM mapping m GROUP BY m.brand_name),
 r AS (SELECT *, CASE brand_name WHEN 'Brand#3' THEN 'B3' WHEN 'Brand#5' THEN 'NULL' ELSE std_brand_name END AS rb,
     CASE brand_name WHEN 'Brand#3' THEN '104998,1' WHEN 'Brand#5' THEN '104998,3' END AS rs FROM s)
 SELECT r.platform, r.market, r.item_id, r.pfsku_id, r.shop_id, r.month_dt, r.sku_no, item.media, item.media_src, coalesce(mapped, rb) AS std_brand_name,
@@ -272,8 +273,9 @@ def _(v):
         "unique_id": F.col("pfsku_id").cast("bigint") * 10 + F.col("sku_no"), "media": none, "media_src": none,
         "ai_brand_name": F.col("brand_name"), "std_brand_name_src": none, "std_category_1": none,
         "std_category_2": none, "category_1_cn": none})
-    brands = v.stored("mapping").groupBy("brand_name").agg(F.max("package").alias("p")).filter(
-        "p = 3 AND brand_name > 'Brand#2'").select("brand_name", F.concat(F.lit("MAP "), "brand_name").alias("std_brand_name"))
+    named = v.stored("mapping").groupBy("brand_name").agg(F.max("package").alias("p")).withColumn(
+        "std_brand_name", F.concat(F.lit("MAP "), "brand_name"))
+    brands = missing_unless(named, "p = 3 AND brand_name > 'Brand#2'", "brand_name").select("brand_name", "std_brand_name")
     out = P.standard_mapping(source, _MEDIA, _STD_BRAND, _STD_CATEGORY, _TRANSLATED, brands, japan="asia")
     return out.select(*LISTING, "sku_no", "media", "media_src", "std_brand_name", "std_brand_name_src", "std_category_1",
                       "std_category_2", "category_1_cn", "category_1")
@@ -370,7 +372,7 @@ _WIDE = {
     "pfsku_discountprice_value_sales": "pfsku_unit_sales * discount_price",
     "pfsku_pageprice_value_sales": "pfsku_unit_sales * page_price", "sku_unit_sales": "pfsku_unit_sales",
     "sku_volume_sales": "pfsku_unit_sales * total_weight", "sku_pack_sales": "pfsku_unit_sales * package",
-    "sku_discount_price_tmp": "round(coalesce(CASE WHEN sku_num = 1 THEN own_price ELSE group_price END, sku_price), 9)",
+    "sku_discount_price_tmp": "coalesce(CASE WHEN sku_num = 1 THEN own_price ELSE group_price END, sku_price)",
     "sku_value_sales": "CASE WHEN sku_num = 1 THEN pfsku_unit_sales * discount_price END",
     "sku_value_ratio": "CASE WHEN sku_num = 1 THEN 1 ELSE sku_value_ratio END",
     "sku_value_ratio_src": "CASE WHEN sku_num = 1 THEN '单品不拆' ELSE sku_value_ratio_src END",
@@ -387,12 +389,13 @@ staged AS (SELECT a.*, b.item_unit_sales, b.pfsku_unit_sales, b.fix_count_ratio,
   FROM mapping a JOIN fixed_count b ON {_key('a', 'b')} JOIN fixed_price c ON {_key('a', 'c')}
   WHERE c.page_price > 2 AND c.page_price < 49 AND b.item_unit_sales > 30 AND b.item_unit_sales < 5000
     AND NOT EXISTS (SELECT 1 FROM product_status d WHERE d.status = 'exclude' AND {_key('a', 'd')})),
-average AS (SELECT market, platform, month_dt, std_sku_name, avg(own_price) AS group_price FROM staged
+average AS (SELECT market, platform, month_dt, std_sku_name, {EXACT_AVG.format("own_price")} AS group_price FROM staged
   WHERE sku_num = 1 AND std_sku_name IS NOT NULL AND own_price <> 0 GROUP BY 1, 2, 3, 4),
 standard AS (SELECT platform, month_dt, std_sku_name, CAST(max(sku_no) AS DOUBLE) AS sku_price FROM mapping GROUP BY 1, 2, 3),
-shops AS (SELECT platform, market, shop_id, month_dt, 'shop ' || max(item_id) AS updated_shop_name FROM listing
-  WHERE platform = 'Suning' GROUP BY 1, 2, 3, 4),
-groups AS (SELECT DISTINCT brand_name, 'G' || brand_name AS grouped FROM listing WHERE brand_name < 'Brand#3'),
+shops AS (SELECT platform, market, CASE WHEN platform = 'Suning' THEN shop_id ELSE 'no ' || shop_id END AS shop_id, month_dt,
+    'shop ' || max(item_id) AS updated_shop_name FROM listing GROUP BY 1, 2, 3, 4),
+groups AS (SELECT DISTINCT CASE WHEN brand_name < 'Brand#3' THEN brand_name ELSE 'no ' || brand_name END AS brand_name,
+  'G' || l.brand_name AS grouped FROM listing l),
 seen AS (SELECT lower(platform) AS p, market, CASE WHEN platform = 'Amazon' THEN pfsku_id ELSE item_id END AS product, min(month_dt) AS first_month
   FROM mapping GROUP BY 1, 2, 3)
 SELECT {_laid_out(S.WIDE_SALES, ["a." + k for k in LISTING] + ["a." + c for c in _OWN] + [f"{x} AS {c}" for c, x in _WIDE.items()])}
@@ -404,22 +407,22 @@ FROM staged a LEFT JOIN average USING (market, platform, month_dt, std_sku_name)
 def _(v):
     fixed = v.stored("mapping").groupBy("platform", "month_dt", "std_sku_name").agg(
         F.max("sku_no").cast("double").alias("sku_price"))
-    shops = v.stored("listing").filter("platform = 'Suning'").groupBy("platform", "market", "shop_id", "month_dt").agg(
+    shops = missing_unless(v.stored("listing"), "platform = 'Suning'", "shop_id").groupBy("platform", "market", "shop_id", "month_dt").agg(
         F.concat(F.lit("shop "), F.max("item_id")).alias("updated_shop_name"))
-    groups = v.stored("listing").filter("brand_name < 'Brand#3'").select(
-        F.col("brand_name").alias("std_brand_name_ori"), F.concat(F.lit("G"), "brand_name").alias("std_brand_name")).distinct()
+    grouped = v.stored("listing").select("brand_name", F.concat(F.lit("G"), "brand_name").alias("std_brand_name")).distinct()
+    groups = missing_unless(grouped, "brand_name < 'Brand#3'", "brand_name").withColumnRenamed("brand_name", "std_brand_name_ori")
     # Fixed counts, prices and the status are tables of their own jobs.
     inputs = [stored(df, "fixed") for df in (_fixed_count(v), _fixed_price(v), _status(v))]
     out = P.sales_wide(
         v.stored("mapping"), *inputs, fixed_prices=fixed, shop_names=shops,
         brand_groups=groups, min_price=2, max_price=49, min_count=30, max_count=5000)
-    return out.withColumns({"sku_discount_price_tmp": F.round("sku_discount_price_tmp", 9),
-                            "etl_updated_at": F.when(F.length("etl_updated_at") == 19, "noted")})
+    return out.withColumns({"etl_updated_at": F.when(F.length("etl_updated_at") == 19, "noted")})
 
 
 # --- external price, pet mapping ------------------------------------------------------------------------------------
 @R.add("external_price_override", f"""
-WITH feed AS (SELECT item_id, month_dt, max(page_price) - 5 AS price FROM listing WHERE platform = 'Amazon' GROUP BY 1, 2),
+WITH feed AS (SELECT CASE WHEN platform = 'Amazon' THEN item_id ELSE 'no ' || item_id END AS item_id, month_dt, max(page_price) - 5 AS price
+  FROM listing GROUP BY 1, 2),
 clean AS (SELECT * FROM feed WHERE price > 0 AND month_dt BETWEEN '1993-01-01' AND '1996-10-01')
 SELECT {KEYS}, CASE WHEN {P1} THEN 9.5 WHEN {P2} THEN 12 ELSE coalesce(price, page_price) END AS page_price,
   CASE WHEN {P1} THEN 9.5 WHEN {P2} THEN 12 ELSE coalesce(price, discount_price) END AS discount_price,
@@ -427,7 +430,7 @@ SELECT {KEYS}, CASE WHEN {P1} THEN 9.5 WHEN {P2} THEN 12 ELSE coalesce(price, pa
 FROM (SELECT l.*, price FROM listing l LEFT JOIN clean c ON l.platform = 'Tmall' AND l.item_id = c.item_id AND l.month_dt = c.month_dt)
 """, ("listing",))
 def _(v):
-    feed = v.stored("listing").filter("platform = 'Amazon'").groupBy("item_id", "month_dt").agg(
+    feed = missing_unless(v.stored("listing"), "platform = 'Amazon'", "item_id").groupBy("item_id", "month_dt").agg(
         (F.max("page_price") - 5).alias("price"))
     clean = X.clean_feed(feed, "1993-01-01", "1996-10-01", "Tmall")
     price = v.stored("listing").withColumn("discount_price_src", F.lit("feed"))
@@ -473,7 +476,8 @@ f AS (SELECT *, CASE WHEN prime_cat IS NULL AND mid_cat = '狗零食' AND market
     CASE WHEN prime_cat IS NULL AND mid_cat = '狗零食' AND market = 'asia' THEN '104747,1' ELSE mid_cat_src END AS cat_src,
     CASE WHEN regexp_matches(item_title, '^[a-f]') THEN 'kitten' END AS lifestage FROM e),
 w AS (SELECT *, CASE WHEN platform = 'Suning' THEN 3 ELSE 2 END AS package, CASE WHEN platform <> 'Suning' AND market = 'europe' THEN 250.5 ELSE page_price END AS weight FROM f),
-pet_gate AS (SELECT DISTINCT cat AS c2, brand AS b FROM f WHERE brand IS NOT NULL AND cat IS NOT NULL AND platform = 'Tmall'),
+pet_gate AS (SELECT DISTINCT cat AS c2, CASE WHEN platform = 'Tmall' THEN brand ELSE 'no ' || brand END AS b FROM f
+  WHERE brand IS NOT NULL AND cat IS NOT NULL),
 g AS (SELECT w.*, p.b IS NOT NULL AND ((spu_src = '104736,1' AND platform = 'Tmall') OR sku_src <> '机器清洗') AS keep
   FROM w LEFT JOIN pet_gate p ON w.cat = p.c2 AND w.brand = p.b AND w.platform = 'Tmall' AND month_dt BETWEEN '1994-01-01' AND '1996-01-01'),
 n AS (SELECT *, CASE WHEN keep THEN spu ELSE coalesce(brand, '') || coalesce(lifestage, '') || coalesce(std_category_3, '') END AS name0,
@@ -505,7 +509,8 @@ def _(v):
     named = D.standard_names(
         D.apply_rules(rows, _SHOP, {"fix_shop_id": "shop_id", "fix_shop_name": "shop_name"}), _PRIMARY, _FALL_BRAND,
         _LATE_BRAND, _FALL_CAT, _LATE_CAT, "pn_monthly_sales_discount", "rc_monthly_sales_discount")
-    gate = named.filter("std_brand_name IS NOT NULL AND std_category_2 IS NOT NULL AND platform = 'Tmall'").select(
+    known = named.filter("std_brand_name IS NOT NULL AND std_category_2 IS NOT NULL")
+    gate = missing_unless(known, "platform = 'Tmall'", "std_brand_name").select(
         "std_category_2", "std_brand_name", "platform", F.lit("1994-01-01").alias("start_time"),
         F.lit("1996-01-01").alias("end_time")).distinct()
     names = v.part.select(F.concat(F.lit("name "), "p_name").alias("std_spu_name"),

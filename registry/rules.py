@@ -111,16 +111,17 @@ def _(v):
 @R.add("rules_lookup", f"""
 WITH rules AS (SELECT brand_name, category_1, CAST(row_number() OVER (ORDER BY brand_name, category_1, shop_id) AS INT) AS priority,
     CASE WHEN shop_id = '3' THEN '' ELSE brand_name || '/' || shop_id END AS std_brand_name
-  FROM (SELECT DISTINCT brand_name, category_1, shop_id FROM listing_month WHERE platform = 'Tmall')),
+  FROM (SELECT DISTINCT CASE WHEN platform = 'Tmall' THEN brand_name ELSE 'no ' || brand_name END AS brand_name, category_1, shop_id FROM listing_month)),
 best AS (SELECT brand_name, category_1, first(std_brand_name ORDER BY priority) AS s, min(priority) AS p FROM rules GROUP BY ALL)
 SELECT {KEYS}, coalesce(nullif(s, ''), brand_name) AS std_brand_name,
   CASE WHEN s <> '' THEN '9,' || p END AS std_brand_name_src FROM listing_month LEFT JOIN best USING (brand_name, category_1)
 """, ("listing_month",))
 def _(v):
-    tmall = v.stored("listing_month").filter("platform = 'Tmall'").select("brand_name", "category_1", "shop_id").distinct()
+    named = missing_unless(v.stored("listing_month"), "platform = 'Tmall'", "brand_name").select(
+        "brand_name", "category_1", "shop_id").distinct()
     from shelfwise.operators.ordered import renumber
 
-    one = tmall.withColumn("_all", F.lit(1))
+    one = named.withColumn("_all", F.lit(1))
     order = [F.col(c) for c in ("brand_name", "category_1", "shop_id")]
     rules = renumber(one, ["_all"], order, "priority").select(
         "brand_name", "category_1", F.col("priority").cast("int").alias("priority"),

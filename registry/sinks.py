@@ -78,6 +78,27 @@ def _(v):
     return _read(v, path).join(planned, "o_orderstatus").select(*COLUMNS, "as_planned", F.lit(again).alias("again"))
 
 
+@R.add("publish_checked", f"""
+SELECT {_C.replace('o_totalprice', "CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice")},
+  CAST((SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS BIGINT) AS published,
+  CAST((SELECT count(*) FROM orders WHERE o_orderstatus = 'O' AND o_custkey % 7 = 0) AS BIGINT) AS refused FROM orders
+""")
+def _(v):
+    """A partition that passes its checks is replaced, a damaged one leaves the table as it was."""
+    path, cols = scratch_path(v.spark, "published"), ["o_orderstatus"]
+    checks = {"price_known": F.count_if(F.col("o_totalprice").isNull()), "not_negative": F.count_if(F.col("o_totalprice") < 0)}
+    W.publish_checked(_orders(v), path, cols, checks)
+    doubled = _orders(v).filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    done = W.publish_checked(doubled, path, cols, checks, files=4)
+    damaged = _orders(v).filter("o_orderstatus = 'O'").withColumn(
+        "o_totalprice", F.when(F.col("o_custkey") % 7 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice") + 1))
+    try:
+        refused = W.publish_checked(damaged, path, cols, checks)
+    except W.ChecksFailed as e:
+        refused = e.violations
+    return _read(v, path).withColumns({"published": F.lit(done["rows"]), "refused": F.lit(refused["not_negative"])})
+
+
 @R.add("file_layout", """
 SELECT 'gz' AS codec, CAST(count(DISTINCT o_orderstatus) AS BIGINT) AS files FROM orders
 UNION ALL SELECT 'snappy', CAST(count(DISTINCT o_orderpriority) AS BIGINT) FROM orders

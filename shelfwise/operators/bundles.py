@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions.text import is_blank
 from .prices import set_concat
@@ -52,7 +52,7 @@ def weight_packages(parts: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def merge_typed(
-    parts: DataFrame, keys: Sequence[str], type_col: str = "categorys"
+    parts: DataFrame, keys: Sequence[str], type_col: str = "categorys", observation: Observation | None = None,
 ) -> DataFrame:
     """Merge liquid and brush bundles to one row per listing and brand, in one pass.
 
@@ -63,6 +63,8 @@ def merge_typed(
     liquid nor device do not take part. Brush + handle: ``<name>*<brushes>+<handles or 1>``; NULL without a brush.
 
     Parts are folded per (listing, brand, weight) first and then per (listing, brand), both before any ordering.
+    ``observation`` receives ``parts`` and ``parts_dropped``, the liquid listings' parts that take no part, from the same
+    pass; a map task that is run again for a lost executor counts again.
     """
     columns = [c for c in parts.columns if c != type_col]
     group = [*keys, "std_brand_name"]
@@ -71,7 +73,11 @@ def merge_typed(
     device, handle = F.coalesce(_name(DEVICE), F.lit(False)), F.coalesce(_name(HANDLE), F.lit(False))
     main = F.when(is_liquid, F.coalesce(_name(LIQUID), F.lit(False)) & ~device).otherwise(~handle)
     addition = F.when(is_liquid, device).otherwise(handle)
-    used = parts.filter(~is_liquid | _name(f"{LIQUID}|{DEVICE}")).withColumns({"_main": main, "_addition": addition})
+    taken = ~is_liquid | _name(f"{LIQUID}|{DEVICE}")
+    if observation is not None:
+        parts = parts.observe(observation, F.count(F.lit(1)).alias("parts"),
+                              F.count_if(~F.coalesce(taken, F.lit(False))).alias("parts_dropped"))
+    used = parts.filter(taken).withColumns({"_main": main, "_addition": addition})
 
     # Smallest first: main products, for liquids those of known weight, then the lowest part number.
     unknown = F.when(is_liquid, F.col("weight").isNull()).otherwise(F.lit(False))
@@ -116,9 +122,9 @@ def merge_typed(
     return out.withColumn("sku_no", F.row_number().over(numbers)).select(*columns)
 
 
-def merge_liquid(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_liquid(parts: DataFrame, keys: Sequence[str], observation: Observation | None = None) -> DataFrame:
     """:func:`merge_typed` for parts of liquid + device listings only."""
-    return merge_typed(parts.withColumn("_type", F.lit(LIQUID_CATEGORY)), keys, "_type")
+    return merge_typed(parts.withColumn("_type", F.lit(LIQUID_CATEGORY)), keys, "_type", observation)
 
 
 def merge_brush(parts: DataFrame, keys: Sequence[str]) -> DataFrame:

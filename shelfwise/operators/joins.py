@@ -23,15 +23,31 @@ def enrich(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "lef
     return df.join(right, list(keys), how)
 
 
+# Parts over which rows with a NULL key are spread in a join that they cannot match.
+NULL_PARTS = 4096
+
+
+def spread_nulls(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 for rows with complete keys, else a number from 1 by a hash of the row."""
+    hashed = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()
+              and "variant" not in f.dataType.simpleString()]
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.when(missing, F.pmod(F.xxhash64(*hashed), F.lit(NULL_PARTS)) + 1).otherwise(F.lit(0).cast("long"))
+
+
 def enrich_by(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join with an aggregate by the same keys; NULL keys meet nothing.
+    """Left join, for a right side that is partitioned by the keys (an aggregate), and for keys that may be NULL or hot.
 
     A join on the aggregate's own keys would reuse its partitioning, and adaptive execution does not split a hot key
-    then. Compared null-safely, both sides are shuffled for the join alone and can be split.
+    then. Compared null-safely, both sides are shuffled for the join alone and can be split. Rows with a NULL key match nothing; they are
+    spread over many partitions, so that they never meet in one task.
     """
     other = totals.dropna(subset=list(keys)).withColumnsRenamed({k: f"_e_{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys]
-    return df.join(other, on, "left").drop(*[f"_e_{k}" for k in keys])
+    # 0 for every row, but no constant: the planner would turn an equality with one into a filter of the left rows.
+    other = other.withColumn("_whole", F.pmod(F.xxhash64(*[F.col(f"_e_{k}") for k in keys]), F.lit(1).cast("long")))
+    on = [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys] + [F.col("_spread") == F.col("_whole")]
+    spread = df.withColumn("_spread", spread_nulls(df, keys))
+    return spread.join(other, on, "left").drop(*[f"_e_{k}" for k in keys], "_spread", "_whole")
 
 
 def keep_in(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -178,7 +194,7 @@ def override(
     """Replace ``col`` by the lookup value where there is one, and note ``label`` in ``src_col``."""
     targets = [col] if isinstance(col, str) else list(col)
     other = lookup.select(*keys, F.col(from_col).alias("_new"))
-    out = df.join(other, list(keys), "left")
+    out = enrich_by(df, other, keys)
     changes = {c: F.coalesce(F.col("_new"), F.col(c)) for c in targets}
     if src_col:
         old = F.col(src_col) if src_col in df.columns else F.lit(None).cast("string")

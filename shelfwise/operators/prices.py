@@ -34,9 +34,26 @@ def not_blank(c: str) -> Column:
     return ~is_blank(c)
 
 
+def fixed_sum(c: Column | str) -> Column:
+    """Aggregate: a sum of doubles that does not depend on the order of its additions.
+
+    Numbers below 10^12 are added as ``decimal(38,16)``, those up to 10^24 as ``decimal(38,4)``, so a number counts to its 16th
+    or 4th digit after the point and each sum holds 10^10 numbers at least. Larger ones, infinity and NaN are added
+    as doubles. NULL when there is no number.
+    """
+    number = (F.col(c) if isinstance(c, str) else c).cast("double")
+    small, wide = F.abs(number) < 1e12, F.abs(number) < 1e24
+    parts = [
+        F.sum(F.when(small, number.try_cast("decimal(38,16)"))), F.sum(F.when(wide & ~small, number.try_cast("decimal(38,4)"))),
+        F.sum(F.when(~wide, number))]
+    some = F.coalesce(*[p.cast("double") for p in parts])
+    return F.when(some.isNotNull(), sum((F.coalesce(p.cast("double"), F.lit(0.0)) for p in parts[1:]),
+                                        F.coalesce(parts[0].cast("double"), F.lit(0.0))))
+
+
 def group_avg(df: DataFrame, keys: Sequence[str], col: str, predicate: Column, out: str | None = None) -> DataFrame:
-    """Average per key over the rows that satisfy the predicate."""
-    return df.filter(predicate).groupBy(*keys).agg(F.avg(col).alias(out or col))
+    """Average per key over the rows that satisfy the predicate; equal however the rows are spread."""
+    return df.filter(predicate).groupBy(*keys).agg(F.try_divide(fixed_sum(col), F.count(col)).alias(out or col))
 
 
 def sum_if(c: Column | str, predicate: Column) -> Column:
@@ -109,7 +126,7 @@ def price_stats(df: DataFrame, keys: Sequence[str], period: str = "dt") -> DataF
         return F.when(F.col("_kind") == kind, F.col("_price"))
 
     def average(kind: str) -> Column:
-        return F.try_divide(F.sum(of(kind) * F.col("_n")), F.sum(F.when(of(kind).isNotNull(), F.col("_n"))))
+        return F.try_divide(fixed_sum(of(kind) * F.col("_n")), F.sum(F.when(of(kind).isNotNull(), F.col("_n"))))
 
     def currency(kind: str) -> Column:
         rank = F.when(F.col("_kind") == kind, F.struct(-F.col("_price"), F.col("_cur")))

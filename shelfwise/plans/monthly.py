@@ -331,12 +331,12 @@ def sales_wide(
     if fixed_prices is None:
         rows = rows.withColumn("_fixed_price", F.lit(None).cast("double"))
     else:
-        rows = enrich(rows, fixed_prices.select("platform", "month_dt", "std_sku_name",
-                                                F.col("sku_price").alias("_fixed_price")),
-                      ["platform", "month_dt", "std_sku_name"])
+        rows = enrich_by(rows, fixed_prices.select("platform", "month_dt", "std_sku_name",
+                                                   F.col("sku_price").alias("_fixed_price")),
+                         ["platform", "month_dt", "std_sku_name"])
     if shop_names is not None:
-        rows = enrich(rows, shop_names.select("platform", "market", "shop_id", "month_dt", "updated_shop_name"),
-                      ["platform", "market", "shop_id", "month_dt"])
+        rows = enrich_by(rows, shop_names.select("platform", "market", "shop_id", "month_dt", "updated_shop_name"),
+                         ["platform", "market", "shop_id", "month_dt"])
     rows = rows.withColumn("std_brand_name_ori", F.col("std_brand_name"))
     if brand_groups is not None:
         groups = brand_groups.select(F.col("std_brand_name_ori").alias("std_brand_name"),

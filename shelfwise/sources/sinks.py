@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from .checkpoints import stored
 
@@ -90,15 +90,18 @@ def partition_files(spark, path: str, cols: Sequence[str]) -> DataFrame:
 
 
 def file_listing(spark, path: str, cols: Sequence[str]) -> DataFrame:
-    """Partition columns, ``file`` and ``bytes`` of every Parquet file of ``path``, from the listing."""
+    """Partition columns, ``file``, ``at`` and ``bytes`` of every Parquet file of ``path``, from the listing.
+
+    ``file`` is the name as scans give it, with escapes; ``at`` is the path that file systems know.
+    """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    return listed.select(*cols, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+    return listed.select(*cols, F.col("_metadata.file_path").alias("file"), F.col("path").alias("at"), F.col("length").alias("bytes"))
 
 
 def compaction_plan(
     spark, path: str, cols: Sequence[str], file_bytes: int = 512 << 20, threshold: int = 5
 ) -> DataFrame:
-    """The files to be put together: partition columns, ``file``, ``bytes``, and ``wanted``, the files to make of them.
+    """The files to be put together: partition columns, ``file``, ``at``, ``bytes``, and ``wanted``, the files to make of them.
 
     Files of an earlier compaction to this size stay when they are at least half full. A partition has a plan if it has
     more than ``threshold`` other files and fewer would do: ``wanted`` is their bytes by ``file_bytes``, rounded up.
@@ -113,7 +116,7 @@ def compaction_plan(
         (F.col("new") > threshold) & (F.col("n") > F.col("wanted"))).select(
         *[F.col(c).alias(f"_{c}") for c in cols], F.greatest("wanted", F.lit(1)).alias("wanted"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols])
-    return loose.join(totals, same).select(*cols, "file", "bytes", "wanted")
+    return loose.join(totals, same).select(*cols, "file", "at", "bytes", "wanted")
 
 
 # Beginnings of the names of compacted files and of files that wait for their turn, and the end of the name of the folder,
@@ -122,14 +125,16 @@ COMPACTED, WAITING, PLANS, MOVES = "compact-", "_waiting-", ".compaction", "move
 
 
 def _moves(spark, path: str, run: str) -> None:
-    """Carry out a plan of compaction that is written as a whole: new files in, old files out. May be repeated."""
+    """Carry out a plan of moves that is written as a whole: new files in, old files out. May be repeated."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
     plan = spark.read.schema("kind string, source string, target string").json(f"{path}{PLANS}/{run}")
     # Names only, one at a time; their number is that of the files that are replaced.
     for move in plan.filter("kind = 'new'").select("source", "target").toLocalIterator():
         if fs.exists(hadoop(move.source)):
-            fs.rename(hadoop(move.source), hadoop(move.target))
+            fs.mkdirs(hadoop(move.target).getParent())
+            if not fs.rename(hadoop(move.source), hadoop(move.target)):
+                raise OSError(f"could not rename {move.source} to {move.target}")
     for old in plan.filter("kind = 'old'").select("source").toLocalIterator():
         fs.delete(hadoop(old.source), False)
     for new in plan.filter("kind = 'new'").select("target").toLocalIterator():
@@ -182,14 +187,79 @@ def compact_partitions(
     )
     number = F.regexp_extract("source", r"/_part=([^/]*)/", 1)
     new = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(staged).select(
-        F.lit("new").alias("kind"), F.col("_metadata.file_path").alias("source"))
+        F.lit("new").alias("kind"), F.col("path").alias("source"))
     new = new.withColumn("target", F.concat(
         F.lit(f"{root}/"), F.expr(f"substring(source, instr(source, '{run}') + {len(run) + 1})")))
     new = new.withColumn("target", F.concat(
         F.regexp_replace("target", r"/_part=[^/]*/[^/]*$", ""),
         F.concat(F.lit(f"/{WAITING}{COMPACTED}{file_bytes}-{run}-"), number, F.lit(".parquet"))))
-    old = plan.select(F.lit("old").alias("kind"), F.col("file").alias("source"), F.lit(None).cast("string").alias("target"))
+    old = plan.select(F.lit("old").alias("kind"), F.col("at").alias("source"), F.lit(None).cast("string").alias("target"))
     new.unionByName(old).coalesce(1).write.json(f"{root}{PLANS}/{MOVES}{run}")
     _moves(spark, root, f"{MOVES}{run}")
     finish_compaction(spark, path)
     return done
+
+
+class ChecksFailed(ValueError):
+    """Rows that were written to a staging place are not published; ``violations`` has the failed checks."""
+
+    def __init__(self, violations: Mapping[str, int]):
+        super().__init__(f"not published: {dict(violations)}")
+        self.violations = dict(violations)
+
+
+def publish_checked(
+    df: DataFrame, path: str, cols: Sequence[str], checks: Mapping[str, Column], helpers: Sequence[str] = (),
+    files: int | None = None, codec: str = "snappy",
+) -> dict[str, int]:
+    """Write, audit, publish: replace the partitions that occur in ``df``, if all checks find 0 violations.
+
+    ``checks`` maps names to aggregates over ``df`` that count violations; the job that writes the rows to a staging place
+    beside ``path`` counts them, so the rows are made once. They are counted in the last stage of that job, where
+    a repeated task counts once. ``helpers`` are columns that only the checks need. With a violation
+    :class:`ChecksFailed` is raised and the table is as it was. Otherwise a plan of moves is written and carried out as in
+    :func:`compact_partitions`: what is interrupted before the plan is whole changes nothing, what is interrupted later is carried
+    out by the next run or :func:`finish_compaction`. Returns the counts, and the rows as ``rows``. An empty ``df`` replaces nothing. Not meant for tables that are
+    read meanwhile.
+    """
+    spark, root, run = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    finish_compaction(spark, root)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    staged = f"{root}{PLANS}/rows-{run}"
+    fs = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    seen = Observation()
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(f"check_{i}") for i, c in enumerate(checks.values())]
+    (
+        layout(df, files, cols).observe(seen, F.count(F.lit(1)).alias("rows"), *counts).drop(*helpers)
+        .write.partitionBy(*cols).option("compression", codec).parquet(staged)
+    )
+    found = seen.get
+    report = {name: found[f"check_{i}"] for i, name in enumerate(checks)}
+    failed = {name: n for name, n in report.items() if n}
+    if failed or not found["rows"]:
+        fs.delete(hadoop(f"{root}{PLANS}"), True)
+        if failed:
+            raise ChecksFailed(failed)
+        return {**report, "rows": 0}
+
+    def listed(folder: str) -> DataFrame:
+        """Files below a folder, and their partition as the text of their own folders."""
+        base = hadoop(folder).toUri().getPath()
+        source = F.col("path")
+        below = F.substr(source, F.instr(source, F.lit(base)) + F.lit(len(base)))
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+            "recursiveFileLookup", "true").load(folder)
+        return files.select(source.alias("source"), below.alias("below")).select(
+            "source", F.regexp_extract("below", "^(.*)/[^/]*$", 1).alias("part"), F.substring_index("below", "/", -1).alias("name"))
+
+    fresh = stored(listed(staged), "published-files")
+    moves = fresh.select(F.lit("new").alias("kind"), "source", F.concat(
+        F.lit(root), "part", F.lit(f"/{WAITING}"), "name").alias("target"))
+    if fs.exists(hadoop(root)):
+        replaced = listed(root).join(fresh.select("part").distinct(), "part", "left_semi")
+        moves = moves.unionByName(replaced.select(
+            F.lit("old").alias("kind"), "source", F.lit(None).cast("string").alias("target")))
+    moves.coalesce(1).write.json(f"{root}{PLANS}/{MOVES}{run}")
+    _moves(spark, root, f"{MOVES}{run}")
+    finish_compaction(spark, root)
+    return {**report, "rows": found["rows"]}

@@ -1,7 +1,10 @@
 """Plan shapes: what must hold whatever the size of the data."""
 
 import contextlib
+import math
+import random
 import re
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +168,36 @@ def test_source_has_no_local_checkpoint_or_collect_of_tables():
 
     code = "\n".join(p.read_text(encoding="utf8") for p in pathlib.Path(scans.__file__).parents[1].rglob("*.py"))
     assert "localCheckpoint" not in code and "toPandas" not in code and "crossJoin(df" not in code
+
+
+def test_sums_do_not_depend_on_the_order_of_additions(spark):
+    draw = random.Random(4)
+    values = [draw.choice([1e-9, 1.1, 1e7, -1e7, 1e15, -1e15, 1e30, -1e30]) * draw.choice([1, 1, 0.3]) for _ in range(3000)]
+    rows = [(i % 3, v if i % 3 else v / 1e25, i) for i, v in enumerate(values) if abs(v) < 1e25 or i % 3 == 0] + [(9, None, 0)]
+    df = spark.createDataFrame(rows, "k int, v double, i int")
+    seen = {tuple(sorted(map(tuple, prices.group_avg(df.repartition(n, "i"), ["k"], "v", F.lit(True)).collect()))) for n in (1, 4, 200)}
+    assert len(seen) == 1
+    got = dict(seen.pop())
+    assert got[9] is None
+    for k in (1, 2):
+        exact = [Fraction(v) for g, v, _ in rows if g == k]
+        assert abs(Fraction(got[k]) - sum(exact) / len(exact)) <= sum(map(abs, exact)) / len(exact) / 10**13
+    odd = spark.createDataFrame([(1, math.inf), (1, 1.0), (2, math.nan), (2, 1.0)], "k int, v double")
+    assert str(sorted(map(tuple, prices.group_avg(odd, ["k"], "v", F.lit(True)).collect()))) == "[(1, inf), (2, nan)]"
+
+
+@pytest.mark.parametrize("join", [
+    lambda df, right: joins.enrich_by(df, right, ["k"]),
+    lambda df, right: joins.override(df, right, ["k"], "name", "new", "label", "src"),
+])
+def test_rows_with_a_null_key_are_spread(spark, join):
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold="-1", spark_sql_adaptive_enabled="false"):
+        df = spark.range(20_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 100).alias("k"), F.lit("a").alias("name"))
+        right = spark.range(200).select((F.col("id") % 50).alias("k"), F.col("id").cast("string").alias("new")).groupBy("k").agg(
+            F.max("new").alias("new"))
+        out = join(df, right)
+        assert out.count() == 20_000
+        per_task = [r.n for r in out.groupBy(F.spark_partition_id().alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert max(per_task) < 20_000 / 3 and len(per_task) == 8
+        hit = out.filter("new IS NOT NULL" if "new" in out.columns else "src IS NOT NULL")
+        assert hit.count() == df.filter("k < 50").count()

@@ -101,3 +101,71 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert root is None or checkpoints.checkpoint_root(spark) == root
     assert checkpoints.scratch_path(spark, "x").startswith(checkpoints.checkpoint_root(spark).rstrip("/"))
+
+
+def content(spark, path):
+    return sorted(map(tuple, spark.read.schema("id long, p string").parquet(path).select("id", "p").collect()), key=str)
+
+
+def test_published_partitions_pass_their_checks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(40).select("id", F.element_at(F.array(*[F.lit(x) for x in ("a:b", "x y", "01", None)]), (
+        F.col("id") % 4 + 1).cast("int")).alias("p"), F.lit(1).alias("n"))
+    checks = {"even": F.count_if(F.col("id") % 2 == 1), "single": F.count_if(F.col("n") > 1)}
+    with pytest.raises(W.ChecksFailed) as failed:
+        W.publish_checked(rows, path, ["p"], checks, ["n"])
+    assert failed.value.violations == {"even": 20} and not (tmp_path / "t").exists()
+    none = {"single": checks["single"]}
+    assert W.publish_checked(rows, path, ["p"], none, ["n"]) == {"single": 0, "rows": 40}
+    before = content(spark, path)
+    assert before == sorted(map(tuple, rows.select("id", "p").collect()), key=str)
+    some = rows.filter("p = 'a:b' OR p IS NULL").withColumn("id", F.col("id") + 100)
+    with pytest.raises(W.ChecksFailed):
+        W.publish_checked(some, path, ["p"], checks, ["n"])
+    assert content(spark, path) == before and not (tmp_path / "t.compaction").exists()
+    assert W.publish_checked(some, path, ["p"], none, ["n"], files=3)["rows"] == 20
+    assert content(spark, path) == sorted(
+        [(i + 100, p) if p in ("a:b", None) else (i, p) for i, p in before], key=str)
+    assert W.publish_checked(some.filter("id < 0"), path, ["p"], none, ["n"]) == {"single": 0, "rows": 0}
+
+
+def test_interrupted_publication_is_carried_out_later(spark, df, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    W.publish_checked(df, path, ["p"], {})
+    before, real = content(spark, path), W._moves
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    changed = df.filter("p = '2'").withColumn("id", -F.col("id"))
+    with monkeypatch.context() as m:
+        m.setattr(W, "_moves", lost)
+        with pytest.raises(RuntimeError):
+            W.publish_checked(changed, path, ["p"], {})
+    assert content(spark, path) == before and real is W._moves
+    assert W.finish_compaction(spark, path) == 1
+    assert content(spark, path) == sorted([(-i, p) if p == "2" else (i, p) for i, p in before], key=str)
+
+
+def test_rows_are_made_once_to_be_checked_and_published(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.range(100).select("id", (F.col("id") % 3).cast("string").alias("p")).mapInArrow(count, "id long, p string")
+    W.publish_checked(rows, str(tmp_path / "t"), ["p"], {"none": F.count_if(F.col("id") < 0)})
+    assert made.value == 100
+
+
+def test_partitions_with_special_names_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(60).select("id", F.element_at(F.array(*[F.lit(x) for x in ("a:b", "x y", "50%")]), (
+        F.col("id") % 3 + 1).cast("int")).alias("p"))
+    rows.repartition(6).write.partitionBy("p").parquet(path)
+    before = content(spark, path)
+    assert W.compact_partitions(spark, path, ["p"], threshold=2) == 3
+    assert content(spark, path) == before
+    assert {r.n_files for r in W.partition_files(spark, path, ["p"]).collect()} == {1}
