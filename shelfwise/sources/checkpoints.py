@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,8 +37,38 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back: computed once, whatever reads it."""
+@contextmanager
+def _shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
+    """Queries planned inside delete their shuffle files when they end."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def stored(df: DataFrame, label: str, clean: bool = False) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: computed once, whatever reads it.
+
+    With ``clean``, the shuffle files behind it are deleted as soon as it is written, and it is packed more tightly.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    if clean:
+        with _shuffles_cleaned(df.sparkSession):
+            df.write.option("compression", "zstd").parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` gave, when nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+            if not re.search("-[0-9a-f]{32}$", path.getName()):
+                raise ValueError(f"not a scratch table: {folder}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
