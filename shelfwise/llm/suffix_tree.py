@@ -11,7 +11,12 @@ with the level below: a gram's suffix has the lower probability, its prefix the
 over its words and grams, one number for each: what a gram gains as a transition over its suffix, and what it leaves to
 its suffix as a context. So texts look their grams up by one join. What the workers get is bounded: the words and grams
 with a share of ``known_share`` of all tokens, which would be hot keys of that join, and bitmaps of fixed size that
-only save looking up what is certainly absent. Words and grams are told apart by 64-bit hashes.
+only save looking up what is certainly absent. Above some 10^8 grams they save little; results stay the same. Words and
+grams are told apart by 64-bit hashes: 10^9 grams hold two of one hash with a chance of about 3%, and such two count as one.
+
+Texts are hashed once and stored as tokens. A level reads them twice: codes are counted packed (see ``packed``), then
+those that occur often enough are sent with their prefix and suffix, each by the one of 256 blocks of texts that its count
+names. What a level leaves behind on disk is deleted as soon as nothing reads it.
 
 Defined cases: null and empty texts have the end token only; rows without an id are scored like any other and take
 part in training as their empty id text decides; without training tokens every token is unseen; an empty table
@@ -28,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..sources.checkpoints import stored
+from ..sources.checkpoints import discard, stored
 from .common import bound_batches, small_batches, utf8
 from .near_dup import WordHashes, _mix
+from .packed import bitmap_of, bucket_count, count, may_hold
 
 # Share of all training tokens from which a word or gram is sent to the workers instead of joined.
 KNOWN_SHARE = 1e-6
@@ -39,24 +45,11 @@ MIN_COUNT, NODE_SHARE = 2, 0.0
 DEPTH = 3
 DISCOUNT = 0.5
 END = np.uint64(0)
-# Tokens that a worker counts before it sends their sums, and rows that it sends at a time.
-COUNTED_AT_ONCE, SENT_AT_ONCE = 4_000_000, 250_000
-# Bits of a bitmap, as a power of two, and the bits of one of Spark's bitmap rows.
-BITMAP, BITMAP_ROW = 28, 32_768
+# Blocks of texts, one of which sends a gram with its parts.
+BLOCKS = 256
 ODD, SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
-def token_hashes(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of several texts behind each other, an end token after each; and where each text starts."""
-    parts, starts, at = [], [], 0
-    for text in texts:
-        h = hashes.of(text.lower().split())
-        parts += [h, np.array([END])]
-        starts.append(at)
-        at += len(h) + 1
-    return np.concatenate(parts) if parts else np.empty(0, np.uint64), np.array(starts, np.int64)
-
-
 def grams(h: np.ndarray, starts: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Per level: the codes of the grams that end at each token, of their prefixes and suffixes, and which ones exist.
 
@@ -81,71 +74,95 @@ def find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[at] == values, at, -1)
 
 
-def bitmap_of(codes: DataFrame) -> np.ndarray:
-    """A bitmap with two bits for every code; its size does not depend on their number."""
-    mask = (1 << BITMAP) - 1
-    rows = (
-        codes.select(F.explode(F.array(F.shiftrightunsigned("code", 64 - BITMAP), F.col("code").bitwiseAND(F.lit(mask))))
-                     .alias("bit"))
-        .groupBy(F.floor(F.col("bit") / BITMAP_ROW).alias("part"))
-        .agg(F.bitmap_construct_agg(F.col("bit") % BITMAP_ROW).alias("bits")).toArrow())
-    out = np.zeros(1 << BITMAP - 3, np.uint8)
-    for part, bits in zip(rows.column("part").to_pylist(), rows.column("bits").to_pylist()):
-        at = part * BITMAP_ROW // 8
-        out[at:at + len(bits)] = np.frombuffer(bits, np.uint8)
-    return out
+def tokenized(rows: DataFrame) -> DataFrame:
+    """``doc_id, training, block, tokens`` of ``doc_id, text, training``: the hashes of a text's tokens as bytes."""
+    schema = pa.schema([("doc_id", pa.int64()), ("training", pa.bool_()), ("block", pa.int64()), ("tokens", pa.binary())])
 
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in small_batches(batches):
+            tokens = [np.append(hashes.of(text.lower().split()), END).tobytes() for text in utf8(b.column(2))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], b.column(3), pa.array(tokens, pa.binary())], schema=schema)
 
-def may_hold(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """False where a code is certainly not among those of the bitmap."""
-    def set_at(bit: np.ndarray) -> np.ndarray:
-        return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    block = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 56)
+    return rows.select("doc_id", "training", "text", block.alias("block")).mapInArrow(
+        compute, "doc_id long, training boolean, block long, tokens binary")
 
-    return set_at(codes >> np.uint64(64 - BITMAP)) & set_at(codes & np.uint64((1 << BITMAP) - 1))
 
+def read_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of several texts behind each other, and where each text starts."""
+    parts = [np.frombuffer(b, np.uint64) for b in column.to_pylist()]
+    starts = np.cumsum([0, *[len(p) for p in parts]])[:-1].astype(np.int64)
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64), starts
 
-def _sums(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-    """The distinct codes of a chunk with the columns that go with them and their number."""
-    columns = [np.concatenate(c) for c in zip(*held)]
-    _, first, n = np.unique(columns[0], return_index=True, return_counts=True)
-    names = ["code", "prefix", "suffix"][:len(columns)] + ["n"]
-    for at in range(0, len(first), SENT_AT_ONCE):
-        some = slice(at, at + SENT_AT_ONCE)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c[first[some]].view(np.int64)) for c in columns] + [pa.array(n[some])], names=names)
 
+def _of_block(codes: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Codes as bits of a block's share of a bitmap."""
+    return codes ^ (block.astype(np.uint64) + np.uint64(1)) * ODD
+
+
+def _of_block_column(code: str, block: str) -> Column:
+    shares = F.array(*[F.lit(((b + 1) * int(ODD) + 2**63) % 2**64 - 2**63).cast("long") for b in range(BLOCKS)])
+    return F.col(code).bitwiseXOR(F.get(shares, F.col(block).cast("int")))
+
+
+def _level_grams(batch: pa.RecordBatch, level: int) -> tuple[np.ndarray, ...]:
+    """Codes, prefixes, suffixes and blocks of a level's grams in ``tokens, block``, and which of them exist."""
+    h, starts = read_tokens(batch.column(0))
+    code, prefix, suffix, ok = list(grams(h, starts, level))[-1]
+    block = np.repeat(batch.column(1).to_numpy(), np.diff(np.append(starts, len(h))))
+    return code, prefix, suffix, block, ok
 
-def _count(texts: DataFrame, columns_of, others: tuple[str, ...] = ()) -> DataFrame:
-    """Sums of the codes that ``columns_of(hashes of tokens, starts)`` gives, with other columns, over all texts."""
-    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = WordHashes(), [], 0
-        for b in small_batches(batches):
-            held.append(columns_of(*token_hashes(utf8(b.column(0)), hashes)))
-            size += len(held[-1][0])
-            if size >= COUNTED_AT_ONCE:
-                yield from _sums(held)
-                held, size = [], 0
-        if size:
-            yield from _sums(held)
 
-    kind = ", ".join(f"{c} long" for c in ("code", *others, "n"))
-    return texts.mapInArrow(compute, kind).groupBy("code").agg(
-        *[F.any_value(c).alias(c) for c in others], F.sum("n").alias("n"))
+def _count_words(tokens: DataFrame, buckets: int) -> DataFrame:
+    def make():
+        def codes_of(batch: pa.RecordBatch):
+            for small in small_batches([batch]):
+                yield 0, read_tokens(small.column(0))[0], None
 
+        return codes_of
 
-def _count_grams(texts: DataFrame, level: int, bitmap: np.ndarray | None) -> DataFrame:
-    """``code, prefix, suffix, n`` of grams. Those whose prefix or suffix is too rare are too rare themselves."""
-    sent = texts.sparkSession.sparkContext.broadcast(bitmap)
+    return count(tokens, make, buckets).select("code", "n")
 
-    def columns(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-        codes, prefix, suffix, ok = list(grams(h, starts, level))[-1]
-        if sent.value is not None:
-            often = may_hold(sent.value, suffix)
-            ok = ok & often
-            ok[1:] &= often[:-1]
-        return codes[ok], prefix[ok], suffix[ok]
 
-    return _count(texts, columns, ("prefix", "suffix"))
+def _count_grams(tokens: DataFrame, level: int, lower: np.ndarray, least: float, buckets: int) -> DataFrame:
+    """``code, n, mark`` of grams with ``least`` occurrences; ``mark`` names a block of texts that has one.
+
+    A gram whose prefix or suffix is too rare is too rare itself; ``lower`` is a bitmap of those that are not.
+    """
+    sent = tokens.sparkSession.sparkContext.broadcast(lower)
+
+    def make():
+        def codes_of(batch: pa.RecordBatch):
+            for small in small_batches([batch]):
+                code, _, suffix, block, ok = _level_grams(small, level)
+                often = may_hold(sent.value, suffix)
+                ok = ok & often
+                ok[1:] &= often[:-1]
+                yield 0, code[ok], None, block[ok]
+
+        return codes_of
+
+    return count(tokens, make, buckets, least, marked=True).select("code", "n", "mark")
+
+
+def _take_apart(tokens: DataFrame, level: int, counted: DataFrame) -> DataFrame:
+    """``code, prefix, suffix, n`` of counted grams."""
+    sent = tokens.sparkSession.sparkContext.broadcast(bitmap_of(counted, _of_block_column("code", "mark")))
+
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for small in small_batches(batches):
+            code, prefix, suffix, block, ok = _level_grams(small, level)
+            here = np.flatnonzero(ok)
+            here = here[may_hold(sent.value, _of_block(code[here], block[here]))]
+            code, first = np.unique(code[here], return_index=True)
+            here = here[first]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c.view(np.int64)) for c in (code, prefix[here], suffix[here])], ["code", "prefix", "suffix"])
+
+    parts = tokens.mapInArrow(compute, "code long, prefix long, suffix long").groupBy("code").agg(
+        F.any_value("prefix").alias("prefix"), F.any_value("suffix").alias("suffix"))
+    return parts.join(counted.select("code", "n"), "code")
 
 
 def _arrays(rows: DataFrame) -> list[np.ndarray]:
@@ -181,15 +198,16 @@ class Model:
         return self.root_discount * self.distinct / max(1, self.tokens) if self.distinct else 1.0
 
 
-def _level(counted: DataFrame, lower: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _level(parts: DataFrame, lower: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Decide which contexts of a level are kept and smooth their transitions.
 
-    ``lower`` has the level below: ``code, n, logp``. A context's distribution is compared with the one its suffix gives:
-    the gain in log-likelihood over its occurrences, for the counted transitions and for all the rest, has to exceed the
-    price of its parameters. Returns the level with the ``value`` of each transition, and the kept contexts.
+    ``parts`` has ``code, prefix, suffix, n``, ``lower`` the level below: ``code, n, logp``. A context's distribution is
+    compared with the one its suffix gives: the gain in log-likelihood over its occurrences, for the counted transitions and
+    for all the rest, has to exceed the price of its parameters. Returns the level with the ``value`` of each transition,
+    and the kept contexts.
     """
-    grams_ = stored(counted.join(lower.select(F.col("code").alias("suffix"), F.col("logp").alias("lower")), "suffix")
-                    .select("code", "prefix", "n", "lower"), "grams")
+    grams_ = stored(parts.join(lower.select(F.col("code").alias("suffix"), F.col("logp").alias("lower")), "suffix")
+                    .select("code", "prefix", "n", "lower"), "grams", clean=True)
     n, total = F.col("n"), F.col("total")
     rest = F.greatest(1 - F.col("mass"), F.lit(0.0))
     spent = F.when(rest > 0, total * rest * F.log(rest / F.greatest(1 - F.col("below"), F.lit(1e-12)))).otherwise(0.0)
@@ -202,18 +220,19 @@ def _level(counted: DataFrame, lower: DataFrame) -> tuple[DataFrame, DataFrame]:
         .filter(F.col("gain") - F.col("followed") * F.log(total) + spent
                 > 0.5 * (F.col("entries") + 1) * F.log(F.greatest(total, F.lit(2))))
         .select("prefix", "total", (1 - (F.col("followed") - DISCOUNT * F.col("entries")) / total).alias("rest")))
-    states = stored(states, "contexts")
+    states = stored(states, "contexts", clean=True)
     logp = F.coalesce(F.log((n - DISCOUNT) / total + F.col("rest") * F.exp("lower")), F.col("lower"))
-    level = grams_.join(states, "prefix", "left").select(
+    level = stored(grams_.join(states, "prefix", "left").select(
         "code", "n", logp.alias("logp"),
-        F.coalesce(logp - F.col("lower") - F.log("rest"), F.lit(0.0)).alias("value"))
-    return stored(level, "level"), states.select(
-        F.col("prefix").alias("code"), total.alias("n"), F.log("rest").alias("value"))
+        F.coalesce(logp - F.col("lower") - F.log("rest"), F.lit(0.0)).alias("value")), "level", clean=True)
+    discard(grams_)
+    return level, states
 
 
-def train(texts: DataFrame, depth: int = DEPTH, node_share: float = NODE_SHARE) -> Model:
-    """Learn from a one-column table of texts."""
-    counts = stored(_count(texts, lambda h, starts: (h,)), "token-counts")
+def train(tokens: DataFrame, depth: int = DEPTH, node_share: float = NODE_SHARE) -> Model:
+    """Learn from a table of ``tokens, block`` as :func:`tokenized` gives them."""
+    buckets = bucket_count(tokens, "tokens", 1)
+    counts = stored(_count_words(tokens, buckets), "token-counts", clean=True)
     total = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words"),
         F.count_if(F.col("n") == 1).alias("singles"), F.count_if(F.col("n") == 2).alias("doubles")).first()
@@ -223,18 +242,25 @@ def train(texts: DataFrame, depth: int = DEPTH, node_share: float = NODE_SHARE)
     least = max(MIN_COUNT, node_share * model.tokens)  # of a word, state or transition of the tree
     lower = counts.filter(F.col("n") >= least).withColumn(
         "logp", F.log((F.col("n") - model.root_discount) / max(1, model.tokens)))
-    bitmap = None
+    kept, below = [], []
     for d in range(1, depth + 1):
-        level, contexts = _level(_count_grams(texts, d, bitmap).filter(F.col("n") >= least), lower)
+        counted = stored(_count_grams(tokens, d, bitmap_of(lower), least, buckets), "gram-counts", clean=True)
+        level, states = _level(_take_apart(tokens, d, counted), lower)
+        discard(counted, *below)
+        contexts = states.select(F.col("prefix").alias("code"), F.col("total").alias("n"), F.log("rest").alias("value"))
         if d == 1:
-            model.words = counts.join(contexts.select("code", "value"), "code", "left").select(
-                "code", "n", F.coalesce("value", F.lit(0.0)).alias("value"))
+            model.words = stored(counts.join(contexts.select("code", "value"), "code", "left").select(
+                "code", "n", F.coalesce("value", F.lit(0.0)).alias("value")), "words", clean=True)
         else:
-            values = values.unionByName(contexts)
-        values = values.unionByName(level.filter(F.col("value") != 0).select("code", "n", "value"))
-        bitmap = bitmap_of(level.select("code")) if d < depth else None
-        lower = level.drop("value")
-    model.grams = stored(values.groupBy("code").agg(F.max("n").alias("n"), F.sum("value").alias("value")), "values")
+            kept.append(stored(contexts, "context-values", clean=True))
+        kept.append(stored(level.filter(F.col("value") != 0).select("code", "n", "value"), "gram-values", clean=True))
+        discard(states)
+        lower, below = level.drop("value"), [level]
+    for some in kept:
+        values = values.unionByName(some)
+    model.grams = stored(
+        values.groupBy("code").agg(F.max("n").alias("n"), F.sum("value").alias("value")), "values", clean=True)
+    discard(*below, *kept, *([counts] if depth else []))
     return model
 
 
@@ -249,7 +275,8 @@ def score(
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                        training.alias("training"))
-    model = train(rows.filter("training").select("text"), depth, node_share)
+    texts = stored(tokenized(rows), "tokens", clean=True)
+    model = train(texts.filter("training").select("tokens", "block"), depth, node_share)
     tokens, below = max(1, model.tokens), float(model.tokens + model.distinct + 1)
     discount, unseen = model.root_discount, log(model.unseen)
     often = F.col("n") >= known_share * model.tokens
@@ -265,9 +292,9 @@ def score(
         (words, counts, left), (common, values), bitmap = sent.value
         base_of = np.append(np.log10((counts + 1) / below), -np.log10(below))  # the last one for place -1
         log_of = np.append(np.log((counts - discount) / tokens) + left, unseen)
-        value_of, hashes = np.append(values, 0.0), WordHashes()
+        value_of = np.append(values, 0.0)
         for batch in small_batches(batches):
-            h, starts = token_hashes(utf8(batch.column(1)), hashes)
+            h, starts = read_tokens(batch.column(1))
             places = find(words, h)
             seen = places >= 0
             logs = log_of[places]
@@ -292,9 +319,10 @@ def score(
                 schema=kind)
 
     scored = stored(
-        rows.select("doc_id", "text", "training").mapInArrow(
+        texts.select("doc_id", "tokens", "training").mapInArrow(
             compute, "doc_id long, training boolean, n_tokens long, n_known long, base double, model double, "
-            "rare array<long>").withColumn("row", F.monotonically_increasing_id()), "scored")
+            "rare array<long>").withColumn("row", F.monotonically_increasing_id()), "scored", clean=True)
+    discard(texts)
     # Words and grams below the known share are joined: what they add to the score of an unseen word, or to that without them.
     n = F.col("n")
     table = model.words.filter(~often).select(
