@@ -152,14 +152,18 @@ def count(
         merge, "grp int, code long, n long" + ", mark long" * marked)
 
 
-def bitmap_of(codes: DataFrame, code: str | Column = "code") -> np.ndarray:
-    """A bitmap with two bits for every code; its size does not depend on their number."""
-    mask, code = (1 << BITMAP) - 1, F.col(code) if isinstance(code, str) else code
+def bitmap_of(codes: DataFrame, code: str | Column = "code", fitted: bool = False) -> np.ndarray:
+    """A bitmap with two bits for every code; its size does not depend on their number.
+
+    With ``fitted`` it is smaller where there are few codes: 16 bits for each, and ``BITMAP`` at most.
+    """
+    size = min(BITMAP, max(18, (16 * codes.count()).bit_length())) if fitted else BITMAP
+    mask, code = (1 << size) - 1, F.col(code) if isinstance(code, str) else code
     rows = (
-        codes.select(F.explode(F.array(F.shiftrightunsigned(code, 64 - BITMAP), code.bitwiseAND(F.lit(mask)))).alias("bit"))
+        codes.select(F.explode(F.array(F.shiftrightunsigned(code, 64 - size), code.bitwiseAND(F.lit(mask)))).alias("bit"))
         .groupBy(F.floor(F.col("bit") / BITMAP_ROW).alias("part"))
         .agg(F.bitmap_construct_agg(F.col("bit") % BITMAP_ROW).alias("bits")).toArrow())
-    out = np.zeros(1 << BITMAP - 3, np.uint8)
+    out = np.zeros(1 << size - 3, np.uint8)
     for part, bits in zip(rows.column("part").to_pylist(), rows.column("bits").to_pylist()):
         at = part * BITMAP_ROW // 8
         out[at:at + len(bits)] = np.frombuffer(bits, np.uint8)
@@ -168,7 +172,9 @@ def bitmap_of(codes: DataFrame, code: str | Column = "code") -> np.ndarray:
 
 def may_hold(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """False where a code is certainly not among those of the bitmap."""
+    size = len(bitmap).bit_length() + 2
+
     def set_at(bit: np.ndarray) -> np.ndarray:
         return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    return set_at(codes >> np.uint64(64 - BITMAP)) & set_at(codes & np.uint64((1 << BITMAP) - 1))
+    return set_at(codes >> np.uint64(64 - size)) & set_at(codes & np.uint64((1 << size) - 1))

@@ -26,11 +26,13 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from math import log
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.checkpoints import discard, stored
@@ -96,6 +98,16 @@ def read_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts) if parts else np.empty(0, np.uint64), starts
 
 
+@contextmanager
+def _sent(table: DataFrame, value: object) -> Iterator[Broadcast]:
+    """``value`` sent to the workers, for jobs that end inside; its copies on their disks go afterwards."""
+    sent = table.sparkSession.sparkContext.broadcast(value)
+    try:
+        yield sent
+    finally:
+        sent.destroy()
+
+
 def _of_block(codes: np.ndarray, block: np.ndarray) -> np.ndarray:
     """Codes as bits of a block's share of a bitmap."""
     return codes ^ (block.astype(np.uint64) + np.uint64(1)) * ODD
@@ -125,13 +137,11 @@ def _count_words(tokens: DataFrame, buckets: int) -> DataFrame:
     return count(tokens, make, buckets).select("code", "n")
 
 
-def _count_grams(tokens: DataFrame, level: int, lower: np.ndarray, least: float, buckets: int) -> DataFrame:
+def _count_grams(tokens: DataFrame, level: int, sent: Broadcast, least: float, buckets: int) -> DataFrame:
     """``code, n, mark`` of grams with ``least`` occurrences; ``mark`` names a block of texts that has one.
 
-    A gram whose prefix or suffix is too rare is too rare itself; ``lower`` is a bitmap of those that are not.
+    A gram whose prefix or suffix is too rare is too rare itself; ``sent`` is a bitmap of those that are not.
     """
-    sent = tokens.sparkSession.sparkContext.broadcast(lower)
-
     def make():
         def codes_of(batch: pa.RecordBatch):
             for small in small_batches([batch]):
@@ -146,10 +156,8 @@ def _count_grams(tokens: DataFrame, level: int, lower: np.ndarray, least: float,
     return count(tokens, make, buckets, least, marked=True).select("code", "n", "mark")
 
 
-def _take_apart(tokens: DataFrame, level: int, counted: DataFrame) -> DataFrame:
-    """``code, prefix, suffix, n`` of counted grams."""
-    sent = tokens.sparkSession.sparkContext.broadcast(bitmap_of(counted, _of_block_column("code", "mark")))
-
+def _take_apart(tokens: DataFrame, level: int, counted: DataFrame, sent: Broadcast) -> DataFrame:
+    """``code, prefix, suffix, n`` of counted grams; ``sent`` is a bitmap of them with their blocks."""
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for small in small_batches(batches):
             code, prefix, suffix, block, ok = _level_grams(small, level)
@@ -244,8 +252,10 @@ def train(tokens: DataFrame, depth: int = DEPTH, node_share: float = NODE_SHARE)
         "logp", F.log((F.col("n") - model.root_discount) / max(1, model.tokens)))
     kept, below = [], []
     for d in range(1, depth + 1):
-        counted = stored(_count_grams(tokens, d, bitmap_of(lower), least, buckets), "gram-counts", clean=True)
-        level, states = _level(_take_apart(tokens, d, counted), lower)
+        with _sent(tokens, bitmap_of(lower, fitted=True)) as sent:
+            counted = stored(_count_grams(tokens, d, sent, least, buckets), "gram-counts", clean=True)
+        with _sent(tokens, bitmap_of(counted, _of_block_column("code", "mark"), fitted=True)) as sent:
+            level, states = _level(_take_apart(tokens, d, counted, sent), lower)
         discard(counted, *below)
         contexts = states.select(F.col("prefix").alias("code"), F.col("total").alias("n"), F.log("rest").alias("value"))
         if d == 1:
@@ -280,10 +290,9 @@ def score(
     tokens, below = max(1, model.tokens), float(model.tokens + model.distinct + 1)
     discount, unseen = model.root_discount, log(model.unseen)
     often = F.col("n") >= known_share * model.tokens
-    sent = docs.sparkSession.sparkContext.broadcast((
-        _arrays(model.words.filter(often).select("code", "n", "value")),
-        _arrays(model.grams.filter(often).select("code", "value")),
-        bitmap_of(model.grams.filter(~often).select("code"))))
+    known = (_arrays(model.words.filter(often).select("code", "n", "value")),
+             _arrays(model.grams.filter(often).select("code", "value")),
+             bitmap_of(model.grams.filter(~often).select("code"), fitted=True))
     kind = pa.schema([("doc_id", pa.int64()), ("training", pa.bool_()), ("n_tokens", pa.int64()),
                       ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
                       ("rare", pa.list_(pa.int64()))])
@@ -318,10 +327,11 @@ def score(
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(codes)[order].view(np.int64)))],
                 schema=kind)
 
-    scored = stored(
-        texts.select("doc_id", "tokens", "training").mapInArrow(
-            compute, "doc_id long, training boolean, n_tokens long, n_known long, base double, model double, "
-            "rare array<long>").withColumn("row", F.monotonically_increasing_id()), "scored", clean=True)
+    with _sent(docs, known) as sent:
+        scored = stored(
+            texts.select("doc_id", "tokens", "training").mapInArrow(
+                compute, "doc_id long, training boolean, n_tokens long, n_known long, base double, model double, "
+                "rare array<long>").withColumn("row", F.monotonically_increasing_id()), "scored", clean=True)
     discard(texts)
     # Words and grams below the known share are joined: what they add to the score of an unseen word, or to that without them.
     n = F.col("n")
