@@ -9,10 +9,11 @@ of unseen words. A token is scored in the state of the longest kept suffix befor
 The tree is a Spark table of word sequences (grams) and grows with the corpus. It is built a level at a time by joins
 with the level below: a gram's suffix has the lower probability, its prefix the total. A text's log-probability is a sum
 over its words and grams, one number for each: what a gram gains as a transition over its suffix, and what it leaves to
-its suffix as a context. So texts look their grams up by one join. What the workers get is bounded: the words and grams
-with a share of ``known_share`` of all tokens, which would be hot keys of that join, and bitmaps of fixed size that
-only save looking up what is certainly absent. Above some 10^8 grams they save little; results stay the same. Words and
-grams are told apart by 64-bit hashes: 10^9 grams hold two of one hash with a chance of about 3%, and such two count as one.
+its suffix as a context. So texts look their grams up in one exchange: the codes they ask for meet the table's entries
+in ranges of codes, packed. What the workers get is bounded: the words and grams with a share of ``known_share`` of all
+tokens, so that no range is hot, and bitmaps of bounded size that only save looking up what is certainly absent. Above
+some 10^8 grams they save little; results stay the same. Words and grams are told apart by 64-bit hashes: 10^9 grams hold
+two of one hash with a chance of about 3%, and such two count as one.
 
 Texts are hashed once and stored as tokens. A level reads them twice: codes are counted packed (see ``packed``), then
 those that occur often enough are sent with their prefix and suffix, each by the one of 256 blocks of texts that its count
@@ -32,13 +33,16 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.checkpoints import discard, stored
 from .common import bound_batches, small_batches, utf8
 from .near_dup import WordHashes, _mix
-from .packed import bitmap_of, bucket_count, count, may_hold
+from .packed import (
+    BUCKET, CHUNK, bitmap_of, bucket_bounds, bucket_count, count, may_hold, pack, pack_numbers, unpack, unpack_numbers,
+)
 
 # Share of all training tokens from which a word or gram is sent to the workers instead of joined.
 KNOWN_SHARE = 1e-6
@@ -77,18 +81,22 @@ def find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def tokenized(rows: DataFrame) -> DataFrame:
-    """``doc_id, training, block, tokens`` of ``doc_id, text, training``: the hashes of a text's tokens as bytes."""
-    schema = pa.schema([("doc_id", pa.int64()), ("training", pa.bool_()), ("block", pa.int64()), ("tokens", pa.binary())])
+    """``doc_id, training, block, row, tokens`` of ``doc_id, text, training``: the hashes of a text's tokens as bytes.
+
+    ``row`` numbers the rows; it is fixed only when the table is stored.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("training", pa.bool_()), ("block", pa.int64()), ("row", pa.int64()),
+                        ("tokens", pa.binary())])
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in small_batches(batches):
-            tokens = [np.append(hashes.of(text.lower().split()), END).tobytes() for text in utf8(b.column(2))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], b.column(3), pa.array(tokens, pa.binary())], schema=schema)
+            tokens = [np.append(hashes.of(text.lower().split()), END).tobytes() for text in utf8(b.column(4))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(tokens, pa.binary())], schema=schema)
 
     block = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 56)
-    return rows.select("doc_id", "training", "text", block.alias("block")).mapInArrow(
-        compute, "doc_id long, training boolean, block long, tokens binary")
+    return rows.select("doc_id", "training", block.alias("block"), F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
+        compute, "doc_id long, training boolean, block long, row long, tokens binary")
 
 
 def read_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -181,6 +189,29 @@ def _arrays(rows: DataFrame) -> list[np.ndarray]:
     return [codes[order], *[data.column(i).to_numpy()[order] for i in range(1, data.num_columns)]]
 
 
+# What meets in a bucket: 0, entries of the table (values in ``rows``); 1, codes that texts ask for; 2, results of texts so far.
+PARTS = pa.schema([
+    ("bucket", pa.int32()), ("kind", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()), ("training", pa.bool_()),
+    ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
+    ("codes", pa.binary()), ("numbers", pa.binary()), ("rows", pa.binary())])
+RESULT = ["row", "doc_id", "training", "n_tokens", "n_known", "base", "model"]
+SQL_TYPES = {pa.int32(): "int", pa.int64(): "long", pa.bool_(): "boolean", pa.float64(): "double", pa.binary(): "binary"}
+
+
+def _part(size: int, **columns) -> pa.RecordBatch:
+    """Some columns of ``PARTS``, nulls in the others."""
+    return pa.RecordBatch.from_arrays([
+        pa.nulls(size, f.type) if f.name not in columns else columns[f.name] if isinstance(columns[f.name], pa.Array)
+        else pa.array(columns[f.name]).cast(f.type) for f in PARTS], schema=PARTS)
+
+
+def _ranges(codes: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The ranges of sorted codes that fall into each bucket."""
+    cuts = np.concatenate([[0], np.searchsorted(codes, bucket_bounds(buckets)), [len(codes)]])
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        yield b, slice(cuts[b], cuts[b + 1])
+
+
 @dataclass
 class Model:
     """``words``: ``code, n, value`` of all words; ``grams``: the same of the grams that change a score.
@@ -293,59 +324,91 @@ def score(
     known = (_arrays(model.words.filter(often).select("code", "n", "value")),
              _arrays(model.grams.filter(often).select("code", "value")),
              bitmap_of(model.grams.filter(~often).select("code"), fitted=True))
-    kind = pa.schema([("doc_id", pa.int64()), ("training", pa.bool_()), ("n_tokens", pa.int64()),
-                      ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
-                      ("rare", pa.list_(pa.int64()))])
+    table = model.words.filter(~often).select(
+        "code", "n", (F.log((F.col("n") - discount) / tokens) + F.col("value") - unseen).alias("value")).unionByName(
+        model.grams.filter(~often).select("code", F.lit(0).cast("long").alias("n"), "value"))
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), table.count() // BUCKET + 1)
+
+    def asked(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        codes, rows_ = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(codes)
+        codes, rows_ = codes[order], rows_[order]
+        for b, some in _ranges(codes, buckets):
+            used, places = np.unique(rows_[some], return_inverse=True)
+            yield _part(1, bucket=[b], kind=[1], codes=[pack(codes[some])], numbers=[pack_numbers(places)], rows=[used.tobytes()])
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (words, counts, left), (common, values), bitmap = sent.value
         base_of = np.append(np.log10((counts + 1) / below), -np.log10(below))  # the last one for place -1
         log_of = np.append(np.log((counts - discount) / tokens) + left, unseen)
-        value_of = np.append(values, 0.0)
+        value_of, held, size = np.append(values, 0.0), [], 0
         for batch in small_batches(batches):
-            h, starts = read_tokens(batch.column(1))
+            h, starts = read_tokens(batch.column(0))
+            lengths = np.diff(np.append(starts, len(h)))
+            row = batch.column(1).to_numpy()
+            rows_ = np.repeat(row, lengths)
             places = find(words, h)
             seen = places >= 0
             logs = log_of[places]
-            at, codes = [np.flatnonzero(~seen)], [h[~seen]]
+            held.append((h[~seen], rows_[~seen]))
             for code, _, _, ok in grams(h, starts, depth):
                 here = np.flatnonzero(ok)
                 code = code[here]
                 place = find(common, code)
                 logs[here] += value_of[place]
                 rare = (place < 0) & may_hold(bitmap, code)
-                at.append(here[rare])
-                codes.append(code[rare])
-            at = np.concatenate(at)
-            order = np.argsort(at, kind="stable")
-            offsets = np.searchsorted(at[order], np.append(starts, len(h))).astype(np.int32)
-            ends = np.append(starts[1:], len(h))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(2), pa.array(ends - starts),
-                pa.array(np.add.reduceat(seen.astype(np.int64), starts)),
-                pa.array(np.add.reduceat(base_of[places], starts)), pa.array(np.add.reduceat(logs, starts)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(codes)[order].view(np.int64)))],
-                schema=kind)
-
+                held.append((code[rare], rows_[here[rare]]))
+            size += sum(len(c) for c, _ in held[-1 - depth:])
+            yield _part(len(row), bucket=row % buckets, kind=np.full(len(row), 2), row=row, doc_id=batch.column(2),
+                        training=batch.column(3), n_tokens=lengths, n_known=np.add.reduceat(seen.astype(np.int64), starts),
+                        base=np.add.reduceat(base_of[places], starts), model=np.add.reduceat(logs, starts))
+            if size >= CHUNK:
+                yield from asked(held)
+                held, size = [], 0
+        if size:
+            yield from asked(held)
+
+    def pack_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = batch.column(0).to_numpy().view(np.uint64)
+            order = np.argsort(codes)
+            codes, n, value = codes[order], batch.column(1).to_numpy()[order], batch.column(2).to_numpy()[order]
+            for b, some in _ranges(codes, buckets):
+                yield _part(1, bucket=[b], kind=[0], codes=[pack(codes[some])], numbers=[pack_numbers(n[some])],
+                            rows=[value[some].tobytes()])
+
+    def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held, entries = None, [], None
+        for batch in batches:
+            yield batch.filter(pc.equal(batch.column("kind"), 2)).select(RESULT)
+            for b, kind, *some in zip(*[batch.column(c).to_pylist() for c in ("bucket", "kind", "codes", "numbers", "rows")]):
+                if b != bucket:
+                    bucket, held, entries = b, [], None
+                if kind == 0:
+                    held.append((unpack(some[0]), unpack_numbers(some[1]), np.frombuffer(some[2])))
+                elif kind == 1 and held:
+                    if entries is None:
+                        entries = [np.concatenate(c) for c in zip(*held)]
+                        order = np.argsort(entries[0])
+                        entries = [c[order] for c in entries]
+                    place = find(entries[0], unpack(some[0]))
+                    hit = place >= 0
+                    at, n = unpack_numbers(some[1])[hit], entries[1][place[hit]]
+                    row = np.frombuffer(some[2], np.int64)
+                    more = [np.bincount(at, w, len(row)) for w in (n > 0, np.log10(n + 1), entries[2][place[hit]])]
+                    yield _part(len(row), row=row, n_known=more[0].astype(np.int64), base=more[1], model=more[2]).select(RESULT)
+
+    kinds = ", ".join(f"{f.name} {SQL_TYPES[f.type]}" for f in PARTS)
     with _sent(docs, known) as sent:
-        scored = stored(
-            texts.select("doc_id", "tokens", "training").mapInArrow(
-                compute, "doc_id long, training boolean, n_tokens long, n_known long, base double, model double, "
-                "rare array<long>").withColumn("row", F.monotonically_increasing_id()), "scored", clean=True)
-    discard(texts)
-    # Words and grams below the known share are joined: what they add to the score of an unseen word, or to that without them.
-    n = F.col("n")
-    table = model.words.filter(~often).select(
-        "code", F.lit(1).alias("word"), F.log10(n + 1).alias("base_more"),
-        (F.log((n - discount) / tokens) + F.col("value") - unseen).alias("more")).unionByName(
-        model.grams.filter(~often).select(
-            "code", F.lit(0).alias("word"), F.lit(0.0).alias("base_more"), F.col("value").alias("more")))
-    rare = (
-        scored.select("row", F.explode("rare").alias("code")).join(table, "code").groupBy("row").agg(
-            F.sum("word").alias("words"), F.sum("base_more").alias("base_more"), F.sum("more").alias("more"))
-    )
-    return scored.drop("rare").join(rare, "row", "left").select(
-        "doc_id", "training", "n_tokens", (F.col("n_known") + F.coalesce("words", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_more", F.lit(0.0))).alias("base_score"),
-        ((F.col("model") + F.coalesce("more", F.lit(0.0))) / log(10)).alias("score"))
+        # Words and grams below the known share are asked for in ranges of codes, each together with its part of the table.
+        parts = texts.select("tokens", "row", "doc_id", "training").mapInArrow(compute, kinds).unionByName(
+            table.mapInArrow(pack_table, kinds))
+        answers = parts.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(
+            answer, ", ".join(f"{c} {SQL_TYPES[PARTS.field(c).type]}" for c in RESULT))
+        scored = stored(answers.groupBy("row").agg(
+            *[F.max(c).alias(c) for c in ("doc_id", "training", "n_tokens")],
+            *[F.sum(c).alias(c) for c in ("n_known", "base", "model")]), "scored", clean=True)
+    discard(texts, model.words, model.grams)
+    return scored.select(
+        "doc_id", "training", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"), (F.col("model") / log(10)).alias("score"))
