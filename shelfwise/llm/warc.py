@@ -37,6 +37,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 # What a record counts in a shard besides its payload.
 HEADER_BYTES = 600
+# Bytes of the pages, and records, that pass between Spark and a worker at a time.
+BATCH_BYTES, BATCH_RECORDS = 4 << 20, 512
 MANIFEST = "shard long, part long, name string, records long, bytes long, sha256 string"
 
 
@@ -118,7 +120,7 @@ def write_archives(
     ``file_bytes`` is the compressed size at which a file ends, ``shard_bytes`` the payload and headers of a shard
     (more, where there would be over ``MAX_SHARDS`` shards): several times as much, so that files end by their size.
     """
-    bound_batches(pages.sparkSession)
+    bound_batches(pages.sparkSession, BATCH_BYTES)
     payload = text_of(html).cast("binary")
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
@@ -205,29 +207,38 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     def number(headers: dict[str, str], name: str) -> int | None:
         return int(headers[name]) if name in headers else None
 
+    def rows_of(name: str) -> Iterator[tuple]:
+        for headers, block in records_of(read_file(folder, name)):
+            kind, digest = headers["WARC-Type"], headers["WARC-Payload-Digest"].removeprefix("sha256:")
+            if kind == "response" and hashlib.sha256(block).hexdigest() != digest:
+                raise ValueError(f"damaged payload in {headers['WARC-Record-ID']}")
+            yield (number(headers, "X-Page-ID"), headers.get("WARC-Target-URI"),
+                   block.decode("utf-8", "replace") if kind == "response" else None,
+                   number(headers, "X-Payload-Length"), digest, kind, number(headers, "X-Refers-To-Page-ID"))
+
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                rows = []
-                for headers, block in records_of(read_file(folder, name)):
-                    kind, digest = headers["WARC-Type"], headers["WARC-Payload-Digest"].removeprefix("sha256:")
-                    if kind == "response" and hashlib.sha256(block).hexdigest() != digest:
-                        raise ValueError(f"damaged payload in {headers['WARC-Record-ID']}")
-                    rows.append((
-                        number(headers, "X-Page-ID"), headers.get("WARC-Target-URI"),
-                        block.decode("utf-8", "replace") if kind == "response" else None,
-                        number(headers, "X-Payload-Length"), digest, kind, number(headers, "X-Refers-To-Page-ID")))
-                    if len(rows) == 512:
-                        yield _batch(rows, schema)
-                        rows = []
-                if rows:
-                    yield _batch(rows, schema)
+                yield from _batches(rows_of(name), schema)
 
     return manifest.select("name").repartition(max(1, manifest.count())).mapInArrow(
         read, "page_id long, url string, html string, payload_bytes long, payload_digest string, record_type string, "
         "refers_to long")
 
 
+def _batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Read records in batches that end at ``BATCH_RECORDS``, or when their pages reach ``BATCH_BYTES``."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[2] or "")
+        if len(held) == BATCH_RECORDS or size >= BATCH_BYTES:
+            yield _batch(held, schema)
+            held, size = [], 0
+    if held:
+        yield _batch(held, schema)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(column, f.type) for column, f in zip(zip(*rows), schema)], schema=schema)

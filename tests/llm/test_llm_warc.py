@@ -4,6 +4,7 @@ import gzip
 import hashlib
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shelfwise.llm import files, warc as W
@@ -100,3 +101,13 @@ def test_files_end_by_their_compressed_size_with_the_own_parameters(spark):
     assert all(r.bytes >= 4 << 20 for r in files[:-1])
     empty = spark.range(200).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("html"))
     assert W.write_archives(empty, scratch_path(spark, "empty"), shard_bytes=20_000).select("shard").distinct().count() > 3
+
+
+def test_large_pages_are_read_in_bounded_batches():
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())])
+    rows = [(i, "u", None if i % 3 == 0 else "x" * 400_000) for i in range(600)]
+    batches = list(W._batches(iter(rows), schema))
+    assert [i for b in batches for i in b.column(0).to_pylist()] == list(range(600))
+    assert max(b.nbytes for b in batches) < W.BATCH_BYTES + 500_000
+    small = list(W._batches(((i, "u", None) for i in range(600)), schema))
+    assert [b.num_rows for b in small] == [W.BATCH_RECORDS, 600 - W.BATCH_RECORDS]
