@@ -30,7 +30,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.checkpoints import stored
 from .common import bound_batches, utf8
@@ -99,6 +99,35 @@ def combinations_of(n: int, codes: np.ndarray, freqs: np.ndarray, percent: int)
     return np.unique(np.concatenate(keys))
 
 
+def folded(sketch: Column, words: Column) -> Column:
+    """An odd sketch in the shorter length ``words``.
+
+    A token's bit is its place in 2 ** k bits, so the halves of a sketch, added without carry, are that of half the length.
+    """
+    return F.aggregate(
+        F.sequence(words, F.size(sketch) - 1, words), F.slice(sketch, 1, words),
+        lambda done, at: F.zip_with(done, F.slice(sketch, at + 1, words), lambda a, b: a.bitwiseXOR(b)))
+
+
+def halved(sketch: Column) -> Column:
+    """An odd sketch in half its length; null for a single word."""
+    return F.when(F.size(sketch) > 1, folded(sketch, F.floor(F.size(sketch) / 2).cast("int")))
+
+
+def odd_bits(x: str, y: str) -> Column:
+    """Bits in which the odd sketches of two rows with ``odd, half`` differ, compared in the length of the shorter one."""
+    a, b, half_a, half_b = (F.col(f"{side}.{c}") for c in ("odd", "half") for side in (x, y))
+    words = F.least(F.size(a), F.size(b))
+
+    def bits(one: Column, two: Column) -> Column:
+        return F.aggregate(F.zip_with(one, two, lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0), lambda s, v: s + v)
+
+    return (
+        F.when(F.size(a) == F.size(b), bits(a, b))
+        .when(F.size(half_a) == F.size(b), bits(half_a, b)).when(F.size(a) == F.size(half_b), bits(a, half_b))
+        .when(F.size(a) > F.size(b), bits(folded(a, words), b)).otherwise(bits(a, folded(b, words))))
+
+
 def _id_codes(ids: np.ndarray) -> np.ndarray:
     return _mix(ids.astype(np.int64).view(np.uint64) * ODD + SALT)
 
@@ -331,12 +360,11 @@ class Join:
             members.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("rows")).groupBy("key").agg(
                 F.max_by("grp", F.struct("rows", "grp")).alias("main"), F.count(F.lit(1)).alias("grps"))
             .filter("grps > 1").select("key", "main"), "mixed-lists")
-        sketches = sets.select("id", "odd", (F.col("n") - F.size("tokens")).alias("alone"))
+        sketches = sets.select("id", "odd", halved(F.col("odd")).alias("half"), (F.col("n") - F.size("tokens")).alias("alone"))
         mixed = stored(members.join(mains, "key").join(sketches, "id"), "mixed-members")
         x, y = mixed.filter("grp != main").alias("x"), mixed.alias("y")
         # Odd sketches and tokens of one's own never exceed the difference of two sets, so that no link is lost here.
-        odd = F.aggregate(F.zip_with("x.odd", "y.odd", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
-        apart = F.col("x.alone") + F.col("y.alone") + F.when(F.size("x.odd") == F.size("y.odd"), odd).otherwise(0)
+        apart = F.col("x.alone") + F.col("y.alone") + odd_bits("x", "y")
         close = apart * (100 + self.percent) <= (F.col("x.n") + F.col("y.n")) * (100 - self.percent)
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") != F.col("y.grp")) & fits("x.n", "y.n") & close).select(
             F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()

@@ -61,6 +61,48 @@ def test_families_of_edited_copies(spark, monkeypatch, rare, paired):
     assert got(docs, words=5) == plain_groups(texts, 5)
 
 
+def test_sketches_of_any_lengths_are_compared(spark):
+    """The bits that differ are those of two sketches made in the shorter length, and never exceed the difference."""
+    draw = np.random.default_rng(8)
+    rows, want = [], []
+    for n, m in [(1, 1), (30, 40), (120, 140), (129, 128), (60, 100), (100, 60), (60, 500), (700, 3)]:
+        x, y = (np.unique(draw.integers(0, 2**64, k, dtype=np.uint64)) for k in (n, m))
+        y = np.unique(np.concatenate([y, x[:m // 2]]))
+        one, two = J.odd_sketch(x), J.odd_sketch(y)
+        place = np.uint64(64 * min(len(one), len(two)) - 1)
+        both = np.bincount(((np.concatenate([x, y]) >> np.uint64(40)) & place).astype(np.int64)) % 2
+        rows.append((one.tolist(), two.tolist()))
+        want.append(int(both.sum()))
+        assert want[-1] <= len(np.setxor1d(x, y))
+    side = [F.struct(F.col(c).alias("odd"), J.halved(F.col(c)).alias("half")).alias(c) for c in "xy"]
+    bits = spark.createDataFrame(rows, "x array<long>, y array<long>").coalesce(1).select(*side).select(J.odd_bits("x", "y").alias("n"))
+    assert [r.n for r in bits.collect()] == want
+
+
+def test_a_group_whose_sketches_have_two_lengths_is_not_paired_out(spark, monkeypatch):
+    """Copies about a base of 128 shingles, too far apart to be linked: few pairs are left to confirm."""
+    made, stored = [], J.stored
+
+    def counting(df, label, **options):
+        out = stored(df, label, **options)
+        if label == "candidate-pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "stored", counting)
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(140)]
+    texts = {}
+    for copy in range(120):
+        words = base[:126 + draw.randrange(15)]
+        for at in range(5, 125, 10):
+            words[at] += draw.choice("abc")
+        texts[copy] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert got(docs, words=5) == plain_groups(texts, 5)
+    assert sum(made) < 2500
+
+
 def test_edge_cases(spark):
     long_text = " ".join(str(i) for i in range(30_000))
     rows = [(1, "One two THREE"), (2, "one  two\nthree"), (3, None), (4, ""), (5, " \t"), (6, "single"), (7, "SINGLE"),
