@@ -17,6 +17,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -182,7 +183,11 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of texts, of which a few hundred are held at a time."""
-        return [ids for at in range(0, len(texts), 256) for ids in self._some(texts[at:at + 256])]
+        try:
+            return [ids for at in range(0, len(texts), 256) for ids in self._some(texts[at:at + 256])]
+        except BaseException:
+            self._forget()  # words may have numbers, but no ids yet
+            raise
 
     def _some(self, texts: list[str]) -> list[bytes]:
         if len(self.numbers) > REMEMBERED:
@@ -200,6 +205,16 @@ class Encoder:
                 for t, c, a, b in zip(texts, cut, upto, upto[1:])]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str, width: int, added: bool, changed: int) -> Encoder:
+    return Encoder(path, width, added)
+
+
+def encoder_of(path: str, width: int, added: bool) -> Encoder:
+    """The encoder that a worker keeps from task to task, with the words it has learned."""
+    return _encoder(path, width, added, os.stat(path).st_mtime_ns)
+
+
 MANIFEST = "shard long, part long, name string, docs long, ids long, bytes long, sha256 string"
 
 
@@ -270,7 +285,7 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer, width, added=True)
+            encoder = encoder or encoder_of(tokenizer, width, True)
             shard = batch.column(2)[0].as_py() if batch.num_rows else shard
             encoded = encoder.encode([b.decode("utf-8", "replace") for b in utf8(batch.column(1))])
             for k, ids in zip(batch.column(0).to_pylist(), encoded):

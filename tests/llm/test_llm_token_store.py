@@ -112,3 +112,16 @@ def test_strings_of_added_tokens_are_encoded_as_by_the_library(spark):
     rows = list(enumerate(texts))
     stored = T.store_tokens(spark.createDataFrame(rows, "doc_id long, text string"), PATH)
     assert got(stored) == plain(rows)
+
+
+def test_a_worker_keeps_its_encoder_and_recovers_from_a_failure(monkeypatch):
+    encoder = T.encoder_of(PATH, 2, True)
+    want = T.Encoder(PATH, 2, added=True).encode(["one two three", "four one two"])
+    assert encoder.encode(["one two three"]) == want[:1]
+    known = len(encoder.numbers)
+    assert T.encoder_of(PATH, 2, True) is encoder and encoder.encode(["three one"]) and len(encoder.numbers) <= known + 2
+    with monkeypatch.context() as failing:
+        failing.setattr(encoder, "_learn", lambda: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            encoder.encode(["four one two"])
+    assert T.encoder_of(PATH, 2, True).encode(["one two three", "four one two"]) == want
