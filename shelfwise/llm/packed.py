@@ -152,24 +152,64 @@ def count(
         merge, "grp int, code long, n long" + ", mark long" * marked)
 
 
-def bitmap_of(codes: DataFrame, code: str | Column = "code", fitted: bool = False) -> np.ndarray:
-    """A bitmap with two bits for every code; its size does not depend on their number.
-
-    With ``fitted`` it is smaller where there are few codes: 16 bits for each, and ``BITMAP`` at most.
-    """
-    size = min(BITMAP, max(18, (16 * codes.count()).bit_length())) if fitted else BITMAP
-    mask, code = (1 << size) - 1, F.col(code) if isinstance(code, str) else code
+def bitmap_of(codes: DataFrame, code: str | Column = "code") -> np.ndarray:
+    """A bitmap with two bits for every code; its size does not depend on their number."""
+    mask, code = (1 << BITMAP) - 1, F.col(code) if isinstance(code, str) else code
     rows = (
-        codes.select(F.explode(F.array(F.shiftrightunsigned(code, 64 - size), code.bitwiseAND(F.lit(mask)))).alias("bit"))
+        codes.select(F.explode(F.array(F.shiftrightunsigned(code, 64 - BITMAP), code.bitwiseAND(F.lit(mask)))).alias("bit"))
         .groupBy(F.floor(F.col("bit") / BITMAP_ROW).alias("part"))
         .agg(F.bitmap_construct_agg(F.col("bit") % BITMAP_ROW).alias("bits")).toArrow())
-    out = np.zeros(1 << size - 3, np.uint8)
+    out = np.zeros(1 << BITMAP - 3, np.uint8)
     for part, bits in zip(rows.column("part").to_pylist(), rows.column("bits").to_pylist()):
         at = part * BITMAP_ROW // 8
         out[at:at + len(bits)] = np.frombuffer(bits, np.uint8)
     return out
 
 
+def fitted_bitmap(codes: DataFrame, code: str | Column = "code") -> np.ndarray:
+    """As :func:`bitmap_of`, with 16 bits for each code and 2 ** ``BITMAP`` at most; workers put it together in slices."""
+    size = min(BITMAP, max(18, (16 * codes.count()).bit_length()))
+    width = size - 6  # of a slice's bits, as a power of two
+
+    def send(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        code = np.concatenate(held)
+        bits = np.unique(np.concatenate([code >> np.uint64(64 - size), code & np.uint64((1 << size) - 1)]))
+        cuts = np.searchsorted(bits, np.arange(65, dtype=np.uint64) << np.uint64(width))
+        full = np.flatnonzero(np.diff(cuts)).tolist()
+        yield pa.RecordBatch.from_arrays([
+            pa.array(full, pa.int32()), pa.array([pack(bits[cuts[i]:cuts[i + 1]]) for i in full], pa.binary())], ["slice", "bits"])
+
+    def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size_ = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy().view(np.uint64))
+            size_ += batch.num_rows
+            if size_ >= CHUNK:
+                yield from send(held)
+                held, size_ = [], 0
+        if size_:
+            yield from send(held)
+
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, packed in zip(*[c.to_pylist() for c in batch.columns]):
+                held = slices.setdefault(at, np.zeros(1 << width, bool))
+                held[unpack(packed) & np.uint64((1 << width) - 1)] = True
+        for at, held in slices.items():
+            yield pa.RecordBatch.from_arrays([
+                pa.array([at], pa.int32()), pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())],
+                ["slice", "bits"])
+
+    code = F.col(code) if isinstance(code, str) else code
+    rows = codes.select(code.alias("code")).mapInArrow(partial, "slice int, bits binary").repartition("slice").mapInArrow(
+        merge, "slice int, bits binary").toArrow()
+    out = np.zeros((64, 1 << width - 3), np.uint8)
+    for at, bits in zip(rows.column("slice").to_pylist(), rows.column("bits").to_pylist()):
+        out[at] = np.frombuffer(bits, np.uint8)
+    return out.reshape(-1)
+
+
 def may_hold(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """False where a code is certainly not among those of the bitmap."""
     size = len(bitmap).bit_length() + 2

@@ -1,15 +1,17 @@
 """Suffix-tree scores against a plain model with dictionaries."""
 
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from shelfwise.llm import suffix_tree as S
+from shelfwise.llm import packed, suffix_tree as S
 from shelfwise.llm.common import is_in_fold
 
 END = None
@@ -147,3 +149,38 @@ def test_rare_transitions_stay_in_the_tree_at_any_size(spark):
     assert (b"p", b"q", b"r") in plain.kept and plain.c[b"s"] < 1e-5 * plain.n
     held_out = {r.doc_id: r.score for r in S.score(docs, F.col("doc_id") < len(texts)).collect()}
     assert held_out[len(texts)] == pytest.approx(plain.score("p q r s"), abs=1e-6)
+
+
+def test_nothing_of_the_tree_is_left_when_scores_are_put_together(spark, monkeypatch):
+    stored, found, left = S.stored, [], {}
+
+    def recorded(df, label, clean=False):
+        if label == "scored":
+            left.update({name: files for name, files in found if any(os.path.exists(f) for f in files)})
+        table = stored(df, label, clean)
+        found.append((label, [f.removeprefix("file://") for f in table.inputFiles()]))
+        return table
+
+    monkeypatch.setattr(S, "stored", recorded)
+    texts = [t or "" for t in markov(3, 40)]
+    assert S.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), F.lit(True)).count() == 40
+    assert sorted(left) == ["sums", "tokens"]
+
+
+def test_blocks_hold_the_words_of_their_texts(spark):
+    texts = ["", None, " A\x0bb\x0cÉ c d\x85e \r\n", "x" * 70_000, " ".join(str(i) for i in range(70_000)), "\t \n", "b"]
+    rows = spark.createDataFrame([(i, t, i % 3 == 0) for i, t in enumerate(texts)], "doc_id long, text string, training boolean")
+    found = {}
+    for r in S.tokenized(rows.coalesce(1)).collect():
+        words = np.frombuffer(r.words, np.uint64)
+        places = S._places_unpacked(r.tokens, sum(r.sizes))
+        for doc, part in zip(r.docs, np.split(words[places], np.cumsum(r.sizes)[:-1])):
+            found[doc] = part.tolist()
+    assert found == {i: [*[xxhash.xxh3_64_intdigest(w) for w in tokens(t)[:-1]], 0] for i, t in enumerate(texts)}
+
+
+def test_fitted_bitmaps_hold_their_codes(spark):
+    codes = np.random.default_rng(1).integers(0, 2**63, 40_000, dtype=np.uint64) * np.uint64(2)
+    bitmap = packed.fitted_bitmap(spark.createDataFrame([(int(c),) for c in codes[:20_000].view(np.int64)], "code long"))
+    assert packed.may_hold(bitmap, codes[:20_000]).all()
+    assert packed.may_hold(bitmap, codes[20_000:]).mean() < 0.05
