@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 from shelfwise.operators import collapse, forecast, history, joins, prices, rules as R
 from shelfwise.operators.rules import Rule, RuleSet
 from shelfwise.plans import crawl
-from shelfwise.sources import scans, sinks
+from shelfwise.sources import checkpoints, scans, sinks
 
 
 @contextlib.contextmanager
@@ -201,3 +201,37 @@ def test_rows_with_a_null_key_are_spread(spark, join):
         assert max(per_task) < 20_000 / 3 and len(per_task) == 8
         hit = out.filter("new IS NOT NULL" if "new" in out.columns else "src IS NOT NULL")
         assert hit.count() == df.filter("k < 50").count()
+
+
+def sliced_facts(spark):
+    """Keys that repeat, a hot one, NULL days, blank values and JSON objects, valid or not."""
+    i = F.col("id")
+    nulls = [F.lit(None).cast("string").alias(f) for f in crawl.BEST_FIELDS
+             if f not in ("product_id", "product_title", "has_sku", "category", "sub_category", "extra_json", "snapshot_time")]
+    return spark.range(400).select(
+        F.when(i % 3 == 0, "hot").otherwise((i % 40).cast("string")).alias("sku_id"), F.when(i % 2 == 0, "US").otherwise("DE").alias("region"),
+        F.when(i % 7 == 0, None).otherwise(F.concat(F.lit("2024-01-0"), i % 5)).alias("dt"),
+        F.when(i % 11 == 0, "x").otherwise("a").alias("etl_source"), (i % 6).cast("string").alias("snapshot_time"),
+        F.when(i % 4 == 0, "").otherwise(F.concat(F.lit("t"), i % 9)).alias("product_title"), (i % 13).cast("string").alias("product_id"),
+        (i % 2).cast("int").alias("has_sku"), F.when(i % 5 == 0, "c").alias("category"), (i % 8).cast("string").alias("sub_category"),
+        F.when(i % 3 == 1, F.concat(F.lit('{"a":'), i % 10, F.lit(', "k'), i % 4, F.lit('":1}'))).when(i % 3 == 2, "{}").alias("extra_json"),
+        *nulls)
+
+
+def test_a_fact_is_collapsed_slice_by_slice(spark):
+    rows, seen = sliced_facts(spark), []
+    whole = sorted(map(str, crawl.sku_daily(rows, ["a"]).collect()))
+    out = crawl.sku_daily_sliced(rows, ["a"], rows=150)
+    assert sorted(map(str, out.collect())) == whole
+    assert "Exchange" not in plan(out)  # nothing wide is left to the caller's job
+    assert sorted(map(str, crawl.sku_daily_sliced(rows, ["a"]).collect())) == whole
+
+    def work(part):
+        seen.append((part.count(), {tuple(r) for r in part.select("sku_id", "region").distinct().collect()}))
+        return part
+
+    again = checkpoints.in_slices(rows, ["sku_id", "region"], work, "test", 60)
+    assert again.count() == 400 == sum(n for n, _ in seen) and len(seen) > 3
+    assert sum(len(keys) for _, keys in seen) == len(set().union(*[keys for _, keys in seen]))  # no key in two slices
+    folders = {f.rsplit("/", 1)[0] for f in again.inputFiles()}
+    assert len(folders) == len(seen) and not any("slices" in f for f in folders)
