@@ -235,3 +235,11 @@ def test_a_fact_is_collapsed_slice_by_slice(spark):
     assert sum(len(keys) for _, keys in seen) == len(set().union(*[keys for _, keys in seen]))  # no key in two slices
     folders = {f.rsplit("/", 1)[0] for f in again.inputFiles()}
     assert len(folders) == len(seen) and not any("slices" in f for f in folders)
+
+
+def test_the_dimension_of_a_fact_is_made_slice_by_slice(spark):
+    rows = sliced_facts(spark)
+    whole = sorted(map(str, crawl.sku_dimension(crawl.sku_daily(rows, ["a"])).collect()))
+    out = crawl.sku_dimension_of_fact(rows, ["a"], rows=150)
+    assert sorted(map(str, out.collect())) == whole
+    assert "Exchange" not in plan(out)
