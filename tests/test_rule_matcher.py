@@ -61,3 +61,15 @@ def test_very_many_rules_shuffle_nothing(spark):
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert {tuple(r) for r in out.collect()} == {
         ("a word17x and word4000x", "v17", "1,17,4000"), ("none", None, "1,__DEFAULT__"), (None, None, "1,__DEFAULT__")}
+
+
+def test_ranges_and_equal_conditions_are_not_tried_one_by_one():
+    """A rule for every row: conditions that are equal count once, and a number meets its ranges only."""
+    tests = [{"price": ("between", (i % 50, i % 50 + 1)), "n": ("eq", (2,))} for i in range(4000)]
+    tests += [{"price": ("between", (100 + i, 101 + i))} for i in range(4000)]
+    matcher = M.Matcher(tests, {"price": "double", "n": "long"})
+    assert not matcher.others and len(matcher.members) == 4050
+    columns = [M.pa.array([2, 2, 3, None]), M.pa.array([7.5, 400.0, 7.5, None])]
+    assert [x.tolist() for x in matcher.match(columns, False)] == [[8], [4300], [], []]
+    assert [len(x) for x in matcher.match(columns, True)] == [80, 2, 0, 0]
+    assert matcher.columns == ["n", "price"]
